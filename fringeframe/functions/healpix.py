@@ -11,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bind import let
 from .sky import RAD, separation_deg
 
 NSIDE = 1024  # fixed value: 2 << 9
@@ -23,11 +24,6 @@ def _bits(nside: int) -> int:
     return nside.bit_length() - 1
 
 
-def _let(expr: Column, body) -> Column:
-    """Bind ``expr`` to a name inside ``body``, so that it is evaluated once."""
-    return F.get(F.transform(F.array(expr), body), F.lit(0))
-
-
 def _interleave(x: Column, y: Column) -> Column:
     """Bits of x at even, of y at odd places: binary digits read in base four."""
     return F.conv(F.bin(x), 4, 10).cast("long") + F.conv(F.bin(y), 4, 10).cast("long") * 2
@@ -72,10 +68,10 @@ def ang2pix_nest(nside: int, ra: Column, dec: Column) -> Column:
                         F.when(e["north"], low - e["p"]).otherwise(e["m"]).alias("y"))
 
     def place(s):
-        return F.when(F.abs(s["z"]) <= 2.0 / 3.0, _let(belt(s), belt_face)).otherwise(_let(cap(s), cap_face))
+        return F.when(F.abs(s["z"]) <= 2.0 / 3.0, let(belt(s), belt_face)).otherwise(let(cap(s), cap_face))
 
     sky_point = F.struct(F.sin(dec * RAD).alias("z"), (F.pmod(ra, F.lit(360.0)) / 90.0).alias("t"))
-    return _let(_let(sky_point, place), lambda f: F.shiftleft(f["face"], 2 * k) + _interleave(f["x"], f["y"]))
+    return let(let(sky_point, place), lambda f: F.shiftleft(f["face"], 2 * k) + _interleave(f["x"], f["y"]))
 
 
 def pix2ang_nest(nside: int, pix: Column) -> Column:
@@ -107,7 +103,7 @@ def pix2ang_nest(nside: int, pix: Column) -> Column:
         jp = F.when(jp > 4 * nr, jp - 4 * nr).when(jp < 1, jp + 4 * nr).otherwise(jp)
         return F.struct(((jp - (s["odd"] + 1) * 0.5) * 90.0 / nr).alias("ra"), (F.asin(z) / RAD).alias("dec"))
 
-    return _let(_let(_let(_let(pix.cast("long"), split), ring), zone), angles)
+    return let(let(let(let(pix.cast("long"), split), ring), zone), angles)
 
 
 def max_pixel_radius_deg(nside: int) -> float:
@@ -121,7 +117,7 @@ def max_pixel_radius_deg(nside: int) -> float:
 
 def disc_test(nside: int, pix: Column, ra: Column, dec: Column, radius: Column) -> Column:
     """May the pixel overlap the disc?  Never false for one that does."""
-    return _let(pix2ang_nest(nside, pix), lambda c: separation_deg(c["ra"], c["dec"], ra, dec)
+    return let(pix2ang_nest(nside, pix), lambda c: separation_deg(c["ra"], c["dec"], ra, dec)
                 <= radius + max_pixel_radius_deg(nside))
 
 
@@ -148,7 +144,7 @@ def polygon_test(nside: int, pix: Column, corners: list[tuple[float, float]]) ->
     unit = lambda c: F.struct((F.cos(c["dec"] * RAD) * F.cos(c["ra"] * RAD)).alias("x"),
                               (F.cos(c["dec"] * RAD) * F.sin(c["ra"] * RAD)).alias("y"),
                               F.sin(c["dec"] * RAD).alias("z"))
-    return _let(_let(pix2ang_nest(nside, pix), unit), inside)
+    return let(let(pix2ang_nest(nside, pix), unit), inside)
 
 
 def search_nside(radius_deg: float) -> int:

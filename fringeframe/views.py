@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.bind import let
+
 N_CHAN = 54
 
 VIEWS: dict[str, str] = {
@@ -157,7 +159,7 @@ def to_spectra(cells: DataFrame, keys: list[str], n_chan: int) -> DataFrame:
     m = cells.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("chan", F.struct("re", "im", "flag", "sigma")))).alias("m")
     )
-    cell = F.transform(grid, lambda c: F.try_element_at(F.col("m"), c))
+    cell = let(F.col("m"), lambda m: F.transform(grid, lambda c: F.try_element_at(m, c)))
     d = m.select(*keys, cell.alias("cell"))
     return d.select(
         *keys,
