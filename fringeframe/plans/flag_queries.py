@@ -189,16 +189,16 @@ def flg12(spark, sf):
                     r6(F.aggregate("re", F.lit(0.0), lambda a, x: a + x)).alias("re_sum"))
 
 
-_SH = """WITH rows0 AS (SELECT cycle, ant1, ant2, MIN(u) AS u, MIN(v) AS v, MIN(w) AS w, COUNT(*) AS n FROM v_vis GROUP BY 1,2,3),
+_SH = """WITH rows0 AS (SELECT cycle, ant1, ant2, ROUND(AVG(u), 6) AS u, ROUND(AVG(v), 6) AS v, ROUND(AVG(w), 6) AS w, COUNT(*) AS n FROM v_vis GROUP BY 1,2,3),
  sh AS (SELECT DISTINCT cycle, CASE WHEN w < 0 THEN ant1 ELSE ant2 END AS ant FROM rows0
-   WHERE ant1 <> ant2 AND SQRT(u*u+v*v+w*w) >= 1e-6 AND SQRT(u*u+v*v) < 22.0) """
+   WHERE ant1 <> ant2 AND SQRT(u*u+v*v+w*w) >= 1e-6 AND SQRT(u*u+v*v) < 1.0) """
 
 
-def _shadow(spark, sf):
+def _shadow(spark, sf, diameter=1.0):
     rows = view(spark, sf, "v_vis").groupBy("cycle", "ant1", "ant2").agg(
-        F.min("u").alias("u"), F.min("v").alias("v"), F.min("w").alias("w"),
+        *[F.round(F.avg(c), 6).alias(c) for c in "uvw"],
         F.lit(True).alias("flag"), F.count(F.lit(1)).alias("n"))
-    return rows, flag.shadowed_antennas(rows, ["cycle"], 22.0)
+    return rows, flag.shadowed_antennas(rows, ["cycle"], diameter)
 
 
 @op("flg13", _SH + """SELECT r.cycle, r.ant1, r.ant2,
