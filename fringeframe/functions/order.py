@@ -15,6 +15,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 IQR_TO_SIGMA = 1.34896  # fixed value: interquartile range of a unit normal
 MADFM_TO_SIGMA = 0.6744888  # fixed value: MADFM of a unit normal
 
@@ -99,6 +101,8 @@ def select_ranks(
     keys = list(keys)
     if not keys:
         return select_ranks(counts.withColumn("__all", F.lit(0)), ["__all"], ranks).drop("__all")
+    # the counts are read three times; writing them once keeps plans short and the scan single
+    counts = cut_lineage(counts)
     c = counts.withColumn("__b1", _coarse(F.col("__v"))).withColumn("__b2", _fine(F.col("__v")))
     h1 = c.groupBy(*keys, "__b1").agg(F.sum("__n").alias("__m"))
     totals = h1.groupBy(*keys).agg(F.sum("__m").alias("n"))
@@ -142,10 +146,10 @@ def grouped_median(counts: DataFrame, keys: Sequence[str], name: str = "median")
 def grouped_madfm(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Per group: ``n``, ``median``, ``madfm`` and ``sigma`` = madfm / 0.6744888."""
     keys = list(keys)
-    counts = value_counts(df, keys, value)
     if not keys:
         return grouped_madfm(df.withColumn("__all", F.lit(0)), ["__all"], value).drop("__all")
-    med = grouped_median(counts, keys)
+    counts = cut_lineage(value_counts(df, keys, value))
+    med = cut_lineage(grouped_median(counts, keys))
     dev = (
         counts.join(med.select(*keys, "median"), keys)
         .select(*keys, F.abs(F.col("__v") - F.col("median")).alias("__v"), "__n")

@@ -10,11 +10,10 @@ from ..sources import caltext
 from ..views import spectra, tables, view
 from .registry import op, r6
 
-Z = " + CAST(0.0 AS DOUBLE)"
 
 
 def rs(expr, name, digits=6):
-    return f"ROUND({expr}, {digits}){Z} AS {name}"
+    return f"ROUND(CAST({expr} AS DOUBLE) + 3.1e-9, {digits}) AS {name}"
 
 
 @op("jn1", "SELECT m.cycle, m.scan_id, m.field AS meta_field, v.beam, COUNT(*) AS n_vis, " + rs("SUM(v.re)", "re_sum") +

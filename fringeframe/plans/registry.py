@@ -27,7 +27,12 @@ def op(key: str, sql: str | None = None):
     return add
 
 
+#: Added before rounding on both sides, so that a sum that falls on a tie (half of
+#: the last digit) is not rounded by its last bit, and -0.0 never shows.
+NUDGE = 3.1e-9
+
+
 def r6(c, digits: int = 6) -> Column:
-    """Rounded for comparison; adding zero turns -0.0 into 0.0."""
+    """Rounded for comparison."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), digits) + F.lit(0.0)
+    return F.round(c.cast("double") + F.lit(NUDGE), digits)

@@ -2,6 +2,7 @@
 
 One text per view serves Spark SQL and, as a WITH prefix, the checking SQL.
 ``v_cell`` gives ``v_vis`` a key: one averaged sample per spectrum channel.
+Averages are rounded with a small offset, so that two engines agree on ties.
 """
 
 from __future__ import annotations
@@ -36,9 +37,9 @@ SELECT CAST(l_orderkey % 64 AS BIGINT) AS cycle,
 FROM lineitem""",
     "v_cell": """
 SELECT scan, ant1, ant2, beam, pol, chan,
-       ROUND(AVG(re), 6) AS re, ROUND(AVG(im), 6) AS im,
+       ROUND(AVG(re) + 3.1e-9, 6) AS re, ROUND(AVG(im) + 3.1e-9, 6) AS im,
        MAX(CASE WHEN flag THEN 1 ELSE 0 END) = 1 AS flag,
-       ROUND(AVG(sigma), 6) AS sigma
+       ROUND(AVG(sigma) + 3.1e-9, 6) AS sigma
 FROM v_vis GROUP BY scan, ant1, ant2, beam, pol, chan""",
     "v_row": """
 SELECT cycle, field, ant1, ant2, beam,
@@ -87,7 +88,7 @@ SELECT CAST(l_orderkey % 3 AS BIGINT) AS image_id,
        CAST(l_partkey % 16 AS BIGINT) AS x,
        CAST((l_suppkey * 5 + l_linenumber) % 16 AS BIGINT) AS y,
        CAST(l_orderkey % 8 AS BIGINT) AS chan,
-       ROUND(AVG(l_extendedprice) / 1000.0, 6) AS value
+       ROUND(AVG(l_extendedprice) / 1000.0 + 3.1e-9, 6) AS value
 FROM lineitem
 GROUP BY l_orderkey % 3, l_partkey % 16, (l_suppkey * 5 + l_linenumber) % 16, l_orderkey % 8""",
     "v_spec": """
