@@ -121,30 +121,36 @@ def rm_synthesis(df: DataFrame, keys: Sequence[str], lsq: Sequence[float], n_phi
     """
     lam = F.array(*[F.lit(float(x)) for x in lsq])
     total = lambda arr, f: F.aggregate(arr, F.lit(0.0), lambda a, s: a + f(s))
-    d = df.withColumn("__s", faraday_weights(F.col("q"), F.col("u"), F.col("noise"), weighting))
-    d = d.withColumn("__s", F.zip_with("__s", lam, lambda s, x: s.withField("l", x)))
-    d = d.withColumn("__k", F.try_divide(F.lit(1.0), total(F.col("__s"), lambda s: s["w"])))
-    d = d.withColumn("lsq0", F.col("__k") * total(F.col("__s"), lambda s: s["w"] * s["l"]))
     n = 2 * n_phi if rmsf else n_phi
     start = -n * d_phi / 2.0
 
-    def one(j):
-        phi = start + j * d_phi
+    def reference(s):
+        k = F.try_divide(F.lit(1.0), total(s, lambda c: c["w"]))
+        return F.struct(s.alias("s"), k.alias("k"), (k * total(s, lambda c: c["w"] * c["l"])).alias("l0"))
 
+    def at(b, phi):
         def add(a, s):
-            ph = -2.0 * phi * (s["l"] - F.col("lsq0"))
-            c, si = s["w"] * F.cos(ph), s["w"] * F.sin(ph)
+            c, si = s["w"] * F.cos(-2.0 * phi * s["l"]), s["w"] * F.sin(-2.0 * phi * s["l"])
             re = c if rmsf else s["q"] * c - s["u"] * si
             im = si if rmsf else s["q"] * si + s["u"] * c
             return F.struct((a["re"] + re).alias("re"), (a["im"] + im).alias("im"))
 
-        scale = F.col("__k") if (rmsf or i_flux is None) else F.col("__k") * i_flux(299792458.0 / F.sqrt("lsq0"))
-        return F.aggregate(F.col("__s"), F.struct(F.lit(0.0).alias("re"), F.lit(0.0).alias("im")), add,
-                           lambda a: F.struct((phi * 1.0).alias("phi"), (a["re"] * scale).alias("re"), (a["im"] * scale).alias("im")))
+        scale = b["k"] if (rmsf or i_flux is None) else b["k"] * i_flux(299792458.0 / F.sqrt(b["l0"]))
+        return F.aggregate(b["s"], F.struct(F.lit(0.0).alias("re"), F.lit(0.0).alias("im")), add,
+                           lambda a: F.struct(phi.alias("phi"), (a["re"] * scale).alias("re"), (a["im"] * scale).alias("im")))
 
-    grid = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), one)
+    def spectrum(b):
+        grid = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: at(b, start + j * F.lit(float(d_phi))))
+        return F.struct(b["l0"].alias("lsq0"), grid.alias("fdf"))
+
+    # channels about the reference wavelength, so the inner loop needs no reference
+    def centred(b):
+        return F.struct(F.transform(b["s"], lambda c: c.withField("l", c["l"] - b["l0"])).alias("s"), b["k"].alias("k"), b["l0"].alias("l0"))
+
+    weights = F.zip_with(faraday_weights(F.col("q"), F.col("u"), F.col("noise"), weighting), lam, lambda s, x: s.withField("l", x))
     noise = total(F.col("noise"), lambda x: x) / F.size("noise") / F.sqrt(F.size("noise").cast("double"))
-    return d.select(*keys, "lsq0", noise.alias("fdf_noise"), grid.alias("fdf"))
+    d = df.select(*keys, noise.alias("fdf_noise"), let(let(let(weights, reference), centred), spectrum).alias("__r"))
+    return d.select(*keys, F.col("__r.lsq0").alias("lsq0"), "fdf_noise", F.col("__r.fdf").alias("fdf"))
 
 
 def rmsf_width(rmsf: DataFrame, keys: Sequence[str]) -> DataFrame:

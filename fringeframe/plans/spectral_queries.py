@@ -200,7 +200,7 @@ def _i_model(freq):
     return F.lit(2.0)
 
 
-@op("agg34", f"WITH {_RM} SELECT spec_id, phi, {rsql({'re': 'fr', 'im': 'fi'})} FROM fd")
+@op("agg34", f"WITH {_RM} SELECT spec_id, CAST(phi AS DOUBLE) AS phi, {rsql({'re': 'fr', 'im': 'fi'})} FROM fd")
 def agg34(spark, sf):
     d = _faraday(spark, sf, i_flux=_i_model).select("spec_id", F.explode("fdf").alias("f"))
     return d.select("spec_id", F.col("f.phi").alias("phi"), r6("f.re").alias("re"), r6("f.im").alias("im"))
@@ -210,7 +210,7 @@ _SF = f"""{_RM.split(' fd AS')[0]} sf AS (SELECT j, -{NPHI * DPHI} + j * {DPHI}
  ANY_VALUE(k) * SUM(w * SIN(-2 * (-{NPHI * DPHI} + j * {DPHI}) * (l - l0))) AS fi FROM ch CROSS JOIN k CROSS JOIN (SELECT UNNEST(RANGE({2 * NPHI})) AS j) GROUP BY 1)"""
 
 
-@op("agg35", f"WITH {_SF} SELECT s.spec_id, phi, {rsql({'re': 'fr', 'im': 'fi'})} FROM (SELECT spec_id FROM v_spec) s CROSS JOIN sf")
+@op("agg35", f"WITH {_SF} SELECT s.spec_id, CAST(phi AS DOUBLE) AS phi, {rsql({'re': 'fr', 'im': 'fi'})} FROM (SELECT spec_id FROM v_spec) s CROSS JOIN sf")
 def agg35(spark, sf):
     d = _faraday(spark, sf, rmsf=True).select("spec_id", F.explode("fdf").alias("f"))
     return d.select("spec_id", F.col("f.phi").alias("phi"), r6("f.re").alias("re"), r6("f.im").alias("im"))
@@ -231,7 +231,7 @@ WID = 50.0
  o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY spec_id ORDER BY p DESC, j) AS n, LAG(p) OVER (PARTITION BY spec_id ORDER BY j) AS p0, LEAD(p) OVER (PARTITION BY spec_id ORDER BY j) AS p2 FROM a),
  t AS (SELECT * FROM o CROSS JOIN nz WHERE n = 1),
  f AS (SELECT *, (p0 - 2 * p + p2) / {2 * DPHI * DPHI} AS qa, (p2 - p0) / {2 * DPHI} AS qb FROM t)
-SELECT spec_id, p / s > 5.0 AS detected, phi AS phi_peak, (phi < {-NPHI * DPHI / 2 + WID / 2} OR phi > {-NPHI * DPHI / 2 + (NPHI - 1) * DPHI - WID / 2}) AS edge,
+SELECT spec_id, p / s > 5.0 AS detected, CAST(phi AS DOUBLE) AS phi_peak, (phi < {-NPHI * DPHI / 2 + WID / 2} OR phi > {-NPHI * DPHI / 2 + (NPHI - 1) * DPHI - WID / 2}) AS edge,
  {rsql({'snr': 'p / s', 'p_peak': 'p', 'p_eff': 'CASE WHEN p / s > 6.0 THEN SQRT(GREATEST(0.0, p * p - 2.3 * s * s)) END', 'p_fit': 'p - qb * qb / (4 * qa)', 'phi_fit': 'phi - qb / (2 * qa)',
  'angle_ref': 'DEGREES(0.5 * ATAN2(fi, fr))', 'angle_zero': 'DEGREES(0.5 * ATAN2(fi, fr)) - phi * lsq0', 'frac_pol': 'p / 2.0'}, 5)} FROM f""")
 def agg36(spark, sf):
