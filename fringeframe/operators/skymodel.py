@@ -13,9 +13,9 @@ _FINE_BITS = 10  # nside 1024
 
 
 def index_components(df: DataFrame, ra: str = "ra_deg", dec: str = "dec_deg") -> DataFrame:
-    """Add ``healpix_index`` (nested, nside 1024) and ``healpix_coarse`` (nside 8, for partitioning)."""
+    """Add ``healpix_index`` (nested, nside 1024) and ``healpix_coarse`` (nside 4, for partitioning)."""
     idx = hp.ang2pix_nest(hp.NSIDE, F.col(ra), F.col(dec))
-    return df.withColumn("healpix_index", idx).withColumn("healpix_coarse", F.shiftright("healpix_index", 14))
+    return df.withColumn("healpix_index", idx).withColumn("healpix_coarse", F.shiftright("healpix_index", 16))
 
 
 def _at(nside: int):

@@ -6,7 +6,7 @@ import importlib
 
 from . import registry
 
-MODULES = ["select_queries", "flag_queries", "calibration_queries", "match_queries", "image_queries", "spectral_queries"]
+MODULES = ["select_queries", "flag_queries", "calibration_queries", "match_queries", "image_queries", "spectral_queries", "stream_queries"]
 
 
 def _load() -> None:

@@ -47,12 +47,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def shared_path(spark: SparkSession, kind: str = "table") -> str:
+    """A new, unused path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/fringeframe-{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and go on from there.
 
     A written table survives lost executors, is read by column, and has a known
     size, so later joins can be planned on it.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/fringeframe-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

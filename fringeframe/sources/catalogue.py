@@ -90,7 +90,8 @@ def ingest(components: DataFrame, path: str, sb_id: int, obs_date: str | None =
     d = components if "healpix_index" in components.columns else index_components(components, "ra", "dec")
     d = (d.withColumn("sb_id", F.lit(sb_id).cast("long")).withColumn("observation_date", F.lit(obs_date).cast("timestamp"))
          .withColumn("data_source", F.lit(source).cast("string")).withColumn("id", F.xxhash64(F.lit(sb_id).cast("long"), "component_id")))
-    d.sortWithinPartitions("healpix_index").write.mode("append").partitionBy("healpix_coarse").parquet(path)
+    # rebalancing gives each pixel few files, and splits a crowded one over several tasks
+    d.hint("rebalance", "healpix_coarse").sortWithinPartitions("healpix_coarse", "healpix_index").write.mode("append").partitionBy("healpix_coarse").parquet(path)
     return d.select("id", "component_id")
 
 

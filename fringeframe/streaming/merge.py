@@ -17,3 +17,33 @@ def fill_expected(cycles: DataFrame, received: DataFrame, cycle: str, n_ant: int
     got = received.withColumn("__got", F.lit(True))
     j = g.join(got, [cycle, "ant1", "ant2", "chan"], "left")
     return j.withColumn("flag", F.col("__got").isNull()).drop("__got")
+
+
+def merge_streams(vis: DataFrame, meta: DataFrame, interval_ms: int, delay: str) -> DataFrame:
+    """Stream-stream inner join of visibilities and metadata whose times differ by less than half an interval.
+
+    Both sides carry ``event_time`` (timestamp) and ``t_ms``; a pair whose times
+    differ keeps the data's time and is flagged.  Idle scans are skipped.  State is
+    bounded by the watermarks and the time-range condition.
+    """
+    half = f"INTERVAL {interval_ms} MILLISECONDS"
+    b = lambda c: F.floor(F.col(c) / F.lit(interval_ms))
+    m = meta.where("scan_id >= 0").withWatermark("event_time", delay)
+    m = m.select(F.col("event_time").alias("meta_event"), F.col("t_ms").alias("meta_ms"), "scan_id",
+                 F.explode(F.array(b("t_ms") - 1, b("t_ms"), b("t_ms") + 1)).alias("meta_bin"))
+    v = vis.withWatermark("event_time", delay).withColumn("bin", b("t_ms"))
+    cond = (F.col("bin") == F.col("meta_bin")) & (F.abs(F.col("t_ms") - F.col("meta_ms")) * 2 < interval_ms)
+    cond = cond & F.expr(f"event_time BETWEEN meta_event - {half} AND meta_event + {half}")
+    j = v.join(m, cond)
+    return j.withColumn("cycle_flag", F.col("t_ms") != F.col("meta_ms")).drop("bin", "meta_bin", "meta_event")
+
+
+def cycles_without_metadata(vis: DataFrame, delay: str) -> DataFrame:
+    """Chunks per time and beam when there is no metadata; data behind the watermark is dropped."""
+    return (vis.withWatermark("event_time", delay).groupBy("event_time", "beam")
+            .agg(F.count(F.lit(1)).alias("n_vis"), F.approx_count_distinct("chan").alias("n_chan")))
+
+
+def latest_points(points: DataFrame) -> DataFrame:
+    """Last value per monitoring point, for update mode; a null value invalidates the point."""
+    return points.groupBy("point").agg(F.max_by(F.struct("ts", "value"), "ts").alias("last"))
