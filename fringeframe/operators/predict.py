@@ -9,23 +9,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bind import let
-
 C_M_S = 299792458.0  # fixed value: speed of light
-PACK = 4096  # components folded in one array
-
-
-def _fold(u: Column, v: Column, w: Column, freq: Column, comps: Column) -> Column:
-    """Sum over an array of (l, m, n1, amp): amp exp(2 pi i freq (lu + mv + n1 w) / c)."""
-    def add(acc, s):
-        phase = (2 * math.pi / C_M_S) * (s["l"] * u + s["m"] * v + s["n1"] * w) * freq
-        return F.struct((acc["re"] + s["amp"] * F.cos(phase)).alias("re"), (acc["im"] + s["amp"] * F.sin(phase)).alias("im"))
-
-    return F.aggregate(comps, F.struct(F.lit(0.0).alias("re"), F.lit(0.0).alias("im")), add)
+PACK = 4096  # components packed in one array
 
 
 def pack_components(comps: DataFrame, field: str, size: int = PACK) -> DataFrame:
-    """Components (``l, m, flux, comp_id``) of each field as arrays of at most about ``size``.
+    """Components (``l, m, flux, comp_id``) of each field as arrays of about ``size`` at most.
 
     The block of a component is a hash of its id, with as many blocks as the
     fullest field needs; that count is taken once, on the component table.
@@ -36,24 +25,24 @@ def pack_components(comps: DataFrame, field: str, size: int = PACK) -> DataFrame
     item = F.struct(F.col("l").cast("double").alias("l"), F.col("m").cast("double").alias("m"),
                     (n - 1.0).alias("n1"), (F.col("flux") / n).alias("amp"))
     return (comps.groupBy(field, F.pmod(F.xxhash64("comp_id"), F.lit(blocks)).alias("block"))
-            .agg(F.collect_list(item).alias("comps"))).withColumn("n_blocks", F.lit(blocks))
+            .agg(F.collect_list(item).alias("comps")))
 
 
 def predict(rows: DataFrame, packed: DataFrame, row_keys: Sequence[str], field: str, freq: str) -> DataFrame:
-    """Model ``model_re``/``model_im`` per row: join on field, fold inside the row, add up the blocks.
+    """Model ``model_re``/``model_im`` per row: flux exp(2 pi i freq (lu + mv + (n-1)w) / c) / n over the field's components.
 
-    Rows of fields without components get zero.
+    Rows are spread by key once, so the sum over exploded components is local and
+    runs in generated code; rows of fields without components get zero.
     """
-    one = packed.select(F.max("n_blocks").alias("b")).first()["b"] or 1
-    j = rows.join(packed.drop("n_blocks"), field, "left")
-    empty = F.array().cast("array<struct<l:double,m:double,n1:double,amp:double>>")
-    j = j.withColumn("__m", _fold(F.col("u"), F.col("v"), F.col("w"), F.col(freq), F.coalesce("comps", empty)))
-    j = j.select(*rows.columns, F.col("__m.re").alias("model_re"), F.col("__m.im").alias("model_im"))
-    if one == 1:
-        return j
+    spark = rows.sparkSession
+    spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *row_keys)
+    j = spread.join(packed.select(field, "comps"), field, "left").select(*rows.columns, F.explode_outer("comps").alias("__s"))
+    turn = (F.col("__s.l") * F.col("u") + F.col("__s.m") * F.col("v") + F.col("__s.n1") * F.col("w")) * F.col(freq)
+    j = j.withColumn("__ph", (2 * math.pi / C_M_S) * turn).withColumn("__amp", F.col("__s.amp")).drop("__s")
     rest = [c for c in rows.columns if c not in row_keys]
-    return j.groupBy(*row_keys).agg(*[F.first(c).alias(c) for c in rest], F.sum("model_re").alias("model_re"),
-                                    F.sum("model_im").alias("model_im"))
+    return j.groupBy(*row_keys).agg(
+        *[F.first(c).alias(c) for c in rest], F.coalesce(F.sum(F.col("__amp") * F.cos("__ph")), F.lit(0.0)).alias("model_re"),
+        F.coalesce(F.sum(F.col("__amp") * F.sin("__ph")), F.lit(0.0)).alias("model_im")).select(*rows.columns, "model_re", "model_im")
 
 
 def subtract_model(df: DataFrame) -> DataFrame:

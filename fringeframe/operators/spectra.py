@@ -117,7 +117,8 @@ def rm_synthesis(df: DataFrame, keys: Sequence[str], lsq: Sequence[float], n_phi
 
     ``q``, ``u`` (fractional) and ``noise`` are arrays over channel; ``i_flux`` maps
     the reference frequency to Stokes I.  With ``rmsf`` the response on the doubled
-    grid instead.  Everything stays in the row.
+    grid instead.  Sources are spread once; the sums over channels and the list of
+    grid points are then local to the source's partition.
     """
     lam = F.array(*[F.lit(float(x)) for x in lsq])
     total = lambda arr, f: F.aggregate(arr, F.lit(0.0), lambda a, s: a + f(s))
@@ -128,29 +129,22 @@ def rm_synthesis(df: DataFrame, keys: Sequence[str], lsq: Sequence[float], n_phi
         k = F.try_divide(F.lit(1.0), total(s, lambda c: c["w"]))
         return F.struct(s.alias("s"), k.alias("k"), (k * total(s, lambda c: c["w"] * c["l"])).alias("l0"))
 
-    def at(b, phi):
-        def add(a, s):
-            c, si = s["w"] * F.cos(-2.0 * phi * s["l"]), s["w"] * F.sin(-2.0 * phi * s["l"])
-            re = c if rmsf else s["q"] * c - s["u"] * si
-            im = si if rmsf else s["q"] * si + s["u"] * c
-            return F.struct((a["re"] + re).alias("re"), (a["im"] + im).alias("im"))
-
-        scale = b["k"] if (rmsf or i_flux is None) else b["k"] * i_flux(299792458.0 / F.sqrt(b["l0"]))
-        return F.aggregate(b["s"], F.struct(F.lit(0.0).alias("re"), F.lit(0.0).alias("im")), add,
-                           lambda a: F.struct(phi.alias("phi"), (a["re"] * scale).alias("re"), (a["im"] * scale).alias("im")))
-
-    def spectrum(b):
-        grid = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: at(b, start + j * F.lit(float(d_phi))))
-        return F.struct(b["l0"].alias("lsq0"), grid.alias("fdf"))
-
-    # channels about the reference wavelength, so the inner loop needs no reference
-    def centred(b):
-        return F.struct(F.transform(b["s"], lambda c: c.withField("l", c["l"] - b["l0"])).alias("s"), b["k"].alias("k"), b["l0"].alias("l0"))
-
     weights = F.zip_with(faraday_weights(F.col("q"), F.col("u"), F.col("noise"), weighting), lam, lambda s, x: s.withField("l", x))
     noise = total(F.col("noise"), lambda x: x) / F.size("noise") / F.sqrt(F.size("noise").cast("double"))
-    d = df.select(*keys, noise.alias("fdf_noise"), let(let(let(weights, reference), centred), spectrum).alias("__r"))
-    return d.select(*keys, F.col("__r.lsq0").alias("lsq0"), "fdf_noise", F.col("__r.fdf").alias("fdf"))
+    d = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    d = d.select(*keys, noise.alias("fdf_noise"), let(weights, reference).alias("b"))
+    scale = F.col("b.k") if (rmsf or i_flux is None) else F.col("b.k") * i_flux(299792458.0 / F.sqrt("b.l0"))
+    d = d.select(*keys, "fdf_noise", F.col("b.l0").alias("lsq0"), scale.alias("__k"), F.explode("b.s").alias("s"))
+    d = d.select(*keys, "fdf_noise", "lsq0", "__k", "s.q", "s.u", "s.w", (-2.0 * (F.col("s.l") - F.col("lsq0"))).alias("__l"))
+    d = d.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    d = d.withColumn("__c", F.col("w") * F.cos((start + F.col("j") * d_phi) * F.col("__l"))).withColumn(
+        "__s", F.col("w") * F.sin((start + F.col("j") * d_phi) * F.col("__l")))
+    re = F.col("__c") if rmsf else F.col("q") * F.col("__c") - F.col("u") * F.col("__s")
+    im = F.col("__s") if rmsf else F.col("q") * F.col("__s") + F.col("u") * F.col("__c")
+    g = d.groupBy(*keys, "lsq0", "fdf_noise", "__k", "j").agg(F.sum(re).alias("re"), F.sum(im).alias("im"))
+    point = F.struct("j", (start + F.col("j") * d_phi).alias("phi"), (F.col("__k") * F.col("re")).alias("re"), (F.col("__k") * F.col("im")).alias("im"))
+    fdf = F.transform(F.array_sort(F.collect_list(point)), lambda p: F.struct(p["phi"].alias("phi"), p["re"].alias("re"), p["im"].alias("im")))
+    return g.groupBy(*keys, "lsq0", "fdf_noise").agg(fdf.alias("fdf"))
 
 
 def rmsf_width(rmsf: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.order import grouped_madfm
 from ..operators import detect, image
+from ..session import cut_lineage
 from ..views import tables, view
 from .calibration_queries import rs
 from .registry import op, r6
@@ -136,7 +137,7 @@ def _mosaic_sql(source, state, cutoff=0.4):
 
 @op("agg15", f"WITH {_PB}, m AS (" + "\nUNION ALL ".join(_mosaic_sql(*k) for k in _FACTORS) + f") SELECT source, state, x, y, {rsql({'img': 'img', 'wgt': 'wgt'}, 5)}, n_images FROM m")
 def agg15(spark, sf):
-    b, out = _beamed(spark, sf), None
+    b, out = cut_lineage(_beamed(spark, sf)), None
     for source, state in _FACTORS:
         m = image.mosaic(image.weigh(b, source, state), ["x", "y"], 0.4, source).withColumn("source", F.lit(source)).withColumn("state", F.lit(state))
         out = m if out is None else out.unionByName(m)

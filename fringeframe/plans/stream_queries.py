@@ -67,7 +67,7 @@ def src9(spark, sf):
 WHERE m.scan_id >= 0 GROUP BY 1, 2, 3, 4""")
 def str1_stream(spark, sf):
     """Two streams joined on time within half an interval; the batch form is str1."""
-    at = lambda c: F.timestamp_millis(c)
+    at = lambda c: F.timestamp_millis(c + 1_500_000_000_000)  # cycles of a real epoch; time zero would be behind the first watermark
     v = vis_stream(spark, sf).withColumn("t_ms", F.col("cycle") * 1000 + (F.col("cycle") * 7) % 9 * 100).select("t_ms", "beam", "chan")
     m = meta_stream(spark, sf).withColumn("t_ms", F.col("cycle") * 1000)
     j = merge.merge_streams(v.withColumn("event_time", at(F.col("t_ms"))), m.withColumn("event_time", at(F.col("t_ms"))), 1000, "2 hours")
@@ -109,10 +109,10 @@ def jn4(spark, sf):
     return t.groupBy("cycle", "ant1", "ant2").agg(r6(F.sum("re"), 4).alias("re"), r6(F.sum("im"), 4).alias("im"))
 
 
-@op("snk1", """SELECT beam, CAST(chan // 18 AS BIGINT) AS freq_chunk, 'vis_' || STRFTIME(DATE_TRUNC('month', ts), '%Y-%m-%d') || '_b' || beam || '_f' || (chan // 18) || '.ms' AS name, COUNT(*) AS n_vis FROM v_vis GROUP BY 1, 2, 3""")
+@op("snk1", """SELECT beam, CAST(chan // 18 AS BIGINT) AS freq_chunk, 'vis_' || STRFTIME(DATE_TRUNC('year', ts), '%Y-%m-%d') || '_b' || beam || '_f' || (chan // 18) || '.ms' AS name, COUNT(*) AS n_vis FROM v_vis GROUP BY 1, 2, 3""")
 def snk1(spark, sf):
-    """Visibilities streamed to a partitioned table (by month here), read back through its partitions."""
-    v = vis_stream(spark, sf).withColumn("ts", F.date_trunc("month", F.col("ts").cast("timestamp"))).select("ts", "beam", "chan", "re", "im")
+    """Visibilities streamed to a partitioned table (by year here), read back through its partitions."""
+    v = vis_stream(spark, sf).withColumn("ts", F.date_trunc("year", F.col("ts").cast("timestamp"))).select("ts", "beam", "chan", "re", "im")
     path = shared_path(spark, "vis")
     sinks.write_visibilities(v, path, shared_path(spark, "ckpt"), 18).awaitTermination()
     t = spark.read.parquet(path)

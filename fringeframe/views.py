@@ -12,8 +12,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.bind import let
-
 N_CHAN = 54
 
 VIEWS: dict[str, str] = {
@@ -157,18 +155,12 @@ def spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
 def to_spectra(cells: DataFrame, keys: list[str], n_chan: int) -> DataFrame:
     """Cells keyed by (keys, chan) to array rows ``re, im, flag, sigma``."""
     grid = F.sequence(F.lit(0).cast("long"), F.lit(n_chan - 1).cast("long"))
-    m = cells.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("chan", F.struct("re", "im", "flag", "sigma")))).alias("m")
-    )
-    cell = let(F.col("m"), lambda m: F.transform(grid, lambda c: F.try_element_at(m, c)))
-    d = m.select(*keys, cell.alias("cell"))
-    return d.select(
-        *keys,
-        F.transform("cell", lambda s: F.coalesce(s["re"], F.lit(0.0))).alias("re"),
-        F.transform("cell", lambda s: F.coalesce(s["im"], F.lit(0.0))).alias("im"),
-        F.transform("cell", lambda s: F.coalesce(s["flag"], F.lit(True))).alias("flag"),
-        F.transform("cell", lambda s: F.coalesce(s["sigma"], F.lit(0.0))).alias("sigma"),
-    )
+    empty = lambda c: F.struct(c.alias("chan"), F.lit(0.0).alias("re"), F.lit(0.0).alias("im"), F.lit(True).alias("flag"), F.lit(0.0).alias("sigma"))
+    d = cells.groupBy(*keys).agg(F.collect_list(F.struct("chan", "re", "im", "flag", "sigma")).alias("s"))
+    missing = F.transform(F.array_except(grid, F.transform("s", lambda x: x["chan"])), empty)
+    d = d.select(*keys, F.array_sort(F.concat("s", missing)).alias("cell"))
+    pick = lambda n: F.transform("cell", lambda x: x[n]).alias(n)
+    return d.select(*keys, *[pick(n) for n in ("re", "im", "flag", "sigma")])
 
 
 #: Dense form of ``v_cell`` for checking SQL: every channel of every spectrum.

@@ -145,7 +145,7 @@ def test_healpix_known_base_pixels(spark):
 def test_cone_is_complete_and_near(spark, ra, dec, radius):
     rng = random.Random(5)
     pts = [(rng.uniform(0, 360), math.degrees(math.asin(rng.uniform(-1, 1)))) for _ in range(4000)]
-    pts += [((ra + rng.uniform(-2, 2)) % 360, max(-90, min(90, dec + rng.uniform(-2, 2)))) for _ in range(500)]
+    pts += [((ra + rng.uniform(-2, 2)) % 360, max(-90.0, min(90.0, dec + rng.uniform(-2, 2)))) for _ in range(500)]
     d = skymodel.index_components(spark.createDataFrame(pts, "ra_deg double, dec_deg double"))
     sep = sky.separation_deg(F.col("ra_deg"), F.col("dec_deg"), F.lit(ra), F.lit(dec))
     want = d.where(sep <= radius).count()
