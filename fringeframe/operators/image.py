@@ -169,18 +169,34 @@ def _fits(h: int, size: tuple[int, int]) -> Column:
     return F.col("x").between(h, size[0] - 1 - h) & F.col("y").between(h, size[1] - 1 - h)
 
 
+def _with_gaps(pix: DataFrame, keys: Sequence[str], h: int) -> DataFrame:
+    """Add a ``__gap`` row at every place of each column's span, widened by ``h``.
+
+    The pass along rows must leave a value also where a pixel is missing, or the
+    pass along columns would lose that row's neighbours.  A union needs no join;
+    gap rows carry nothing and are dropped after the second pass.
+    """
+    span = pix.groupBy(*keys, "x").agg((F.min("y") - h).alias("__lo"), (F.max("y") + h).alias("__hi"))
+    gaps = span.select(*keys, "x", F.explode(F.sequence("__lo", "__hi")).alias("y"), F.lit(True).alias("__gap"))
+    return pix.withColumn("__gap", F.lit(False)).unionByName(gaps, allowMissingColumns=True)
+
+
 def box_sums(pix: DataFrame, keys: Sequence[str], h: int, exprs: dict[str, Column]) -> DataFrame:
     """Sums over the (2h+1)^2 box around each pixel, along rows then columns.
 
-    A window holds one image row or column; gaps are missing pixels.
+    A window holds one image row or column; missing pixels add nothing.
     """
-    d = pix
+    d = _with_gaps(pix, keys, h)
     for n, c in exprs.items():
-        d = d.withColumn(f"__{n}", c)
-    for w in (_row_window(keys, h), _col_window(keys, h)):
-        d = d.select(*[c for c in d.columns if not c.startswith("__")], *[F.sum(f"__{n}").over(w).alias(f"__{n}") for n in exprs])
+        d = d.withColumn(f"__s_{n}", F.when(F.col("__gap"), 0.0).otherwise(c))
+    rest = [c for c in d.columns if not c.startswith("__s_")]
+    total = lambda n, w: F.sum(f"__s_{n}").over(w)
+    # after the first pass each place counts once, through its gap row
+    d = d.select(*rest, *[F.when(F.col("__gap"), total(n, _row_window(keys, h))).otherwise(0.0).alias(f"__s_{n}") for n in exprs])
+    d = d.select(*rest, *[total(n, _col_window(keys, h)).alias(f"__s_{n}") for n in exprs])
+    d = d.where("NOT __gap").drop("__gap")
     for n in exprs:
-        d = d.withColumnRenamed(f"__{n}", n)
+        d = d.withColumnRenamed(f"__s_{n}", n)
     return d
 
 
@@ -199,8 +215,11 @@ def sliding_stats(pix: DataFrame, keys: Sequence[str], h: int, size: tuple[int,
         d = d.withColumn("middle", middle).withColumn("spread", spread).drop("bn", "bs", "bq")
     else:
         # lists hold at most one box of pixels
-        d = pix.withColumn("__l", F.collect_list(F.when(use, F.col("value"))).over(_row_window(keys, h)))
-        d = d.withColumn("__l", F.flatten(F.collect_list("__l").over(_col_window(keys, h))))
+        d = _with_gaps(pix, keys, h)
+        d = d.withColumn("__l", F.collect_list(F.when(~F.col("__gap") & use, F.col("value"))).over(_row_window(keys, h)))
+        # several rows share a place, so a list is taken from one row per place only
+        d = d.withColumn("__l", F.when(F.col("__gap"), F.col("__l")))
+        d = d.withColumn("__l", F.flatten(F.collect_list("__l").over(_col_window(keys, h)))).where("NOT __gap").drop("__gap")
 
         def median(a):
             s, n = F.array_sort(a), F.size(a)

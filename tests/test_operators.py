@@ -236,6 +236,17 @@ def test_masked_box(spark):
     assert r["middle"] == pytest.approx(statistics.mean(vals)) and r["spread"] == pytest.approx(statistics.stdev(vals))
 
 
+@pytest.mark.parametrize("robust", [False, True])
+def test_box_with_missing_pixels(spark, robust):
+    rng = random.Random(11)
+    pix = {(x, y): rng.random() for x in range(9) for y in range(9) if rng.random() < 0.5}
+    d = spark.createDataFrame([(0, x, y, v) for (x, y), v in pix.items()], "image_id long, x long, y long, value double")
+    for r in image.sliding_stats(d, ["image_id"], 1, (9, 9), robust).collect():
+        if 0 < r["x"] < 8 and 0 < r["y"] < 8:
+            box = [v for (x, y), v in pix.items() if abs(x - r["x"]) <= 1 and abs(y - r["y"]) <= 1]
+            assert r["middle"] == pytest.approx(statistics.median(box) if robust else statistics.mean(box))
+
+
 def test_mosaic_of_one_image_is_the_image(spark):
     d = ramp(spark).withColumn("weight", F.lit(2.0)).withColumn("pb", F.lit(0.8))
     m = image.deweight(image.mosaic(image.weigh(d, "combined", "corrected"), ["x", "y"], 0.1, "combined"))
