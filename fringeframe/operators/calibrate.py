@@ -179,8 +179,10 @@ def solve_groups(sums: DataFrame, keys: Sequence[str], ref_ant: int | None = 0)
 
 def phase_reference(gains: DataFrame, keys: Sequence[str], ref_ant: int) -> DataFrame:
     """Rotate gains so that the reference antenna has zero phase in each key; fails without it."""
+    keys = [*keys, "__k"]  # a constant key stands in when there is none
+    gains = gains.withColumn("__k", F.lit(1))
     ref = gains.where(F.col("ant") == ref_ant).select(*keys, F.col("g_re").alias("__r"), F.col("g_im").alias("__i"))
-    d = gains.join(ref, list(keys), "left") if keys else gains.join(ref.withColumn("__k", F.lit(1)), F.lit(True), "left")
+    d = gains.join(ref, keys, "left")
     r = Cx.of("__r", "__i")
     have = F.when(F.col("__r").isNull(), F.raise_error(F.lit("reference antenna has no gain")).cast("double")).otherwise(r.abs())
     d = d.withColumn("__a", have)

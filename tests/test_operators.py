@@ -373,3 +373,26 @@ def test_band_integral_of_power_law(spark):
 def test_file_name_rules(spark):
     d = spark.createDataFrame([(3, 1)], "b long, f long").withColumn("ts", F.lit("2017-02-03 04:05:06").cast("timestamp"))
     assert d.select(sinks.file_name("a_%d_%t.b%b.c%f.ms", F.col("ts"), F.col("b"), F.col("f"))).first()[0] == "a_2017-02-03_040506.b3.c1.ms"
+
+
+def test_trim_triangles(spark):
+    rng = random.Random(13)
+    rows = [(i, rng.random() < 0.8, True, rng.gauss(0, 1) + (8 if i % 9 == 0 else 0), 0.0) for i in range(90)]
+    d = spark.createDataFrame(rows, "i long, s_clockwise boolean, r_clockwise boolean, s_log_perimeter double, r_log_perimeter double")
+    cur, same, opp = rows, 0, 0
+    for _ in range(5):
+        if not cur:
+            break
+        mags = [r[3] - r[4] for r in cur]
+        same += sum(r[1] == r[2] for r in cur)
+        opp += sum(r[1] != r[2] for r in cur)
+        mean = sum(mags) / len(mags)
+        rms = math.sqrt(sum(m * m for m in mags) / len(mags) - mean * mean)
+        diff = abs(same - opp)
+        odds = diff / (same + opp - diff) if same + opp > diff else math.inf
+        scale = 1 if odds < 1 else 3 if odds > 10 else 2
+        cur = [r for r, m in zip(cur, mags) if abs((m - mean) / rms) < scale]
+    same += sum(r[1] == r[2] for r in cur)
+    opp += sum(r[1] != r[2] for r in cur)
+    want = {r[0] for r in cur if same == opp or (r[1] == r[2]) == (same > opp)}
+    assert {r["i"] for r in match.trim_triangles(d).collect()} == want and want
