@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import decontaminate, langid, mixing, token_store
 
 ORACLES: dict[str, str] = {}
 
@@ -15,10 +16,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op2_decontaminate"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+    FROM (SELECT item, w, unnest(range(1, greatest(2, len(w) - 10 + 2))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM p),
+x AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+h AS (SELECT x.doc_id, x.i, x.n, p.item FROM x JOIN p ON x.n = p.n AND x.s = p.s),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM h) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h WHERE item IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hit.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(it.n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(it.items, '')) AS items_sha256, coalesce(hit.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
+"""
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), base=50_257)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op2_decontaminate": op2_decontaminate,
+    "op4_token_store": op4_token_store,
     "op6_language_id": op6_language_id,
 }
