@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, mixing, token_store
+from . import balanced_shards, decontaminate, langid, mixing, token_store
 
 ORACLES: dict[str, str] = {}
 
@@ -51,6 +51,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), base=50_257)
 
 
+def op5_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards.shard_report(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
@@ -59,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontaminate": op2_decontaminate,
     "op4_token_store": op4_token_store,
+    "op5_balanced_shards": op5_balanced_shards,
     "op6_language_id": op6_language_id,
 }
