@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import balanced_shards, decontaminate, langid, mixing, token_store
+from . import balanced_shards, decontaminate, jaccard, langid, mixing, token_store
 
 ORACLES: dict[str, str] = {}
 
@@ -59,10 +59,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.component_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontaminate": op2_decontaminate,
     "op4_token_store": op4_token_store,
     "op5_balanced_shards": op5_balanced_shards,
     "op6_language_id": op6_language_id,
+    "op8_jaccard_join": op8_jaccard_join,
 }
