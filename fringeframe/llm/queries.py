@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import balanced_shards, decontaminate, jaccard, langid, mixing, token_store
+from . import balanced_shards, chat, decontaminate, jaccard, langid, mixing, tiff, token_store
 
 ORACLES: dict[str, str] = {}
 
@@ -59,6 +59,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_report(chat.with_trap(table(spark, sf_dir, "conversations")))
+
+
+def op9_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff.media_report(table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.component_report(table(spark, sf_dir, "documents"))
 
@@ -69,5 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_store": op4_token_store,
     "op5_balanced_shards": op5_balanced_shards,
     "op6_language_id": op6_language_id,
+    "op7_chat_examples": op7_chat_examples,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_tiff_pages": op9_tiff_pages,
 }
