@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import balanced_shards, chat, decontaminate, jaccard, langid, mixing, tiff, token_store
+from . import balanced_shards, chat, decontaminate, jaccard, langid, mixing, phrase_dedup, suffix_dedup, tiff, token_store
 
 ORACLES: dict[str, str] = {}
 
@@ -47,6 +47,10 @@ FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_
 """
 
 
+def op3_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), base=50_257)
 
@@ -71,13 +75,19 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.component_report(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.copy_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontaminate": op2_decontaminate,
+    "op3_phrase_dedup": op3_phrase_dedup,
     "op4_token_store": op4_token_store,
     "op5_balanced_shards": op5_balanced_shards,
     "op6_language_id": op6_language_id,
     "op7_chat_examples": op7_chat_examples,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_tiff_pages": op9_tiff_pages,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
