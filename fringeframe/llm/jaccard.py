@@ -10,10 +10,11 @@ then expanded and compared on the whole sets.
 The order is by hash, with tokens that many documents have put last. It is free to choose:
 a token that is missed in that list costs time, never a link.
 
-Where a token's list is long, its members are first compared with their neighbours by size
-only, links are contracted to components, and just pairs of different components are left to compare, so that a
-large group of near copies costs its size, not its square. Links inside a component change
-nothing in the result. All lists are read as sorted streams; no group is collected.
+Where a token's list is long, its members are first compared with their neighbours by size and
+with the list's hub, the member that is in the most long lists, as an original among its
+copies is. These links are contracted to components; only pairs of different components whose
+prefixes leave room for the overlap are left to compare. Links inside a component change nothing
+in the result, so a large group of near copies costs about its size, not its square.
 
 Defined results: a document without words (null, empty, blank) has an empty set, no links and
 itself as component. Component ids are the least document id of the linked sets; rows with the
@@ -72,6 +73,15 @@ def _set_id(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def _contains(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of x are among the values."""
+    if not len(sorted_values):
+        return np.zeros(len(x), bool)
+    at = np.searchsorted(sorted_values, x)
+    at[at == len(sorted_values)] = 0
+    return sorted_values[at] == x
+
+
 def _prefix_size(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
@@ -102,9 +112,11 @@ def frequent_tokens(rows: DataFrame) -> np.ndarray:
     return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
 
 
-def signatures(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of every row: doc_id, th (hash of the text), n, sid (its set) and, for sets that can have links, gid and prefix."""
-    last = rows.sparkSession.sparkContext.broadcast(frequent_tokens(rows))  # at most LISTED numbers
+def signatures(rows: DataFrame, last, percent: int = PERCENT) -> DataFrame:
+    """Of every row: doc_id, th (hash of the text), n, sid (its set) and, for sets that can have links, gid and prefix.
+
+    ``last`` is the broadcast list of tokens that come last in the order.
+    """
 
     def sign(batches):
         for batch, sets in _sets(batches, 1):
@@ -114,11 +126,8 @@ def signatures(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
                 sid.append(_set_id(s) if n else None)
                 # a set of up to 5 has only equal partners
                 if n * 100 >= percent * (n + 1) or n >= 13:
-                    if len(often):
-                        at = np.searchsorted(often, s)
-                        at[at == len(often)] = 0
-                        put_last = often[at] == s
-                        s = np.concatenate([s[~put_last], s[put_last]])
+                    put_last = _contains(often, s)
+                    s = np.concatenate([s[~put_last], s[put_last]])
                     p = s[: _prefix_size(n, percent)]
                     prefix.append(p.view(np.int64))
                     gid.append(int.from_bytes(hashlib.blake2b(p.tobytes() + n.to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True))
@@ -215,10 +224,40 @@ def _sorted_lists(batches):
         yield lists(rest)
 
 
+def close_pairs(pairs: DataFrame, groups: DataFrame, last, percent: int = PERCENT) -> DataFrame:
+    """Group pairs (a, b) whose prefixes leave room for the overlap.
+
+    Up to the point where the shorter prefix ends, a token that one prefix has and the other
+    has not is missing from the other set.
+    """
+    side = groups.select("gid", "n", "prefix")
+
+    def judge(batches):
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            n1, n2 = (batch.column(i).to_numpy().tolist() for i in (2, 4))
+            for i, (x, y) in enumerate(zip(batch.column(3), batch.column(5))):
+                x, y = (v.values.to_numpy().view(np.uint64) for v in (x, y))
+                rx, ry = (v >> np.uint64(1) | _contains(last.value, v).astype(np.uint64) << np.uint64(63) for v in (x, y))
+                cut = min(rx.max(), ry.max())
+                need = (percent * (n1[i] + n2[i]) + 99 + percent) // (100 + percent)
+                keep[i] = n1[i] - (~np.isin(x[rx < cut], y)).sum() >= need and n2[i] - (~np.isin(y[ry < cut], x)).sum() >= need
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep))
+
+    wide = (pairs.join(side.select(F.col("gid").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa")), "a")
+            .join(side.select(F.col("gid").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb")), "b"))
+    return wide.select("a", "b", "na", "pa", "nb", "pb").mapInArrow(judge, "a long, b long")
+
+
+#: Sets that are fetched by a broadcast list of texts; more are fetched by a shuffle.
+FETCHED = 500_000
+
+
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Of candidate pairs (x, y) of sids, those that are similar enough, judged on whole sets."""
     need = pairs.select(F.col("x").alias("sid")).unionByName(pairs.select(F.col("y").alias("sid"))).distinct()
-    which = sets.join(need, "sid").select(F.col("rep").alias("r"), F.col("th").alias("t"))
+    which = cut_lineage(sets.join(need, "sid").select(F.col("rep").alias("r"), F.col("th").alias("t")))
+    which = F.broadcast(which) if which.count() <= FETCHED else which
     texts = rows.withColumn("th", F.xxhash64("text"))
     texts = texts.join(which, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("th") == F.col("t")), "left_semi").select("text")
 
@@ -233,11 +272,7 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int =
             keep = np.zeros(batch.num_rows, bool)
             for i, (s, t) in enumerate(zip(batch.column(2), batch.column(3))):
                 s, t = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-                if len(s) > len(t):
-                    s, t = t, s
-                at = np.searchsorted(t, s)
-                at[at == len(t)] = 0
-                both = int((t[at] == s).sum())
+                both = int(_contains(t, s).sum())
                 keep[i] = 100 * both >= percent * (len(s) + len(t) - both)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep))
 
@@ -253,28 +288,79 @@ def _members(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x < y").distinct()
 
 
-def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of different components that meet in a list (token, n, sid, root, pos), with room for the overlap."""
+def hub_pairs(long_lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member of a long list with the member that is in the most, longest lists: an original, where the others are its copies."""
+    size = long_lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+    rows = long_lists.join(size, "token")
+    score = rows.groupBy("gid").agg(F.sum(F.log2("m")).alias("score"))
+    rows = cut_lineage(rows.select("token", "gid").join(score, "gid"))
+    hub = rows.groupBy("token").agg(F.max(F.struct("score", "gid"))["gid"].alias("hub"))
+    return rows.join(hub, "token").where("gid != hub").select(F.least("gid", "hub").alias("a"), F.greatest("gid", "hub").alias("b")).distinct()
+
+
+def _tables(prefixes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, incidence of prefixes by token in order) of tokens that two or more of them have."""
+    flat = np.concatenate(prefixes)
+    tokens, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    keep = n > 1
+    table = np.zeros((len(prefixes), int(keep.sum())), np.float32)
+    row = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
+    some = keep[at]
+    table[row[some], (np.cumsum(keep) - 1)[at[some]]] = 1
+    return tokens[keep], table
+
+
+#: Members of a list that are compared at once.
+BLOCK = 1024
+
+
+def _close_in_list(token, n, prefixes, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of a list (sorted by n) of different roots that the prefixes leave possible, where ``token`` is the first in common.
+
+    Prefixes are ordered numbers. Counts of common tokens are matrix products, block by block.
+    """
+    size, reach = np.array([len(p) for p in prefixes]), np.array([p[-1] for p in prefixes])
+    for i in range(0, len(n), BLOCK):
+        top = n[min(i + BLOCK, len(n)) - 1] * 100 // percent
+        for j in range(i, len(n), BLOCK):
+            if n[j] > top:
+                break
+            a, b = np.arange(i, min(i + BLOCK, len(n))), np.arange(j, min(j + BLOCK, len(n)))
+            if len(np.unique(root[np.concatenate([a, b])])) == 1:
+                continue
+            tokens, table = _tables([prefixes[k] for k in (a if i == j else np.concatenate([a, b]))])
+            x, y = table[: len(a)], table if i == j else table[len(a) :]
+            before = int(np.searchsorted(tokens, token))
+            common, earlier = x @ y.T, x[:, :before] @ y[:, :before].T
+            na, nb = n[a][:, None], n[b][None, :]
+            need = (percent * (na + nb) + 99 + percent) // (100 + percent)
+            # the prefix that ends first: its tokens that are not common are missing in the other set
+            short_a = reach[a][:, None] <= reach[b][None, :]
+            missing = np.where(short_a, size[a][:, None], size[b][None, :]) - 1 - common
+            ok = (np.where(short_a, na, nb) - missing >= need) & (earlier == 0) & (root[a][:, None] != root[b][None, :])
+            ok &= (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+            if i == j:
+                ok &= a[:, None] < b[None, :]
+            u, v = np.nonzero(ok)
+            yield a[u], b[v]
+
+
+def _across(lists: DataFrame, last, percent: int) -> DataFrame:
+    """Pairs (x, y) of different components that meet in a list (token, n, sid, root, prefix) and can be similar."""
     mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    rows = lists.join(mixed, "token").select("token", "n", "pos", "sid", "root").repartition("token").sortWithinPartitions("token", "n", "sid")
+    rows = lists.join(mixed, "token").select("token", "n", "sid", "root", "prefix").repartition("token").sortWithinPartitions("token", "n", "sid")
+
+    def ordered(v):
+        v = v.view(np.uint64)
+        return np.sort(v >> np.uint64(1) | _contains(last.value, v).astype(np.uint64) << np.uint64(63))
 
     def cross(batches):
-        for token, n, pos, sid, root in _runs(batches):
-            del token
-            n, pos = n.astype(np.int64), pos.astype(np.int64)
-            _, root = np.unique(root.astype("S16"), return_inverse=True)
-            end = np.searchsorted(n, n * 100 // percent, "right")
-            xs, ys = [], []
-            for i in range(len(n)):  # members of the right size follow in the sorted list
-                j = np.arange(i + 1, end[i])
-                j = j[(root[j] != root[i]) & _may(n[i], n[j], pos[i], pos[j], percent)]
-                xs += [sid[i]] * len(j)
-                ys += sid[j].tolist()
-                if len(xs) > 1 << 15:
-                    yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])
-                    xs, ys = [], []
-            if xs:
-                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])
+        for token, n, sid, root, prefix in _runs(batches):
+            _, root = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
+            ranks = [ordered(v) for v in prefix]
+            for a, b in _close_in_list(ordered(token[:1])[0], n.astype(np.int64), ranks, root, percent):
+                for lo in range(0, len(a), 1 << 15):
+                    yield pa.RecordBatch.from_arrays([pa.array(sid[a[lo : lo + (1 << 15)]].tolist(), pa.binary()), pa.array(sid[b[lo : lo + (1 << 15)]].tolist(), pa.binary())], ["x", "y"])
 
     found = rows.mapInArrow(cross, "x binary, y binary")
     return found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
@@ -283,21 +369,22 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
 def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, sid of every row; sid names the row's set, null for none."""
     rows = narrow(docs, id_col, text_col)
-    signed = signatures(rows, percent)
+    last = rows.sparkSession.sparkContext.broadcast(frequent_tokens(rows))  # at most LISTED numbers
+    signed = signatures(rows, last, percent)
     sets = cut_lineage(signed.where("n > 0").groupBy("sid").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("m"), F.first("n").alias("n"), F.first("gid").alias("gid"), F.first("prefix").alias("prefix"))
-        .select("sid", F.col("m.doc_id").alias("rep"), F.col("m.th").alias("th"), "n", "gid", "prefix"))
-    linkable = sets.where("gid IS NOT NULL").drop("prefix")
-    groups = sets.where("gid IS NOT NULL").groupBy("gid", "n").agg(F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("members"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("m"), F.min("n").alias("n"), F.min("gid").alias("gid"))
+        .select("sid", F.col("m.doc_id").alias("rep"), F.col("m.th").alias("th"), "n", "gid"))
+    linkable = sets.where("gid IS NOT NULL")
+    groups = cut_lineage(signed.where("gid IS NOT NULL").groupBy("gid", "n").agg(F.first("prefix").alias("prefix")))
     pairs, long_lists = group_pairs(groups, percent)
+    pairs = close_pairs(pairs.unionByName(hub_pairs(long_lists)).distinct(), groups, last, percent)
     # members of one group meet each other: neighbours by id first, the rest after contraction
-    inside = linkable.select(F.col("gid").alias("token"), "n", "sid", F.lit(0).cast("long").alias("pos"))
+    inside = linkable.select(F.col("gid").alias("token"), "sid")
     several = inside.groupBy("token").count().where("count > 1").select("token")
     inside = cut_lineage(inside.join(several, "token"))
 
     def neighbours(batches):
-        for token, n, sid, pos in _runs(batches):
-            del token, n, pos
+        for _, sid in _runs(batches):
             yield pa.RecordBatch.from_arrays([pa.array(sid[:-1].tolist(), pa.binary()), pa.array(sid[1:].tolist(), pa.binary())], ["x", "y"])
 
     near = inside.repartition("token").sortWithinPartitions("token", "sid").mapInArrow(neighbours, "x binary, y binary")
@@ -308,9 +395,11 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     def rooted(lists):
         return lists.join(tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
-    spread = long_lists.join(linkable.select("gid", "sid"), "gid").select("token", "n", "sid", "pos")
-    left = _across(rooted(spread), percent).unionByName(_across(rooted(inside), percent)).distinct()
-    left = cut_lineage(left.join(first, ["x", "y"], "left_anti"))
+    kinds = linkable.join(groups.select("gid", "prefix"), "gid")
+    spread = long_lists.select("token", "gid").join(kinds, "gid").select("token", "n", "sid", "prefix")
+    # in a list of one group, every prefix is the same and its first token is the first in common
+    alike = inside.select("sid").join(kinds, "sid").select(F.element_at("prefix", 1).alias("token"), "n", "sid", "prefix")
+    left = cut_lineage(_across(rooted(spread.unionByName(alike).distinct()), last, percent).join(first, ["x", "y"], "left_anti"))
     if not left.isEmpty():
         links = links.unionByName(verified(left, sets, rows, percent))
         tied = components(links, "x", "y")
