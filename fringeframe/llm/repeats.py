@@ -8,7 +8,7 @@
    Anchors with very many kinds are spread by window instead.
 4. The spans that were found are merged text by text.
 
-A stretch is a row of eight numbers, whatever its length, and a stream keeps one row of state,
+A stretch is a row of five numbers, whatever its length, and a stream keeps one row of state,
 so neither a text that a third of the rows share nor a passage in a third of the texts gathers
 in memory. Texts are told apart by id and content (``rid``): rows that agree in both are alike.
 """
@@ -59,31 +59,46 @@ def _units(body: np.ndarray, offsets: np.ndarray, words: bool):
     return joined, (starts, ends), first
 
 
-SPOTS = ["anchor", "first", "second", "doc", "rid", "start", "count", "copies"]
+#: A stretch in five numbers: ``spot`` holds 13 more bits of the content hash, the start (32 bits),
+#: the number of windows (16 bits), and 1 for a single one or 2 for several equal ones. A span that is
+#: decided has spot 0, its start in ``first`` and its end in ``doc``.
+SPOTS = ["anchor", "first", "doc", "rid", "spot"]
+
+
+def _pack(second, start, count, copies):
+    return (second & 0x1FFF) << 50 | start << 18 | count << 2 | np.minimum(copies, 2)
+
+
+def _unpack(spot):
+    """second, start, count, copies"""
+    return spot >> 50, spot >> 18 & 0xFFFFFFFF, spot >> 2 & 0xFFFF, spot & 3
 
 
 def _spots(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Stretches of all texts. ``copies`` is how many equal ones the row stands for; 0 marks a span (rid, start, count) that is decided."""
+    """Stretches of all texts, equal ones of a batch as one, and the spans that this decides."""
+    if rule.length > 60_000:
+        raise ValueError("windows are limited to 60,000 units")
 
     def run(batches):
         for batch in batches:
             body, offsets = raw_texts(batch.column(1))
             doc = np.array([LAST if d is None else d for d in batch.column(0).to_pylist()], np.int64)
+            if not rule.keep_first:
+                doc[:] = 0  # the order of documents does not matter
             rid = batch.column(2).to_numpy(zero_copy_only=False)
             parts = []
             for lo, hi in in_steps(np.diff(offsets) + 1):
                 s = stretches(*_units(body[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], rule.words), rule.length, rule.gram)
-                parts.append((s.anchor, s.first, s.second, doc[lo:hi][s.text], rid[lo:hi][s.text], s.start, s.count))
+                parts.append((s.anchor, s.first, s.second & 0x1FFF, doc[lo:hi][s.text], rid[lo:hi][s.text], s.start, s.count))
             if not parts:
                 continue
             cols = [np.concatenate(p) for p in zip(*parts)]
             order = np.lexsort((cols[5], cols[4], cols[3], cols[2], cols[1], cols[0]))
             cols = [c[order] for c in cols]
-            spans, head, copies = _decide(cols, np.ones(len(order), np.int64), np.zeros(len(order), bool), rule)
-            out = [[c[head] for c in cols] + [copies]]
-            rid_, start, end = spans
-            out.append([rid_] + [np.zeros(len(rid_), np.int64)] * 3 + [rid_, start, end, np.zeros(len(rid_), np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], SPOTS)
+            (rid_, start, end), head, copies = _decide(cols, np.ones(len(order), np.int64), np.zeros(len(order), bool), rule)
+            anchor, first, second, doc_, r, at, count = (c[head] for c in cols)
+            out = [(anchor, rid_), (first, start), (doc_, end), (r, rid_), (_pack(second, at, count, copies), np.zeros(len(rid_), np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], SPOTS)
 
     return rows.mapInArrow(run, ", ".join(f"{c} long" for c in SPOTS))
 
@@ -122,11 +137,13 @@ def _meet(spots: DataFrame, rule: Rule) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], FOUND)
 
         for batch in batches:
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            span = cols[7] == 0
+            anchor, first, doc, rid, spot = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            span = spot == 0
             if span.any():
-                yield told(False, None, None, cols[4][span], cols[5][span], cols[6][span])
-                cols = [c[~span] for c in cols]
+                yield told(False, None, None, rid[span], first[span], doc[span])
+                anchor, first, doc, rid, spot = (c[~span] for c in (anchor, first, doc, rid, spot))
+            second, start, count, copies = _unpack(spot)
+            cols = [anchor, first, second, doc, rid, start, count, copies]
             n = len(cols[0])
             if not n:
                 continue
@@ -149,7 +166,7 @@ def _meet(spots: DataFrame, rule: Rule) -> DataFrame:
         if carry is not None and mixed:
             yield told(True, *(np.array([carry[0][i]]) for i in (0, 3, 4, 5, 6)))
 
-    listed = spots.repartition("anchor").sortWithinPartitions("anchor", "first", "second", "doc", "rid", "start")
+    listed = spots.repartition("anchor").sortWithinPartitions("anchor", "first", "doc", "rid", "spot")
     return cut_lineage(listed.mapInArrow(run, "piece boolean, " + ", ".join(f"{c} long" for c in FOUND[1:])))
 
 
@@ -176,7 +193,8 @@ def _fetch(texts: DataFrame, pieces: DataFrame, rule: Rule, by_window: bool) ->
                 kinds = [pa.int64()] * 5 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["anchor", "doc", "rid", "start", "count", "body"])
 
-    return texts.join(wanted, "rid").select("rid", "text", "wanted").mapInArrow(run, PIECES)
+    # with the id, though it is not needed, the shuffled texts are those that with_spans() uses again
+    return texts.join(wanted, "rid").select("rid", "text", "wanted", "doc_id").mapInArrow(run, PIECES)
 
 
 def groups(batches, most: int = GROUP) -> Iterator[list[np.ndarray]]:
