@@ -70,8 +70,9 @@ def propagate(rows: DataFrame, n_shards: int, total: int, rounds: int = ROUNDS)
         bins = moves.groupBy("to", "bin").agg(F.sum("n").alias("all"))
         before = F.sum("all").over(Window.partitionBy("to").orderBy("bin")) - F.col("all")
         free_to = F.element_at(F.create_map(*[F.lit(x) for b, n in free.items() for x in (b, max(0, n))]), F.col("to"))
-        bins = bins.withColumn("part", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (free_to - before) / F.col("all")))).where("part > 0").select("to", "bin", "part")
-        moved = moves.join(bins, ["to", "bin"]).withColumn("m", F.floor(F.col("n") * F.col("part")).cast("long")).where("m > 0")
+        bins = bins.withColumn("open", free_to - before).where("open > 0").select("to", "bin", "open")
+        ahead = F.sum("n").over(Window.partitionBy("to", "bin").orderBy("ka", "kb", "label")) - F.col("n")
+        moved = moves.join(bins, ["to", "bin"]).withColumn("m", F.least(F.col("n"), F.col("open") - ahead)).where("m > 0")
         change = moved.select("ka", "kb", "label", (-F.col("m")).alias("n")).unionByName(moved.select("ka", "kb", F.col("to").alias("label"), F.col("m").alias("n")))
         change = cut_lineage(change)
         if change.isEmpty():

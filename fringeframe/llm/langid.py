@@ -162,6 +162,12 @@ def language_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which a language can be seen; letterless and null texts go."""
+    """The rows of ``docs`` in which a language can be seen; letterless and null texts go.
+
+    Where no row teaches a language, only the letters are asked for.
+    """
     lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
-    return add_language(docs, train_on_open_part(docs), "text", lang, score).where(F.col(lang) != UNKNOWN).drop(lang, score)
+    model = train_on_open_part(docs)
+    if not model[0]:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return add_language(docs, model, "text", lang, score).where(F.col(lang) != UNKNOWN).drop(lang, score)
