@@ -24,6 +24,7 @@ first; rows with the same id keep the order of their texts; an empty table gives
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from array import array
@@ -31,7 +32,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,7 +89,13 @@ class Pieces(dict):
 
 
 #: White space before a space: only then do pieces need the slower split.
-_RUN, _SPLIT = regex.compile(r"\s "), regex.compile(r"(?<=\S) ")
+_RUN, _SPLIT = re.compile(r"\s "), re.compile(r"(?<=\S) ")
+
+
+#: An ASCII word and signs that are a pre-token of their own, where no contraction or control string can begin.
+_WORD = re.compile(r"( ?[A-Za-z]+)([.,;:!?)]*)")
+#: Fixed value: how byte-level vocabularies write the byte 32.
+_SPACE = "\u0120"
 
 
 class Encoder:
@@ -109,9 +115,25 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        one = lambda s: self.tokenizer.encode(s, add_special_tokens=False).ids if s else []
-        self.ids = Ids()
-        self.first, self.later = Pieces(one, "", self.ids), Pieces(one, " ", self.ids)
+        self.ids, self.parts = Ids(), {}
+        self.first, self.later = Pieces(self._one, "", self.ids), Pieces(self._one, " ", self.ids)
+
+    def _one(self, s: str) -> list[int]:
+        """Ids of a piece; a word with signs behind it is put together from parts that are kept as well."""
+        m = _WORD.fullmatch(s) if self.by_piece else None
+        if m is None:
+            return self.tokenizer.encode(s, add_special_tokens=False).ids if s else []
+        word, signs = m.groups()
+        out = self.parts.get(word)
+        if out is None:
+            # one pre-token: a space is written as the letter that stands for its byte
+            out = self.parts[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(word.replace(" ", _SPACE))])
+        if signs:
+            more = self.parts.get(signs)
+            if more is None:
+                more = self.parts[signs] = array("I", self.tokenizer.encode(signs, add_special_tokens=False).ids)
+            out = out + more
+        return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, joined, and how many each has."""
@@ -135,6 +157,10 @@ def _encoder(path: str) -> Encoder:
 
 # ---- the grammar ---------------------------------------------------------------------------
 
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
+
+
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, symbols of each document, rules as pairs) of documents that lie one after the other."""
     seq = ids.astype(np.uint32)
@@ -151,8 +177,10 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> tuple[np.ndarray,
         if not len(often):
             break
         pairs = keys[often]
-        at = np.searchsorted(pairs, key)
-        at[at == len(pairs)] = 0
+        # looked up by a hash; of pairs that fall in one slot the last is taken, the others wait for a later round
+        slot = np.zeros(1 << 18, np.int32)
+        slot[_slot(pairs)] = np.arange(len(pairs))
+        at = slot[_slot(key)]
         p = np.flatnonzero((pairs[at] == key) & inner)
         # of neighbouring pairs that share a symbol, every other one is replaced
         new_run = np.diff(p, prepend=-2) > 1
