@@ -32,6 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,10 +93,14 @@ class Pieces(dict):
 _RUN, _SPLIT = re.compile(r"\s "), re.compile(r"(?<=\S) ")
 
 
-#: An ASCII word and signs that are a pre-token of their own, where no contraction or control string can begin.
-_WORD = re.compile(r"( ?[A-Za-z]+)([.,;:!?)]*)")
-#: Fixed value: how byte-level vocabularies write the byte 32.
-_SPACE = "\u0120"
+# Fixed values of byte-level vocabularies: the pattern of pre-tokens, and the letter that stands for each byte
+# (itself where it is printable, else the next free one from 256 on).
+_PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+#: A word and signs behind it, two pre-tokens; and what may be white space or a control string to one library only.
+_WORD = re.compile(r"( ?)([^\W\d_]+)([.,;:!?)]*)")
+_RARE = re.compile(r"[\x00-\x08\x0b-\x1f\x7f-\xa0\xad]|<\|")
 
 
 class Encoder:
@@ -111,28 +116,30 @@ class Encoder:
         told = json.loads(self.tokenizer.to_str())
         split = told.get("pre_tokenizer") or {}
         self.by_piece = (split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and not told.get("normalizer")
-                         and not any(" " in t["content"] for t in told.get("added_tokens", [])))
+                         and all(t["content"].startswith("<|") and " " not in t["content"] for t in told.get("added_tokens", [])))
         self.clear()
 
     def clear(self) -> None:
         self.ids, self.parts = Ids(), {}
         self.first, self.later = Pieces(self._one, "", self.ids), Pieces(self._one, " ", self.ids)
 
-    def _one(self, s: str) -> list[int]:
-        """Ids of a piece; a word with signs behind it is put together from parts that are kept as well."""
+    def _one(self, s: str) -> array:
+        """Ids of a piece: those of its pre-tokens, which are kept as well; a piece with rare characters is encoded whole."""
         m = _WORD.fullmatch(s) if self.by_piece else None
-        if m is None:
-            return self.tokenizer.encode(s, add_special_tokens=False).ids if s else []
-        word, signs = m.groups()
-        out = self.parts.get(word)
-        if out is None:
-            # one pre-token: a space is written as the letter that stands for its byte
-            out = self.parts[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(word.replace(" ", _SPACE))])
-        if signs:
-            more = self.parts.get(signs)
-            if more is None:
-                more = self.parts[signs] = array("I", self.tokenizer.encode(signs, add_special_tokens=False).ids)
-            out = out + more
+        if m is not None and (s.isascii() or m[2].isalpha() and max(s) < "\u0250"):
+            pre = (m[1] + m[2], m[3]) if m[3] else (m[1] + m[2],)
+        elif not s:
+            return array("I")
+        elif self.by_piece and max(s) < "\u0250" and not _RARE.search(s):
+            pre = _PRE_TOKEN.findall(s)
+        else:
+            return array("I", self.tokenizer.encode(s, add_special_tokens=False).ids)
+        known, out = self.parts, None
+        for p in pre:
+            ids = known.get(p)
+            if ids is None:
+                ids = known[p] = array("I", [t.id for t in self.tokenizer.model.tokenize(p.encode().decode("latin-1").translate(_BYTES))])
+            out = ids if out is None else out + ids
         return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
