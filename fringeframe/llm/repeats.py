@@ -3,12 +3,13 @@
 1. Every text is cut into stretches (:mod:`winnow`); equal stretches of a batch are folded.
 2. Stretches meet by anchor in sorted streams. Equal stretches are decided there, by two
    64-bit hashes of their content. An anchor that only one stretch has is dropped at once.
-3. Stretches that share an anchor but differ may still share some windows: one of each kind
-   is fetched with its content and compared by the operator's own method, anchor by anchor.
+3. Stretches that share an anchor but differ may still share some windows, if half a window
+   beside the anchor agrees: one of each kind is then fetched with its content and compared by
+   the operator's own method, anchor by anchor.
    Anchors with very many kinds are spread by window instead.
 4. The spans that were found are merged text by text.
 
-A stretch is a row of five numbers, whatever its length, and a stream keeps one row of state,
+A stretch is a row of six numbers, whatever its length, and a stream keeps one row of state,
 so neither a text that a third of the rows share nor a passage in a third of the texts gathers
 in memory. Texts are told apart by id and content (``rid``): rows that agree in both are alike.
 """
@@ -59,10 +60,10 @@ def _units(body: np.ndarray, offsets: np.ndarray, words: bool):
     return joined, (starts, ends), first
 
 
-#: A stretch in five numbers: ``spot`` holds 13 more bits of the content hash, the start (32 bits),
+#: A stretch in six numbers: ``near`` is from :mod:`winnow`; ``spot`` holds 13 more bits of the content hash, the start (32 bits),
 #: the number of windows (16 bits), and 1 for a single one or 2 for several equal ones. A span that is
 #: decided has spot 0, its start in ``first`` and its end in ``doc``.
-SPOTS = ["anchor", "first", "doc", "rid", "spot"]
+SPOTS = ["anchor", "first", "doc", "rid", "spot", "near"]
 
 
 def _pack(second, start, count, copies):
@@ -89,15 +90,15 @@ def _spots(rows: DataFrame, rule: Rule) -> DataFrame:
             parts = []
             for lo, hi in in_steps(np.diff(offsets) + 1):
                 s = stretches(*_units(body[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], rule.words), rule.length, rule.gram)
-                parts.append((s.anchor, s.first, s.second & 0x1FFF, doc[lo:hi][s.text], rid[lo:hi][s.text], s.start, s.count))
+                parts.append((s.anchor, s.first, s.second & 0x1FFF, doc[lo:hi][s.text], rid[lo:hi][s.text], s.start, s.count, s.near))
             if not parts:
                 continue
             cols = [np.concatenate(p) for p in zip(*parts)]
             order = np.lexsort((cols[5], cols[4], cols[3], cols[2], cols[1], cols[0]))
             cols = [c[order] for c in cols]
             (rid_, start, end), head, copies = _decide(cols, np.ones(len(order), np.int64), np.zeros(len(order), bool), rule)
-            anchor, first, second, doc_, r, at, count = (c[head] for c in cols)
-            out = [(anchor, rid_), (first, start), (doc_, end), (r, rid_), (_pack(second, at, count, copies), np.zeros(len(rid_), np.int64))]
+            anchor, first, second, doc_, r, at, count, near = (c[head] for c in cols)
+            out = [(anchor, rid_), (first, start), (doc_, end), (r, rid_), (_pack(second, at, count, copies), np.zeros(len(rid_), np.int64)), (near, np.zeros(len(rid_), np.int64))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], SPOTS)
 
     return rows.mapInArrow(run, ", ".join(f"{c} long" for c in SPOTS))
@@ -129,21 +130,33 @@ def _meet(spots: DataFrame, rule: Rule) -> DataFrame:
     """Spans (rid, start, count = end) and pieces: one stretch of each kind of an anchor that has several."""
 
     def run(batches):
-        carry, mixed = None, False
+        carry, held, crowded = None, None, None
 
         def told(piece, anchor, doc, rid, start, count):
             n = len(rid)
             cols = [np.full(n, piece), *(np.zeros(n, np.int64) if c is None else c for c in (anchor, doc, rid, start, count))]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], FOUND)
 
+        def pieces(kinds):
+            """Of whole anchors, the kinds that may share a window with another one."""
+            anchor, near = kinds[0], kinds[5]
+            keep = np.zeros(len(anchor), bool)
+            for half in (near >> 32 & 0xFFFFFFFF, near & 0xFFFFFFFF):
+                order = np.lexsort((half, anchor))
+                a, h = anchor[order], half[order]
+                same = (a[1:] == a[:-1]) & (h[1:] == h[:-1]) & (h[1:] != 0)
+                keep[order[1:]] |= same
+                keep[order[:-1]] |= same
+            return told(True, *(c[keep] for c in kinds[:5]))
+
         for batch in batches:
-            anchor, first, doc, rid, spot = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            anchor, first, doc, rid, spot, near = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             span = spot == 0
             if span.any():
                 yield told(False, None, None, rid[span], first[span], doc[span])
-                anchor, first, doc, rid, spot = (c[~span] for c in (anchor, first, doc, rid, spot))
+                anchor, first, doc, rid, spot, near = (c[~span] for c in (anchor, first, doc, rid, spot, near))
             second, start, count, copies = _unpack(spot)
-            cols = [anchor, first, second, doc, rid, start, count, copies]
+            cols = [anchor, first, second, doc, rid, start, count, copies, near]
             n = len(cols[0])
             if not n:
                 continue
@@ -151,20 +164,30 @@ def _meet(spots: DataFrame, rule: Rule) -> DataFrame:
             if carry is not None:
                 cols = [np.concatenate([[a], c]) for a, c in zip(carry[0], cols)]
                 done = np.concatenate([[carry[1]], done])
-            was_mixed, was = mixed, cols[0][0]
             # a carried row may stand for several: its own span is open only while it is alone
             spans, head, total = _decide(cols[:7], np.where(done, np.maximum(cols[7], 2), cols[7]), done, rule)
             yield told(False, None, None, *spans)
-            anchor = cols[0][head]
-            _, at, n_kinds = np.unique(anchor, return_inverse=True, return_counts=True)
-            several = (n_kinds[at] > 1) | (was_mixed & (anchor == was) & (carry is not None))
-            out = head[:-1][several[:-1]]
-            yield told(True, *(cols[i][out] for i in (0, 3, 4, 5, 6)))
-            mixed = bool(several[-1])
             last = head[-1]
-            carry = ([c[last] for c in cols[:7]] + [int(total[-1])], bool(total[-1] > 1))
-        if carry is not None and mixed:
-            yield told(True, *(np.array([carry[0][i]]) for i in (0, 3, 4, 5, 6)))
+            carry = ([c[last] for c in cols[:7]] + [int(total[-1]), cols[8][last]], bool(total[-1] > 1))
+            # kinds wait until their anchor is complete; those of a crowded anchor go on at once
+            kinds = [cols[i][head[:-1]] for i in (0, 3, 4, 5, 6, 8)]
+            kinds = [np.concatenate(x) for x in zip(held, kinds)] if held is not None else kinds
+            closed = kinds[0] != carry[0][0]
+            if crowded is not None:
+                known = kinds[0] == crowded
+                yield told(True, *(c[known] for c in kinds[:5]))
+                kinds, closed = [c[~known] for c in kinds], closed[~known]
+            yield pieces([c[closed] for c in kinds])
+            held = [c[~closed] for c in kinds]
+            if len(held[0]) > 4 * GROUP:
+                yield told(True, *held[:5])
+                crowded, held = held[0][0], None
+        if carry is not None:
+            kinds = [np.array([carry[0][i]]) for i in (0, 3, 4, 5, 6, 8)]
+            kinds = [np.concatenate(x) for x in zip(held, kinds)] if held is not None else kinds
+            known = kinds[0] == crowded if crowded is not None else np.zeros(len(kinds[0]), bool)
+            yield told(True, *(c[known] for c in kinds[:5]))
+            yield pieces([c[~known] for c in kinds])
 
     listed = spots.repartition("anchor").sortWithinPartitions("anchor", "first", "doc", "rid", "spot")
     return cut_lineage(listed.mapInArrow(run, "piece boolean, " + ", ".join(f"{c} long" for c in FOUND[1:])))

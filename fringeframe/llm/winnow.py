@@ -20,7 +20,12 @@ _SECOND = np.random.default_rng(2).integers(0, 1 << 64, 256, np.uint64)
 
 @dataclass
 class Stretches:
-    """Per stretch: text number, first window's start in it, number of windows, anchor and content hashes."""
+    """Per stretch: text number, first window's start in it, number of windows, anchor and content hashes.
+
+    ``near`` has 32 bits for the half window that ends with the anchor's gram and 32 for the one
+    that begins with it; 0 where the text does not reach so far. Two stretches of one anchor share
+    a window only if they agree in one of them.
+    """
 
     text: np.ndarray
     start: np.ndarray
@@ -28,6 +33,7 @@ class Stretches:
     anchor: np.ndarray
     first: np.ndarray
     second: np.ndarray
+    near: np.ndarray
 
 
 def _sliding_min(keys: np.ndarray, w: int) -> np.ndarray:
@@ -53,7 +59,7 @@ def stretches(body: np.ndarray, unit_at: np.ndarray | None, bounds: np.ndarray,
     w = length - gram + 1
     if n < length:
         z = np.zeros(0, np.int64)
-        return Stretches(z, z, z, z, z, z)
+        return Stretches(z, z, z, z, z, z, z)
     sums = prefix_sums(body)
     starts, ends = (np.arange(n), np.arange(1, n + 1)) if unit_at is None else unit_at
     grams = span_hash(sums, starts[: n - gram + 1], ends[gram - 1 :])
@@ -67,10 +73,16 @@ def stretches(body: np.ndarray, unit_at: np.ndarray | None, bounds: np.ndarray,
     at = np.flatnonzero(new)
     if not len(at):
         z = np.zeros(0, np.int64)
-        return Stretches(z, z, z, z, z, z)
+        return Stretches(z, z, z, z, z, z, z)
     group = np.cumsum(new) - 1
     count = np.bincount(group[ok], minlength=len(at))
     last = at + count - 1 + length - 1
     lo, hi = starts[at], ends[last]
     second = span_hash(prefix_sums(body, _SECOND), lo, hi)
-    return Stretches(text[at], at - bounds[text[at]], count, grams[least[at]].view(np.int64), span_hash(sums, lo, hi).view(np.int64), second.view(np.int64))
+    place, half = least[at], -(-(length - gram) // 2)
+    low, high = bounds[text[at]], bounds[text[at] + 1]
+    has_left, has_right = place - half >= low, place + gram + half <= high
+    left = np.where(has_left, span_hash(sums, starts[np.where(has_left, place - half, place)], ends[place + gram - 1]) | np.uint64(1), 0)
+    right = np.where(has_right, span_hash(sums, starts[place], ends[np.where(has_right, place + half + gram, place + gram) - 1]) | np.uint64(1), 0)
+    near = (left << np.uint64(32) | right & np.uint64(0xFFFFFFFF)).view(np.int64)
+    return Stretches(text[at], at - bounds[text[at]], count, grams[least[at]].view(np.int64), span_hash(sums, lo, hi).view(np.int64), second.view(np.int64), near)
