@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, in_steps, mix64, narrow, raw_texts
@@ -115,12 +115,12 @@ def frequent_tokens(rows: DataFrame) -> np.ndarray:
 def signatures(rows: DataFrame, last, percent: int = PERCENT) -> DataFrame:
     """Of every row: doc_id, th (hash of the text), n, sid (its set) and, for sets that can have links, gid and prefix.
 
-    ``last`` is the broadcast list of tokens that come last in the order.
+    ``plain`` counts the prefix's tokens that are not put last. ``last`` is the broadcast list of tokens that come last in the order.
     """
 
     def sign(batches):
         for batch, sets in _sets(batches, 1):
-            sid, gid, prefix, often = [], [], [], last.value
+            sid, gid, prefix, plain, often = [], [], [], [], last.value
             for s in sets:
                 n = len(s)
                 sid.append(_set_id(s) if n else None)
@@ -130,16 +130,18 @@ def signatures(rows: DataFrame, last, percent: int = PERCENT) -> DataFrame:
                     s = np.concatenate([s[~put_last], s[put_last]])
                     p = s[: _prefix_size(n, percent)]
                     prefix.append(p.view(np.int64))
+                    plain.append(min(len(p), int((~put_last).sum())))
                     gid.append(int.from_bytes(hashlib.blake2b(p.tobytes() + n.to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True))
                 else:
                     prefix.append(None)
+                    plain.append(None)
                     gid.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(sid, pa.binary()), pa.array(gid, pa.int64()),
-                 pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "th", "n", "sid", "gid", "prefix"])
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(plain, pa.int32())], ["doc_id", "th", "n", "sid", "gid", "prefix", "plain"])
 
     keyed = rows.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    return cut_lineage(keyed.mapInArrow(sign, "doc_id long, th long, n long, sid binary, gid long, prefix array<long>"))
+    return cut_lineage(keyed.mapInArrow(sign, "doc_id long, th long, n long, sid binary, gid long, prefix array<long>, plain int"))
 
 
 def _runs(batches) -> Iterator[list[np.ndarray]]:
@@ -169,8 +171,9 @@ def _may(n1, n2, i, j, percent):
 
 def group_pairs(groups: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b) of groups, and the members (token, gid, n, pos) of long lists."""
-    tokens = groups.select(F.posexplode("prefix").alias("pos", "token"), "gid", "n").select("token", "gid", "n", "pos")
-    listed = tokens.repartition("token").sortWithinPartitions("token", "n", "gid")
+    tokens = groups.select(F.posexplode("prefix").alias("pos", "token"), "gid", "n")
+    tokens = tokens.select("token", "gid", (F.shiftleft("n", 32) + F.col("pos")).alias("n_pos"))  # two small numbers in one
+    listed = tokens.repartition("token").sortWithinPartitions("token", "n_pos", "gid")
 
     def meet(batches):
         names = ["long_list", "a", "b", "gid", "n", "pos"]
@@ -205,6 +208,7 @@ def _sorted_lists(batches):
     rest: list[np.ndarray] = []
 
     def lists(cols):
+        cols = [cols[0], cols[1], cols[2] >> 32, cols[2] & 0xFFFFFFFF]
         new = np.concatenate([[True], cols[0][1:] != cols[0][:-1]])
         run = np.cumsum(new) - 1
         length = np.bincount(run)[run]
@@ -224,28 +228,40 @@ def _sorted_lists(batches):
         yield lists(rest)
 
 
-def close_pairs(pairs: DataFrame, groups: DataFrame, last, percent: int = PERCENT) -> DataFrame:
-    """Group pairs (a, b) whose prefixes leave room for the overlap.
+def sketch() -> Column:
+    """A prefix as ordered 32-bit numbers: a bit for tokens that come last, then the top of the hash.
 
-    Up to the point where the shorter prefix ends, a token that one prefix has and the other
-    has not is missing from the other set.
+    Different tokens can share a number, so counts of common ones are never too small.
     """
-    side = groups.select("gid", "n", "prefix")
+    return F.transform("prefix", lambda x, i: (F.shiftrightunsigned(x, 33) - F.when(i < F.col("plain"), F.lit(1 << 31)).otherwise(F.lit(0))).cast("int"))
+
+
+def _short_side(n1, n2, size1, size2, reach1, reach2, common, percent):
+    """Whether two sets with so many common tokens in their prefixes can overlap enough.
+
+    Where the prefix that ends first ends, its tokens that are not common are missing in the other set.
+    """
+    need = (percent * (n1 + n2) + 99 + percent) // (100 + percent)
+    first = reach1 <= reach2
+    return np.where(first, n1, n2) - (np.where(first, size1, size2) - 1 - common) >= need
+
+
+def close_pairs(pairs: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Group pairs (a, b) whose prefixes leave room for the overlap."""
 
     def judge(batches):
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            n1, n2 = (batch.column(i).to_numpy().tolist() for i in (2, 4))
+            n1, n2 = (batch.column(i).to_numpy() for i in (2, 4))
+            stat = np.zeros((5, batch.num_rows), np.int64)
             for i, (x, y) in enumerate(zip(batch.column(3), batch.column(5))):
-                x, y = (v.values.to_numpy().view(np.uint64) for v in (x, y))
-                rx, ry = (v >> np.uint64(1) | _contains(last.value, v).astype(np.uint64) << np.uint64(63) for v in (x, y))
-                cut = min(rx.max(), ry.max())
-                need = (percent * (n1[i] + n2[i]) + 99 + percent) // (100 + percent)
-                keep[i] = n1[i] - (~np.isin(x[rx < cut], y)).sum() >= need and n2[i] - (~np.isin(y[ry < cut], x)).sum() >= need
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                stat[:, i] = len(x), len(y), x[-1], y[-1], np.isin(x, y).sum()
+            keep = _short_side(n1, n2, *stat, percent)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep))
 
-    wide = (pairs.join(side.select(F.col("gid").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa")), "a")
-            .join(side.select(F.col("gid").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb")), "b"))
+    side = groups.select("gid", "n", sketch().alias("s"))
+    wide = (pairs.join(side.select(F.col("gid").alias("a"), F.col("n").alias("na"), F.col("s").alias("pa")), "a")
+            .join(side.select(F.col("gid").alias("b"), F.col("n").alias("nb"), F.col("s").alias("pb")), "b"))
     return wide.select("a", "b", "na", "pa", "nb", "pb").mapInArrow(judge, "a long, b long")
 
 
@@ -298,67 +314,63 @@ def hub_pairs(long_lists: DataFrame) -> DataFrame:
     return rows.join(hub, "token").where("gid != hub").select(F.least("gid", "hub").alias("a"), F.greatest("gid", "hub").alias("b")).distinct()
 
 
-def _tables(prefixes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, incidence of prefixes by token in order) of tokens that two or more of them have."""
-    flat = np.concatenate(prefixes)
-    tokens, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+def _incidence(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(values, which list has which value) of the values that two or more lists have."""
+    values, at, n = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     keep = n > 1
-    table = np.zeros((len(prefixes), int(keep.sum())), np.float32)
-    row = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
+    table = np.zeros((len(lists), int(keep.sum())), np.float32)
+    row = np.repeat(np.arange(len(lists)), [len(p) for p in lists])
     some = keep[at]
     table[row[some], (np.cumsum(keep) - 1)[at[some]]] = 1
-    return tokens[keep], table
+    return values[keep], table
 
 
 #: Members of a list that are compared at once.
 BLOCK = 1024
 
 
-def _close_in_list(token, n, prefixes, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of a list (sorted by n) of different roots that the prefixes leave possible, where ``token`` is the first in common.
+def _close_in_list(token, n, sketches, tokens, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of a list (sorted by n) of different roots that the sketches leave possible.
 
-    Prefixes are ordered numbers. Counts of common tokens are matrix products, block by block.
+    ``tokens`` are each member's tokens with long lists: a pair is given in the list of the least
+    that it has in common. Counts of common values are matrix products, block by block.
     """
-    size, reach = np.array([len(p) for p in prefixes]), np.array([p[-1] for p in prefixes])
+    size, reach = np.array([len(p) for p in sketches]), np.array([p[-1] for p in sketches])
     for i in range(0, len(n), BLOCK):
         top = n[min(i + BLOCK, len(n)) - 1] * 100 // percent
         for j in range(i, len(n), BLOCK):
             if n[j] > top:
                 break
             a, b = np.arange(i, min(i + BLOCK, len(n))), np.arange(j, min(j + BLOCK, len(n)))
-            if len(np.unique(root[np.concatenate([a, b])])) == 1:
+            both = a if i == j else np.concatenate([a, b])
+            if len(np.unique(root[both])) == 1:
                 continue
-            tokens, table = _tables([prefixes[k] for k in (a if i == j else np.concatenate([a, b]))])
-            x, y = table[: len(a)], table if i == j else table[len(a) :]
-            before = int(np.searchsorted(tokens, token))
-            common, earlier = x @ y.T, x[:, :before] @ y[:, :before].T
+            _, table = _incidence([sketches[k] for k in both])
+            known, lists = _incidence([tokens[k] for k in both])
+            before = int(np.searchsorted(known, token))
+            at = slice(None) if i == j else slice(len(a), None)
+            common, earlier = table[: len(a)] @ table[at].T, lists[: len(a), :before] @ lists[at, :before].T
             na, nb = n[a][:, None], n[b][None, :]
-            need = (percent * (na + nb) + 99 + percent) // (100 + percent)
-            # the prefix that ends first: its tokens that are not common are missing in the other set
-            short_a = reach[a][:, None] <= reach[b][None, :]
-            missing = np.where(short_a, size[a][:, None], size[b][None, :]) - 1 - common
-            ok = (np.where(short_a, na, nb) - missing >= need) & (earlier == 0) & (root[a][:, None] != root[b][None, :])
-            ok &= (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+            ok = _short_side(na, nb, size[a][:, None], size[b][None, :], reach[a][:, None], reach[b][None, :], common, percent)
+            ok &= (earlier == 0) & (root[a][:, None] != root[b][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
             if i == j:
                 ok &= a[:, None] < b[None, :]
             u, v = np.nonzero(ok)
             yield a[u], b[v]
 
 
-def _across(lists: DataFrame, last, percent: int) -> DataFrame:
-    """Pairs (x, y) of different components that meet in a list (token, n, sid, root, prefix) and can be similar."""
+def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of different components that meet in a list (token, gid, n, sid, root) and can be similar."""
     mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    rows = lists.join(mixed, "token").select("token", "n", "sid", "root", "prefix").repartition("token").sortWithinPartitions("token", "n", "sid")
-
-    def ordered(v):
-        v = v.view(np.uint64)
-        return np.sort(v >> np.uint64(1) | _contains(last.value, v).astype(np.uint64) << np.uint64(63))
+    rows = cut_lineage(lists.join(mixed, "token").select("token", "n", "sid", "root", "gid"))
+    mine = rows.groupBy("sid").agg(F.array_sort(F.collect_set("token")).alias("tokens"))  # no more than a prefix
+    rows = rows.join(mine, "sid").join(groups.select("gid", sketch().alias("s")), "gid")
+    rows = rows.select("token", "n", "sid", "root", "s", "tokens").repartition("token").sortWithinPartitions("token", "n", "sid")
 
     def cross(batches):
-        for token, n, sid, root, prefix in _runs(batches):
+        for token, n, sid, root, sketches, tokens in _runs(batches):
             _, root = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
-            ranks = [ordered(v) for v in prefix]
-            for a, b in _close_in_list(ordered(token[:1])[0], n.astype(np.int64), ranks, root, percent):
+            for a, b in _close_in_list(token[0], n.astype(np.int64), sketches, tokens, root, percent):
                 for lo in range(0, len(a), 1 << 15):
                     yield pa.RecordBatch.from_arrays([pa.array(sid[a[lo : lo + (1 << 15)]].tolist(), pa.binary()), pa.array(sid[b[lo : lo + (1 << 15)]].tolist(), pa.binary())], ["x", "y"])
 
@@ -375,9 +387,9 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("m"), F.min("n").alias("n"), F.min("gid").alias("gid"))
         .select("sid", F.col("m.doc_id").alias("rep"), F.col("m.th").alias("th"), "n", "gid"))
     linkable = sets.where("gid IS NOT NULL")
-    groups = cut_lineage(signed.where("gid IS NOT NULL").groupBy("gid", "n").agg(F.first("prefix").alias("prefix")))
+    groups = cut_lineage(signed.where("gid IS NOT NULL").groupBy("gid", "n").agg(F.first("prefix").alias("prefix"), F.first("plain").alias("plain")))
     pairs, long_lists = group_pairs(groups, percent)
-    pairs = close_pairs(pairs.unionByName(hub_pairs(long_lists)).distinct(), groups, last, percent)
+    pairs = close_pairs(pairs.unionByName(hub_pairs(long_lists)).distinct(), groups, percent)
     # members of one group meet each other: neighbours by id first, the rest after contraction
     inside = linkable.select(F.col("gid").alias("token"), "sid")
     several = inside.groupBy("token").count().where("count > 1").select("token")
@@ -395,11 +407,10 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     def rooted(lists):
         return lists.join(tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
-    kinds = linkable.join(groups.select("gid", "prefix"), "gid")
-    spread = long_lists.select("token", "gid").join(kinds, "gid").select("token", "n", "sid", "prefix")
-    # in a list of one group, every prefix is the same and its first token is the first in common
-    alike = inside.select("sid").join(kinds, "sid").select(F.element_at("prefix", 1).alias("token"), "n", "sid", "prefix")
-    left = cut_lineage(_across(rooted(spread.unionByName(alike).distinct()), last, percent).join(first, ["x", "y"], "left_anti"))
+    spread = long_lists.select("token", "gid").join(linkable, "gid").select("token", "gid", "n", "sid")
+    # members of one group have one prefix: they meet in a list of their own
+    alike = inside.join(linkable, "sid").select("token", "gid", "n", "sid")
+    left = cut_lineage(_across(rooted(spread), groups, percent).unionByName(_across(rooted(alike), groups, percent)).distinct().join(first, ["x", "y"], "left_anti"))
     if not left.isEmpty():
         links = links.unionByName(verified(left, sets, rows, percent))
         tied = components(links, "x", "y")
