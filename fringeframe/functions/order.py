@@ -23,6 +23,10 @@ MADFM_TO_SIGMA = 0.6744888  # fixed value: MADFM of a unit normal
 _COARSE_PER_OCTAVE = 8
 _EXPONENT_OFFSET = 9000  # keeps coarse bins of positive doubles positive
 _FINE_PER_COARSE = 4096
+_INF = float("inf")
+_INFINITE_BIN = 1_000_000  # beyond the bin of any finite value
+#: Values that are ordered in one window; a fine bin with more is cut again, between its ends.
+_ORDERED = 65_536
 
 
 # ---------------------------------------------------------------- arrays
@@ -55,12 +59,12 @@ def array_mean_std(arr: Column) -> tuple[Column, Column]:
 
 def _coarse(v: Column) -> Column:
     e = F.floor(F.log2(F.abs(v)) * _COARSE_PER_OCTAVE) + _EXPONENT_OFFSET
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * e).cast("int")
+    return F.when(v == 0, F.lit(0)).when(F.abs(v) == _INF, F.signum(v) * _INFINITE_BIN).otherwise(F.signum(v) * e).cast("int")
 
 
 def _fine(v: Column) -> Column:
     x = F.log2(F.abs(v)) * _COARSE_PER_OCTAVE
-    return F.when(v == 0, F.lit(0)).otherwise(
+    return F.when((v == 0) | (F.abs(v) == _INF), F.lit(0)).otherwise(
         F.signum(v) * F.floor((x - F.floor(x)) * _FINE_PER_COARSE)
     ).cast("int")
 
@@ -87,6 +91,21 @@ def _narrow(hist: DataFrame, part: list[str], order: str) -> DataFrame:
     )
 
 
+def _thin_out(values: DataFrame, part: list[str]) -> DataFrame:
+    """Cut the range of each sliver into equal bins and keep that with the rank, until no sliver has many values."""
+    while True:
+        values = cut_lineage(values)
+        ends = values.groupBy(*part).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.count(F.lit(1)).alias("__k"))
+        if ends.where(F.col("__k") > _ORDERED).isEmpty():
+            return values
+        # in halves, as the difference of two large values may overflow
+        at = (F.col("__v") / 2 - F.col("__lo") / 2) / (F.col("__hi") / 2 - F.col("__lo") / 2)
+        binned = values.join(ends, part).withColumn("__b", F.when(F.col("__k") > _ORDERED, F.floor(at * _FINE_PER_COARSE)).otherwise(0).cast("int"))
+        hist = binned.groupBy(*part, "n", "__rank", "__b").agg(F.sum("__m").alias("__m"))
+        kept = _narrow(hist, part, "__b")
+        values = binned.select(*part, "__v", "__m", "__b").join(kept, [*part, "__b"]).select(*part, "n", "__rank", "__v", "__m")
+
+
 def select_ranks(
     counts: DataFrame, keys: Sequence[str], ranks: Mapping[str, Callable[[Column], Column]]
 ) -> DataFrame:
@@ -95,8 +114,8 @@ def select_ranks(
     ``counts`` comes from :func:`value_counts`; ``ranks`` maps an output name to
     a function of the group size giving a 0-based rank.  Returns one row per
     group: keys, ``n`` and one column per rank.  Every window below runs over
-    histogram bins (at most ~17k coarse, 4096 fine) or over the values of one
-    fine bin, never over a group.
+    histogram bins (at most ~17k coarse, 4096 fine) or over at most 65,536 values
+    of a sliver, never over a group.  Infinite values have bins of their own.
     """
     keys = list(keys)
     if not keys:
@@ -118,8 +137,8 @@ def select_ranks(
     s1 = _narrow(h1.join(wanted, keys), part, "__b1")
     h2 = c.join(s1, keys + ["__b1"]).groupBy(*part, "n", "__rank", "__b1", "__b2").agg(F.sum("__n").alias("__m"))
     s2 = _narrow(h2, part, "__b2")
-    h3 = c.join(s2, keys + ["__b1", "__b2"]).withColumnRenamed("__n", "__m")
-    s3 = _narrow(h3, part, "__v")
+    h3 = c.join(s2, keys + ["__b1", "__b2"]).withColumnRenamed("__n", "__m").select(*part, "n", "__rank", "__v", "__m")
+    s3 = _narrow(_thin_out(h3, part), part, "__v")
     return s3.groupBy(*keys).agg(
         F.max("n").alias("n"),
         *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in ranks],

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def scan_lag(df: DataFrame, keys: Sequence[str], order: str, bucket: Column, cols: Sequence[str]) -> DataFrame:
     """Add ``prev_<col>`` from the preceding row in ``order`` (unique within keys).
@@ -55,3 +57,20 @@ def runs(df: DataFrame, keys: Sequence[str], order: str, bucket: Column, same: S
         changed = changed | (F.col(order) - F.col(f"prev.{order}") > step)
     d = d.withColumn("__new", changed.cast("long"))
     return scan_sum(d, keys, order, bucket, "__new", name).drop("__new", "prev")
+
+
+def running_total(df: DataFrame, order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Add ``name``: the running sum of ``value`` over the whole table in ``order`` (unique), this row included.
+
+    The table is cut into ranges of the order and written; sums run inside the ranges and
+    one number a range is carried on, so neither a narrow spread of values nor many rows go
+    through one task.
+    """
+    d = df.withColumn("__v", value).repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    d = cut_lineage(d)
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    tot = d.groupBy("__part").agg(F.sum("__v").alias("__tot"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select("__part", F.coalesce(F.sum("__tot").over(before), F.lit(0)).alias("__off"))
+    d = d.withColumn(name, F.sum("__v").over(inside)).join(tot, "__part")
+    return d.withColumn(name, F.col(name) + F.col("__off")).drop("__part", "__off", "__v")

@@ -126,8 +126,12 @@ def pre_average(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def solve_gains(ant1: np.ndarray, ant2: np.ndarray, x: np.ndarray, m: np.ndarray,
-                n_iter: int = 200, tol: float = 1e-10) -> dict[int, complex]:
-    """Antenna gains from sums: minimise sum |x/m - g1 conj(g2)|^2 m, alternating with damping."""
+                tol: float = 1e-10, patience: int = 500) -> tuple[dict[int, complex], bool, int, float]:
+    """Antenna gains from sums: minimise sum |x/m - g1 conj(g2)|^2 m, alternating with damping.
+
+    Steps go on until the gains move by no more than ``tol``, or until the smallest move has not
+    become smaller for ``patience`` steps.  Returns gains, whether they converged, steps and the last move.
+    """
     ants = np.unique(np.concatenate([ant1, ant2]))
     idx = {a: i for i, a in enumerate(ants)}
     n = len(ants)
@@ -139,15 +143,15 @@ def solve_gains(ant1: np.ndarray, ant2: np.ndarray, x: np.ndarray, m: np.ndarray
         xs[j, i] += np.conj(xv)
         ms[j, i] += mv
     g = np.ones(n, complex)
-    for it in range(n_iter):
+    steps, best, since, move = 0, np.inf, 0, np.inf
+    while move > tol and since < patience:
         num, den = xs @ g, ms @ (np.abs(g) ** 2)
         new = np.where(den > 0, num / np.where(den > 0, den, 1), g)
         step = (g + new) / 2
-        if np.max(np.abs(step - g)) <= tol * max(1.0, np.max(np.abs(step))):
-            g = step
-            break
-        g = step
-    return {int(a): g[i] for a, i in idx.items()}
+        move = float(np.max(np.abs(step - g)) / max(1.0, np.max(np.abs(step))))
+        since = 0 if move < best else since + 1
+        best, steps, g = min(best, move), steps + 1, step
+    return {int(a): g[i] for a, i in idx.items()}, move <= tol, steps, move
 
 
 def solve_groups(sums: DataFrame, keys: Sequence[str], ref_ant: int | None = 0) -> DataFrame:
@@ -160,31 +164,36 @@ def solve_groups(sums: DataFrame, keys: Sequence[str], ref_ant: int | None = 0)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         ok = pdf[(pdf.mm > 0) & (pdf.ant1 != pdf.ant2)]
-        cols = [*keys, "ant", "g_re", "g_im"]
+        cols = [*keys, "ant", "g_re", "g_im", "converged", "n_steps", "residual"]
         if ok.empty:
             return pd.DataFrame({c: [] for c in cols})
-        g = solve_gains(ok.ant1.to_numpy(), ok.ant2.to_numpy(), ok.xr.to_numpy() + 1j * ok.xi.to_numpy(), ok.mm.to_numpy())
+        g, converged, steps, residual = solve_gains(ok.ant1.to_numpy(), ok.ant2.to_numpy(), ok.xr.to_numpy() + 1j * ok.xi.to_numpy(), ok.mm.to_numpy())
         if ref_ant in g and abs(g[ref_ant]) > 0:
             ph = np.conj(g[ref_ant]) / abs(g[ref_ant])
             g = {a: v * ph for a, v in g.items()}
-        out = pd.DataFrame({"ant": list(g), "g_re": [v.real for v in g.values()], "g_im": [v.imag for v in g.values()]})
+        out = pd.DataFrame({"ant": list(g), "g_re": [v.real for v in g.values()], "g_im": [v.imag for v in g.values()],
+                            "converged": converged, "n_steps": steps, "residual": residual})
         for k in keys:
             out[k] = pdf[k].iloc[0]
         return out[cols]
 
     types = dict(sums.dtypes)
-    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "ant long", "g_re double", "g_im double"])
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "ant long", "g_re double", "g_im double", "converged boolean", "n_steps long", "residual double"])
     return sums.groupBy(*keys).applyInPandas(solve, schema)
 
 
-def phase_reference(gains: DataFrame, keys: Sequence[str], ref_ant: int) -> DataFrame:
-    """Rotate gains so that the reference antenna has zero phase in each key; fails without it."""
+def phase_reference(gains: DataFrame, keys: Sequence[str], ref_ant: int, strict: bool = True) -> DataFrame:
+    """Rotate gains so that the reference antenna has zero phase in each key.
+
+    Without that antenna it fails, or gives null gains for that key if not ``strict``.
+    """
     keys = [*keys, "__k"]  # a constant key stands in when there is none
     gains = gains.withColumn("__k", F.lit(1))
     ref = gains.where(F.col("ant") == ref_ant).select(*keys, F.col("g_re").alias("__r"), F.col("g_im").alias("__i"))
     d = gains.join(ref, keys, "left")
     r = Cx.of("__r", "__i")
-    have = F.when(F.col("__r").isNull(), F.raise_error(F.lit("reference antenna has no gain")).cast("double")).otherwise(r.abs())
+    missing = F.raise_error(F.lit("reference antenna has no gain")).cast("double") if strict else F.lit(None).cast("double")
+    have = F.when(F.col("__r").isNull(), missing).otherwise(r.abs())
     d = d.withColumn("__a", have)
     z = Cx.of("g_re", "g_im") * r.conj()
     return (d.withColumn("__x", F.try_divide(z.re, F.col("__a"))).withColumn("g_im", F.try_divide(z.im, F.col("__a")))

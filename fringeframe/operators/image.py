@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bind import let
+from ..functions.prefix import running_total
 from ..functions.order import (MADFM_TO_SIGMA, grouped_madfm, grouped_median, grouped_quantiles, value_counts)
 
 
@@ -306,7 +308,7 @@ def stack(images: DataFrame, name: str, plane: Sequence[str]) -> DataFrame:
     Names are one row per image; they are numbered on their own and joined back.
     """
     names = images.select(name).distinct()
-    numbered = names.withColumn("chan", F.row_number().over(Window.orderBy(name)) - 1)
+    numbered = running_total(names, [name], F.lit(1), "chan").withColumn("chan", F.col("chan") - 1)
     return images.join(numbered.withColumn("chan", F.col("chan").cast("long")), name)
 
 
@@ -331,12 +333,14 @@ def nan_to_zero(pix: DataFrame) -> DataFrame:
     return pix.withColumn("value", F.nanvl("value", F.lit(0.0)))
 
 
-def render_components(comps: DataFrame, n_sigma: float = 5.0) -> DataFrame:
+def render_components(comps: DataFrame) -> DataFrame:
     """Gaussian components (x0, y0, flux, sigma in pixels) as summed pixels.
 
-    Each component paints its own box of n_sigma; nothing else is produced.
+    Each component paints its own box, out to where it falls below the machine
+    epsilon of its peak, which no sum of doubles can see; nothing else is produced.
     """
-    half = F.ceil(F.col("sigma") * n_sigma).cast("long")
+    reach = math.sqrt(-2.0 * math.log(sys.float_info.epsilon))
+    half = F.ceil(F.col("sigma") * reach).cast("long")
     d = comps.withColumn("__h", half).withColumn("__cx", F.floor(F.col("x0") + 0.5).cast("long")).withColumn("__cy", F.floor(F.col("y0") + 0.5).cast("long"))
     around = lambda c: F.explode(F.sequence(F.col(c) - F.col("__h"), F.col(c) + F.col("__h")))
     d = d.withColumn("x", around("__cx")).withColumn("y", around("__cy"))
@@ -354,8 +358,7 @@ def tables_for_channels(tables: DataFrame, beam: int, lo: int, hi: int) -> DataF
 
     One row per table; channels are counted up in frequency order.
     """
-    w = Window.orderBy("freq").rowsBetween(Window.unboundedPreceding, -1)
-    d = tables.where(F.col("beam") == beam).withColumn("__b", F.coalesce(F.sum("n_chan").over(w), F.lit(0)))
+    d = running_total(tables.where(F.col("beam") == beam), ["freq", "name"], F.col("n_chan"), "__b").withColumn("__b", F.col("__b") - F.col("n_chan"))
     d = d.where((F.col("n_chan") + F.col("__b") >= lo) & (F.col("__b") < hi))
     return d.select("name", F.greatest(F.lit(1), lo - F.col("__b")).alias("first"), F.least(F.col("n_chan"), hi - F.col("__b")).alias("last"))
 
@@ -366,7 +369,7 @@ def beam_log(cube_beams: DataFrame) -> DataFrame:
                                                for c in ("bmaj", "bmin", "bpa")])
 
 
-def mask_lookup(sources: DataFrame, mask: DataFrame, threshold: float) -> DataFrame:
-    """Is the mask (or weight) pixel under each source above the threshold?  Off the image: no."""
-    j = sources.join(mask.select("x", "y", F.col("value").alias("__m")), ["x", "y"], "left")
+def mask_lookup(sources: DataFrame, mask: DataFrame, threshold: float, keys: Sequence[str] = ()) -> DataFrame:
+    """Is the mask (or weight) pixel under each source above the threshold?  Off the image: no.  ``keys`` tell several images apart."""
+    j = sources.join(mask.select(*keys, "x", "y", F.col("value").alias("__m")), [*keys, "x", "y"], "left")
     return j.withColumn("is_good", F.coalesce(F.col("__m") > threshold, F.lit(False))).drop("__m")

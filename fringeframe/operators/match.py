@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.order import _coarse, _fine, grouped_median, value_counts
-from ..functions.prefix import scan_sum
+from ..functions.prefix import running_total, scan_sum
 from ..session import cut_lineage
 
 
@@ -277,6 +277,4 @@ def flux_comparison(pairs: DataFrame) -> DataFrame:
 
 def number_detections(det: DataFrame, order: str, key: str) -> DataFrame:
     """Number detections 1..n by ``order`` then ``key`` without a single-task sort."""
-    d = det.withColumn("__o", F.struct(order, key)).withColumn("__one", F.lit(1).cast("long"))
-    bucket = F.struct(_coarse(F.col(order)), _fine(F.col(order)))
-    return scan_sum(d, [], "__o", bucket, "__one", "number").drop("__o", "__one")
+    return running_total(det, [order, key], F.lit(1).cast("long"), "number")

@@ -90,8 +90,12 @@ def interval_starts(times: DataFrame, time: str, interval: float) -> DataFrame:
     ahead = Window.partitionBy("b").orderBy("at", F.col("hit").isNull().desc()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     ev = ev.withColumn("nx", F.first("hit", ignorenulls=True).over(ahead))
     firsts = ev.groupBy("b").agg(F.min("hit").alias("m"))
-    later = Window.orderBy("b").rowsBetween(1, Window.unboundedFollowing)
-    firsts = firsts.select("b", F.first("m", ignorenulls=True).over(later).alias("after"))
+    # the next start after a bin: inside a block of bins, else the first of a later block
+    firsts = firsts.withColumn("k", F.floor(F.col("b") / 4096))
+    later = Window.partitionBy("k").orderBy("b").rowsBetween(1, Window.unboundedFollowing)
+    blocks = firsts.groupBy("k").agg(F.min("m").alias("m"))
+    blocks = blocks.select("k", F.first("m", ignorenulls=True).over(Window.orderBy("k").rowsBetween(1, Window.unboundedFollowing)).alias("far"))
+    firsts = firsts.withColumn("near", F.first("m", ignorenulls=True).over(later)).join(blocks, "k").select("b", F.coalesce("near", "far").alias("after"))
     jump = ev.where(F.col("src").isNotNull()).join(firsts, "b").select(F.col("src").alias("t"), F.coalesce("nx", "after").alias("to"))
     jump = cut_lineage(jump.where(F.col("to").isNotNull()))
     seen = cut_lineage(t.agg(F.min("t").alias("t")))

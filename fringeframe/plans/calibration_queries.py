@@ -112,7 +112,7 @@ _FULL = f"""WITH c AS (SELECT cycle, ant1, ant2, chan, AVG(CASE WHEN pol = 'XX'
    LEFT JOIN s s1 ON s1.ant = w.ant1 AND s1.cycle = w.cycle - w.cycle % 10 LEFT JOIN s s2 ON s2.ant = w.ant2 AND s2.cycle = w.cycle - w.cycle % 10),
  n AS (SELECT *, {_mueller_inverse_sql()} FROM j),
  e AS (SELECT *, e1r * e2r + e1i * e2i AS er, e1i * e2r - e1r * e2i AS ei, NOT valid OR flag AS dr FROM n)
-SELECT cycle, ant1, ant2, chan, dr AS flag, """.replace("WHERE cycle % 10 < 5 ", "") + ", ".join(
+SELECT cycle, ant1, ant2, chan, dr AS flag, """ + ", ".join(
     [rs(f"CASE WHEN dr THEN 0.0 ELSE ({p}_nr * er + {p}_ni * ei) / (er * er + ei * ei) END", f"{p}_re") for p in ("xx", "xy", "yx", "yy")]
     + [rs(f"CASE WHEN dr THEN 0.0 ELSE ({p}_ni * er - {p}_nr * ei) / (er * er + ei * ei) END", f"{p}_im") for p in ("xx", "yy")]) + " FROM e"
 
@@ -282,11 +282,10 @@ def cal2(spark, sf):
 
 @op("cal3", f"""WITH r AS (SELECT * FROM v_cal WHERE ant = 2)
 SELECT c.ant, c.cycle, {rs('(c.g_re * r.g_re + c.g_im * r.g_im) / SQRT(r.g_re * r.g_re + r.g_im * r.g_im)', 'g_re')},
- {rs('(c.g_im * r.g_re - c.g_re * r.g_im) / SQRT(r.g_re * r.g_re + r.g_im * r.g_im)', 'g_im')} FROM v_cal c JOIN r ON r.cycle = c.cycle""")
+ {rs('(c.g_im * r.g_re - c.g_re * r.g_im) / SQRT(r.g_re * r.g_re + r.g_im * r.g_im)', 'g_im')} FROM v_cal c LEFT JOIN r ON r.cycle = c.cycle""")
 def cal3(spark, sf):
-    c = view(spark, sf, "v_cal")
-    have = c.where("ant = 2").select("cycle")
-    out = calibrate.phase_reference(c.join(have, "cycle", "left_semi"), ["cycle"], 2)
+    """Cycles without the reference antenna have no referenced gains; with ``strict`` they are an error."""
+    out = calibrate.phase_reference(view(spark, sf, "v_cal"), ["cycle"], 2, strict=False)
     return out.select("ant", "cycle", r6("g_re").alias("g_re"), r6("g_im").alias("g_im"))
 
 

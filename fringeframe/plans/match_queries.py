@@ -45,7 +45,7 @@ def jn6_crowded(spark, sf):
     return match.greedy_match(fold(s), fold(r), 0.011)
 
 
-_NEAR = _P + """, un AS (SELECT * FROM src WHERE id % 3 = 2),
+_NEAR = _P + """, un AS (SELECT * FROM src),
  c AS (SELECT s.id AS src_id, r.id AS ref_id, SQRT(POWER(s.x + 0.0005 - r.x, 2) + POWER(s.y - r.y, 2)) AS sep, s.flux AS src_flux, r.flux AS ref_flux
    FROM un s JOIN ref r ON ABS(s.x + 0.0005 - r.x) < 0.0045 AND ABS(s.y - r.y) < 0.0045),
  n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY src_id ORDER BY sep, ref_id) AS k FROM c WHERE sep < 0.0045)"""
@@ -53,7 +53,6 @@ _NEAR = _P + """, un AS (SELECT * FROM src WHERE id % 3 = 2),
 
 def _nearest(spark, sf):
     s, r = points(spark, sf)
-    s = s.where("id % 3 = 2")
     return match.nearest_match(s, r, 3 * EPS, -0.0005, 0.0), s, r
 
 
@@ -138,22 +137,20 @@ def jn13(spark, sf):
     return match.crude_match(r, s, EPS).select("id", "n_src")
 
 
-@op("jn14", f"""WITH {_P}, m AS (SELECT s.id AS src_id, r.id AS ref_id FROM src s JOIN ref r ON s.id = r.id WHERE s.id % 3 < 2)
+@op("jn14", f"""WITH {_M}, m AS (SELECT src_id, ref_id FROM pr)
 SELECT 'S' AS side, id FROM src WHERE id NOT IN (SELECT src_id FROM m) UNION ALL SELECT 'R' AS side, id FROM ref WHERE id NOT IN (SELECT ref_id FROM m)""")
 def jn14(spark, sf):
     s, r = points(spark, sf)
-    m = s.join(r.select("id"), "id").where("id % 3 < 2").select(F.col("id").alias("src_id"), F.col("id").alias("ref_id"))
-    return match.unmatched(m, s, r)
+    return match.unmatched(match.greedy_match(s, r, EPS), s, r)
 
 
 def _id_pairs(spark, sf):
-    """Known pairs (equal ids) of the two catalogues."""
+    """The greedy match of the two catalogues, with the points of both sides."""
     s, r = points(spark, sf)
-    m = s.join(r.select("id"), "id").select(F.col("id").alias("src_id"), F.col("id").alias("ref_id"))
-    return match.with_points(m, s, r), s, r
+    return match.with_points(match.greedy_match(s, r, EPS), s, r), s, r
 
 
-_IDP = f"WITH {_P}, m AS (SELECT s.id, s.x AS sx, s.y AS sy, s.flux AS sf, r.x AS rx, r.y AS ry, r.flux AS rf FROM src s JOIN ref r ON s.id = r.id)"
+_IDP = f"WITH {_M}, m AS (SELECT src_id AS id, ref_id, sx, sy, sf, rx, ry, rf FROM pr)"
 
 
 @op("agg25", _IDP + f""" SELECT {rs('AVG(sx - rx)', 'mean_dx')}, {rs('AVG(sy - ry)', 'mean_dy')}, {rs('STDDEV_SAMP(sx - rx)', 'rms_dx')},
@@ -163,15 +160,15 @@ def agg25(spark, sf):
     return o.select(*[r6(c).alias(c) for c in ("mean_dx", "mean_dy", "rms_dx", "rms_dy")], "n")
 
 
-@op("agg26", _IDP + """, b AS (SELECT CAST(FLOOR(sf) AS BIGINT) AS fbin, CAST(FLOOR(sy / 20.0) AS BIGINT) AS dbin, 1 AS m, 0 AS s, 0 AS r FROM m WHERE id % 3 < 2
-  UNION ALL SELECT CAST(FLOOR(flux) AS BIGINT), CAST(FLOOR(y / 20.0) AS BIGINT), 0, 1, 0 FROM src WHERE id NOT IN (SELECT id FROM m WHERE id % 3 < 2)
-  UNION ALL SELECT CAST(FLOOR(flux) AS BIGINT), CAST(FLOOR(y / 20.0) AS BIGINT), 0, 0, 1 FROM ref WHERE id NOT IN (SELECT id FROM m WHERE id % 3 < 2)),
+@op("agg26", _IDP + """, b AS (SELECT CAST(FLOOR(sf) AS BIGINT) AS fbin, CAST(FLOOR(sy / 20.0) AS BIGINT) AS dbin, 1 AS m, 0 AS s, 0 AS r FROM m
+  UNION ALL SELECT CAST(FLOOR(flux) AS BIGINT), CAST(FLOOR(y / 20.0) AS BIGINT), 0, 1, 0 FROM src WHERE id NOT IN (SELECT id FROM m)
+  UNION ALL SELECT CAST(FLOOR(flux) AS BIGINT), CAST(FLOOR(y / 20.0) AS BIGINT), 0, 0, 1 FROM ref WHERE id NOT IN (SELECT ref_id FROM m)),
  g AS (SELECT fbin, dbin, CAST(SUM(m) AS BIGINT) AS m, CAST(SUM(s) AS BIGINT) AS s, CAST(SUM(r) AS BIGINT) AS r FROM b GROUP BY 1, 2)
 SELECT fbin, dbin, m AS n_match, m + s AS n_src, m + r AS n_ref, ROUND(CASE WHEN m + r > 0 THEN CAST(m AS DOUBLE) / (m + r) END, 6) AS completeness,
  ROUND(CASE WHEN m + s > 0 THEN CAST(m AS DOUBLE) / (m + s) END, 6) AS reliability FROM g""")
 def agg26(spark, sf):
     p, s, r = _id_pairs(spark, sf)
-    m = p.where("src_id % 3 < 2")
+    m = p
     fb, db = lambda f: F.floor(F.col(f)).alias("fbin"), lambda y: F.floor(F.col(y) / 20.0).alias("dbin")
     ms = s.join(m.select(F.col("src_id").alias("id")), "id", "left_anti").select(fb("flux"), db("y"))
     mr = r.join(m.select(F.col("ref_id").alias("id")), "id", "left_anti").select(fb("flux"), db("y"))

@@ -63,8 +63,8 @@ def flt8(spark, sf):
          SUM(CASE WHEN flag THEN 0.0 ELSE im END) AS im
   FROM v_grid WHERE chan >= 6 AND chan < 46 GROUP BY 1,2,3,4,5,6)
 SELECT scan, ant1, ant2, beam, pol, out_chan AS chan, n = 0 AS flag,
-       ROUND(CASE WHEN n > 0 THEN re / n ELSE 0.0 END, 6) + CAST(0.0 AS DOUBLE) AS re,
-       ROUND(CASE WHEN n > 0 THEN im / n ELSE 0.0 END, 6) + CAST(0.0 AS DOUBLE) AS im FROM b""")
+       ROUND(CASE WHEN n > 0 THEN re / n ELSE 0.0 END + 3.1e-9, 6) + CAST(0.0 AS DOUBLE) AS re,
+       ROUND(CASE WHEN n > 0 THEN im / n ELSE 0.0 END + 3.1e-9, 6) + CAST(0.0 AS DOUBLE) AS im FROM b""")
 def flt10(spark, sf):
     d = select.channels(spectra(spark, sf), start=6, n=10, average=4)
     e = average.explode_spectra(d, ["scan", "ant1", "ant2", "beam", "pol"])

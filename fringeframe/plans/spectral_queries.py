@@ -278,15 +278,15 @@ def agg41(spark, sf):
     return rounded(p, ["spec_id"], ["flux_max", "flux_min", "flux_mean", "flux_std", "flux_rms", "v_uw", "v_w", "v_peak", "w50", "w20", "cw50", "cw20", "flux_clip50", "flux_clip20"], 5)
 
 
-@op("agg42", f"""WITH {_LINE}, c AS (SELECT comp_id AS spec_id, flux_peak AS cont FROM v_comp WHERE flux_peak > 0.5)
-SELECT spec_id, {rsql({'z_peak': '1420.405751786 / (1100.0 + vp) - 1', 'z_w': '1420.405751786 / (1100.0 + vw) - 1', 'optical_depth': '-LN(mx / cont)'})} FROM g JOIN c USING (spec_id) WHERE mx > 0""")
+@op("agg42", f"""WITH {_LINE}, c AS (SELECT comp_id AS spec_id, flux_peak AS cont FROM v_comp)
+SELECT spec_id, {rsql({'z_peak': '1420.405751786 / (1100.0 + vp) - 1', 'z_w': '1420.405751786 / (1100.0 + vw) - 1', 'optical_depth': 'CASE WHEN cont <> 0 AND mx / cont > 0 THEN -LN(mx / cont) END'})} FROM g JOIN c USING (spec_id)""")
 def agg42(spark, sf):
     s = view(spark, sf, "v_spec").select("spec_id", F.posexplode("spectrum").alias("i", "flux"))
     s = s.select("spec_id", "i", (F.col("i") * 4.0 - 100.0).alias("v"), F.col("flux").cast("double").alias("flux"))
-    c = view(spark, sf, "v_comp").where("flux_peak > 0.5").select(F.col("comp_id").alias("spec_id"), F.col("flux_peak").alias("cont"))
-    j = sp.line_parameters(s, "spec_id").join(c, "spec_id").where("flux_max > 0")
+    c = view(spark, sf, "v_comp").select(F.col("comp_id").alias("spec_id"), F.col("flux_peak").alias("cont"))
+    j = sp.line_parameters(s, "spec_id").join(c, "spec_id")
     z = lambda v: spectral.frequency_to_redshift((1100.0 + F.col(v)) * 1e6)
-    return j.select("spec_id", r6(z("v_peak")).alias("z_peak"), r6(z("v_w")).alias("z_w"), r6(-F.ln(F.col("flux_max") / F.col("cont"))).alias("optical_depth"))
+    return j.select("spec_id", r6(z("v_peak")).alias("z_peak"), r6(z("v_w")).alias("z_w"), r6(F.when(F.try_divide("flux_max", "cont") > 0, -F.ln(F.try_divide("flux_max", "cont")))).alias("optical_depth"))
 
 
 # ---------------------------------------------------------------- time
@@ -299,25 +299,25 @@ def win8(spark, sf):
     return rounded(summary.split_range(o, "t0", "t1", 1440.0), ["antenna", "part"], ["part_start", "part_end"], 3)
 
 
-_WF = """c AS (SELECT ant1, ant2, beam, chan, cycle, AVG(re) AS re, AVG(im) AS im FROM v_vis WHERE ant1 < ant2 AND pol = 'XX' GROUP BY 1, 2, 3, 4, 5)"""
+_WF = """c AS (SELECT ant1, ant2, beam, pol, chan, cycle, AVG(re) AS re, AVG(im) AS im FROM v_vis WHERE ant1 < ant2 GROUP BY 1, 2, 3, 4, 5, 6)"""
 
 
-@op("win9", f"WITH {_WF} SELECT ant1, ant2, beam, chan, cycle, {rsql({'amplitude': 'SQRT(re * re + im * im)', 'phase': 'ATAN2(im, re)', 're': 're'})} FROM c")
+@op("win9", f"WITH {_WF} SELECT ant1, ant2, beam, pol, chan, cycle, {rsql({'amplitude': 'SQRT(re * re + im * im)', 'phase': 'ATAN2(im, re)', 're': 're'})} FROM c")
 def win9(spark, sf):
-    return rounded(summary.waterfall(_wf_cells(spark, sf), ["ant1", "ant2", "beam", "chan"], "cycle"), ["ant1", "ant2", "beam", "chan", "cycle"], ["amplitude", "phase", "re"])
+    return rounded(summary.waterfall(_wf_cells(spark, sf), ["ant1", "ant2", "beam", "pol", "chan"], "cycle"), ["ant1", "ant2", "beam", "pol", "chan", "cycle"], ["amplitude", "phase", "re"])
 
 
 def _wf_cells(spark, sf):
-    return view(spark, sf, "v_vis").where("ant1 < ant2 AND pol = 'XX'").groupBy("ant1", "ant2", "beam", "chan", "cycle").agg(F.avg("re").alias("re"), F.avg("im").alias("im"))
+    return view(spark, sf, "v_vis").where("ant1 < ant2").groupBy("ant1", "ant2", "beam", "pol", "chan", "cycle").agg(F.avg("re").alias("re"), F.avg("im").alias("im"))
 
 
-@op("win9_rate", f"""WITH {_WF}, p AS (SELECT *, ATAN2(im, re) AS ph FROM c), j AS (SELECT *, ph - LAG(ph) OVER w AS d FROM p WINDOW w AS (PARTITION BY ant1, ant2, beam, chan ORDER BY cycle)),
- u AS (SELECT *, ph + 2 * PI() * SUM(CASE WHEN d > 1.5 * PI() THEN -1 WHEN d < -1.5 * PI() THEN 1 ELSE 0 END) OVER (PARTITION BY ant1, ant2, beam, chan ORDER BY cycle) AS y FROM j),
- r AS (SELECT *, (y - LEAD(y) OVER (PARTITION BY ant1, ant2, beam, chan ORDER BY cycle)) / (2 * PI() / 268435456.0 / 54e-6) / 4.97664 AS rate FROM u)
-SELECT ant1, ant2, beam, chan, cycle, {rs('rate', 'rate', 4)} FROM r WHERE rate IS NOT NULL""")
+@op("win9_rate", f"""WITH {_WF}, p AS (SELECT *, ATAN2(im, re) AS ph FROM c), j AS (SELECT *, ph - LAG(ph) OVER w AS d FROM p WINDOW w AS (PARTITION BY ant1, ant2, beam, pol, chan ORDER BY cycle)),
+ u AS (SELECT *, ph + 2 * PI() * SUM(CASE WHEN d > 1.5 * PI() THEN -1 WHEN d < -1.5 * PI() THEN 1 ELSE 0 END) OVER (PARTITION BY ant1, ant2, beam, pol, chan ORDER BY cycle) AS y FROM j),
+ r AS (SELECT *, (y - LEAD(y) OVER (PARTITION BY ant1, ant2, beam, pol, chan ORDER BY cycle)) / (2 * PI() / 268435456.0 / 54e-6) / 4.97664 AS rate FROM u)
+SELECT ant1, ant2, beam, pol, chan, cycle, {rs('rate', 'rate', 4)} FROM r WHERE rate IS NOT NULL""")
 def win9_rate(spark, sf):
-    w = summary.waterfall(_wf_cells(spark, sf), ["ant1", "ant2", "beam", "chan"], "cycle", 4.97664).where("rate IS NOT NULL")
-    return rounded(w, ["ant1", "ant2", "beam", "chan", "cycle"], ["rate"], 4)
+    w = summary.waterfall(_wf_cells(spark, sf), ["ant1", "ant2", "beam", "pol", "chan"], "cycle", 4.97664).where("rate IS NOT NULL")
+    return rounded(w, ["ant1", "ant2", "beam", "pol", "chan", "cycle"], ["rate"], 4)
 
 
 @op("win10", "SELECT cycle // 5 AS chunk, COUNT(*) AS n_vis, MIN(cycle) AS first_cycle FROM v_vis GROUP BY 1")
@@ -434,10 +434,10 @@ def snk2(spark, sf):
     return joins.find_or_add(view(spark, sf, "v_vis"), dim, ["scan", "field"], "field_id").select("scan", "field")
 
 
-@op("snk3", f"""WITH b AS (SELECT cycle, beam, pol, ant1, ant2, AVG(re) AS re, BOOL_AND(flag) AS flag FROM v_vis WHERE beam = 1 GROUP BY 1, 2, 3, 4, 5)
+@op("snk3", f"""WITH b AS (SELECT cycle, beam, pol, ant1, ant2, AVG(re) AS re, BOOL_AND(flag) AS flag FROM v_vis GROUP BY 1, 2, 3, 4, 5)
 SELECT cycle, beam, pol, COUNT(*) AS n_baselines, {rs('SUM(re)', 're_sum')}, MIN(ant1 * 10 + ant2) AS first_baseline FROM b GROUP BY 1, 2, 3""")
 def snk3(spark, sf):
-    m = summary.publish_subset(view(spark, sf, "v_vis").where("beam = 1"), ["cycle", "beam", "pol"])
+    m = summary.publish_subset(view(spark, sf, "v_vis"), ["cycle", "beam", "pol"])
     return m.select("cycle", "beam", "pol", "n_baselines", r6(F.aggregate("baselines", F.lit(0.0), lambda a, s: a + s["re"])).alias("re_sum"),
                     (F.col("baselines")[0]["ant1"] * 10 + F.col("baselines")[0]["ant2"]).alias("first_baseline"))
 

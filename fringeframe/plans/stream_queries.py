@@ -32,7 +32,7 @@ def vis_stream(spark, sf):
 
 
 def meta_stream(spark, sf):
-    m = view(spark, sf, "v_meta").select(F.lit(0).cast("long").alias("stream"), "cycle", "scan_id")
+    m = view(spark, sf, "v_meta").select(F.col("field").alias("stream"), "cycle", "scan_id")
     path = stage(m)
     return spark.readStream.schema(m.schema).parquet(path)
 
@@ -79,19 +79,19 @@ def str7(spark, sf):
     return sinks.drain(state.scan_states(meta_stream(spark, sf))).select("cycle", "scan_id", "state")
 
 
-@op("str8", """WITH s AS (SELECT cycle, scan_id, CASE WHEN LAG(scan_id) OVER (ORDER BY cycle) IS DISTINCT FROM scan_id THEN 1 ELSE 0 END AS new FROM v_meta),
- r AS (SELECT cycle, SUM(new) OVER (ORDER BY cycle) AS run FROM s) SELECT cycle, ROW_NUMBER() OVER (PARTITION BY run ORDER BY cycle) <= 2 AS flag FROM r""")
+@op("str8", """WITH s AS (SELECT cycle, scan_id, CASE WHEN LAG(scan_id) OVER (PARTITION BY field ORDER BY cycle) IS DISTINCT FROM scan_id THEN 1 ELSE 0 END AS new, field FROM v_meta),
+ r AS (SELECT cycle, field, SUM(new) OVER (PARTITION BY field ORDER BY cycle) AS run FROM s) SELECT cycle, ROW_NUMBER() OVER (PARTITION BY field, run ORDER BY cycle) <= 2 AS flag FROM r""")
 def str8(spark, sf):
     return sinks.drain(state.quack(meta_stream(spark, sf), 2)).select("cycle", "flag")
 
 
-@op("str9_stream", _SH + """, tt AS (SELECT cycle, LAG(cycle) OVER (ORDER BY cycle) AS p FROM (SELECT DISTINCT cycle FROM rows0))
+@op("str9_stream", _SH + """, tt AS (SELECT cycle, LAG(cycle) OVER (PARTITION BY field ORDER BY cycle) AS p FROM (SELECT DISTINCT cycle FROM rows0) JOIN v_meta USING (cycle))
 SELECT sh.cycle, sh.ant, 'enter' AS event FROM sh JOIN tt USING (cycle) WHERE NOT EXISTS (SELECT 1 FROM sh s2 WHERE s2.cycle = tt.p AND s2.ant = sh.ant)
 UNION ALL SELECT tt.cycle, s2.ant, 'leave' AS event FROM tt JOIN sh s2 ON s2.cycle = tt.p WHERE NOT EXISTS (SELECT 1 FROM sh WHERE sh.cycle = tt.cycle AND sh.ant = s2.ant)""")
 def str9_stream(spark, sf):
     rows, sh = _shadow(spark, sf)
     lists = rows.select("cycle").distinct().join(sh.groupBy("cycle").agg(F.collect_set("ant").alias("a")), "cycle", "left")
-    d = lists.select(F.lit(0).cast("long").alias("stream"), "cycle", F.coalesce("a", F.array().cast("array<bigint>")).alias("ants"))
+    d = lists.join(view(spark, sf, "v_meta").select("cycle", F.col("field").alias("stream")), "cycle").select("stream", "cycle", F.coalesce("a", F.array().cast("array<bigint>")).alias("ants"))
     s = spark.readStream.schema(d.schema).parquet(stage(d))
     return sinks.drain(state.shadow_log(s)).select("cycle", "ant", "event")
 
@@ -109,14 +109,14 @@ def jn4(spark, sf):
     return t.groupBy("cycle", "ant1", "ant2").agg(r6(F.sum("re"), 4).alias("re"), r6(F.sum("im"), 4).alias("im"))
 
 
-@op("snk1", """SELECT beam, CAST(chan // 18 AS BIGINT) AS freq_chunk, 'vis_' || STRFTIME(DATE_TRUNC('year', ts), '%Y-%m-%d') || '_b' || beam || '_f' || (chan // 18) || '.ms' AS name, COUNT(*) AS n_vis FROM v_vis GROUP BY 1, 2, 3""")
+@op("snk1", """SELECT beam, CAST(chan // 18 AS BIGINT) AS freq_chunk, 'vis_' || STRFTIME(ts, '%Y-%m-%d') || '_b' || beam || '_f' || (chan // 18) || '.ms' AS name, COUNT(*) AS n_vis FROM v_vis GROUP BY 1, 2, 3""")
 def snk1(spark, sf):
-    """Visibilities streamed to a partitioned table (by year here), read back through its partitions."""
-    v = vis_stream(spark, sf).withColumn("ts", F.date_trunc("year", F.col("ts").cast("timestamp"))).select("ts", "beam", "chan", "re", "im")
+    """Visibilities streamed to a table partitioned by date, beam and frequency chunk, read back through its partitions."""
+    v = vis_stream(spark, sf).select("ts", "beam", "chan", "re", "im")
     path = shared_path(spark, "vis")
     sinks.write_visibilities(v, path, shared_path(spark, "ckpt"), 18).awaitTermination()
     t = spark.read.parquet(path)
-    name = sinks.file_name("vis_%d_b%b_f%f.ms", F.col("ts"), F.col("beam"), F.col("freq_chunk"))
+    name = sinks.file_name("vis_%d_b%b_f%f.ms", F.col("date"), F.col("beam"), F.col("freq_chunk"))
     return t.groupBy(F.col("beam").cast("long").alias("beam"), F.col("freq_chunk").cast("long").alias("freq_chunk"), name.alias("name")).agg(F.count(F.lit(1)).alias("n_vis"))
 
 

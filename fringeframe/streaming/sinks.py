@@ -30,6 +30,7 @@ def file_name(pattern: str, ts: Column, beam: Column, chunk: Column) -> Column:
 def write_visibilities(stream: DataFrame, path: str, checkpoint: str, chans_per_chunk: int):
     """Append visibilities partitioned by date, beam and frequency chunk, until the source is drained."""
     d = stream.withColumn("date", F.to_date("ts")).withColumn("freq_chunk", F.floor(F.col("chan") / chans_per_chunk))
+    d = d.repartition("date", "beam", "freq_chunk")  # one file a partition and batch, not one a task
     return (d.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
             .partitionBy("date", "beam", "freq_chunk").trigger(availableNow=True).start())
 

@@ -396,3 +396,35 @@ def test_trim_triangles(spark):
     opp += sum(r[1] != r[2] for r in cur)
     want = {r[0] for r in cur if same == opp or (r[1] == r[2]) == (same > opp)}
     assert {r["i"] for r in match.trim_triangles(d).collect()} == want and want
+
+
+def test_ranks_of_infinite_and_crowded_values(spark, monkeypatch):
+    from fringeframe.functions import order
+
+    monkeypatch.setattr(order, "_ORDERED", 50)
+    rng = random.Random(2)
+    values = [1000.0 + rng.random() * 1e-3 for _ in range(900)] + [float("inf")] * 3 + [float("-inf")] * 2
+    d = spark.createDataFrame([("a", v) for v in values] + [("b", float("inf"))], "k string, v double")
+    got = {r["k"]: r for r in order.grouped_median(order.value_counts(d, ["k"], "v"), ["k"]).collect()}
+    s = sorted(values)
+    assert got["a"]["median"] == s[len(s) // 2] and got["a"]["n"] == len(s) and got["b"]["median"] == float("inf")
+
+
+def test_running_total_over_ranges(spark):
+    from fringeframe.functions.prefix import running_total
+
+    d = spark.range(1000).select((F.col("id") % 7).alias("o"), "id", F.lit(2).alias("w"))
+    got = running_total(d.repartition(5), ["o", "id"], F.col("w"), "t").orderBy("o", "id").select("t").collect()
+    assert [r[0] for r in got] == [2 * (i + 1) for i in range(1000)]
+
+
+def test_solver_reports_what_it_reached():
+    ant1, ant2 = np.array([0, 0, 1]), np.array([1, 2, 2])
+    g, converged, steps, residual = calibrate.solve_gains(ant1, ant2, np.ones(3, complex), np.ones(3))
+    assert converged and residual <= 1e-10 and steps > 0 and all(abs(abs(v) - 1) < 1e-6 for v in g.values())
+
+
+def test_phase_reference_without_the_antenna(spark):
+    d = spark.createDataFrame([(1, 0, 1.0, 1.0), (2, 2, 0.0, 2.0), (2, 0, 1.0, 0.0)], "cycle long, ant long, g_re double, g_im double")
+    got = {(r["cycle"], r["ant"]): r["g_re"] for r in calibrate.phase_reference(d, ["cycle"], 2, strict=False).collect()}
+    assert got[(1, 0)] is None and abs(got[(2, 2)] - 2.0) < 1e-12
