@@ -283,7 +283,7 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
             short = [(s >> drop).astype(kind).tobytes() for s in found]
             yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) for s in found], pa.binary()), pa.array(short, pa.binary())], ["sid", "tokens"])
 
-    full = cut_lineage(texts.mapInArrow(whole, "sid binary, tokens binary"))
+    full = texts.mapInArrow(whole, "sid binary, tokens binary")  # both joins read one exchange of it
 
     def compare(batches):
         for batch in batches:
@@ -302,9 +302,9 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Of candidate pairs (x, y) of sids, those that are similar enough, judged on whole sets.
 
-    First with half of each hash, which finds no fewer tokens in common, then with the whole hashes.
+    First with 16 bits of each hash, which finds no fewer tokens in common, then with the whole hashes.
     """
-    return _compare(_compare(pairs, sets, rows, percent, "<u4"), sets, rows, percent, "<u8")
+    return _compare(_compare(pairs, sets, rows, percent, "<u2"), sets, rows, percent, "<u8")
 
 
 def _members(pairs: DataFrame, sets: DataFrame) -> DataFrame:
