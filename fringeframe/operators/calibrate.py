@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cx import Cx
 from ..functions.prefix import scan_lag, scan_sum
+from .joins import lookup_join
 
 POLS = ("xx", "xy", "yx", "yy")
 MIN_DET = 1e-25  # fixed value: smallest usable determinant of the batch apply
@@ -25,12 +26,12 @@ def _solution(cal: DataFrame, keys: Sequence[str], ant: str, side: str) -> DataF
 def join_solutions(vis: DataFrame, cal: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Both antennas' solutions beside each row: ``cal`` columns with suffixes _1 and _2.
 
-    A solution table is small next to the visibilities; whether it is broadcast is
-    left to the optimizer, which knows its size.
+    A solution table is small next to the visibilities; see :func:`lookup_join` for what happens
+    when it is not.
     """
     keys = list(keys)
-    j = vis.join(_solution(cal, keys, "ant1", "1"), [*keys, "ant1"], "left")
-    return j.join(_solution(cal, keys, "ant2", "2"), [*keys, "ant2"], "left")
+    j = lookup_join(vis, _solution(cal, keys, "ant1", "1"), [*keys, "ant1"], "left")
+    return lookup_join(j, _solution(cal, keys, "ant2", "2"), [*keys, "ant2"], "left")
 
 
 def jones(side: str) -> list[list[Cx]]:

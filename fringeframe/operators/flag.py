@@ -57,6 +57,9 @@ def flag_channels(df: DataFrame, ranges: Sequence[tuple[int, int, int]], cond: C
     return df.withColumn("flag", F.when(row, marked).otherwise(F.col("flag")))
 
 
+MAX_ANTENNAS = 2000
+
+
 def elevation_deg(hour_angle: Column, dec: Column, latitude: Column) -> Column:
     """Elevation of a direction, apparent frame, degrees."""
     s = (F.sin(latitude * RAD) * F.sin(dec * RAD)
@@ -68,11 +71,15 @@ def elevation_table(times: DataFrame, antennas: DataFrame, keys: Sequence[str])
     """Elevation per (time, antenna), once per integration rather than per row.
 
     ``times`` carries ``hour_angle`` and ``dec``; ``antennas`` is the instrument's
-    list (``ant``, ``latitude``), which is packed into one array and so bounded.
+    list (``ant``, ``latitude``) of at most ``MAX_ANTENNAS``, which goes into the
+    expression itself, so no join is planned.
     """
-    packed = antennas.select(F.lit(1).alias("__k"), F.struct("ant", "latitude").alias("a")).groupBy("__k").agg(
-        F.collect_list("a").alias("a"))
-    t = times.withColumn("__k", F.lit(1)).join(packed, "__k").withColumn("a", F.explode("a"))
+    kinds = dict(antennas.dtypes)
+    rows = antennas.select("ant", "latitude").limit(MAX_ANTENNAS + 1).collect()
+    if len(rows) > MAX_ANTENNAS:
+        raise ValueError(f"more than {MAX_ANTENNAS} antennas")
+    listed = F.array(*[F.struct(F.lit(r["ant"]).cast(kinds["ant"]).alias("ant"), F.lit(r["latitude"]).cast(kinds["latitude"]).alias("latitude")) for r in rows])
+    t = times.withColumn("a", F.explode(listed if rows else F.array().cast(f"array<struct<ant:{kinds['ant']},latitude:{kinds['latitude']}>>")))
     return t.select(*keys, F.col("a.ant").alias("ant"),
                     elevation_deg(F.col("hour_angle"), F.col("dec"), F.col("a.latitude")).alias("elevation"))
 

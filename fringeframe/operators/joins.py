@@ -8,6 +8,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of a table that is sent to every task; a larger one is joined by a salted shuffle.
+SMALL, SALTS = 1_000_000, 32
+
+
+def lookup_join(facts: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``facts`` to a table on few distinct keys (antennas, fields).
+
+    A small table is broadcast, so no fact moves. A larger one is repeated over salts and
+    the facts of a key are spread over them, so that a key is not one task.
+    """
+    keys = list(keys)
+    if table.count() <= SMALL:
+        return facts.join(F.broadcast(table), keys, how)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(SALTS))
+    spread = table.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return facts.withColumn("__salt", salt).join(spread, [*keys, "__salt"], how).drop("__salt")
+
+
 # ---------------------------------------------------------------- times
 
 def match_times(meta: DataFrame, data: DataFrame, meta_time: str, data_time: str, interval: int) -> DataFrame:

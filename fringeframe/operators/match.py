@@ -6,6 +6,8 @@ position before any spatial join, so a crowd of copies never multiplies.
 
 from __future__ import annotations
 
+import math
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -208,36 +210,38 @@ def match_triangles(src: DataFrame, ref: DataFrame, width: float = 0.05) -> Data
     return s.join(r, "__bin").where(ok).drop("__bin")
 
 
+def _clip_width(true: int, false: int) -> float:
+    """How many deviations a true match may lie from the mean, by the odds of true to false ones."""
+    return 3.0 if true > 10 * false else 2.0 if true >= false else 1.0
+
+
 def trim_triangles(pairs: DataFrame, rounds: int = 5) -> DataFrame:
-    """Clip on the perimeter difference for at most ``rounds`` rounds, then keep the majority orientation.
+    """Triangle pairs whose scale and handedness agree with the others (the vote of Groth and of Valdes et al.).
 
-    Each round reads one row of sums; the orientation counts add up over rounds.
+    True matches share one difference of log perimeters and one handedness.  What is kept
+    is an interval of differences that narrows around the mean: a round reads one row
+    (count, mean, deviation, how many agree in handedness) inside the interval, and the table
+    is written once.  True minus false matches are estimated from the tally of all rounds.
     """
-    same = F.col("s_clockwise") == F.col("r_clockwise")
-    mag = F.col("s_log_perimeter") - F.col("r_log_perimeter")
-    count = lambda d: d.agg(F.count(F.lit(1)).alias("n"), F.sum(mag).alias("s"), F.sum(mag * mag).alias("q"),
-                            F.sum(same.cast("long")).alias("same")).first()
-    cur, n_same, n_opp = cut_lineage(pairs), 0, 0
-    for _ in range(rounds):
-        row = count(cur)
-        if row["n"] == 0:
+    shift = F.col("s_log_perimeter") - F.col("r_log_perimeter")
+    table = cut_lineage(pairs.withColumn("__shift", shift).withColumn("__agrees", F.col("s_clockwise") == F.col("r_clockwise")))
+    below, above, tally = -math.inf, math.inf, {True: 0, False: 0}
+    inside = lambda: table.where((F.col("__shift") > below) & (F.col("__shift") < above))
+    for left in reversed(range(rounds + 1)):
+        seen = inside().agg(F.count_if("__agrees").alias("agree"), F.count_if(~F.col("__agrees")).alias("differ"),
+                            F.avg("__shift").alias("mean"), F.stddev_pop("__shift").alias("spread")).first()
+        tally[True] += seen["agree"]
+        tally[False] += seen["differ"]
+        if not left or seen["mean"] is None:
             break
-        n_same += row["same"]
-        n_opp += row["n"] - row["same"]
-        mean = row["s"] / row["n"]
-        var = row["q"] / row["n"] - mean * mean
-        diff = abs(n_same - n_opp)
-        rest = n_same + n_opp - diff
-        ratio = diff / rest if rest else float("inf")
-        scale = 1.0 if ratio < 1 else 3.0 if ratio > 10 else 2.0
-        if not var > 0:
-            return cur.where(F.lit(False))
-        cur = cut_lineage(cur.where(F.abs((mag - mean) / (var ** 0.5)) < scale))
-    row = count(cur)
-    n_same, n_opp = n_same + (row["same"] or 0), n_opp + row["n"] - (row["same"] or 0)
-    if n_same > n_opp:
-        return cur.where(same)
-    return cur.where(~same) if n_opp > n_same else cur
+        if not seen["spread"] > 0:
+            below = above  # no scatter to measure by: nothing is left
+            continue
+        false = 2 * min(tally.values())  # opposed matches are chance, and as many agree by chance
+        reach = seen["spread"] * _clip_width(sum(tally.values()) - false, false)
+        below, above = max(below, seen["mean"] - reach), min(above, seen["mean"] + reach)
+    kept = inside() if tally[True] == tally[False] else inside().where(F.col("__agrees") == F.lit(tally[True] > tally[False]))
+    return kept.drop("__shift", "__agrees")
 
 
 def vote(pairs: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
+
 C_M_S = 299792458.0  # fixed value: speed of light
 PACK = 4096  # components packed in one array
 
@@ -95,7 +97,7 @@ def grid_kernel(samples: DataFrame, kernel: DataFrame, cell: float, n: int, over
     # a sample counts only if its whole footprint is on the grid
     reach = kernel.agg(F.max(F.greatest(F.abs("du"), F.abs("dv"))).alias("s")).scalar()
     inside = ((F.col("iu") - reach >= 0) & (F.col("iu") + reach < n) & (F.col("iv") - reach >= 0) & (F.col("iv") + reach < n))
-    e = sub.where(inside).join(kernel, ["fu", "fv"])
+    e = lookup_join(sub.where(inside), kernel, ["fu", "fv"])
     return e.groupBy(*keys, (F.col("iu") + F.col("du")).alias("iu"), (F.col("iv") + F.col("dv")).alias("iv")).agg(
         F.sum(F.col("r") * F.col("k")).alias("g_re"), F.sum(F.col("i") * F.col("k")).alias("g_im"),
         F.sum(F.col("wt") * F.col("k")).alias("g_wt"))

@@ -103,7 +103,7 @@ def _mueller_inverse_sql():
 _FULL = f"""WITH c AS (SELECT cycle, ant1, ant2, chan, AVG(CASE WHEN pol = 'XX' THEN re END) AS xx_re, AVG(CASE WHEN pol = 'XX' THEN im END) AS xx_im,
   AVG(CASE WHEN pol = 'XY' THEN re END) AS xy_re, AVG(CASE WHEN pol = 'XY' THEN im END) AS xy_im,
   AVG(CASE WHEN pol = 'YY' THEN re END) AS yy_re, AVG(CASE WHEN pol = 'YY' THEN im END) AS yy_im,
-  MAX(CASE WHEN flag THEN 1 ELSE 0 END) = 1 AS flag FROM v_vis WHERE cycle % 10 < 5 GROUP BY 1, 2, 3, 4),
+  MAX(CASE WHEN flag THEN 1 ELSE 0 END) = 1 AS flag FROM v_vis GROUP BY 1, 2, 3, 4),
  w AS (SELECT cycle, ant1, ant2, chan, COALESCE(xx_re, 0.0) AS xx_re, COALESCE(xx_im, 0.0) AS xx_im, COALESCE(xy_re, 0.0) AS xy_re,
    COALESCE(xy_im, 0.0) AS xy_im, COALESCE(xy_re, 0.0) AS yx_re, -COALESCE(xy_im, 0.0) AS yx_im, COALESCE(yy_re, 0.0) AS yy_re,
    COALESCE(yy_im, 0.0) AS yy_im, flag FROM c),

@@ -384,7 +384,7 @@ def str4(spark, sf):
 def src1(spark, sf):
     """Visibility scan with a field dimension; only the used columns are read."""
     f = tables(spark, sf, "region").select(F.col("r_regionkey").cast("long").alias("field"), F.col("r_name").alias("field_name"))
-    return view(spark, sf, "v_vis").join(f, "field").groupBy("scan", "ant1", "ant2", "beam", "pol", "field_name").agg(F.count(F.lit(1)).alias("n"))
+    return joins.lookup_join(view(spark, sf, "v_vis"), f, ["field"]).groupBy("scan", "ant1", "ant2", "beam", "pol", "field_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _catalogue_lines(spark, sf):

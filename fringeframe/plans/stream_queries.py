@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.cx import Cx
-from ..operators import calibrate, flag, skymodel
+from ..operators import calibrate, flag, joins, skymodel
 from ..session import shared_path
 from ..sources import catalogue, streams
 from ..streaming import merge, sinks, state
@@ -103,7 +103,8 @@ def jn4(spark, sf):
     """Gains, a static table, applied to the visibility stream."""
     g = view(spark, sf, "v_cal").groupBy("ant").agg(F.max("g_re").alias("g_re"), F.max("g_im").alias("g_im"))
     side = lambda n: g.select(F.col("ant").alias(f"ant{n}"), F.col("g_re").alias(f"g_re_{n}"), F.col("g_im").alias(f"g_im_{n}"))
-    v = vis_stream(spark, sf).where("pol <> 'XY'").join(side(1), "ant1").join(side(2), "ant2")
+    v = vis_stream(spark, sf).where("pol <> 'XY'")
+    v = joins.lookup_join(joins.lookup_join(v, side(1), ["ant1"]), side(2), ["ant2"])
     out = calibrate.apply_parallel(v, Cx.of("g_re_1", "g_im_1"), Cx.of("g_re_2", "g_im_2"), calibrate.MIN_DET_STREAM)
     t = sinks.drain(out.select("cycle", "ant1", "ant2", "re", "im"))
     return t.groupBy("cycle", "ant1", "ant2").agg(r6(F.sum("re"), 4).alias("re"), r6(F.sum("im"), 4).alias("im"))

@@ -428,3 +428,11 @@ def test_phase_reference_without_the_antenna(spark):
     d = spark.createDataFrame([(1, 0, 1.0, 1.0), (2, 2, 0.0, 2.0), (2, 0, 1.0, 0.0)], "cycle long, ant long, g_re double, g_im double")
     got = {(r["cycle"], r["ant"]): r["g_re"] for r in calibrate.phase_reference(d, ["cycle"], 2, strict=False).collect()}
     assert got[(1, 0)] is None and abs(got[(2, 2)] - 2.0) < 1e-12
+
+
+def test_lookup_join_beyond_the_broadcast_size(spark, monkeypatch):
+    facts = spark.range(500).select("id", (F.col("id") % 3).alias("k"), F.lit("x").alias("v"))
+    table = spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string")
+    small = sorted(tuple(r) for r in joins.lookup_join(facts, table, ["k"], "left").select("id", "name").collect())
+    monkeypatch.setattr(joins, "SMALL", 0)
+    assert sorted(tuple(r) for r in joins.lookup_join(facts, table, ["k"], "left").select("id", "name").collect()) == small
