@@ -9,7 +9,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from fringeframe.plans import catalog  # noqa: E402
-from fringeframe.session import build_session  # noqa: E402
+from fringeframe.session import build_session, clear_tables  # noqa: E402
 
 HEADLINE = ["flagship", "flg7", "flg8", "flg13", "agg1", "jn3", "jn5", "jn16", "agg18", "agg19", "cal1", "flt16_exact", "jn6", "agg10", "agg15", "win1",
             "det3", "agg34", "str1_stream", "snk1"]
@@ -28,6 +28,7 @@ def main() -> None:
         t = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t, 3)
+        clear_tables(spark)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", "")}))
     spark.stop()

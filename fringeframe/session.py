@@ -52,6 +52,20 @@ def shared_path(spark: SparkSession, kind: str = "table") -> str:
     return f"{checkpoint_dir(spark)}/fringeframe-{kind}-{uuid.uuid4().hex}"
 
 
+#: Tables of this driver that nobody has cleared yet.
+_written: list[str] = []
+
+
+def clear_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far; only when no DataFrame that reads them is used any more."""
+    n = len(_written)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and go on from there.
 
@@ -60,4 +74,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = shared_path(df.sparkSession)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, connect
+from fringeframe.session import clear_tables
 
 QUERIES = entry_module.queries()
 ORACLES = entry_module.oracle_sql()
@@ -22,6 +23,7 @@ def test_keys():
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, sf, con, key):
+    clear_tables(spark)
     df = QUERIES[key](spark, sf)
     if key not in ORACLES:
         assert df.count() > 0 or key in MAY_BE_EMPTY
