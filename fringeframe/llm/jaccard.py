@@ -229,11 +229,14 @@ def _sorted_lists(batches):
 
 
 def sketch() -> Column:
-    """A prefix as ordered 32-bit numbers: a bit for tokens that come last, then the top of the hash.
+    """16 bits of each token of a prefix. Different tokens can share a number, so counts of common ones are never too small."""
+    return F.transform("prefix", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("smallint"))
 
-    Different tokens can share a number, so counts of common ones are never too small.
-    """
-    return F.transform("prefix", lambda x, i: (F.shiftrightunsigned(x, 33) - F.when(i < F.col("plain"), F.lit(1 << 31)).otherwise(F.lit(0))).cast("int"))
+
+def reach() -> Column:
+    """Where a prefix ends in the order, as one number: a bit for tokens that come last, then the top of the hash."""
+    last_one = F.when(F.size("prefix") > F.col("plain"), F.lit(1 << 62)).otherwise(F.lit(0).cast("long"))
+    return F.shiftrightunsigned(F.element_at("prefix", -1), 2) + last_one
 
 
 def _short_side(n1, n2, size1, size2, reach1, reach2, common, percent):
@@ -251,18 +254,18 @@ def close_pairs(pairs: DataFrame, groups: DataFrame, percent: int = PERCENT) ->
 
     def judge(batches):
         for batch in batches:
-            n1, n2 = (batch.column(i).to_numpy() for i in (2, 4))
-            stat = np.zeros((5, batch.num_rows), np.int64)
-            for i, (x, y) in enumerate(zip(batch.column(3), batch.column(5))):
+            n1, n2, reach1, reach2 = (batch.column(i).to_numpy() for i in (2, 5, 4, 7))
+            stat = np.zeros((3, batch.num_rows), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column(3), batch.column(6))):
                 x, y = x.values.to_numpy(), y.values.to_numpy()
-                stat[:, i] = len(x), len(y), x[-1], y[-1], np.isin(x, y).sum()
-            keep = _short_side(n1, n2, *stat, percent)
+                stat[:, i] = len(x), len(y), max(np.isin(x, y).sum(), np.isin(y, x).sum())
+            keep = _short_side(n1, n2, stat[0], stat[1], reach1, reach2, stat[2], percent)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep))
 
-    side = groups.select("gid", "n", sketch().alias("s"))
-    wide = (pairs.join(side.select(F.col("gid").alias("a"), F.col("n").alias("na"), F.col("s").alias("pa")), "a")
-            .join(side.select(F.col("gid").alias("b"), F.col("n").alias("nb"), F.col("s").alias("pb")), "b"))
-    return wide.select("a", "b", "na", "pa", "nb", "pb").mapInArrow(judge, "a long, b long")
+    side = groups.select("gid", "n", sketch().alias("s"), reach().alias("r"))
+    wide = (pairs.join(side.select(F.col("gid").alias("a"), F.col("n").alias("na"), F.col("s").alias("pa"), F.col("r").alias("ra")), "a")
+            .join(side.select(F.col("gid").alias("b"), F.col("n").alias("nb"), F.col("s").alias("pb"), F.col("r").alias("rb")), "b"))
+    return wide.select("a", "b", "na", "pa", "ra", "nb", "pb", "rb").mapInArrow(judge, "a long, b long")
 
 
 #: Sets that are fetched by a broadcast list of texts; more are fetched by a shuffle.
@@ -325,13 +328,13 @@ def hub_pairs(long_lists: DataFrame) -> DataFrame:
 
 
 def _incidence(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(values, which list has which value) of the values that two or more lists have."""
+    """(values, how often each list has each) of the values that come more than once."""
     values, at, n = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     keep = n > 1
     table = np.zeros((len(lists), int(keep.sum())), np.float32)
     row = np.repeat(np.arange(len(lists)), [len(p) for p in lists])
     some = keep[at]
-    table[row[some], (np.cumsum(keep) - 1)[at[some]]] = 1
+    np.add.at(table, (row[some], (np.cumsum(keep) - 1)[at[some]]), 1)  # products of counts are never below the common tokens
     return values[keep], table
 
 
@@ -339,13 +342,13 @@ def _incidence(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 BLOCK = 1024
 
 
-def _close_in_list(token, n, sketches, tokens, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _close_in_list(token, n, sketches, reach, tokens, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of a list (sorted by n) of different roots that the sketches leave possible.
 
     ``tokens`` are each member's tokens with long lists: a pair is given in the list of the least
     that it has in common. Counts of common values are matrix products, block by block.
     """
-    size, reach = np.array([len(p) for p in sketches]), np.array([p[-1] for p in sketches])
+    size = np.array([len(p) for p in sketches])
     for i in range(0, len(n), BLOCK):
         top = n[min(i + BLOCK, len(n)) - 1] * 100 // percent
         for j in range(i, len(n), BLOCK):
@@ -374,13 +377,13 @@ def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
     rows = cut_lineage(lists.join(mixed, "token").select("token", "n", "sid", "root", "gid"))
     mine = rows.groupBy("sid").agg(F.array_sort(F.collect_set("token")).alias("tokens"))  # no more than a prefix
-    rows = rows.join(mine, "sid").join(groups.select("gid", sketch().alias("s")), "gid")
-    rows = rows.select("token", "n", "sid", "root", "s", "tokens").repartition("token").sortWithinPartitions("token", "n", "sid")
+    rows = rows.join(mine, "sid").join(groups.select("gid", sketch().alias("s"), reach().alias("r")), "gid")
+    rows = rows.select("token", "n", "sid", "root", "s", "r", "tokens").repartition("token").sortWithinPartitions("token", "n", "sid")
 
     def cross(batches):
-        for token, n, sid, root, sketches, tokens in _runs(batches):
+        for token, n, sid, root, sketches, reach_, tokens in _runs(batches):
             _, root = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
-            for a, b in _close_in_list(token[0], n.astype(np.int64), sketches, tokens, root, percent):
+            for a, b in _close_in_list(token[0], n.astype(np.int64), sketches, reach_, tokens, root, percent):
                 for lo in range(0, len(a), 1 << 15):
                     yield pa.RecordBatch.from_arrays([pa.array(sid[a[lo : lo + (1 << 15)]].tolist(), pa.binary()), pa.array(sid[b[lo : lo + (1 << 15)]].tolist(), pa.binary())], ["x", "y"])
 
