@@ -261,7 +261,7 @@ def spans(texts: DataFrame, rule: Rule, compare: Callable) -> DataFrame:
     if not crowded.isEmpty():
         single = _fetch(texts, pieces.join(crowded, "anchor"), rule, True)
         key = (F.xxhash64(F.lit(17), "body").alias("ka"), F.xxhash64(F.lit(41), "body").alias("kb"))  # 128 bits for a window
-        single = cut_lineage(single.select(*key, "doc", "rid", "start"))
+        single = single.select(*key, "doc", "rid", "start")  # not written: in one job, all read the same shuffled texts
         each = single.groupBy("ka", "kb").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "rid", "start")).alias("lead")).where("copies > 1")
         hit = F.struct("doc", "rid", "start") > F.col("lead") if rule.keep_first else F.lit(True)
         out = out.unionByName(single.join(each, ["ka", "kb"]).where(hit).select("rid", "start", (F.col("start") + rule.length).alias("end")))
