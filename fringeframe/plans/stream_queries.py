@@ -112,10 +112,10 @@ def jn4(spark, sf):
 
 @op("snk1", """SELECT beam, CAST(chan // 18 AS BIGINT) AS freq_chunk, 'vis_' || STRFTIME(ts, '%Y-%m-%d') || '_b' || beam || '_f' || (chan // 18) || '.ms' AS name, COUNT(*) AS n_vis FROM v_vis GROUP BY 1, 2, 3""")
 def snk1(spark, sf):
-    """Visibilities streamed to a table partitioned by date, beam and frequency chunk, read back through its partitions."""
+    """Visibilities streamed to a folder for each date and read back; beam and frequency chunk are columns there."""
     v = vis_stream(spark, sf).select("ts", "beam", "chan", "re", "im")
     path = shared_path(spark, "vis")
-    sinks.write_visibilities(v, path, shared_path(spark, "ckpt"), 18).awaitTermination()
+    sinks.write_visibilities(v, path, shared_path(spark, "ckpt"), 18, ("date",)).awaitTermination()
     t = spark.read.parquet(path)
     name = sinks.file_name("vis_%d_b%b_f%f.ms", F.col("date"), F.col("beam"), F.col("freq_chunk"))
     return t.groupBy(F.col("beam").cast("long").alias("beam"), F.col("freq_chunk").cast("long").alias("freq_chunk"), name.alias("name")).agg(F.count(F.lit(1)).alias("n_vis"))

@@ -27,12 +27,16 @@ def file_name(pattern: str, ts: Column, beam: Column, chunk: Column) -> Column:
     return F.concat(*parts)
 
 
-def write_visibilities(stream: DataFrame, path: str, checkpoint: str, chans_per_chunk: int):
-    """Append visibilities partitioned by date, beam and frequency chunk, until the source is drained."""
+def write_visibilities(stream: DataFrame, path: str, checkpoint: str, chans_per_chunk: int,
+                       folders: tuple[str, ...] = ("date", "beam", "freq_chunk")):
+    """Append visibilities until the source is drained, with a folder for each value of ``folders``.
+
+    Date, beam and frequency chunk stay columns where they are no folder.
+    """
     d = stream.withColumn("date", F.to_date("ts")).withColumn("freq_chunk", F.floor(F.col("chan") / chans_per_chunk))
-    d = d.repartition("date", "beam", "freq_chunk")  # one file a partition and batch, not one a task
+    d = d.repartition(*folders)  # one file a folder and batch, not one a task
     return (d.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-            .partitionBy("date", "beam", "freq_chunk").trigger(availableNow=True).start())
+            .partitionBy(*folders).trigger(availableNow=True).start())
 
 
 def as_messages(df: DataFrame, keys: list[str]) -> DataFrame:
