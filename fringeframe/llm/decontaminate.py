@@ -28,8 +28,8 @@ from pyspark.sql.types import StructType
 from .common import cut_lineage, narrow
 
 WINDOW = 10
-#: Bytes of patterns in one automaton; about thirty times this in memory at most.
-PART = 8 << 20
+#: Bytes of patterns in one automaton; about fifty times this in memory at most.
+PART = 4 << 20
 
 #: What each byte becomes. Bytes of non-ASCII characters stay.
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
@@ -126,6 +126,7 @@ def scanners(benchmark: DataFrame, window: int = WINDOW, part: int = PART) -> li
 
 
 def _scan(batch_texts: list[str | None], scanner: Scanner, spans: bool):
+    """n_words, n_hit, items, hit words and, if asked for, their spans, of each text."""
     for text in batch_texts:
         words = normal_words(text)
         hit, items = scanner.hits(words)
