@@ -228,9 +228,13 @@ def _sorted_lists(batches):
         yield lists(rest)
 
 
-def sketch() -> Column:
-    """16 bits of each token of a prefix. Different tokens can share a number, so counts of common ones are never too small."""
-    return F.transform("prefix", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("smallint"))
+def sketch(kind: str) -> Column:
+    """15 bits (smallint) or 31 bits (int) of each token of a prefix.
+
+    Different tokens can share a number, so counts of common ones are never too small.
+    """
+    bits = {"smallint": 0x7FFF, "int": 0x7FFFFFFF}[kind]
+    return F.transform("prefix", lambda x: x.bitwiseAND(F.lit(bits)).cast(kind))
 
 
 def reach() -> Column:
@@ -262,7 +266,7 @@ def close_pairs(pairs: DataFrame, groups: DataFrame, percent: int = PERCENT) ->
             keep = _short_side(n1, n2, stat[0], stat[1], reach1, reach2, stat[2], percent)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep))
 
-    side = groups.select("gid", "n", sketch().alias("s"), reach().alias("r"))
+    side = groups.select("gid", "n", sketch("smallint").alias("s"), reach().alias("r"))
     wide = (pairs.join(side.select(F.col("gid").alias("a"), F.col("n").alias("na"), F.col("s").alias("pa"), F.col("r").alias("ra")), "a")
             .join(side.select(F.col("gid").alias("b"), F.col("n").alias("nb"), F.col("s").alias("pb"), F.col("r").alias("rb")), "b"))
     return wide.select("a", "b", "na", "pa", "ra", "nb", "pb", "rb").mapInArrow(judge, "a long, b long")
@@ -339,7 +343,7 @@ def _incidence(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Members of a list that are compared at once.
-BLOCK = 1024
+BLOCK = 512
 
 
 def _close_in_list(token, n, sketches, reach, tokens, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -377,7 +381,7 @@ def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
     rows = cut_lineage(lists.join(mixed, "token").select("token", "n", "sid", "root", "gid"))
     mine = rows.groupBy("sid").agg(F.array_sort(F.collect_set("token")).alias("tokens"))  # no more than a prefix
-    rows = rows.join(mine, "sid").join(groups.select("gid", sketch().alias("s"), reach().alias("r")), "gid")
+    rows = rows.join(mine, "sid").join(groups.select("gid", sketch("int").alias("s"), reach().alias("r")), "gid")  # few chance matches keep the tables narrow
     rows = rows.select("token", "n", "sid", "root", "s", "r", "tokens").repartition("token").sortWithinPartitions("token", "n", "sid")
 
     def cross(batches):
