@@ -144,18 +144,18 @@ def signatures(rows: DataFrame, last, percent: int = PERCENT) -> DataFrame:
     return cut_lineage(keyed.mapInArrow(sign, "doc_id long, th long, n long, sid binary, gid long, prefix array<long>, plain int"))
 
 
-def _runs(batches) -> Iterator[list[np.ndarray]]:
-    """Column arrays of each complete run of equal values of the first column, from a sorted stream."""
+def _runs(batches, keys: int = 1) -> Iterator[list[np.ndarray]]:
+    """Column arrays of each complete run of equal values of the first ``keys`` columns, from a sorted stream."""
     held: list[list[np.ndarray]] = []
     for batch in batches:
         cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if not batch.num_rows:
             continue
-        cuts = np.flatnonzero(cols[0][1:] != cols[0][:-1]) + 1
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:keys]], axis=0)) + 1
         edges = [0, *cuts.tolist(), batch.num_rows]
         for a, b in zip(edges[:-1], edges[1:]):
             part = [c[a:b] for c in cols]
-            if held and held[0][0][0] != part[0][0]:
+            if held and any(h[0] != c[0] for h, c in zip(held[0][:keys], part)):
                 yield [np.concatenate(x) for x in zip(*held)]
                 held = []
             held.append(part)
@@ -314,11 +314,87 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int =
     return _compare(_compare(pairs, sets, rows, percent, "<u2"), sets, rows, percent, "<u8")
 
 
-def _members(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Group pairs expanded to pairs of their members."""
-    left = sets.select(F.col("gid").alias("a"), F.col("sid").alias("x"), F.col("n").alias("nx"))
-    right = sets.select(F.col("gid").alias("b"), F.col("sid").alias("y"), F.col("n").alias("ny"))
-    return pairs.join(left, "a").join(right, "b").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x < y").distinct()
+#: Members of a group that one task chains, and that a pair of groups is expanded to at once.
+PART = 4096
+
+
+def _in_parts(members: DataFrame, *keys: str) -> DataFrame:
+    """``members`` with ``part`` and ``parts``: those of equal ``keys`` dealt by their set into parts of about PART."""
+    size = members.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / PART).cast("long").alias("parts"))
+    return members.join(size, list(keys)).withColumn("part", F.pmod(F.xxhash64("sid"), "parts"))
+
+
+def chains(members: DataFrame) -> DataFrame:
+    """Pairs (x, y) of neighbours by sid inside each part of a group, and of neighbours among the parts' least sids."""
+    inside = cut_lineage(_in_parts(members.select("gid", "sid"), "gid").select("gid", "part", "parts", "sid"))
+
+    def neighbours(batches):
+        for *_, sid in _runs(batches, 2):
+            if len(sid) > 1:
+                yield pa.RecordBatch.from_arrays([pa.array(sid[:-1].tolist(), pa.binary()), pa.array(sid[1:].tolist(), pa.binary())], ["x", "y"])
+
+    heads = inside.where("parts > 1").groupBy("gid", "part").agg(F.min("sid").alias("sid")).withColumn("part", F.lit(-1).cast("long"))
+    rows = inside.select("gid", "part", "sid").unionByName(heads)
+    return rows.repartition("gid", "part").sortWithinPartitions("gid", "part", "sid").mapInArrow(neighbours, "x binary, y binary")
+
+
+def _rooted(members: DataFrame, tied: DataFrame) -> DataFrame:
+    return members.join(tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+
+
+def _units(rooted: DataFrame) -> DataFrame:
+    """(gid, root, n, one, m): the members of a group in one component, their least sid and their number."""
+    return cut_lineage(rooted.groupBy("gid", "root").agg(F.min("n").alias("n"), F.min("sid").alias("one"), F.count(F.lit(1)).alias("m")))
+
+
+def _pivots(units: DataFrame) -> DataFrame:
+    """Pairs (x, y) of the representatives of each group's units with that of its largest unit."""
+    most = units.groupBy("gid").agg(F.max(F.struct("m", "root", "one")).alias("most"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    return units.join(most, "gid").where("root != most.root").select(F.col("one").alias("x"), F.col("most.one").alias("y"))
+
+
+def _between(pairs: DataFrame, units: DataFrame) -> DataFrame:
+    """Group pairs (a, b) as pairs (a, ra, b, rb) of their units in different components."""
+    left = units.select(F.col("gid").alias("a"), F.col("root").alias("ra"))
+    right = units.select(F.col("gid").alias("b"), F.col("root").alias("rb"))
+    return pairs.join(left, "a").join(right, "b").where("ra != rb").select("a", "ra", "b", "rb")
+
+
+def _ends(found: DataFrame, side: DataFrame, left: str, right: str) -> DataFrame:
+    """Pairs (a, ra, b, rb) joined with ``side`` (gid, root, ...), whose other columns get the names' endings ``left`` and ``right``."""
+    more = [c for c in side.columns if c not in ("gid", "root")]
+    for gid, root, end in (("a", "ra", left), ("b", "rb", right)):
+        found = found.join(side.select(F.col("gid").alias(gid), F.col("root").alias(root), *[F.col(c).alias(f"{c}{end}") for c in more]), [gid, root])
+    return found
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x < y").distinct()
+
+
+def _representatives(found: DataFrame, units: DataFrame) -> DataFrame:
+    """Pairs (x, y) of the sids that stand for the units of (a, ra, b, rb)."""
+    return _ordered(_ends(found, units.select("gid", "root", "one"), "_x", "_y").select(F.col("one_x").alias("x"), F.col("one_y").alias("y")))
+
+
+def _members(found: DataFrame, units: DataFrame, rooted: DataFrame, tied: DataFrame) -> DataFrame:
+    """Pairs (x, y) of all members of the units (a, ra, b, rb) that are still in different components of ``tied``, part by part."""
+    now = _rooted(units.select(F.col("root").alias("sid")).distinct(), tied).select(F.col("sid").alias("was"), F.col("root").alias("now"))
+    some = (found.join(now.select(F.col("was").alias("ra"), F.col("now").alias("na")), "ra").join(now.select(F.col("was").alias("rb"), F.col("now").alias("nb")), "rb")
+            .where("na != nb").select("a", "ra", "b", "rb"))
+    some = _ends(some, units.select("gid", "root", "m"), "_x", "_y").where("m_x > 1 OR m_y > 1")  # others are their representatives
+    for end in "xy":
+        some = some.withColumn(f"part_{end}", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(f"m_{end}") / PART).cast("long") - 1)))
+    some = cut_lineage(some.select("a", "ra", "part_x", "b", "rb", "part_y"))
+    held = _in_parts(rooted.select("gid", "root", "sid"), "gid", "root").select("gid", "root", "part", "sid")
+    for gid, root, end in (("a", "ra", "x"), ("b", "rb", "y")):
+        some = some.join(held.select(F.col("gid").alias(gid), F.col("root").alias(root), F.col("part").alias(f"part_{end}"), F.col("sid").alias(end)), [gid, root, f"part_{end}"])
+    return _ordered(some)
+
+
+def _tie(tied: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) of those found before and of further links (x, y)."""
+    return components(tied.select(F.col("node").alias("x"), F.col("root").alias("y")).unionByName(links), "x", "y")
 
 
 def hub_pairs(long_lists: DataFrame) -> DataFrame:
@@ -377,22 +453,22 @@ def _close_in_list(token, n, sketches, reach, tokens, root, percent) -> Iterator
 
 
 def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of different components that meet in a list (token, gid, n, sid, root) and can be similar."""
+    """Pairs (a, ra, b, rb) of units in different components that meet in a list (token, gid, n, root) and can be similar."""
     mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    rows = cut_lineage(lists.join(mixed, "token").select("token", "n", "sid", "root", "gid"))
-    mine = rows.groupBy("sid").agg(F.array_sort(F.collect_set("token")).alias("tokens"))  # no more than a prefix
-    rows = rows.join(mine, "sid").join(groups.select("gid", sketch("int").alias("s"), reach().alias("r")), "gid")  # few chance matches keep the tables narrow
-    rows = rows.select("token", "n", "sid", "root", "s", "r", "tokens").repartition("token").sortWithinPartitions("token", "n", "sid")
+    rows = cut_lineage(lists.join(mixed, "token").select("token", "n", "gid", "root"))
+    mine = rows.groupBy("gid").agg(F.array_sort(F.collect_set("token")).alias("tokens"))  # no more than a prefix
+    rows = rows.join(mine, "gid").join(groups.select("gid", sketch("int").alias("s"), reach().alias("r")), "gid")  # few chance matches keep the tables narrow
+    rows = rows.select("token", "n", "gid", "root", "s", "r", "tokens").repartition("token").sortWithinPartitions("token", "n", "gid", "root")
 
     def cross(batches):
-        for token, n, sid, root, sketches, reach_, tokens in _runs(batches):
-            _, root = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
-            for a, b in _close_in_list(token[0], n.astype(np.int64), sketches, reach_, tokens, root, percent):
+        for token, n, gid, root, sketches, reach_, tokens in _runs(batches):
+            _, number = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
+            for a, b in _close_in_list(token[0], n.astype(np.int64), sketches, reach_, tokens, number, percent):
                 for lo in range(0, len(a), 1 << 15):
-                    yield pa.RecordBatch.from_arrays([pa.array(sid[a[lo : lo + (1 << 15)]].tolist(), pa.binary()), pa.array(sid[b[lo : lo + (1 << 15)]].tolist(), pa.binary())], ["x", "y"])
+                    u, v = a[lo : lo + (1 << 15)], b[lo : lo + (1 << 15)]
+                    yield pa.RecordBatch.from_arrays([pa.array(gid[u]), pa.array(root[u].tolist(), pa.binary()), pa.array(gid[v]), pa.array(root[v].tolist(), pa.binary())], ["a", "ra", "b", "rb"])
 
-    found = rows.mapInArrow(cross, "x binary, y binary")
-    return found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return rows.mapInArrow(cross, "a long, ra binary, b long, rb binary")
 
 
 def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -403,34 +479,32 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     sets = cut_lineage(signed.where("n > 0").groupBy("sid").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("m"), F.min("n").alias("n"), F.min("gid").alias("gid"))
         .select("sid", F.col("m.doc_id").alias("rep"), F.col("m.th").alias("th"), "n", "gid"))
-    linkable = sets.where("gid IS NOT NULL")
+    members = sets.where("gid IS NOT NULL").select("sid", "gid", "n")
     groups = cut_lineage(signed.where("gid IS NOT NULL").groupBy("gid", "n").agg(F.first("prefix").alias("prefix"), F.first("plain").alias("plain")))
     pairs, long_lists = group_pairs(groups, percent)
-    pairs = close_pairs(pairs.unionByName(hub_pairs(long_lists)).distinct(), groups, percent)
-    # members of one group meet each other: neighbours by id first, the rest after contraction
-    inside = linkable.select(F.col("gid").alias("token"), "sid")
-    several = inside.groupBy("token").count().where("count > 1").select("token")
-    inside = cut_lineage(inside.join(several, "token"))
-
-    def neighbours(batches):
-        for _, sid in _runs(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(sid[:-1].tolist(), pa.binary()), pa.array(sid[1:].tolist(), pa.binary())], ["x", "y"])
-
-    near = inside.repartition("token").sortWithinPartitions("token", "sid").mapInArrow(neighbours, "x binary, y binary")
-    first = cut_lineage(_members(pairs, linkable).unionByName(near).distinct())
-    links = verified(first, sets, rows, percent)
-    tied = components(links, "x", "y")
-
-    def rooted(lists):
-        return lists.join(tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-
-    spread = long_lists.select("token", "gid").join(linkable, "gid").select("token", "gid", "n", "sid")
+    pairs = cut_lineage(close_pairs(pairs.unionByName(hub_pairs(long_lists)).distinct(), groups, percent))
+    # members of one group are chained first; then one stands for all of a group and component
+    near = cut_lineage(_ordered(chains(members)))
+    tied = components(verified(near, sets, rows, percent), "x", "y")
+    units = _units(_rooted(members, tied))
+    first = cut_lineage(_ordered(_representatives(_between(pairs, units), units).unionByName(_pivots(units))).join(near, ["x", "y"], "left_anti"))
+    tied = _tie(tied, verified(first, sets, rows, percent))
+    tried = near.unionByName(first)
+    # what is still apart: lists and pairs of groups by representatives, then by all members
+    rooted = cut_lineage(_rooted(members, tied))
+    units = _units(rooted)
+    spread = long_lists.select("token", "gid").join(units, "gid").select("token", "gid", "n", "root")
     # members of one group have one prefix: they meet in a list of their own
-    alike = inside.join(linkable, "sid").select("token", "gid", "n", "sid")
-    left = cut_lineage(_across(rooted(spread), groups, percent).unionByName(_across(rooted(alike), groups, percent)).distinct().join(first, ["x", "y"], "left_anti"))
-    if not left.isEmpty():
-        links = links.unionByName(verified(left, sets, rows, percent))
-        tied = components(links, "x", "y")
+    alike = units.select(F.col("gid").alias("token"), "gid", "n", "root")
+    found = _between(pairs, units).unionByName(_across(spread, groups, percent)).unionByName(_across(alike, groups, percent))
+    swap = F.col("ra") > F.col("rb")
+    found = cut_lineage(found.select(*[F.when(swap, F.col(v)).otherwise(F.col(u)).alias(u) for u, v in (("a", "b"), ("ra", "rb"), ("b", "a"), ("rb", "ra"))]).distinct())
+    for whole in (False, True):
+        left = _members(found, units, rooted, tied) if whole else _representatives(found, units)
+        left = cut_lineage(left.join(tried, ["x", "y"], "left_anti"))
+        if not left.isEmpty():
+            tied = _tie(tied, verified(left, sets, rows, percent))
+            tried = tried.unionByName(left)
     home = sets.select("sid", "rep").join(tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     ids = home.groupBy("root").agg(F.min("rep").alias("component_id"))
     home = home.join(ids, "root").select("sid", "component_id")

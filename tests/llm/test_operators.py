@@ -354,6 +354,31 @@ def test_jaccard_odd(odd, none):
     assert jaccard.component_report(none).count() == 0 and jaccard.keep_one(none).count() == 0
 
 
+def test_jaccard_members_stay_folded(spark, monkeypatch):
+    """One-edit copies of a text: no product of a group's members with its partners is compared, and parts change nothing."""
+    monkeypatch.setattr(jaccard, "LISTED", 0)  # as where more lists are long than are put last
+    monkeypatch.setattr(jaccard, "PART", 16)
+    r = random.Random(9)
+    base = prose(150, r).split()
+    data = []
+    for i in range(240):
+        w = list(base)
+        w[r.randrange(150)] = f"edit{i}"
+        data.append((i, " ".join(w), None, None, 0))
+    data += [(300 + i, " ".join(base[:110]) + " " + prose(40, r), None, None, 0) for i in range(12)]  # far from the copies, sharing much of their prefixes
+    want = brute.components([(d[0], d[1]) for d in data])
+    compared, verified = [], jaccard.verified
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    got = by_id(jaccard.component_report(spark.createDataFrame(data, SCHEMA).repartition(4)))
+    assert {d: (v["n_shingles"], v["component_id"]) for d, v in got.items()} == want
+    assert sum(compared) <= 12 * 240 + 4 * len(data), compared  # each far text with all copies, and a few of each row
+
+
 # ---- 9 TIFF
 
 def test_tiff_codecs():
