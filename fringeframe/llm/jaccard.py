@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, in_steps, mix64, narrow, raw_texts
@@ -422,48 +422,79 @@ def _incidence(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 BLOCK = 512
 
 
-def _close_in_list(token, n, sketches, reach, tokens, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of a list (sorted by n) of different roots that the sketches leave possible.
+def _close_in_blocks(token, side, n, sketches, reach, tokens, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of two blocks of a list (or inside one, if ``side`` is 0 throughout; each sorted by n) of different roots that the sketches leave possible.
 
     ``tokens`` are each member's tokens with long lists: a pair is given in the list of the least
-    that it has in common. Counts of common values are matrix products, block by block.
+    that it has in common. Counts of common values are matrix products, BLOCK by BLOCK.
     """
     size = np.array([len(p) for p in sketches])
-    for i in range(0, len(n), BLOCK):
-        top = n[min(i + BLOCK, len(n)) - 1] * 100 // percent
-        for j in range(i, len(n), BLOCK):
-            if n[j] > top:
-                break
-            a, b = np.arange(i, min(i + BLOCK, len(n))), np.arange(j, min(j + BLOCK, len(n)))
-            both = a if i == j else np.concatenate([a, b])
+    cut = int(np.searchsorted(side, 1))
+    left = [np.arange(i, min(i + BLOCK, cut)) for i in range(0, cut, BLOCK)]
+    right = [np.arange(i, min(i + BLOCK, len(n))) for i in range(cut, len(n), BLOCK)]
+    for i, a in enumerate(left):
+        for b in right or left[i:]:
+            same = b is a
+            if n[b[0]] * percent > n[a[-1]] * 100 or n[a[0]] * percent > n[b[-1]] * 100:
+                continue
+            both = a if same else np.concatenate([a, b])
             if len(np.unique(root[both])) == 1:
                 continue
             _, table = _incidence([sketches[k] for k in both])
             known, lists = _incidence([tokens[k] for k in both])
             before = int(np.searchsorted(known, token))
-            at = slice(None) if i == j else slice(len(a), None)
+            at = slice(None) if same else slice(len(a), None)
             common, earlier = table[: len(a)] @ table[at].T, lists[: len(a), :before] @ lists[at, :before].T
             na, nb = n[a][:, None], n[b][None, :]
             ok = _short_side(na, nb, size[a][:, None], size[b][None, :], reach[a][:, None], reach[b][None, :], common, percent)
             ok &= (earlier == 0) & (root[a][:, None] != root[b][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
-            if i == j:
+            if same:
                 ok &= a[:, None] < b[None, :]
             u, v = np.nonzero(ok)
             yield a[u], b[v]
 
 
+#: Units of a long list in one block, about; a task holds two blocks at a time.
+PACK = 4096
+
+
+def _block_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Lists (token, gid, n, root) of several roots, cut into blocks: each row once for every pair of blocks (token, ci, bi, cj, bj) that it is in.
+
+    Blocks are in order of size. A root with PACK units in a list has blocks of its own, so the many copies of
+    a text meet the few strangers of their lists, not each other. Pairs of one root or of unlike sizes are left out.
+    """
+    by_root = lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
+    mixed = by_root.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
+    own = by_root.where(F.col("c") >= PACK).select("token", "root", F.col("root").alias("cls"))
+    rows = lists.join(mixed, "token").join(own, ["token", "root"], "left")
+    rows = cut_lineage(rows.select("token", F.coalesce("cls", F.lit("").cast("binary")).alias("cls"), "n", "gid", "root"))
+    sizes = rows.groupBy("token", "cls", "n").agg(F.count(F.lit(1)).alias("c"))  # a row a size: what the window holds
+    sizes = sizes.withColumn("begin", F.sum("c").over(Window.partitionBy("token", "cls").orderBy("n")) - F.col("c"))
+    rows = rows.join(sizes, ["token", "cls", "n"]).withColumn("block", F.floor((F.col("begin") + F.pmod(F.xxhash64("gid", "root"), "c")) / PACK).cast("long"))
+    rows = cut_lineage(rows.select("token", "cls", "block", "n", "gid", "root"))
+    blocks = rows.groupBy("token", "cls", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("root").alias("r"), F.max("root").alias("t"))
+    i, j = (blocks.select("token", *[F.col(c).alias(f"{d}{e}") for c, d in (("cls", "c"), ("block", "b"), ("lo", "lo"), ("hi", "hi"), ("r", "r"), ("t", "t"))]) for e in "ij")
+    met = (i.join(j, "token").where("ci < cj OR ci = cj AND bi <= bj").where("least(ri, rj) < greatest(ti, tj)")
+           .where(f"{percent} * loj <= 100 * hii AND {percent} * loi <= 100 * hij"))
+    first, second = (F.struct(F.lit(k).alias("side"), F.col(f"c{e}").alias("cls"), F.col(f"b{e}").alias("block")) for k, e in enumerate("ij"))
+    sides = F.when(F.expr("ci = cj AND bi = bj"), F.array(first)).otherwise(F.array(first, second))
+    met = met.select("token", "ci", "bi", "cj", "bj", F.explode(sides).alias("e")).select("token", "ci", "bi", "cj", "bj", "e.*")
+    return rows.join(met, ["token", "cls", "block"]).select("token", "ci", "bi", "cj", "bj", "side", "n", "gid", "root")
+
+
 def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, ra, b, rb) of units in different components that meet in a list (token, gid, n, root) and can be similar."""
-    mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    rows = cut_lineage(lists.join(mixed, "token").select("token", "n", "gid", "root"))
+    rows = cut_lineage(_block_pairs(lists, percent))
     mine = rows.groupBy("gid").agg(F.array_sort(F.collect_set("token")).alias("tokens"))  # no more than a prefix
     rows = rows.join(mine, "gid").join(groups.select("gid", sketch("int").alias("s"), reach().alias("r")), "gid")  # few chance matches keep the tables narrow
-    rows = rows.select("token", "n", "gid", "root", "s", "r", "tokens").repartition("token").sortWithinPartitions("token", "n", "gid", "root")
+    at = ["token", "ci", "bi", "cj", "bj"]
+    rows = rows.select(*at, "side", "n", "gid", "root", "s", "r", "tokens").repartition(*at).sortWithinPartitions(*at, "side", "n", "gid", "root")
 
     def cross(batches):
-        for token, n, gid, root, sketches, reach_, tokens in _runs(batches):
+        for token, _, _, _, _, side, n, gid, root, sketches, reach_, tokens in _runs(batches, len(at)):
             _, number = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
-            for a, b in _close_in_list(token[0], n.astype(np.int64), sketches, reach_, tokens, number, percent):
+            for a, b in _close_in_blocks(token[0], side, n.astype(np.int64), sketches, reach_, tokens, number, percent):
                 for lo in range(0, len(a), 1 << 15):
                     u, v = a[lo : lo + (1 << 15)], b[lo : lo + (1 << 15)]
                     yield pa.RecordBatch.from_arrays([pa.array(gid[u]), pa.array(root[u].tolist(), pa.binary()), pa.array(gid[v]), pa.array(root[v].tolist(), pa.binary())], ["a", "ra", "b", "rb"])

@@ -379,6 +379,27 @@ def test_jaccard_members_stay_folded(spark, monkeypatch):
     assert sum(compared) <= 12 * 240 + 4 * len(data), compared  # each far text with all copies, and a few of each row
 
 
+def test_jaccard_long_list_in_blocks(spark, monkeypatch):
+    """A list of many units is dealt out by pairs of blocks; copies of one root do not meet each other again."""
+    monkeypatch.setattr(jaccard, "PACK", 50)
+    data = [(1, g, 100 + g % 7, b"copy" if g < 900 else bytes([g % 251, g // 251])) for g in range(1000)]
+    got = jaccard._block_pairs(spark.createDataFrame(data, "token long, gid long, n long, root binary"), 85).collect()
+    runs = {}
+    for r in got:
+        runs.setdefault((r["ci"], r["bi"], r["cj"], r["bj"]), []).append(r)
+    assert max(map(len, runs.values())) <= 4 * 50
+    met = set()
+    for (ci, bi, cj, bj), rows in runs.items():
+        sides = [[(r["gid"], r["root"]) for r in rows if r["side"] == k] for k in (0, 1)]
+        for g, x in sides[0]:
+            for h, y in sides[1] or sides[0]:
+                if x != y:
+                    met.add((min(g, h), max(g, h)))
+                else:
+                    assert x != b"copy"
+    assert len(met) == 900 * 100 + 100 * 99 // 2
+
+
 # ---- 9 TIFF
 
 def test_tiff_codecs():
