@@ -62,11 +62,11 @@ def shingle_sets(body: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> lis
     return out
 
 
-def _sets(batches, column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _sets(batches, column: int, k: int = SHINGLE) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         body, offsets = raw_texts(batch.column(column))
         for lo, hi in in_steps(np.diff(offsets) + 1):
-            yield batch.slice(lo, hi - lo), shingle_sets(body[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            yield batch.slice(lo, hi - lo), shingle_sets(body[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], k)
 
 
 def _set_id(s: np.ndarray) -> bytes:
@@ -86,7 +86,7 @@ def _prefix_size(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def frequent_tokens(rows: DataFrame) -> np.ndarray:
+def frequent_tokens(rows: DataFrame, k: int = SHINGLE) -> np.ndarray:
     """Tokens to put last, at most LISTED; only the order of tokens depends on them."""
 
     def count(batches):
@@ -98,7 +98,7 @@ def frequent_tokens(rows: DataFrame) -> np.ndarray:
             often = n >= LOCAL
             return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
 
-        for _, sets in _sets(batches, 1):
+        for _, sets in _sets(batches, 1, k):
             seen += sets
             held += sum(map(len, sets))
             if held > 1 << 22:
@@ -112,14 +112,14 @@ def frequent_tokens(rows: DataFrame) -> np.ndarray:
     return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
 
 
-def signatures(rows: DataFrame, last, percent: int = PERCENT) -> DataFrame:
+def signatures(rows: DataFrame, last, percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
     """Of every row: doc_id, th (hash of the text), n, sid (its set) and, for sets that can have links, gid and prefix.
 
     ``plain`` counts the prefix's tokens that are not put last. ``last`` is the broadcast list of tokens that come last in the order.
     """
 
     def sign(batches):
-        for batch, sets in _sets(batches, 1):
+        for batch, sets in _sets(batches, 1, k):
             sid, gid, prefix, plain, often = [], [], [], [], last.value
             for s in sets:
                 n = len(s)
@@ -276,7 +276,7 @@ def close_pairs(pairs: DataFrame, groups: DataFrame, percent: int = PERCENT) ->
 FETCHED = 500_000
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, kind: str) -> DataFrame:
+def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, kind: str, k: int) -> DataFrame:
     """Of pairs (x, y) of sids, those whose sets, as hashes of the numpy type ``kind``, are similar enough."""
     need = pairs.select(F.col("x").alias("sid")).unionByName(pairs.select(F.col("y").alias("sid"))).distinct()
     which = cut_lineage(sets.join(need, "sid").select(F.col("rep").alias("r"), F.col("th").alias("t")))
@@ -286,7 +286,7 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
     drop = np.uint64(64 - 8 * np.dtype(kind).itemsize)
 
     def whole(batches):
-        for batch, found in _sets(batches, 0):
+        for batch, found in _sets(batches, 0, k):
             short = [(s >> drop).astype(kind).tobytes() for s in found]
             yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) for s in found], pa.binary()), pa.array(short, pa.binary())], ["sid", "tokens"])
 
@@ -306,12 +306,12 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
     return cut_lineage(wide.mapInArrow(compare, "x binary, y binary").distinct())
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
     """Of candidate pairs (x, y) of sids, those that are similar enough, judged on whole sets.
 
     First with 16 bits of each hash, which finds no fewer tokens in common, then with the whole hashes.
     """
-    return _compare(_compare(pairs, sets, rows, percent, "<u2"), sets, rows, percent, "<u8")
+    return _compare(_compare(pairs, sets, rows, percent, "<u2", k), sets, rows, percent, "<u8", k)
 
 
 #: Members of a group that one task chains, and that a pair of groups is expanded to at once.
@@ -502,11 +502,11 @@ def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(cross, "a long, ra binary, b long, rb binary")
 
 
-def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, sid of every row; sid names the row's set, null for none."""
     rows = narrow(docs, id_col, text_col)
-    last = rows.sparkSession.sparkContext.broadcast(frequent_tokens(rows))  # at most LISTED numbers
-    signed = signatures(rows, last, percent)
+    last = rows.sparkSession.sparkContext.broadcast(frequent_tokens(rows, k))  # at most LISTED numbers
+    signed = signatures(rows, last, percent, k)
     sets = cut_lineage(signed.where("n > 0").groupBy("sid").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("m"), F.min("n").alias("n"), F.min("gid").alias("gid"))
         .select("sid", F.col("m.doc_id").alias("rep"), F.col("m.th").alias("th"), "n", "gid"))
@@ -516,10 +516,10 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     pairs = cut_lineage(close_pairs(pairs.unionByName(hub_pairs(long_lists)).distinct(), groups, percent))
     # members of one group are chained first; then one stands for all of a group and component
     near = cut_lineage(_ordered(chains(members)))
-    tied = components(verified(near, sets, rows, percent), "x", "y")
+    tied = components(verified(near, sets, rows, percent, k), "x", "y")
     units = _units(_rooted(members, tied))
     first = cut_lineage(_ordered(_representatives(_between(pairs, units), units).unionByName(_pivots(units))).join(near, ["x", "y"], "left_anti"))
-    tied = _tie(tied, verified(first, sets, rows, percent))
+    tied = _tie(tied, verified(first, sets, rows, percent, k))
     tried = near.unionByName(first)
     # what is still apart: lists and pairs of groups by representatives, then by all members
     rooted = cut_lineage(_rooted(members, tied))
@@ -534,7 +534,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         left = _members(found, units, rooted, tied) if whole else _representatives(found, units)
         left = cut_lineage(left.join(tried, ["x", "y"], "left_anti"))
         if not left.isEmpty():
-            tied = _tie(tied, verified(left, sets, rows, percent))
+            tied = _tie(tied, verified(left, sets, rows, percent, k))
             tried = tried.unionByName(left)
     home = sets.select("sid", "rep").join(tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     ids = home.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -548,12 +548,12 @@ def component_report(docs: DataFrame) -> DataFrame:
     return join_sets(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
     """One row of each component, that with the least id; rows without words or id stay as they are.
 
     Rows of one id are told apart by nothing else, so one of them stays.
     """
-    found = join_sets(docs)
+    found = join_sets(docs, percent=percent, k=k)
     keep = cut_lineage(found.where("doc_id IS NOT NULL AND n_shingles > 0 AND doc_id = component_id").select("doc_id").distinct())
     other = docs.where(F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
     some = docs.where(F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))

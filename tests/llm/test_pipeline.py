@@ -52,3 +52,17 @@ def test_stage_on_awkward_tables(spark, sf, name, stage):
     if name != "token_store":
         assert stage(spark, wide, sf).columns == wide.columns
     assert n <= 3 * len(data)
+
+
+def test_near_copies_of_five_words_at_80(spark, sf):
+    """A copy with a fifth of text appended goes: 5-word similarity 0.8 to 0.85. One with a third stays."""
+    words = [f"w{i}" for i in range(126)]
+    texts = [words[:104], words, [f"v{i}" for i in range(104)], [f"v{i}" for i in range(134)]]
+    df = spark.createDataFrame([(i, " ".join(t), "en", "a", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def plain(k, percent):
+        sets = [{tuple(t[i : i + k]) for i in range(len(t) - k + 1)} for t in texts]
+        return [d for d, s in enumerate(sets) if not any(100 * len(s & t) >= percent * len(s | t) for t in sets[:d])]
+
+    got = sorted(r["doc_id"] for r in corpus_pipeline.fold_near_copies(spark, df, sf).collect())
+    assert got == plain(5, 80) == [0, 2, 3] and plain(4, 85) == [0, 1, 2, 3]
