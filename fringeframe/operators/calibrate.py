@@ -107,6 +107,27 @@ def apply_parallel(vis: DataFrame, g1: Cx, g2: Cx, min_det: float | None = None)
     return d.withColumn("__r", out.re).withColumn("im", out.im).withColumn("re", F.col("__r")).drop("__r", "__gr", "__gi")
 
 
+def apply_hands(vis: DataFrame, g1: tuple[Cx, Cx], g2: tuple[Cx, Cx], min_det: float = MIN_DET_STREAM) -> DataFrame:
+    """Every product ``pol`` divided by g1(first hand) conj(g2(second hand)); the gains are pairs for X and Y.
+
+    The four divisors are the diagonal of the product matrix. Its determinant, their product, is
+    tested for every row, whatever its own product is; a small one is an error, as is another ``pol``.
+    """
+    divisors = [a * b.conj() for a in g1 for b in g2]
+    d = vis
+    for r, g in enumerate(divisors):
+        d = d.withColumn(f"__g{r}_re", g.re).withColumn(f"__g{r}_im", g.im)
+    g = [Cx.of(f"__g{r}_re", f"__g{r}_im") for r in range(4)]
+    det = g[0].abs() * g[1].abs() * g[2].abs() * g[3].abs()
+    stop = lambda text: F.raise_error(F.lit(text)).cast("double")
+    pick = lambda part: F.coalesce(*[F.when(F.lower("pol") == p, getattr(x, part)) for p, x in zip(POLS, g)])
+    known = F.coalesce(F.lower("pol").isin(*POLS), F.lit(False))
+    d = d.withColumn("__gr", F.when(~known, stop("unknown product")).when(det < min_det, stop("gains too close to zero")).otherwise(pick("re"))).withColumn("__gi", pick("im"))
+    out = Cx.of("re", "im") / Cx.of("__gr", "__gi")
+    d = d.withColumn("__r", out.re).withColumn("im", out.im).withColumn("re", F.col("__r"))
+    return d.drop("__r", "__gr", "__gi", *[f"__g{r}_{c}" for r in range(4) for c in ("re", "im")])
+
+
 # ---------------------------------------------------------------- sums for solving
 
 def pre_average(samples: DataFrame, keys: Sequence[str]) -> DataFrame:

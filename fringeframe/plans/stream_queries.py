@@ -105,11 +105,33 @@ def jn4(spark, sf):
     side = lambda n: g.select(F.col("ant").alias(f"ant{n}"), F.col("g_re").alias(f"g_re_{n}"), F.col("g_im").alias(f"g_im_{n}"))
     v = vis_stream(spark, sf).where("pol <> 'XY'")
     v = joins.lookup_join(joins.lookup_join(v, side(1), ["ant1"]), side(2), ["ant2"])
-    out = calibrate.apply_parallel(v, Cx.of("g_re_1", "g_im_1"), Cx.of("g_re_2", "g_im_2"), calibrate.MIN_DET_STREAM)
+    g1, g2 = Cx.of("g_re_1", "g_im_1"), Cx.of("g_re_2", "g_im_2")
+    out = calibrate.apply_hands(v, (g1, g1), (g2, g2))
     t = sinks.drain(out.select("cycle", "ant1", "ant2", "re", "im"))
     return t.groupBy("cycle", "ant1", "ant2").agg(r6(F.sum("re"), 4).alias("re"), r6(F.sum("im"), 4).alias("im"))
 
 
+_HANDS = [("XX", "x", "x"), ("XY", "x", "y"), ("YX", "y", "x"), ("YY", "y", "y")]
+
+
+def _hand(part):
+    return "CASE pol " + " ".join(f"WHEN '{p}' THEN {part.format(a=a, b=b)}" for p, a, b in _HANDS) + " END"
+
+
+@op("jn4_hands", f"""WITH g AS (SELECT ant, MAX(g_re) AS xr, MAX(g_im) AS xi, MIN(g_re) AS yr, MIN(g_im) AS yi FROM v_cal GROUP BY ant),
+ j AS (SELECT v.*, {_hand('g1.{a}r * g2.{b}r + g1.{a}i * g2.{b}i')} AS gr, {_hand('g1.{a}i * g2.{b}r - g1.{a}r * g2.{b}i')} AS gi
+   FROM v_vis v JOIN g g1 ON g1.ant = v.ant1 JOIN g g2 ON g2.ant = v.ant2)
+SELECT cycle, ant1, ant2, pol, {rs('SUM((re * gr + im * gi) / (gr * gr + gi * gi))', 're', 4)}, {rs('SUM((im * gr - re * gi) / (gr * gr + gi * gi))', 'im', 4)} FROM j GROUP BY 1, 2, 3, 4""")
+def jn4_hands(spark, sf):
+    """As jn4 for all products, XY too, with a gain for each hand."""
+    g = view(spark, sf, "v_cal").groupBy("ant").agg(F.max("g_re").alias("xr"), F.max("g_im").alias("xi"), F.min("g_re").alias("yr"), F.min("g_im").alias("yi"))
+    side = lambda n: g.select(F.col("ant").alias(f"ant{n}"), *[F.col(c).alias(f"{c}_{n}") for c in ("xr", "xi", "yr", "yi")])
+    v = joins.lookup_join(joins.lookup_join(vis_stream(spark, sf), side(1), ["ant1"]), side(2), ["ant2"])
+    gains = lambda n: (Cx.of(f"xr_{n}", f"xi_{n}"), Cx.of(f"yr_{n}", f"yi_{n}"))
+    t = sinks.drain(calibrate.apply_hands(v, gains(1), gains(2)).select("cycle", "ant1", "ant2", "pol", "re", "im"))
+    return t.groupBy("cycle", "ant1", "ant2", "pol").agg(r6(F.sum("re"), 4).alias("re"), r6(F.sum("im"), 4).alias("im"))
+
+
 @op("snk1", """SELECT beam, CAST(chan // 18 AS BIGINT) AS freq_chunk, 'vis_' || STRFTIME(ts, '%Y-%m-%d') || '_b' || beam || '_f' || (chan // 18) || '.ms' AS name, COUNT(*) AS n_vis FROM v_vis GROUP BY 1, 2, 3""")
 def snk1(spark, sf):
     """Visibilities streamed to a folder for each date and read back; beam and frequency chunk are columns there."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fringeframe.functions import healpix as hp
 from fringeframe.functions import order, prefix, sky, spectral
+from fringeframe.functions.cx import Cx
 from fringeframe.operators import average, calibrate, detect, flag, image, joins, match, predict, select, skymodel, spectra, summary
 from fringeframe.sources import caltext, catalogue
 from fringeframe.streaming import sinks
@@ -436,3 +437,18 @@ def test_lookup_join_beyond_the_broadcast_size(spark, monkeypatch):
     small = sorted(tuple(r) for r in joins.lookup_join(facts, table, ["k"], "left").select("id", "name").collect())
     monkeypatch.setattr(joins, "SMALL", 0)
     assert sorted(tuple(r) for r in joins.lookup_join(facts, table, ["k"], "left").select("id", "name").collect()) == small
+
+
+def test_hands_and_determinant(spark):
+    """Each product has its own divisor; the determinant of all four is tested, not one of them."""
+    cols = "pol string, re double, im double, x1 double, y1 double, x2 double, y2 double"
+    zero = F.lit(0.0)
+    gains = [(Cx(F.col(f"x{n}"), zero), Cx(F.col(f"y{n}"), zero)) for n in (1, 2)]
+    apply = lambda rows: [(r["pol"], r["re"], r["im"]) for r in calibrate.apply_hands(spark.createDataFrame(rows, cols), *gains).collect()]
+    assert apply([(p, 60.0, -30.0, 2.0, 3.0, 1.0, 5.0) for p in ("XX", "XY", "YX", "YY")]) == [
+        ("XX", 30.0, -15.0), ("XY", 6.0, -3.0), ("YX", 20.0, -10.0), ("YY", 4.0, -2.0)]
+    assert apply([("XX", 1.0, 0.0, 1e-6, 1e4, 1.0, 1.0)])[0][1] == pytest.approx(1e6)  # the determinant is 1e-4
+    with pytest.raises(Exception, match="too close to zero"):
+        apply([("XX", 1.0, 0.0, 1.0, 1e-3, 1.0, 1.0)])  # 1e-6, by the other hand
+    with pytest.raises(Exception, match="unknown product"):
+        apply([("I", 1.0, 0.0, 1.0, 1.0, 1.0, 1.0)])
