@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import balanced_shards, chat, decontaminate, jaccard, langid, mixing, phrase_dedup, suffix_dedup, tiff, token_store
+from . import balanced_shards, chat, decontaminate, html_extract, jaccard, langid, merkle, mixing, phrase_dedup, suffix_dedup, tiff, token_store, whitening
 
 ORACLES: dict[str, str] = {}
 
@@ -79,6 +79,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.copy_report(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 ORACLES["op3_phrase_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 x AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
@@ -121,6 +133,48 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id,
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of ON x = d.doc_id
 """
 
+ORACLES["op12_merkle"] = r"""
+WITH RECURSIVE d AS (
+    SELECT *, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, (x & 1) * 3988292384))) AS crc,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+l AS (
+    SELECT doc_id, lang, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree, xor(crc, 4294967295) % 3 = 0 AS tampered, f || s AS front, coalesce(strlen(text) || ':' || text, '-') AS body,
+           coalesce(strlen(low) || ':' || low, '-') AS other
+    FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') AS f,
+                 coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS s FROM d)),
+h AS (SELECT doc_id, tree, sha256(front || body) AS leaf, CASE WHEN tampered THEN sha256(front || other) ELSE sha256(front || body) END AS found FROM l),
+n AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, found) - 1 AS pos FROM h),
+up AS (
+    SELECT tree, 0 AS height, pos, leaf AS hash FROM n
+    UNION ALL
+    SELECT tree, height + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)) FROM (SELECT *, max(pos) OVER (PARTITION BY tree) AS last FROM up) WHERE last > 0 GROUP BY tree, height, pos // 8),
+top AS (SELECT tree, max(height) AS height, max_by(hash, height) AS subroot FROM up GROUP BY tree),
+up2 AS (
+    SELECT 0 AS height, tree - 1 AS pos, subroot AS hash FROM top
+    UNION ALL
+    SELECT height + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)) FROM (SELECT *, max(pos) OVER () AS last FROM up2) WHERE last > 0 GROUP BY height, pos // 8),
+steps AS (
+    SELECT u.tree, u.height, u.pos, coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+           coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+    FROM up u JOIN top t ON u.tree = t.tree AND u.height < t.height WINDOW w AS (PARTITION BY u.tree, u.height, u.pos // 8 ORDER BY u.pos)
+    UNION ALL
+    SELECT 0, height, pos, coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+           coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '')
+    FROM up2 WHERE height < (SELECT max(height) FROM up2) WINDOW w AS (PARTITION BY height, pos // 8 ORDER BY pos)),
+walk AS (
+    SELECT doc_id, leaf, tree, pos AS r0, tree AS inside, 0 AS height, pos, found AS acc, '' AS siblings FROM n
+    UNION ALL
+    SELECT w.doc_id, w.leaf, w.tree, w.r0, CASE WHEN s.tree IS NULL THEN 0 ELSE w.inside END, CASE WHEN s.tree IS NULL THEN 0 ELSE w.height + 1 END,
+           CASE WHEN s.tree IS NULL THEN w.tree - 1 ELSE w.pos // 8 END, CASE WHEN s.tree IS NULL THEN w.acc ELSE sha256(s.a || w.acc || s.b) END,
+           CASE WHEN s.tree IS NULL THEN w.siblings ELSE w.siblings || s.a || s.b END
+    FROM walk w LEFT JOIN steps s ON s.tree = w.inside AND s.height = w.height AND s.pos = w.pos WHERE s.tree IS NOT NULL OR w.inside > 0),
+ended AS (SELECT * FROM walk WHERE inside = 0 AND height = (SELECT max(height) FROM up2)),
+root AS (SELECT max_by(hash, height) AS root FROM up2)
+SELECT e.doc_id, e.leaf, t.subroot, r.root, sha256(e.siblings) AS proof_sha256, e.acc AS folded_root, e.acc = r.root AS verified
+FROM ended e JOIN top t ON t.tree = e.tree CROSS JOIN root r
+"""
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
@@ -133,4 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_tiff_pages": op9_tiff_pages,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_merkle": op12_merkle,
+    "op13_html_extract": op13_html_extract,
 }
