@@ -17,6 +17,7 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ WORDS = frozenset("""ad ads advert adverts advertisement advertisements advertis
 PAGE_HEADERS = frozenset("header masthead site-header page-header main-header global-header top-header siteheader pageheader".split())
 NEGATION = frozenset("no not has have with without is can".split())
 
-OTHER, MAIN, ARTICLE, MARKED = 0, 1, 2, 3
+OUTER, OTHER, MAIN, ARTICLE, MARKED = -1, 0, 1, 2, 3
 
 _ATTRS = r"""((?>=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)"""
 _TAG = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)" + _ATTRS + r">?|<[!?/][^>]*>?", re.S)
@@ -210,32 +211,76 @@ def _middle(a: list, b: list) -> tuple[list[int], list[int]]:
     return x[::-1], y[::-1]
 
 
-_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("texts", pa.list_(pa.string())), ("kinds", pa.list_(pa.int8())),
-                     ("marks", pa.list_(pa.binary())), ("digest", pa.binary())])
-_PARSED_DDL = "page_id long, url string, texts array<string>, kinds array<byte>, marks array<binary>, digest binary"
 #: Characters of markup whose pages are handed on together.
 _BATCH = 1 << 22
+_SIGNED = pa.schema([("url", pa.string()), ("digest", pa.binary()), ("marks", pa.list_(pa.int64()))])
+_PACKED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("digest", pa.binary()), ("kinds", pa.list_(pa.int8())), ("packed", pa.binary())])
+_TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_shared", pa.int64()), ("n_marked", pa.int64())])
+_DDL = {"_SIGNED": "url string, digest binary, marks array<long>", "_PACKED": "page_id long, url string, digest binary, kinds array<byte>, packed binary",
+        "_TEXTS": "page_id long, url string, text string, n_chars long, n_shared long, n_marked long"}
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _PARSED)], schema=_PARSED)
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
-    for b in batches:
-        rows, size = [], 0
-        for page, url, html in zip(*[b.column(i).to_pylist() for i in range(3)]):
-            lines = page_lines(html) if html else []
-            best = max((k for _, k in lines if k in (MAIN, ARTICLE)), default=OTHER)
-            marks = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t, _ in lines]
-            # only lines that can be part of the text travel on; all of them are aligned
-            rows.append((page, url, [t if k == best else "" for t, k in lines], [k if k in (best, MARKED) else -1 for t, k in lines], marks,
-                         hashlib.md5(b"".join(marks)).digest()))
-            size += len(html or "")
-            if size > _BATCH:
-                yield batch(rows)
-                rows, size = [], 0
-        if rows:
-            yield batch(rows)
+
+def _in_batches(rows: Iterator[tuple[int, tuple]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """(size, row) pairs as record batches of about ``_BATCH``."""
+    held, size = [], 0
+    for n, row in rows:
+        held.append(row)
+        size += n + 100
+        if size > _BATCH:
+            yield _batch(held, schema)
+            held, size = [], 0
+    if held:
+        yield _batch(held, schema)
+
+
+def _digest(lines: list[tuple[str, int]]) -> bytes:
+    return hashlib.md5("\n".join(t for t, _ in lines).encode()).digest()
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """url, digest of all lines and a 64-bit mark of each line; marks only ever meet those of one neighbour."""
+    def rows():
+        for b in batches:
+            for url, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                lines = page_lines(html) if html else []
+                marks = [int.from_bytes(hashlib.md5(t.encode()).digest()[:8], "little", signed=True) for t, _ in lines]
+                yield len(html or ""), (url, _digest(lines), marks)
+
+    yield from _in_batches(rows(), _SIGNED)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """page_id, url, digest, kinds and the compressed lines that can be part of the text; the others' places stay empty."""
+    pack = zstandard.ZstdCompressor()
+
+    def rows():
+        for b in batches:
+            for page, url, html in zip(*[b.column(i).to_pylist() for i in range(3)]):
+                lines = page_lines(html) if html else []
+                best = max((k for _, k in lines if k in (MAIN, ARTICLE)), default=OTHER)
+                kinds = [k if k in (best, MARKED) else OUTER for _, k in lines]
+                yield len(html or ""), (page, url, _digest(lines), kinds, pack.compress("\n".join(t if k == best else "" for t, k in lines).encode()))
+
+    yield from _in_batches(rows(), _PACKED)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of every page: its candidate lines without those that it shares."""
+    pack = zstandard.ZstdDecompressor()
+
+    def rows():
+        for b in batches:
+            for page, url, kinds, packed, shared in zip(*[b.column(i).to_pylist() for i in range(5)]):
+                lines = pack.decompress(packed).decode().split("\n")
+                gone = {i for i in shared or () if kinds[i] not in (MAIN, ARTICLE)}
+                text = "\n\n".join(t for i, (t, k) in enumerate(zip(lines, kinds)) if k in (OTHER, MAIN, ARTICLE) and i not in gone)
+                yield len(text), (page, url, text, len(text), len(gone), sum(k == MARKED for k in kinds))
+
+    yield from _in_batches(rows(), _TEXTS)
 
 
 def url_path(url: Column) -> tuple[Column, Column]:
@@ -303,21 +348,15 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host, path = url_path(F.col("url"))
-    parsed = cut_lineage(rows.mapInArrow(_parse, _PARSED_DDL).withColumn("host", host).withColumn("path", path))
-    shared = cut_lineage(shared_lines(parsed.select("host", "path", "digest", "marks")))
-    lines = parsed.select("page_id", "url", "host", "digest", "texts", "kinds")
-    total = lines.count()
+    signed = cut_lineage(rows.select("url", "html").mapInArrow(_sign, _DDL["_SIGNED"]).select(host.alias("host"), path.alias("path"), "digest", "marks"))
+    shared = cut_lineage(shared_lines(signed))
+    total = signed.count()
     hot = shared.where(F.col("n") * HOT > total).select("host", "digest", F.col("shared").alias("hot_shared"))
     cold = shared.where(F.col("n") * HOT <= total).select("host", "digest", "shared")
-    found = lines.join(F.broadcast(hot), ["host", "digest"], "left")
-    bound = found.where("hot_shared IS NOT NULL OR host IS NULL").withColumn("shared", F.col("hot_shared"))
-    free = found.where("hot_shared IS NULL AND host IS NOT NULL").join(cold, ["host", "digest"], "left")
-    out = bound.select("page_id", "url", "texts", "kinds", "shared").unionByName(free.select("page_id", "url", "texts", "kinds", "shared"))
-    deleted = lambda i, k: (k < MAIN) & F.array_contains(F.coalesce("shared", F.array().cast("array<int>")), i)
-    each = F.transform(F.arrays_zip("texts", "kinds"), lambda z, i: F.struct(z["texts"].alias("t"), z["kinds"].alias("k"), i.alias("i")))
-    own = F.filter(each, lambda z: (z["k"] >= OTHER) & (z["k"] != MARKED) & ~deleted(z["i"], z["k"]))
-    text = F.array_join(F.transform(own, lambda z: z["t"]), "\n\n")
-    either = F.coalesce(F.size(F.filter("shared", lambda i: F.get("kinds", i).isin(-1, OTHER, MARKED))), F.lit(0)).cast("long")
-    marked = F.size(F.filter("kinds", lambda k: k == MARKED)).cast("long")
-    return out.select("page_id", "url", text.alias("text"), either.alias("n_shared"), marked.alias("n_marked")).select(
-        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_shared", "n_marked")
+    # pages are read and cut into lines again: what travels is their compressed text, once
+    packed = rows.mapInArrow(_pack, _DDL["_PACKED"]).withColumn("host", host).withColumn("row", F.monotonically_increasing_id())
+    found = packed.join(F.broadcast(hot), ["host", "digest"], "left")
+    # rows that have their answer meet nothing more and are dealt evenly by their own number
+    key = F.when(F.col("hot_shared").isNull(), F.col("digest")).otherwise(F.sha1(F.col("row").cast("string").cast("binary")).cast("binary"))
+    met = found.withColumn("key", key).join(cold.withColumnRenamed("digest", "key").hint("merge"), ["host", "key"], "left")
+    return met.select("page_id", "url", "kinds", "packed", F.coalesce("hot_shared", "shared").alias("shared")).mapInArrow(_unpack, _DDL["_TEXTS"])

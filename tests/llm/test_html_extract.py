@@ -43,7 +43,7 @@ def plain_shared(rows):
         m = re.match(r"https?://([^/?#]*)([^?#]*)", r["url"])
         lines = X.page_lines(r["html"])
         path = re.sub(r"(?:\.html?|/)$", "", m[2])
-        key = (m[1], X.hashlib.md5(b"".join(X.hashlib.md5(t.encode()).digest() for t, _ in lines)).digest())
+        key = (m[1], X._digest(lines))
         units[key] = (min(units.get(key, (path,))[0], path), [t for t, _ in lines])
         pages.append((r["page_id"], key, lines))
     order = sorted((k[0].encode(), v[0].encode(), k[1], v[1]) for k, v in units.items())
