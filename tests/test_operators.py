@@ -278,6 +278,50 @@ def test_components_do_not_depend_on_tiles(spark, tile, reach):
     assert got == label
 
 
+def _grown(points, reach, chan_reach):
+    """Objects by growing from every point."""
+    label = {}
+    for p in sorted(points, key=lambda q: (q[2], q[1], q[0])):
+        stack, root = ([p], (p[2] * detect.ROW + p[1]) * detect.ROW + p[0]) if p not in label else ([], 0)
+        label.setdefault(p, root)
+        while stack:
+            x, y, c = stack.pop()
+            near = [q for q in points if q not in label and abs(q[0] - x) <= reach and abs(q[1] - y) <= reach and abs(q[2] - c) <= chan_reach]
+            label.update((q, root) for q in near)
+            stack += near
+    return label
+
+
+@pytest.mark.parametrize("tile,chan_tile,reach,chan_reach,share", [(4, 3, 1, 1, 0.12), (16, 16, 1, 1, 0.12), (5, 7, 3, 7, 0.01), (6, 2, 2, 0, 0.05), (3, 8, 3, 1, 0.02)])
+def test_objects_on_three_axes(spark, tile, chan_tile, reach, chan_reach, share):
+    """Any tiling gives the objects of plain growth, also a thread that winds through many tiles."""
+    rng = random.Random(tile)
+    points = {(x, y, c) for x in range(13) for y in range(13) for c in range(11) if rng.random() < share} | {(i, 12 - i, min(i, 10)) for i in range(13)}
+    d = spark.createDataFrame([(5, *p) for p in points], "image_id long, x long, y long, chan int")
+    got = {(r["x"], r["y"], r["chan"]): r["obj_id"] for r in detect.label_objects(d, reach, tile, "chan", chan_reach, chan_tile).collect()}
+    assert got == _grown(points, reach, chan_reach)
+
+
+def test_runs_of_a_tile():
+    """Label of a tile against growth, with negative places and rows at the edge of the box."""
+    rng = random.Random(3)
+    for reach, chan_reach in ((1, 0), (1, 1), (2, 3), (4, 1)):
+        for _ in range(30):
+            points = sorted({(rng.randrange(-9, 9), rng.randrange(-5, 5), rng.randrange(-4, 4)) for _ in range(rng.randrange(1, 60))})
+            x, y, c = (np.array(v) for v in zip(*points))
+            root = detect.label_tile(x, y, c, reach, chan_reach)
+            want = _grown(points, reach, chan_reach)
+            assert {p: points[r] for p, r in zip(points, root)} == {p: min((q for q in points if want[q] == want[p]), key=lambda q: (q[2], q[1], q[0])) for p in points}
+
+
+def test_object_limits(spark):
+    line = [(0, x, 0, c, 1) for x in range(2) for c in range(3)] + [(0, x, 5, 0, 2) for x in range(9)] + [(0, 9, 9, c, 3) for c in range(9)]
+    d = spark.createDataFrame(line, "image_id long, x long, y long, chan long, obj_id long")
+    kept = lambda **k: sorted({r["obj_id"] for r in detect.keep_objects(d, **k).collect()})
+    assert kept() == [1] and kept(min_pix=1, min_chan=1) == [1, 2, 3] and kept(min_pix=1, min_chan=1, max_chan=3) == [1, 2]
+    assert kept(min_pix=1, min_chan=1, min_vox=7) == [2, 3] and kept(min_pix=1, min_chan=1, max_pix=2, max_vox=8) == [1]
+
+
 # ---------------------------------------------------------------- calibration and prediction
 
 def _four_pols(spark, v, extra):
