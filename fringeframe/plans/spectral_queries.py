@@ -154,12 +154,22 @@ def _mon_sql(lo, hi):
 SELECT spec_id, n, {rsql({'amplitude': 'SQRT(re * re + im * im)', 'phase': 'DEGREES(ATAN2(im, re))', 'delay_ns': '1e9 * d'})} FROM mn JOIN dl USING (spec_id)"""
 
 
-def _monitor(spark, sf, lo=None, hi=None):
-    s = complex_spectra(spark, sf).withColumn("flag", F.transform("re", lambda x, i: i % 5 == 0))
-    m = sp.monitor_average(s, ["spec_id"], RES, lo, hi).withColumn("delay_ns", F.col("delay") * 1e9)
+def monitored_spectra(spark, sf):
+    return complex_spectra(spark, sf).withColumn("flag", F.transform("re", lambda x, i: i % 5 == 0))
+
+
+def preview(spectra, lo=None, hi=None):
+    return sp.monitor_average(spectra, ["spec_id"], RES, lo, hi).withColumn("delay_ns", F.col("delay") * 1e9)
+
+
+def monitor_columns(m):
     return rounded(m, ["spec_id", "n"], ["amplitude", "phase", "delay_ns"])
 
 
+def _monitor(spark, sf, lo=None, hi=None):
+    return monitor_columns(preview(monitored_spectra(spark, sf), lo, hi))
+
+
 @op("agg30", _mon_sql(0, NC - 1))
 def agg30(spark, sf):
     return _monitor(spark, sf)

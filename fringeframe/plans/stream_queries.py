@@ -8,12 +8,12 @@ from ..functions.cx import Cx
 from ..operators import calibrate, flag, joins, skymodel
 from ..session import shared_path
 from ..sources import catalogue, streams
-from ..streaming import merge, sinks, state
+from ..streaming import cycles, merge, sinks, state
 from ..views import VIEWS, tables, view
 from .calibration_queries import _G12, rs
 from .flag_queries import _SH, _shadow
-from .registry import op, r6
-from .spectral_queries import _DATA
+from .registry import ORACLES, op, r6
+from .spectral_queries import _DATA, monitor_columns, monitored_spectra, preview
 
 
 def stage(df, fmt="parquet", name="stage"):
@@ -74,6 +74,103 @@ def str1_stream(spark, sf):
     return sinks.drain(j.select("meta_ms", "t_ms", "scan_id", "cycle_flag")).groupBy("meta_ms", "t_ms", "scan_id", "cycle_flag").agg(F.count(F.lit(1)).alias("n_vis"))
 
 
+EPOCH = 1_500_000_000_000  # milliseconds; time zero would be behind the first watermark
+STEPS = 8
+
+
+def arriving(df, time, parts=4, late=None):
+    """A stream of ``df`` that arrives in steps of 8000 ms, a trigger each; ``late`` arrives last."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, "arriving")
+    df = df.withColumn("step", F.floor(F.col(time) / 8000))
+    for i in range(STEPS + 1):
+        df.where(F.col("step") == i).drop("step").repartition(parts).write.mode("append").parquet(path)
+    if late is not None:
+        late.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.drop("step").schema).option("maxFilesPerTrigger", parts).parquet(path)
+
+
+def _grams(spark, sf):
+    """(stream, t_ms, item): datagrams of each beam, a channel each, at the jittered times of str1."""
+    t = (F.col("cycle") * 1000 + (F.col("cycle") * 7) % 9 * 100).alias("t_ms")
+    return view(spark, sf, "v_vis").select(F.col("beam").alias("stream"), t, F.col("chan").alias("item"))
+
+
+def _late(grams):
+    """Rows that come an observation late, under numbers of their own that would show."""
+    return grams.where("t_ms < 8000 AND stream = 1").withColumn("item", F.col("item") + 100).distinct()
+
+
+def _merged(spark, sf):
+    """Datagrams of four streams merged with metadata that ends each stream at another cycle."""
+    m = view(spark, sf, "v_meta").withColumn("stream", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
+    m = m.select("stream", (F.col("cycle") * 1000).alias("t_ms"), F.when(F.col("cycle") == 50 + 3 * F.col("stream"), F.lit(-2)).otherwise(F.col("scan_id")).alias("scan_id"))
+    v = _grams(spark, sf).distinct()
+    return cycles.merged_cycles(arriving(v, "t_ms", parts=1, late=_late(v)), arriving(m, "t_ms", parts=1), 1000, 150, EPOCH)
+
+
+_MERGED = """WITH d AS (SELECT DISTINCT beam AS stream, cycle * 1000 + (cycle * 7) % 9 * 100 AS t, chan FROM v_vis),
+ m AS (SELECT stream, cycle * 1000 AS t, CASE WHEN cycle = 50 + 3 * stream THEN -2 ELSE scan_id END AS scan_id FROM v_meta CROSS JOIN (SELECT UNNEST(RANGE(4)) AS stream)),
+ fin AS (SELECT stream, MIN(t) AS t_end FROM m WHERE scan_id = -2 GROUP BY 1),
+ c AS (SELECT m.* FROM m LEFT JOIN fin USING (stream) WHERE scan_id >= 0 AND (t_end IS NULL OR m.t < t_end)),
+ f AS (SELECT c.stream, c.t AS meta_ms, c.scan_id, MIN(d.t) AS t_ms FROM c LEFT JOIN d ON d.stream = c.stream AND ABS(d.t - c.t) * 2 < 1000 GROUP BY 1, 2, 3)"""
+
+
+@op("str1_merge", _MERGED + """ SELECT f.stream, meta_ms, t_ms, scan_id, COALESCE(t_ms <> meta_ms, FALSE) AS flag, COUNT(d.chan) AS n_received
+FROM f LEFT JOIN d ON d.stream = f.stream AND d.t = f.t_ms GROUP BY ALL""")
+def str1_merge(spark, sf):
+    """The merge rule by rule over many triggers: end scan, idle scans, mistimed, skipped and incomplete cycles, late data."""
+    return sinks.drain(_merged(spark, sf), timers=True).select("stream", "meta_ms", "t_ms", "scan_id", "flag", F.size("received").cast("long").alias("n_received"))
+
+
+@op("str3_stream", _MERGED + """, g AS (SELECT f.*, i FROM f CROSS JOIN (SELECT UNNEST(RANGE(54)) AS i))
+SELECT g.stream, meta_ms, COUNT(*) AS n_expected, COUNT(*) - COUNT(d.chan) AS n_missing, COUNT(*) FILTER (d.chan IS NULL OR t_ms <> meta_ms) AS n_flagged
+FROM g LEFT JOIN d ON d.stream = g.stream AND d.t = g.t_ms AND d.chan = g.i GROUP BY 1, 2""")
+def str3_stream(spark, sf):
+    """What did not arrive before a cycle was closed stays flagged."""
+    grid = cycles.expected_grid(sinks.drain(_merged(spark, sf), timers=True), 54)
+    n = lambda c: F.sum(F.col(c).cast("long"))
+    return grid.groupBy("stream", "meta_ms").agg(F.count(F.lit(1)).alias("n_expected"), n("missing").alias("n_missing"), n("flag").alias("n_flagged"))
+
+
+@op("str2_stream", f"WITH {_DATA} SELECT beam AS stream, t AS t_ms, COUNT(*) AS n_vis, COUNT(DISTINCT chan) AS n_chan FROM d WHERE t + 2150 < (SELECT MAX(t) FROM d) GROUP BY 1, 2")
+def str2_stream(spark, sf):
+    """Chunks without metadata; the last two seconds are still open when the source is drained."""
+    g = _grams(spark, sf)
+    return sinks.drain(cycles.chunks(arriving(g, "t_ms", late=_late(g)), 150, EPOCH), timers=True)
+
+
+@op("str4_stream", """WITH p AS (SELECT DISTINCT cycle, chan // 9 AS stream, cycle * 1000 + CASE WHEN (cycle + chan // 9) % 4 = 0 THEN 1 WHEN (cycle * 3 + chan // 9) % 5 = 0 THEN 2 ELSE 0 END AS t FROM v_vis
+  WHERE (cycle * 5 + chan // 9) % 11 <> 0),
+ v AS (SELECT cycle, t, COUNT(*) AS n, MIN(stream) AS s0 FROM p GROUP BY 1, 2), b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY cycle ORDER BY n DESC, s0) AS k, SUM(n) OVER (PARTITION BY cycle) AS tot FROM v)
+SELECT p.cycle, p.stream, b.t AS merged_time, CAST(b.tot - b.n AS BIGINT) AS misaligned, p.t <> b.t AS flag FROM p JOIN b ON b.cycle = p.cycle AND b.k = 1
+WHERE tot = 6 OR p.cycle * 1000 + 2152 < (SELECT MAX(t) FROM p)""")
+def str4_stream(spark, sf):
+    """Channel merge of streams of which some miss a cycle; late parts change nothing."""
+    s, c = F.floor(F.col("chan") / 9), F.col("cycle")
+    jit = F.when((c + s) % 4 == 0, 1).when((c * 3 + s) % 5 == 0, 2).otherwise(0)
+    p = view(spark, sf, "v_vis").select("cycle", s.alias("stream"), (c * 1000 + jit).alias("t_ms")).where((c * 5 + F.col("stream")) % 11 != 0).distinct()
+    late = p.where("cycle < 8").withColumn("t_ms", F.col("t_ms") + 5)
+    return sinks.drain(cycles.merged_channels(arriving(p, "t_ms", parts=1, late=late), 6, 150, EPOCH), timers=True)
+
+
+@op("str10_stream")
+def str10_stream(spark, sf):
+    """Monitoring store as an update stream over several triggers."""
+    m = view(spark, sf, "v_mon").withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value"))).withColumn("t_ms", (F.col("event_id") % STEPS) * 8000)
+    last = merge.latest_points(arriving(m, "t_ms"), ["antenna", "point"])
+    return sinks.drain_updates(last, ["antenna", "point"]).select("antenna", "point", F.round("last.value", 6).alias("value"))
+
+
+@op("str11_stream")
+def str11_stream(spark, sf):
+    """Live preview: averages of a channel range leave with each trigger, a spectrum at a time."""
+    s = monitored_spectra(spark, sf).withColumn("t_ms", (F.col("spec_id") % STEPS) * 8000)
+    return monitor_columns(sinks.drain(preview(arriving(s, "t_ms").drop("t_ms"), 4, 20)))
+
+
+ORACLES.update(str10_stream=ORACLES["str10"], str11_stream=ORACLES["str11"])  # equal to the batch forms
+
+
 @op("str7", """SELECT cycle, scan_id, CASE WHEN scan_id = -1 THEN 'idle' ELSE 'active' END AS state FROM v_meta""")
 def str7(spark, sf):
     return sinks.drain(state.scan_states(meta_stream(spark, sf))).select("cycle", "scan_id", "state")

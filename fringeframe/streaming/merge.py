@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +40,6 @@ def merge_streams(vis: DataFrame, meta: DataFrame, interval_ms: int, delay: str)
     return j.withColumn("cycle_flag", F.col("t_ms") != F.col("meta_ms")).drop("bin", "meta_bin", "meta_event")
 
 
-def cycles_without_metadata(vis: DataFrame, delay: str) -> DataFrame:
-    """Chunks per time and beam when there is no metadata; data behind the watermark is dropped."""
-    return (vis.withWatermark("event_time", delay).groupBy("event_time", "beam")
-            .agg(F.count(F.lit(1)).alias("n_vis"), F.approx_count_distinct("chan").alias("n_chan")))
-
-
-def latest_points(points: DataFrame) -> DataFrame:
+def latest_points(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Last value per monitoring point, for update mode; a null value invalidates the point."""
-    return points.groupBy("point").agg(F.max_by(F.struct("ts", "value"), "ts").alias("last"))
+    return points.groupBy(*keys).agg(F.max_by(F.struct("ts", "value"), "ts").alias("last"))

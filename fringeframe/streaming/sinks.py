@@ -49,10 +49,29 @@ def send(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint:
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def drain(stream: DataFrame) -> DataFrame:
+#: State store with timers and named states.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def drain(stream: DataFrame, timers: bool = False) -> DataFrame:
     """Run an append stream until its source is drained and return the written table."""
-    spark = stream.sparkSession
-    path, ckpt = shared_path(spark, "sink"), shared_path(spark, "ckpt")
-    q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination()
+    spark, key = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    path, ckpt, before = shared_path(spark, "sink"), shared_path(spark, "ckpt"), spark.conf.get(key)
+    if timers:
+        spark.conf.set(key, STATE_STORE)
+    try:
+        q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(stream.schema).parquet(path)
+
+
+def drain_updates(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Run an update stream until its source is drained; of each key the row of the last batch."""
+    spark = stream.sparkSession
+    path = shared_path(spark, "updates")
+    write = lambda batch, i: batch.withColumn("batch", F.lit(i)).write.mode("overwrite").parquet(f"{path}/part={i}")
+    stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", shared_path(spark, "ckpt")).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(path)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in stream.columns if c not in keys]), "batch").alias("r")).select(*keys, "r.*")

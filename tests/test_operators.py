@@ -13,7 +13,8 @@ from fringeframe.functions import order, prefix, sky, spectral
 from fringeframe.functions.cx import Cx
 from fringeframe.operators import average, calibrate, detect, flag, image, joins, match, predict, select, skymodel, spectra, summary
 from fringeframe.sources import caltext, catalogue
-from fringeframe.streaming import sinks
+from fringeframe.session import shared_path
+from fringeframe.streaming import cycles, merge, sinks
 
 
 def spec(spark, values, flags=None, sigma=None):
@@ -322,6 +323,67 @@ def test_object_limits(spark):
     assert kept(min_pix=1, min_chan=1, min_vox=7) == [2, 3] and kept(min_pix=1, min_chan=1, max_pix=2, max_vox=8) == [1]
 
 
+# ---------------------------------------------------------------- streams with timers
+
+EPOCH = 1_500_000_000_000
+
+
+def _arrive(spark, batches, schema):
+    """A stream that reads one batch a trigger."""
+    path = shared_path(spark, "arrive")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+GRAMS, META = "stream long, t_ms long, item long", "stream long, t_ms long, scan_id long"
+
+
+def test_merge_rules(spark):
+    """Mistimed, skipped, idle and incomplete cycles, data before and after, a late file, an end scan."""
+    v = _arrive(spark, [[(0, 1000, 0), (0, 1000, 1), (0, 2100, 0), (1, 3000, 7)], [(0, 2100, 1), (0, 2200, 9), (0, 4000, 0)], [(0, 9000, 1), (0, 10000, 3)], [(0, 1000, 5), (0, 12000, 1)]], GRAMS)
+    m = _arrive(spark, [[(0, 1000, 3), (0, 2000, 3), (0, 3000, 3), (1, 3000, 0)], [(0, 4000, -1), (0, 5000, 4)], [(0, 9000, 4), (0, 10000, -2)], [(0, 11000, 4), (0, 20000, -1)]], META)
+    out = sinks.drain(cycles.merged_cycles(v, m, 1000, 100, EPOCH), timers=True).collect()
+    got = {(r["stream"], r["meta_ms"]): (r["t_ms"], r["scan_id"], r["flag"], list(r["received"])) for r in out}
+    assert len(out) == len(got) and got == {
+        (0, 1000): (1000, 3, False, [0, 1]), (0, 2000): (2100, 3, True, [0, 1]), (0, 3000): (None, 3, False, []), (0, 5000): (None, 4, False, []),
+        (0, 9000): (9000, 4, False, [1]), (1, 3000): (3000, 0, False, [7])}
+
+
+@pytest.mark.parametrize("records,message", [([[(0, 1000, 3), (0, 1000, 3)]], "two cycles of time 1000"), ([[(0, 1000, -7)]], "unexpected scan id -7")])
+def test_merge_errors(spark, records, message):
+    v = _arrive(spark, [[(0, 1000, 0)]], GRAMS)
+    with pytest.raises(Exception, match=message):
+        sinks.drain(cycles.merged_cycles(v, _arrive(spark, records, META), 1000, 100, EPOCH), timers=True)
+
+
+def test_expected_grid(spark):
+    m = spark.createDataFrame([(0, 1000, False, [0, 2]), (0, 2000, True, [1]), (1, 1000, False, [])], "stream long, meta_ms long, flag boolean, received array<long>")
+    got = {(r["stream"], r["meta_ms"], r["item"]): (r["missing"], r["flag"]) for r in cycles.expected_grid(m, 3).collect()}
+    assert got == {(s, t, i): (i not in have, i not in have or bad) for s, t, bad, have in ((0, 1000, False, (0, 2)), (0, 2000, True, (1,)), (1, 1000, False, ())) for i in range(3)}
+
+
+def test_chunks_and_votes_over_triggers(spark):
+    """The rows do not depend on how the data is cut into triggers."""
+    grams = [(s, t, i) for t in range(0, 9000, 700) for s in (0, 1) for i in range(3)] + [(0, 30_000, 0)]
+    parts = [(c, s, c * 1000 + (s == c % 3)) for c in range(9) for s in range(3 - (c == 4))] + [(40, 0, 40_000)]
+    seen = []
+    for step in (5, 1000):
+        cut = lambda rows: [rows[i : i + step * 4] for i in range(0, len(rows), step * 4)]  # noqa: E731, B023
+        a = sinks.drain(cycles.chunks(_arrive(spark, cut(grams), GRAMS), 100, EPOCH), timers=True)
+        b = sinks.drain(cycles.merged_channels(_arrive(spark, cut(parts), "cycle long, stream long, t_ms long"), 3, 100, EPOCH), timers=True)
+        seen.append((sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect()))))
+    assert seen[0] == seen[1]
+    assert seen[0][0] == sorted((s, t, 3, 3) for t in range(0, 9000, 700) for s in (0, 1))
+    assert set(seen[0][1]) == {(c, s, c * 1000, 1, t != c * 1000) for c, s, t in parts if c < 40}  # a tie goes to the first stream
+
+
+def test_latest_point_is_invalidated(spark):
+    rows = [[("a", 1, 1.0), ("b", 1, 2.0)], [("a", 3, None), ("b", 0, 9.0)], [("a", 2, 5.0)]]
+    last = merge.latest_points(_arrive(spark, rows, "point string, ts long, value double"), ["point"])
+    assert {(r["point"], r["last"]["value"]) for r in sinks.drain_updates(last, ["point"]).collect()} == {("a", None), ("b", 2.0)}
+
+
 # ---------------------------------------------------------------- calibration and prediction
 
 def _four_pols(spark, v, extra):
