@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.cx import Cx
 from ..operators import calibrate, flag, joins, skymodel
 from ..session import shared_path
-from ..sources import catalogue, streams
+from ..sources import catalogue, datagrams, streams, votable
 from ..streaming import cycles, merge, sinks, state
 from ..views import VIEWS, tables, view
 from .calibration_queries import _G12, rs
@@ -267,6 +267,46 @@ def src2(spark, sf):
     return out.select("component_id", "ra", "dec", "lin_pol")
 
 
+_ID = {"ucd": "meta.id;meta.main", "datatype": "char", "unit": "--"}
+
+
+@op("src2_fields", """SELECT 'c' || comp_id AS component_id, ROUND(ra_deg, 6) AS ra, ROUND(dec_deg, 6) AS dec, CAST(island_id AS INTEGER) AS island, ROUND(flux_peak * 1000 + 3.1e-9, 4) AS flux_peak,
+ CASE WHEN comp_id % 3 = 0 THEN ROUND(flux_peak * 0.1 + 3.1e-9, 6) END AS lin_pol FROM v_comp""")
+def src2_fields(spark, sf):
+    """Documents with their fields in different orders and units, and a polarisation table, loaded by their own headers."""
+    c = view(spark, sf, "v_comp").withColumn("id", F.concat(F.lit("c"), F.col("comp_id").cast("string")))
+    path, pol = shared_path(spark, "votable"), shared_path(spark, "votable")
+    field = lambda ucd, unit, kind="double": {"ucd": ucd, "unit": unit, "datatype": kind}
+    a = {"id": _ID, "ra_deg": field("pos.eq.ra;meta.main", "deg"), "dec_deg": field("pos.eq.dec;meta.main", "deg"), "island": field("", "--", "int"),
+         "peak": field("phot.flux.density;stat.max;em.radio;stat.fit", "Jy/beam")}
+    b = {"peak": field("phot.flux.density;stat.max;em.radio;stat.fit", "mJy/beam"), "dec_rad": field("pos.eq.dec;meta.main", "rad"), "island": a["island"], "id": _ID,
+         "ra_rad": field("pos.eq.ra;meta.main", "rad")}
+    c = c.withColumn("island", F.col("island_id"))
+    votable.write(c.where("comp_id % 2 = 0").withColumn("peak", F.col("flux_peak")), f"{path}/a", a)
+    votable.write(c.where("comp_id % 2 = 1").select("id", "island", F.radians("ra_deg").alias("ra_rad"), F.radians("dec_deg").alias("dec_rad"), (F.col("flux_peak") * 1000).alias("peak")), f"{path}/b", b)
+    votable.write(c.where("comp_id % 3 = 0").withColumn("lin_pol", r6(F.col("flux_peak") * 0.1)), pol, {"lin_pol": field("", "mJy"), "id": _ID})
+    out = votable.load(spark, path, pol)
+    return out.select("component_id", F.round("ra", 6).alias("ra"), F.round("dec", 6).alias("dec"), "island", r6("flux_peak", 4).alias("flux_peak"), "lin_pol")
+
+
+@op("src8_binary", "SELECT beam, chan AS channel, ant1 * 6 + ant2 AS baseline, COUNT(DISTINCT cycle) AS n, " + rs("SUM(re)", "re_sum") + """
+FROM (SELECT cycle, beam, chan, ant1, ant2, MAX(re) AS re FROM v_vis GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3""")
+def src8_binary(spark, sf):
+    """Binary datagrams that arrive in two parts; the second run of the stream starts at the offsets of the first."""
+    v = view(spark, sf, "v_vis").groupBy("cycle", "beam", "chan", (F.col("ant1") * 6 + F.col("ant2")).alias("b")).agg(F.max("re").alias("re"), F.max("im").alias("im"))
+    d = v.withColumn("slice", F.floor(F.col("b") / 12)).groupBy("cycle", "beam", "chan", "slice").agg(F.map_from_entries(F.collect_list(F.struct(F.col("b") % 12, F.struct("re", "im")))).alias("m"))
+    whole = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(11).cast("long")), lambda k: F.try_element_at("m", k))
+    zero = F.lit(0).cast("long")
+    grams = d.select(F.lit(1).cast("long").alias("version"), "slice", (F.col("cycle") * 5000000).alias("timestamp"), zero.alias("block"), zero.alias("card"), F.col("chan").alias("channel"),
+                     (700.0 + F.col("chan")).alias("freq"), "beam", (F.col("slice") * 12).alias("baseline1"), (F.col("slice") * 12 + 11).alias("baseline2"), whole.alias("payload"), "cycle")
+    path, out, ckpt = (shared_path(spark, n) for n in ("datagrams", "sink", "ckpt"))
+    for part in ("cycle < 32", "cycle >= 32"):
+        datagrams.write(grams.where(part), path, 12).agg(F.sum("n")).first()
+        s = datagrams.unpack(datagrams.stream(spark, path, 12, 4096))
+        s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).groupBy("beam", "channel", "baseline").agg(F.count_distinct("timestamp").alias("n"), r6(F.sum("re")).alias("re_sum"))
+
+
 def _components(spark, sf):
     return view(spark, sf, "v_comp").select(F.concat(F.lit("c"), F.col("comp_id").cast("string")).alias("component_id"), F.round("ra_deg", 6).alias("ra"),
                                             F.round("dec_deg", 6).alias("dec"), r6("flux_peak").alias("flux_peak"))

@@ -12,7 +12,7 @@ from fringeframe.functions import healpix as hp
 from fringeframe.functions import order, prefix, sky, spectral
 from fringeframe.functions.cx import Cx
 from fringeframe.operators import average, calibrate, detect, flag, image, joins, match, predict, select, skymodel, spectra, summary
-from fringeframe.sources import caltext, catalogue
+from fringeframe.sources import caltext, catalogue, datagrams, votable
 from fringeframe.session import shared_path
 from fringeframe.streaming import cycles, merge, sinks
 
@@ -323,6 +323,64 @@ def test_object_limits(spark):
     assert kept(min_pix=1, min_chan=1, min_vox=7) == [2, 3] and kept(min_pix=1, min_chan=1, max_pix=2, max_vox=8) == [1]
 
 
+# ---------------------------------------------------------------- data sources
+
+def _votable(tmp_path, name, fields, rows):
+    head = "".join(f'<FIELD name="{n}" ucd="{u}" unit="{q}" datatype="{t}"/>' for n, u, q, t in fields)
+    body = "".join("<TR>" + "".join(f"<TD>{c}</TD>" if c is not None else "<TD/>" for c in r) + "</TR>\n" for r in rows)
+    (tmp_path / name).write_text(f'<?xml version="1.0"?>\n<VOTABLE xmlns="http://www.ivoa.net/xml/VOTable/v1.3"><RESOURCE><TABLE>{head}<DATA><TABLEDATA>\n{body}</TABLEDATA></DATA></TABLE></RESOURCE></VOTABLE>')
+    return str(tmp_path / name)
+
+
+ID, RA = ("a", "META.ID;META.MAIN", "none", "char"), ("b", "pos.eq.ra;meta.main", "deg", "double")
+
+
+@pytest.mark.parametrize("step", [1, 7, 100, 1 << 20])
+def test_votable_rows_belong_to_one_range(spark, tmp_path, step):
+    rows = [(f"id &amp; {i}", i / 8) for i in range(60)] + [("", None)]
+    path = _votable(tmp_path, "t.xml", [ID, RA], rows)
+    if step == 1:
+        path = _votable(tmp_path, "t.xml", [ID, RA], rows[:3] + rows[-1:])
+        rows = rows[:3] + rows[-1:]
+    got = votable.read(spark, path, step=str(step)).collect()
+    assert sorted((r["component_id"], r["ra"]) for r in got if r["ra"] is not None) == sorted((a.replace("&amp;", "&"), b) for a, b in rows if b is not None)
+    assert len(got) == len(rows)
+
+
+def test_votable_orders_units_and_unknown_fields(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    _votable(tmp_path / "d", "1.xml", [ID, RA, ("flag", "", "", "boolean"), ("n", "x.y", "furlong", "int")], [("p", 90.0, "T", 3)])
+    _votable(tmp_path / "d", "2.xml", [("n", "x.y", "", "int"), ("r", RA[1], "rad", "float"), ID], [(None, math.pi, "q")])
+    df = votable.read(spark, str(tmp_path / "d"))
+    assert dict(df.dtypes) == {"component_id": "string", "ra": "double", "flag": "boolean", "n": "int"}
+    assert sorted(tuple(r) for r in df.select("component_id", F.round("ra", 4), "flag", "n").collect()) == [("p", 90.0, True, 3), ("q", 180.0, None, None)]
+
+
+@pytest.mark.parametrize("field,message", [(("b", "pos.eq.ra;meta.main", "Jy", "double"), "unit 'Jy'"), (("b", "", "", "blob"), "unknown datatype")])
+def test_votable_errors(spark, tmp_path, field, message):
+    with pytest.raises(Exception, match=message):
+        votable.read(spark, _votable(tmp_path, "e.xml", [ID, field], [("x", 1)])).collect()
+
+
+def test_datagram_offsets(spark, tmp_path):
+    """A file that grows, a record that is half written, a second file: every record comes once."""
+    kind = datagrams.layout(3)
+    rec = np.zeros(10, kind)
+    rec["timestamp"], rec["baseline1"], rec["baseline2"], rec["freq"] = np.arange(10), 4, 5, 700.5
+    rec["vis"][:, 0], rec["vis"][:, 1], rec["vis"][:, 2] = (1.5, -2.0), (np.nan, np.nan), (9.0, 9.0)
+    raw, folder, out, ckpt = rec.tobytes(), tmp_path / "in", shared_path(spark, "sink"), shared_path(spark, "ckpt")
+    folder.mkdir()
+    seen = []
+    for name, data in (("x.dat", raw[: 4 * kind.itemsize + 11]), ("x.dat", raw[: 7 * kind.itemsize]), ("y.dat", raw[7 * kind.itemsize :])):
+        (folder / name).write_bytes(data)
+        s = datagrams.stream(spark, str(folder), 3, 2)
+        s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+        seen.append(sorted(r["timestamp"] for r in spark.read.parquet(out).collect()))
+    assert seen == [list(range(4)), list(range(7)), list(range(10))]
+    rows = datagrams.unpack(spark.read.parquet(out)).collect()
+    assert len(rows) == 10 and {(r["baseline"], r["re"], r["im"], r["freq"]) for r in rows} == {(4, 1.5, -2.0, 700.5)}
+
+
 # ---------------------------------------------------------------- streams with timers
 
 EPOCH = 1_500_000_000_000
