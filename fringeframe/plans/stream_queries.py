@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.cx import Cx
-from ..operators import calibrate, flag, joins, skymodel
+from ..operators import calibrate, flag, joins, skymodel, summary
 from ..session import shared_path
-from ..sources import catalogue, datagrams, streams, votable
+from ..sources import catalogue, datagrams, publish, streams, votable
 from ..streaming import cycles, merge, sinks, state
 from ..views import VIEWS, tables, view
 from .calibration_queries import _G12, rs
@@ -320,7 +320,45 @@ def src4(spark, sf):
     c = skymodel.index_components(_components(spark, sf), "ra", "dec")
     catalogue.ingest(c, path, 7, "2017-01-01 00:00:00", "survey")
     catalogue.ingest(c, path, 8)
-    return spark.read.parquet(path).select("component_id", "ra", "dec", "sb_id", "data_source")
+    return catalogue.model(spark, path).select("component_id", "ra", "dec", "sb_id", "data_source")
+
+
+@op("src4_again", """SELECT 'c' || comp_id AS component_id, CAST(7 AS BIGINT) AS sb_id, CAST(1 AS BIGINT) AS n_ids, CAST(1 AS BIGINT) AS n_rows FROM v_comp""")
+def src4_again(spark, sf):
+    """A job that is run three times, the last time with other rows: the block is there once, with the ids of the first run."""
+    path = shared_path(spark, "skymodel")
+    c = skymodel.index_components(_components(spark, sf), "ra", "dec")
+    runs = [catalogue.ingest(d, path, 7, "2017-01-01 00:00:00", "survey") for d in (c, c, c.where("ra > 100"))]
+    ids = runs[0].unionByName(runs[1]).unionByName(runs[2]).groupBy("component_id").agg(F.count_distinct("id").alias("n_ids"))
+    n = catalogue.model(spark, path).groupBy("component_id", "sb_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return n.join(ids, "component_id").select("component_id", "sb_id", "n_ids", "n_rows")
+
+
+@op("snk6_deposit", """SELECT 'image' AS kind, 1 AS n_artefacts, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_scans, CAST(NULL AS VARCHAR) AS obs_start, CAST(NULL AS VARCHAR) AS obs_end FROM v_pix
+UNION ALL SELECT 'catalogue', 1, COUNT(*), 0, NULL, NULL FROM v_comp
+UNION ALL SELECT 'measurement_set', 2, COUNT(*), (SELECT COUNT(*) FROM (SELECT DISTINCT cycle < 32, field, scan FROM v_vis)),
+ STRFTIME(MIN(ts) FILTER (cycle < 32), '%Y-%m-%d'), STRFTIME(MAX(ts) FILTER (cycle < 32), '%Y-%m-%d') FROM v_vis""")
+def snk6_deposit(spark, sf):
+    """Deposit of an image, a catalogue and two visibility tables; the manifest is written twice and read back."""
+    out = shared_path(spark, "deposit")
+    vis = view(spark, sf, "v_vis")
+    tables_ = {"image": {"i": view(spark, sf, "v_pix")}, "catalogue": {"c": view(spark, sf, "v_comp")}, "measurement_set": {"m0": vis.where("cycle < 32"), "m1": vis.where("cycle >= 32")}}
+    declared, scans = {}, {}
+    for kind, each in tables_.items():
+        for name, df in each.items():
+            df.write.parquet(f"{out}/in/{name}")
+            declared.setdefault(kind, []).append(f"{out}/in/{name}")
+            if kind == "measurement_set":
+                scans[f"{out}/in/{name}"] = summary.scan_manifest(spark.read.parquet(f"{out}/in/{name}"))
+    first = publish.deposit(spark, f"{out}/out", 7, declared, scans)
+    assert publish.deposit(spark, f"{out}/out", 7, declared, scans) == first
+    rows = []
+    for kind in tables_:
+        mine = [a for a in first["artefacts"] if a["kind"] == kind]
+        ms = kind == "measurement_set"
+        n = sum(spark.read.parquet(a["path"]).count() for a in mine)
+        rows.append((kind, len(mine), n, sum(len(a.get("scans", ())) for a in mine), first["obs_start"][:10] if ms else None, first["obs_end"][:10] if ms else None))
+    return spark.createDataFrame(rows, "kind string, n_artefacts int, n_rows long, n_scans long, obs_start string, obs_end string")
 
 
 @op("src5", "SELECT COUNT(*) AS n_ids, COUNT(DISTINCT comp_id) AS n_distinct FROM v_comp")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.spectral import quadratic_through
 from ..operators.skymodel import index_components
+from . import publish
 
 #: Factor to the canonical unit (deg, arcsec, Jy) of each column kind.
 UNITS = {"deg": 1.0, "rad": 180.0 / math.pi, "arcsec": 1.0, "arcmin": 60.0, "Jy": 1.0, "mJy": 1e-3, "uJy": 1e-6, "": 1.0}
@@ -82,17 +83,38 @@ def load_components(spark: SparkSession, components: str, columns: Mapping[str,
     return c.join(read_votable(spark, polarisation, pol_columns), "component_id", "left")
 
 
-def ingest(components: DataFrame, path: str, sb_id: int, obs_date: str | None = None, source: str | None = None) -> DataFrame:
-    """Append components to the sky model, partitioned by coarse pixel; returns their ids.
+def ingest(components: DataFrame, path: str, sb_id: int, obs_date: str | None = None, source: str | None = None, batch: str | None = None, retries: int = 0) -> DataFrame:
+    """Add the components of a scheduling block to the sky model, partitioned by coarse pixel; returns their ids.
 
-    The id is a hash of scheduling block and component name, so a repeated task writes the same ids.
+    The block is published as one batch (``batch`` names it, else the block's number does): a job that
+    is run again adds nothing and returns the ids of the first run. ``retries`` more attempts are made
+    when one fails. The id is a hash of scheduling block and component name; two components of one
+    batch with the same id are an error.
     """
+    batch = batch or f"sb{sb_id}"
     d = components if "healpix_index" in components.columns else index_components(components, "ra", "dec")
     d = (d.withColumn("sb_id", F.lit(sb_id).cast("long")).withColumn("observation_date", F.lit(obs_date).cast("timestamp"))
          .withColumn("data_source", F.lit(source).cast("string")).withColumn("id", F.xxhash64(F.lit(sb_id).cast("long"), "component_id")))
     # rebalancing gives each pixel few files, and splits a crowded one over several tasks
-    d.hint("rebalance", "healpix_coarse").sortWithinPartitions("healpix_coarse", "healpix_index").write.mode("append").partitionBy("healpix_coarse").parquet(path)
-    return d.select("id", "component_id")
+    d = d.hint("rebalance", "healpix_coarse").sortWithinPartitions("healpix_coarse", "healpix_index")
+    spark = d.sparkSession
+    for attempt in range(retries + 1):
+        try:
+            if not publish.exists(spark, f"{path}/manifest/{batch}.json") and not components.groupBy("component_id").count().where("count > 1").isEmpty():
+                raise ValueError("two components of one name")
+            publish.publish(d, path, batch, {"sb_id": sb_id, "observation_date": obs_date, "data_source": source}, ["healpix_coarse"])
+            break
+        except ValueError:
+            raise
+        except Exception:
+            if attempt == retries:
+                raise
+    return publish.published(spark, path, [batch]).select("id", "component_id")
+
+
+def model(spark: SparkSession, path: str) -> DataFrame:
+    """All published components of a sky model."""
+    return publish.published(spark, path)
 
 
 #: Written names and decimals of the component catalogue.

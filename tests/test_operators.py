@@ -12,7 +12,7 @@ from fringeframe.functions import healpix as hp
 from fringeframe.functions import order, prefix, sky, spectral
 from fringeframe.functions.cx import Cx
 from fringeframe.operators import average, calibrate, detect, flag, image, joins, match, predict, select, skymodel, spectra, summary
-from fringeframe.sources import caltext, catalogue, datagrams, votable
+from fringeframe.sources import caltext, catalogue, datagrams, publish, votable
 from fringeframe.session import shared_path
 from fringeframe.streaming import cycles, merge, sinks
 
@@ -381,6 +381,54 @@ def test_datagram_offsets(spark, tmp_path):
     assert len(rows) == 10 and {(r["baseline"], r["re"], r["im"], r["freq"]) for r in rows} == {(4, 1.5, -2.0, 700.5)}
 
 
+def test_failed_attempt_is_not_read(spark, tmp_path):
+    """Rows written without a manifest do not count; a repeated batch and a repeated micro-batch add nothing; damage is seen."""
+    path = str(tmp_path / "t")
+    d = spark.range(10).withColumn("k", F.col("id") % 3)
+    d.write.partitionBy("k").parquet(f"{path}/data/b1-failed")
+    with pytest.raises(ValueError):
+        publish.published(spark, path)
+    first = publish.publish(d, path, "b1", {"sb": 1}, ["k"])
+    assert publish.publish(d.limit(3), path, "b1", partition_by=["k"]) == first and first["rows"] == 10 and first["about"] == {"sb": 1}
+    publish.publish(d.withColumn("id", F.col("id") + 10), path, "b2", partition_by=["k"])
+    rows = publish.published(spark, path)
+    assert sorted((r["id"], r["k"]) for r in rows.collect()) == sorted((i, i % 10 % 3) for i in range(20))
+    assert publish.published(spark, path, ["b2"]).count() == 10 and publish.damaged(spark, path) == []
+    victim = next((tmp_path / "t" / first["folder"]).rglob("*.parquet"))
+    victim.write_bytes(victim.read_bytes() + b"x")
+    victim.with_name(f".{victim.name}.crc").unlink()  # the local file system's own check
+    assert publish.damaged(spark, path) == [str(victim.relative_to(tmp_path / "t" / first["folder"]))]
+
+
+def test_micro_batch_that_comes_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    s = lambda: _arrive(spark, [[(0, 1, i)] for i in range(3)], GRAMS)
+    for ckpt in ("a", "b"):  # the second query has lost its checkpoint and sends all batches again
+        publish.publish_batches(s(), path, str(tmp_path / ckpt), "grams").awaitTermination()
+    assert sorted(r["item"] for r in publish.published(spark, path).collect()) == [0, 1, 2]
+
+
+def test_ingest_twice(spark, tmp_path):
+    c = spark.createDataFrame([("a", 1.0, 2.0), ("b", 200.0, -40.0)], "component_id string, ra double, dec double")
+    path = str(tmp_path / "m")
+    first = sorted(map(tuple, catalogue.ingest(c, path, 7).collect()))
+    assert sorted(map(tuple, catalogue.ingest(c.union(c), path, 7).collect())) == first and catalogue.model(spark, path).count() == 2
+    with pytest.raises(ValueError, match="one name"):
+        catalogue.ingest(c.union(c), path, 8, retries=2)
+    assert len({r[0] for r in catalogue.ingest(c, path, 9).collect()} | {r[0] for r in first}) == 4
+
+
+def test_deposit_rules(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "i"))
+    with pytest.raises(ValueError, match="no artefacts"):
+        publish.deposit(spark, str(tmp_path / "o"), 1, {"evaluation": [str(tmp_path / "i")]})
+    with pytest.raises(ValueError, match="time range"):
+        publish.deposit(spark, str(tmp_path / "o"), 1, {"image": [str(tmp_path / "i")]})
+    m = publish.deposit(spark, str(tmp_path / "o"), 1, {"image": [str(tmp_path / "i")]}, obs_start="a", obs_end="b")
+    files = sorted(p.name for p in (tmp_path / "i").glob("*.parquet"))
+    assert [f["name"] for f in m["artefacts"][0]["files"]] == files and (tmp_path / "o" / "1" / "READY").exists() and (tmp_path / "o" / "1" / "observation.json.checksum").exists()
+
+
 # ---------------------------------------------------------------- streams with timers
 
 EPOCH = 1_500_000_000_000
