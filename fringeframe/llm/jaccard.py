@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, in_steps, mix64, narrow, raw_texts
+from .common import cut_lineage, fresh, in_steps, mix64, narrow, raw_texts
 from .components import components
 from .wordhash import hash_words
 
@@ -407,15 +407,33 @@ def hub_pairs(long_lists: DataFrame) -> DataFrame:
     return rows.join(hub, "token").where("gid != hub").select(F.least("gid", "hub").alias("a"), F.greatest("gid", "hub").alias("b")).distinct()
 
 
-def _incidence(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(values, how often each list has each) of the values that come more than once."""
-    values, at, n = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-    keep = n > 1
-    table = np.zeros((len(lists), int(keep.sum())), np.float32)
+#: Values whose counts are held as a table at once.
+WIDTH = 4096
+
+
+def _common(lists: list[np.ndarray], left: int, right: int, below: int | None = None) -> np.ndarray:
+    """For each of the first ``left`` lists and each list from ``right`` on, a count that is never below that of their common values.
+
+    Counts are products of tables of WIDTH values at a time, so long lists take no more memory than
+    short ones. With ``below`` only smaller values count.
+    """
+    flat = np.concatenate(lists)
     row = np.repeat(np.arange(len(lists)), [len(p) for p in lists])
-    some = keep[at]
-    np.add.at(table, (row[some], (np.cumsum(keep) - 1)[at[some]]), 1)  # products of counts are never below the common tokens
-    return values[keep], table
+    if below is not None:
+        some = flat < below
+        flat, row = flat[some], row[some]
+    _, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    some = n[at] > 1  # a value that comes once is common to none
+    column, row = (np.cumsum(n > 1) - 1)[at[some]], row[some]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    total = np.zeros((left, len(lists) - right), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, WIDTH):
+        lo, hi = np.searchsorted(column, [first, first + WIDTH])
+        table = np.zeros((len(lists), WIDTH), np.float32)
+        np.add.at(table, (row[lo:hi], column[lo:hi] - first), 1)
+        total += table[:left] @ table[right:].T
+    return total
 
 
 #: Members of a list that are compared at once.
@@ -440,11 +458,9 @@ def _close_in_blocks(token, side, n, sketches, reach, tokens, root, percent) ->
             both = a if same else np.concatenate([a, b])
             if len(np.unique(root[both])) == 1:
                 continue
-            _, table = _incidence([sketches[k] for k in both])
-            known, lists = _incidence([tokens[k] for k in both])
-            before = int(np.searchsorted(known, token))
-            at = slice(None) if same else slice(len(a), None)
-            common, earlier = table[: len(a)] @ table[at].T, lists[: len(a), :before] @ lists[at, :before].T
+            at = 0 if same else len(a)
+            common = _common([sketches[k] for k in both], len(a), at)
+            earlier = _common([tokens[k] for k in both], len(a), at, token)
             na, nb = n[a][:, None], n[b][None, :]
             ok = _short_side(na, nb, size[a][:, None], size[b][None, :], reach[a][:, None], reach[b][None, :], common, percent)
             ok &= (earlier == 0) & (root[a][:, None] != root[b][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
@@ -503,7 +519,7 @@ def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 
 
 def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, sid of every row; sid names the row's set, null for none."""
+    """doc_id, n_shingles, component_id, sid, root and th of every row; sid names the row's set, null for none, root its component, th is a hash of the text."""
     rows = narrow(docs, id_col, text_col)
     last = rows.sparkSession.sparkContext.broadcast(frequent_tokens(rows, k))  # at most LISTED numbers
     signed = signatures(rows, last, percent, k)
@@ -538,9 +554,9 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
             tried = tried.unionByName(left)
     home = sets.select("sid", "rep").join(tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     ids = home.groupBy("root").agg(F.min("rep").alias("component_id"))
-    home = home.join(ids, "root").select("sid", "component_id")
-    return (signed.select("doc_id", "n", "sid").join(home, "sid", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "sid"))
+    home = home.join(ids, "root").select("sid", "component_id", "root")
+    return (signed.select("doc_id", "n", "sid", "th").join(home, "sid", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "sid", "root", "th"))
 
 
 def component_report(docs: DataFrame) -> DataFrame:
@@ -549,12 +565,19 @@ def component_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
-    """One row of each component, that with the least id; rows without words or id stay as they are.
+    """One row of each component: the one with the least id, then the least hash of its text; null ids come last.
 
-    Rows of one id are told apart by nothing else, so one of them stays.
+    Rows are told apart by id and text, so unrelated texts under one id (or under none) are
+    judged each for itself; of rows that are equal in id and text one stays, the same at every run.
+    Rows without words are linked with nothing and all stay as they are.
     """
-    found = join_sets(docs, percent=percent, k=k)
-    keep = cut_lineage(found.where("doc_id IS NOT NULL AND n_shingles > 0 AND doc_id = component_id").select("doc_id").distinct())
-    other = docs.where(F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    some = docs.where(F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return some.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(other)
+    mark, at, text_hash = (fresh(docs, c) for c in ("mark", "at", "text_hash"))
+    found = join_sets(docs, percent=percent, k=k).where("root IS NOT NULL")
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("m"))
+    kept = cut_lineage(least.select(F.col("m.doc_id").alias(at), F.col("m.th").alias(text_hash)).distinct())
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.where(words).withColumn(mark, F.xxhash64(F.col("text").cast("string")))
+    some = rows.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(at)) & (F.col(mark) == F.col(text_hash)), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = some.groupBy("doc_id", mark).agg(F.min_by(whole, F.xxhash64(whole)).alias("row")).select("row.*")
+    return one.select(docs.columns).unionByName(docs.where(~words))

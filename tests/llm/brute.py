@@ -71,12 +71,12 @@ def bytes_kept(docs, length=200, keep="none"):
     return out
 
 
-def components(docs, percent=85):
+def components(docs, percent=85, k=4):
     """{doc_id: (n_shingles, component)}"""
     sets = {}
     for d, t in docs:
         w = words((t or "").translate(LOWER))
-        sets[d] = {tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) > 3 else ({tuple(w)} if w else set())
+        sets[d] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
     root = {d: d for d in sets}
 
     def find(x):
