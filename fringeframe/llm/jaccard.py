@@ -272,38 +272,95 @@ def close_pairs(pairs: DataFrame, groups: DataFrame, percent: int = PERCENT) ->
     return wide.select("a", "b", "na", "pa", "ra", "nb", "pb", "rb").mapInArrow(judge, "a long, b long")
 
 
-#: Sets that are fetched by a broadcast list of texts; more are fetched by a shuffle.
-FETCHED = 500_000
+#: Sets that are fetched by a broadcast list of texts, and buckets named in it; more are fetched by a shuffle.
+FETCHED, NAMED = 500_000, 4_000_000
+#: Bytes of sets that meet in one bucket, about.
+BUCKET = 1 << 22
+#: Pairs of one set from which on its ends are looked up by broadcast; of P pairs there are at most 2 P / HEAVY such sets.
+HEAVY = 100_000
+
+
+def _towards_hubs(pairs: DataFrame, degree: DataFrame) -> DataFrame:
+    """Pairs (hub, leaf): the end that is in more pairs first."""
+    heavy = F.broadcast(degree.where(F.col("d") > HEAVY).select("sid", "d"))
+    for c in "xy":
+        pairs = pairs.join(heavy.select(F.col("sid").alias(c), F.col("d").alias(f"d{c}")), c, "left")
+    bound, free = pairs.where("dx IS NOT NULL OR dy IS NOT NULL"), pairs.where("dx IS NULL AND dy IS NULL").select("x", "y")
+    for c in "xy":
+        free = free.join(degree.select(F.col("sid").alias(c), F.col("d").alias(f"d{c}")), c)
+    first = F.coalesce("dx", F.lit(0)) >= F.coalesce("dy", F.lit(0))
+    return bound.unionByName(free).select(F.when(first, F.col("x")).otherwise(F.col("y")).alias("hub"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("leaf"))
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, kind: str, k: int) -> DataFrame:
-    """Of pairs (x, y) of sids, those whose sets, as hashes of the numpy type ``kind``, are similar enough."""
-    need = pairs.select(F.col("x").alias("sid")).unionByName(pairs.select(F.col("y").alias("sid"))).distinct()
-    which = cut_lineage(sets.join(need, "sid").select(F.col("rep").alias("r"), F.col("th").alias("t")))
-    which = F.broadcast(which) if which.count() <= FETCHED else which
+    """Of pairs (x, y) of sids, those whose sets, as hashes of the numpy type ``kind``, are similar enough.
+
+    Pairs are judged in buckets of the leaf, the end that is in fewer pairs. A set travels once to its own
+    bucket and once to each bucket that holds a leaf of it, however many pairs it is in there.
+    """
+    drop, width = np.uint64(64 - 8 * np.dtype(kind).itemsize), np.dtype(kind).itemsize
+    degree = pairs.select(F.col("x").alias("sid")).unionByName(pairs.select(F.col("y").alias("sid"))).groupBy("sid").agg(F.count(F.lit(1)).alias("d"))
+    degree = cut_lineage(degree.join(sets.select("sid", "n", "rep", "th"), "sid"))
+    buckets = -(-(degree.agg(F.sum(F.col("n") * width + 64)).first()[0] or 1) // BUCKET)
+    met = cut_lineage(_towards_hubs(pairs, degree).withColumn("bucket", F.pmod(F.xxhash64("leaf"), F.lit(buckets))))
+    ends = met.select("bucket", F.explode(F.array("hub", "leaf")).alias("sid")).distinct().groupBy("sid").agg(F.collect_list("bucket").alias("buckets"))
+    which = cut_lineage(degree.join(ends, "sid").select(F.col("rep").alias("r"), F.col("th").alias("t"), "buckets"))
+    n, named = which.agg(F.count(F.lit(1)), F.sum(F.size("buckets"))).first()
+    which = F.broadcast(which) if n <= FETCHED and (named or 0) <= NAMED else which
     texts = rows.withColumn("th", F.xxhash64("text"))
-    texts = texts.join(which, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("th") == F.col("t")), "left_semi").select("text")
-    drop = np.uint64(64 - 8 * np.dtype(kind).itemsize)
+    texts = texts.join(which, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("th") == F.col("t"))).select("text", "buckets")
+    names = ["bucket", "pair", "a", "b", "tokens"]
 
     def whole(batches):
         for batch, found in _sets(batches, 0, k):
-            short = [(s >> drop).astype(kind).tobytes() for s in found]
-            yield pa.RecordBatch.from_arrays([pa.array([_set_id(s) for s in found], pa.binary()), pa.array(short, pa.binary())], ["sid", "tokens"])
-
-    full = texts.mapInArrow(whole, "sid binary, tokens binary")  # both joins read one exchange of it
+            to = [b.as_py() for b in batch.column(1)]
+            each = np.repeat(np.arange(len(found)), [len(b) for b in to])
+            sid, short = [_set_id(s) for s in found], [(s >> drop).astype(kind).tobytes() for s in found]
+            for lo in range(0, len(each), 1024):
+                some = each[lo : lo + 1024]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b for bs in to for b in bs][lo : lo + 1024], pa.int64()), pa.array(np.zeros(len(some), bool)), pa.array([sid[i] for i in some], pa.binary()),
+                     pa.nulls(len(some), pa.binary()), pa.array([short[i] for i in some], pa.binary())], names)
+
+    schema = "bucket long, pair boolean, a binary, b binary, tokens binary"
+    tokens = texts.mapInArrow(whole, schema)
+    wide = tokens.unionByName(met.select("bucket", F.lit(True).alias("pair"), F.col("hub").alias("a"), F.col("leaf").alias("b"), F.lit(None).cast("binary").alias("tokens")))
 
     def compare(batches):
+        now, held = None, {}
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (s, t) in enumerate(zip(batch.column(2), batch.column(3))):
-                s, t = np.frombuffer(s.as_buffer(), kind), np.frombuffer(t.as_buffer(), kind)
-                both = int(_contains(t, s).sum())
-                keep[i] = 100 * both >= percent * (len(s) + len(t) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep))
-
-    wide = (pairs.join(full.select(F.col("sid").alias("x"), F.col("tokens").alias("tx")), "x")
-            .join(full.select(F.col("sid").alias("y"), F.col("tokens").alias("ty")), "y").select("x", "y", "tx", "ty"))
-    return cut_lineage(wide.mapInArrow(compare, "x binary, y binary").distinct())
+            bucket, pair = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            a, b = batch.column(2), batch.column(3)
+            edges = np.flatnonzero(np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (pair[1:] != pair[:-1]), [True]))) if len(bucket) else []
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                if bucket[lo] != now:
+                    now, held = bucket[lo], {}
+                if not pair[lo]:
+                    for i in range(lo, hi):
+                        held[a[i].as_py()] = np.frombuffer(batch.column(4)[i].as_py(), kind)
+                    continue
+                x, y = a.slice(lo, hi - lo).to_pylist(), b.slice(lo, hi - lo).to_pylist()
+                keep = _similar(x, y, held, percent)
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in keep], pa.binary()), pa.array([y[i] for i in keep], pa.binary())], ["x", "y"])
+
+    judged = wide.repartition("bucket").sortWithinPartitions("bucket", "pair", "a").mapInArrow(compare, "x binary, y binary")
+    return cut_lineage(judged.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+
+
+def _similar(hubs: list[bytes], leaves: list[bytes], sets: dict[bytes, np.ndarray], percent: int) -> list[int]:
+    """Places of the pairs that are similar enough; pairs of one hub follow each other and are counted together."""
+    keep, at = [], 0
+    while at < len(hubs):
+        end, hub, size = at, sets[hubs[at]], 0
+        while end < len(hubs) and hubs[end] == hubs[at] and size < 1 << 20:
+            size += len(sets[leaves[end]])
+            end += 1
+        some = [sets[y] for y in leaves[at:end]]
+        n = np.array([len(t) for t in some])
+        both = np.add.reduceat(_contains(hub, np.concatenate(some)).astype(np.int64), np.cumsum(n) - n)
+        keep += (at + np.flatnonzero(100 * both >= percent * (len(hub) + n - both))).tolist()
+        at = end
+    return keep
 
 
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
