@@ -313,13 +313,13 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
 
     def whole(batches):
         for batch, found in _sets(batches, 0, k):
-            to = [b.as_py() for b in batch.column(1)]
-            each = np.repeat(np.arange(len(found)), [len(b) for b in to])
+            to = batch.column(1).to_pylist()
+            each, bucket = np.repeat(np.arange(len(found)), [len(b) for b in to]), np.array([b for bs in to for b in bs], np.int64)
             sid, short = [_set_id(s) for s in found], [(s >> drop).astype(kind).tobytes() for s in found]
             for lo in range(0, len(each), 1024):
                 some = each[lo : lo + 1024]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b for bs in to for b in bs][lo : lo + 1024], pa.int64()), pa.array(np.zeros(len(some), bool)), pa.array([sid[i] for i in some], pa.binary()),
+                    [pa.array(bucket[lo : lo + 1024]), pa.array(np.zeros(len(some), bool)), pa.array([sid[i] for i in some], pa.binary()),
                      pa.nulls(len(some), pa.binary()), pa.array([short[i] for i in some], pa.binary())], names)
 
     schema = "bucket long, pair boolean, a binary, b binary, tokens binary"
@@ -468,17 +468,14 @@ def hub_pairs(long_lists: DataFrame) -> DataFrame:
 WIDTH = 4096
 
 
-def _common(lists: list[np.ndarray], left: int, right: int, below: int | None = None) -> np.ndarray:
+def _common(lists: list[np.ndarray], left: int, right: int) -> np.ndarray:
     """For each of the first ``left`` lists and each list from ``right`` on, a count that is never below that of their common values.
 
     Counts are products of tables of WIDTH values at a time, so long lists take no more memory than
-    short ones. With ``below`` only smaller values count.
+    short ones.
     """
     flat = np.concatenate(lists)
     row = np.repeat(np.arange(len(lists)), [len(p) for p in lists])
-    if below is not None:
-        some = flat < below
-        flat, row = flat[some], row[some]
     _, at, n = np.unique(flat, return_inverse=True, return_counts=True)
     some = n[at] > 1  # a value that comes once is common to none
     column, row = (np.cumsum(n > 1) - 1)[at[some]], row[some]
@@ -497,11 +494,11 @@ def _common(lists: list[np.ndarray], left: int, right: int, below: int | None =
 BLOCK = 512
 
 
-def _close_in_blocks(token, side, n, sketches, reach, tokens, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _close_in_blocks(side, n, sketches, reach, tokens, root, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of two blocks of a list (or inside one, if ``side`` is 0 throughout; each sorted by n) of different roots that the sketches leave possible.
 
-    ``tokens`` are each member's tokens with long lists: a pair is given in the list of the least
-    that it has in common. Counts of common values are matrix products, BLOCK by BLOCK.
+    ``tokens`` are each member's tokens with long lists that are less than this list's: a pair that
+    shares one is given in the list of the least. Counts of common values are matrix products, BLOCK by BLOCK.
     """
     size = np.array([len(p) for p in sketches])
     cut = int(np.searchsorted(side, 1))
@@ -517,7 +514,7 @@ def _close_in_blocks(token, side, n, sketches, reach, tokens, root, percent) ->
                 continue
             at = 0 if same else len(a)
             common = _common([sketches[k] for k in both], len(a), at)
-            earlier = _common([tokens[k] for k in both], len(a), at, token)
+            earlier = _common([tokens[k] for k in both], len(a), at)
             na, nb = n[a][:, None], n[b][None, :]
             ok = _short_side(na, nb, size[a][:, None], size[b][None, :], reach[a][:, None], reach[b][None, :], common, percent)
             ok &= (earlier == 0) & (root[a][:, None] != root[b][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
@@ -562,12 +559,13 @@ def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     mine = rows.groupBy("gid").agg(F.array_sort(F.collect_set("token")).alias("tokens"))  # no more than a prefix
     rows = rows.join(mine, "gid").join(groups.select("gid", sketch("int").alias("s"), reach().alias("r")), "gid")  # few chance matches keep the tables narrow
     at = ["token", "ci", "bi", "cj", "bj"]
-    rows = rows.select(*at, "side", "n", "gid", "root", "s", "r", "tokens").repartition(*at).sortWithinPartitions(*at, "side", "n", "gid", "root")
+    below = F.filter("tokens", lambda t: t < F.col("token")).alias("tokens")  # a pair is judged in the least list that it shares: only smaller ones matter here
+    rows = rows.select(*at, "side", "n", "gid", "root", "s", "r", below).repartition(*at).sortWithinPartitions(*at, "side", "n", "gid", "root")
 
     def cross(batches):
-        for token, _, _, _, _, side, n, gid, root, sketches, reach_, tokens in _runs(batches, len(at)):
+        for _, _, _, _, _, side, n, gid, root, sketches, reach_, tokens in _runs(batches, len(at)):
             _, number = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
-            for a, b in _close_in_blocks(token[0], side, n.astype(np.int64), sketches, reach_, tokens, number, percent):
+            for a, b in _close_in_blocks(side, n.astype(np.int64), sketches, reach_, tokens, number, percent):
                 for lo in range(0, len(a), 1 << 15):
                     u, v = a[lo : lo + (1 << 15)], b[lo : lo + (1 << 15)]
                     yield pa.RecordBatch.from_arrays([pa.array(gid[u]), pa.array(root[u].tolist(), pa.binary()), pa.array(gid[v]), pa.array(root[v].tolist(), pa.binary())], ["a", "ra", "b", "rb"])
