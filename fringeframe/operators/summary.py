@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,23 +16,86 @@ from ..session import cut_lineage
 C_M_S = 299792458.0
 
 
-def scan_inventory(obs: DataFrame, cycle_limit: int | None = None, step: int = 1, bucket: int = 4096) -> DataFrame:
+#: Cycles of a run that one task looks through at a time.
+CHUNK = 65_536
+#: Directions further apart than this (radians) are different.
+SAME_DIRECTION = 1e-7
+_START = ("s_cycle", "s_time", "s_ra", "s_dec", "part")
+
+
+def _parts(cycle, time, ra, dec, start, cycle_limit, time_limit):
+    """Parts of a stretch of cycles: a part goes on while cycle, time and direction stay within the limits of its first cycle.
+
+    ``start`` is the part that is open where the stretch begins, or none. Steps from part to part, not from cycle to cycle.
+    """
+    u = np.stack([np.cos(dec) * np.cos(ra), np.cos(dec) * np.sin(ra), np.sin(dec)], 1)
+    out = {c: np.empty(len(cycle), np.int64 if c in ("s_cycle", "part") else np.float64) for c in _START}
+    at, now, fresh = 0, start, start is None
+    while at < len(cycle):
+        if now is None:
+            now = (cycle[at], time[at], ra[at], dec[at], 0)
+        c0, t0, ra0, dec0, part = now
+        end = len(cycle)
+        if cycle_limit is not None:
+            end = min(end, int(np.searchsorted(cycle, c0 + cycle_limit)))
+        if time_limit is not None:
+            over = np.flatnonzero(~(time[at:end] - t0 < time_limit))
+            end = at + int(over[0]) if len(over) else end
+        first = np.array([np.cos(dec0) * np.cos(ra0), np.cos(dec0) * np.sin(ra0), np.sin(dec0)])
+        apart = 2 * np.arcsin(np.minimum(1.0, np.linalg.norm(u[at:end] - first, axis=1) / 2))
+        away = np.flatnonzero(~(apart < SAME_DIRECTION))
+        end = at + int(away[0]) if len(away) else end
+        end = max(end, at + fresh)  # a part has its first cycle, also where that has no time or direction
+        for c, v in zip(_START, now):
+            out[c][at:end] = v
+        at, fresh = end, True
+        if at < len(cycle):
+            now = (cycle[at], time[at], ra[at], dec[at], part + 1)
+    return out
+
+
+def scan_inventory(obs: DataFrame, cycle_limit: int | None = None, step: int = 1, bucket: int = 4096, time_limit: float | None = None, time: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """Scans per beam from one row per (beam, cycle): consecutive cycles with equal file, scan, field and direction.
 
-    ``cycle_limit`` splits a scan every so many cycles from its start; with regular
-    cycles a time limit is the same limit in cycles.  Directions are compared on a
-    1e-7 rad grid.
+    A scan also ends where a cycle is ``cycle_limit`` or more after its first one, ``time_limit`` or more
+    after its time, or points elsewhere; the next observed cycle starts the next one. Directions (degrees) are
+    compared on the sphere with that of the scan's first cycle.
+
+    Runs of equal file, scan and field are found in buckets. Inside a run the limits restart one after the
+    other: runs go in parallel, a run of more than ``chunk`` cycles goes on from chunk to chunk with the
+    scan that is open at its end.
     """
-    same = ["name", "scan", "field", "__ra", "__dec"]
-    grid = lambda c: F.round(F.col(c) * RAD / 1e-7)
-    d = obs.withColumn("__ra", grid("ra")).withColumn("__dec", grid("dec"))
-    d = runs(d, ["beam"], "cycle", F.floor(F.col("cycle") / bucket), same, step=step, name="run")
-    if cycle_limit is not None:
-        start = d.groupBy("beam", "run").agg(F.min("cycle").alias("__c0"))
-        d = d.join(start, ["beam", "run"]).withColumn("part", F.floor((F.col("cycle") - F.col("__c0")) / cycle_limit)).drop("__c0")
-    else:
-        d = d.withColumn("part", F.lit(0).cast("long"))
-    return d.groupBy("beam", "run", "part").agg(
+    d = obs.withColumn("__t", (F.col(time) if time else F.lit(0.0)).cast("double")).withColumn("__ra", F.radians("ra")).withColumn("__dec", F.radians("dec"))
+    d = runs(d, ["beam"], "cycle", F.floor(F.col("cycle") / bucket), ["name", "scan", "field"], step=step, name="run")
+    d = d.select("beam", "run", F.col("cycle").cast("long").alias("cycle"), "name", "scan", "field", "__t", "__ra", "__dec", F.floor(F.col("cycle") / chunk).alias("__k"))
+    first = d.groupBy("beam", "run").agg(F.min("__k").alias("__k0"))
+    d = cut_lineage(d.join(first, ["beam", "run"]).withColumn("__k", F.col("__k") - F.col("__k0")).drop("__k0"))
+    rounds = (d.agg(F.max("__k")).first()[0] or 0) + 1
+    limits = (cycle_limit, time_limit)
+
+    def cut(table: pa.Table) -> pa.Table:
+        table = table.sort_by("cycle")
+        start = tuple(table.column(c)[0].as_py() for c in _START)
+        found = _parts(*(table.column(c).to_numpy() for c in ("cycle", "__t", "__ra", "__dec")), None if start[0] is None else start, *limits)
+        kept = table.select(["beam", "run", "cycle", "name", "scan", "field"])
+        for c in _START:
+            kept = kept.append_column(c, pa.array(found[c]))
+        return kept
+
+    state, done = None, None
+    kinds = dict(zip(_START, ("long", "double", "double", "double", "long")))
+    types = {c: t for c, t in d.dtypes}
+    schema = ", ".join([f"{c} {types[c]}" for c in ("beam", "run", "cycle", "name", "scan", "field")] + [f"{c} {t}" for c, t in kinds.items()])
+    for k in range(rounds):
+        rows = d.where(F.col("__k") == k)
+        if state is None:
+            rows = rows.select("*", *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()])
+        else:
+            rows = rows.join(state, ["beam", "run"], "left")
+        rows = cut_lineage(rows.groupBy("beam", "run").applyInArrow(cut, schema))
+        state = rows.groupBy("beam", "run").agg(F.max_by(F.struct(*_START), "cycle").alias("s")).select("beam", "run", "s.*")
+        done = rows if done is None else done.unionByName(rows)
+    return done.groupBy("beam", "run", "part").agg(
         F.min("cycle").alias("start_cycle"), F.max("cycle").alias("end_cycle"), F.first("name").alias("name"), F.first("scan").alias("scan"),
         F.first("field").alias("field"), F.count(F.lit(1)).alias("n_cycles"))
 

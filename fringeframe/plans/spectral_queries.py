@@ -57,6 +57,25 @@ def agg5(spark, sf):
     return summary.scan_inventory(o, cycle_limit=4, step=4)
 
 
+@op("agg5_limits", """WITH RECURSIVE o AS (SELECT DISTINCT beam, cycle, 'f' || (cycle // 32) AS name, scan // 3 AS scan, (cycle // 20) % 2 AS field, cycle + (cycle * 7) % 9 * 0.1 AS t,
+  RADIANS(10.0 + (cycle // 12) * 4e-6) AS ra, RADIANS(-30.0) AS de FROM v_vis),
+ q AS (SELECT *, ROW_NUMBER() OVER w AS i, LAG(cycle) OVER w IS NULL OR cycle - LAG(cycle) OVER w > 4 OR LAG(name) OVER w <> name OR LAG(scan) OVER w <> scan OR LAG(field) OVER w <> field AS fresh
+  FROM o WINDOW w AS (PARTITION BY beam ORDER BY cycle)),
+ r AS (SELECT beam, i, cycle, name, scan, field, 1 AS run, 0 AS part, cycle AS c0, t AS t0, ra AS r0, de AS d0 FROM q WHERE i = 1
+  UNION ALL SELECT q.beam, q.i, q.cycle, q.name, q.scan, q.field, CASE WHEN q.fresh THEN r.run + 1 ELSE r.run END, CASE WHEN q.fresh THEN 0 WHEN x.cut THEN r.part + 1 ELSE r.part END,
+   CASE WHEN q.fresh OR x.cut THEN q.cycle ELSE r.c0 END, CASE WHEN q.fresh OR x.cut THEN q.t ELSE r.t0 END, CASE WHEN q.fresh OR x.cut THEN q.ra ELSE r.r0 END, CASE WHEN q.fresh OR x.cut THEN q.de ELSE r.d0 END
+  FROM r JOIN q ON q.beam = r.beam AND q.i = r.i + 1
+  CROSS JOIN LATERAL (SELECT q.cycle - r.c0 >= 13 OR q.t - r.t0 >= 8.25 OR 2 * ASIN(SQRT(POWER(SIN((q.de - r.d0) / 2), 2) + COS(q.de) * COS(r.d0) * POWER(SIN((q.ra - r.r0) / 2), 2))) >= 1e-7 AS cut) x)
+SELECT beam, CAST(run AS BIGINT) AS run, CAST(part AS BIGINT) AS part, MIN(cycle) AS start_cycle, MAX(cycle) AS end_cycle, MIN(name) AS name, MIN(scan) AS scan, MIN(field) AS field, COUNT(*) AS n_cycles FROM r GROUP BY 1, 2, 3""")
+def agg5_limits(spark, sf):
+    """Limits in cycles and time that restart at the next observed cycle, and a pointing that drifts; chunks of 16 cycles carry the open scan on."""
+    o = view(spark, sf, "v_vis").select(
+        "beam", "cycle", F.concat(F.lit("f"), F.floor(F.col("cycle") / 32).cast("string")).alias("name"), F.floor(F.col("scan") / 3).alias("scan"),
+        (F.floor(F.col("cycle") / 20) % 2).alias("field"), (F.col("cycle") + (F.col("cycle") * 7) % 9 * 0.1).alias("t"),
+        (10.0 + F.floor(F.col("cycle") / 12) * 4e-6).alias("ra"), F.lit(-30.0).alias("dec")).distinct()
+    return summary.scan_inventory(o, cycle_limit=13, step=4, time_limit=8.25, time="t", chunk=16)
+
+
 @op("agg6", """WITH r AS (SELECT cycle, ant1, ant2, flag OR (ant1 + cycle) % 6 = 0 OR (ant2 + cycle) % 6 = 0 AS flag FROM v_row),
  e AS (SELECT cycle, ant1 AS ant, flag FROM r UNION ALL SELECT cycle, ant2, flag FROM r) SELECT cycle, ant FROM e GROUP BY 1, 2 HAVING BOOL_AND(flag)""")
 def agg6(spark, sf):

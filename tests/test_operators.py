@@ -323,6 +323,35 @@ def test_object_limits(spark):
     assert kept(min_pix=1, min_chan=1, min_vox=7) == [2, 3] and kept(min_pix=1, min_chan=1, max_pix=2, max_vox=8) == [1]
 
 
+# ---------------------------------------------------------------- scan inventory
+
+@pytest.mark.parametrize("chunk", [1, 7, 1000])
+def test_scans_restart_at_the_next_cycle(spark, chunk):
+    """Any chunk length gives the scans of a plain walk: limits, pointings that drift or jump back, gaps, a cycle without a direction."""
+    rng = random.Random(5)
+    rows, t = [], 0.0
+    for beam in range(3):
+        ra = 20.0
+        for c in range(60):
+            t += rng.choice([0.5, 1.0, 3.0])
+            ra = 20.0 if rng.random() < 0.2 else ra + rng.choice([0, 0, 2e-6, -2e-6])
+            if rng.random() > 0.05:
+                rows.append((beam, c, "f", c // 25, 0, t, ra if (beam, c) != (1, 30) else float("nan"), 60.0))
+    want, last = [], None
+    for beam, c, _, scan, _, t, ra, _ in rows:
+        apart = 2 * math.asin(min(1.0, math.cos(math.radians(60)) * abs(math.sin(math.radians(ra - last[4]) / 2)))) if last and not math.isnan(ra) and not math.isnan(last[4]) else 1.0
+        go_on = last and last[0] == beam and c == last[1] + 1 and scan == last[5] and c - last[2] < 9 and t - last[3] < 12.0 and apart < 1e-7
+        if go_on:
+            want[-1][2], want[-1][3] = c, want[-1][3] + 1
+            last = (beam, c, *last[2:])
+        else:
+            want.append([beam, c, c, 1])
+            last = (beam, c, c, t, ra, scan)
+    df = spark.createDataFrame(rows, "beam long, cycle long, name string, scan long, field long, t double, ra double, dec double")
+    got = summary.scan_inventory(df, 9, time_limit=12.0, time="t", chunk=chunk).collect()
+    assert sorted([r["beam"], r["start_cycle"], r["end_cycle"], r["n_cycles"]] for r in got) == want
+
+
 # ---------------------------------------------------------------- data sources
 
 def _votable(tmp_path, name, fields, rows):
