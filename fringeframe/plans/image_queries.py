@@ -398,47 +398,52 @@ def det4(spark, sf):
     return detect.keep_large(_labelled(spark, sf), 3).select("image_id", "x", "y", "obj_id")
 
 
-def _cube_sql(cut, reach, chan_reach):
+def _cube_sql(cut, reach, chan_reach, stretched=False):
     """Objects of the cube, grown from every voxel to all voxels it can be reached from."""
-    return f"""WITH RECURSIVE th AS (SELECT image_id, AVG(value) + {cut} * STDDEV_SAMP(value) AS threshold FROM v_cube GROUP BY 1),
- dt AS (SELECT v_cube.* FROM v_cube JOIN th USING (image_id) WHERE value > threshold),
+    places = "x * 4 + y % 2 AS x, y * 4 + x % 3 AS y, chan * 7 + (x + y) % 3 AS chan" if stretched else "x, y, chan"
+    return f"""WITH RECURSIVE cube AS (SELECT image_id, {places}, value FROM v_cube),
+ th AS (SELECT image_id, AVG(value) + {cut} * STDDEV_SAMP(value) AS threshold FROM cube GROUP BY 1),
+ dt AS (SELECT cube.* FROM cube JOIN th USING (image_id) WHERE value > threshold),
  reach0(image_id, x, y, chan, lab) AS (SELECT image_id, x, y, chan, (chan * 16777216 + y) * 16777216 + x AS lab FROM dt
   UNION SELECT d.image_id, d.x, d.y, d.chan, r.lab FROM reach0 r JOIN dt d ON d.image_id = r.image_id AND ABS(d.x - r.x) <= {reach} AND ABS(d.y - r.y) <= {reach} AND ABS(d.chan - r.chan) <= {chan_reach}),
  lb AS (SELECT image_id, x, y, chan, MIN(lab) AS obj_id FROM reach0 GROUP BY 1, 2, 3, 4)"""
 
 
-#: Spreads above the mean: many objects that touch, or a few bright voxels that only join across gaps.
-TOUCHING, APART = 1.2, 2.4
+#: Spreads above the mean of a detected voxel.
+BRIGHT = 1.2
 
 
-def _cube_objects(spark, sf, cut, reach, chan_reach):
+def _cube_objects(spark, sf, reach, chan_reach, stretched=False):
     cube = view(spark, sf, "v_cube")
-    found = detect.detect(cube, ["image_id"], detect.thresholds(cube, ["image_id"], cut, False))
+    if stretched:  # neighbours are 3 to 5 pixels and 5 to 9 channels apart, some within the gap and some beyond
+        x, y, c = F.col("x"), F.col("y"), F.col("chan")
+        cube = cube.select("image_id", (x * 4 + y % 2).alias("x"), (y * 4 + x % 3).alias("y"), (c * 7 + (x + y) % 3).alias("chan"), "value")
+    found = detect.detect(cube, ["image_id"], detect.thresholds(cube, ["image_id"], BRIGHT, False))
     return detect.label_objects(found, reach, tile=8, chan="chan", chan_reach=chan_reach, chan_tile=max(4, chan_reach))
 
 
-@op("det3_cube", _cube_sql(TOUCHING, 1, 1) + " SELECT image_id, x, y, chan, obj_id FROM lb")
+@op("det3_cube", _cube_sql(BRIGHT, 1, 1) + " SELECT image_id, x, y, chan, obj_id FROM lb")
 def det3_cube(spark, sf):
     """Objects on three axes: voxels that touch in position and channel."""
-    return _cube_objects(spark, sf, TOUCHING, 1, 1)
+    return _cube_objects(spark, sf, 1, 1)
 
 
-@op("det3_cube_gap", _cube_sql(APART, 3, 7) + " SELECT image_id, x, y, chan, obj_id FROM lb")
+@op("det3_cube_gap", _cube_sql(BRIGHT, 3, 7, True) + " SELECT image_id, x, y, chan, obj_id FROM lb")
 def det3_cube_gap(spark, sf):
     """Adjacency off: voxels within 3 pixels and 7 channels."""
-    return _cube_objects(spark, sf, APART, 3, 7)
+    return _cube_objects(spark, sf, 3, 7, True)
 
 
-@op("det4_cube", _cube_sql(TOUCHING, 1, 1) + """, sz AS (SELECT image_id, obj_id, COUNT(*) AS n_vox, COUNT(DISTINCT y * 16777216 + x) AS n_pix, COUNT(DISTINCT chan) AS n_chan FROM lb GROUP BY 1, 2)
+@op("det4_cube", _cube_sql(BRIGHT, 1, 1) + """, sz AS (SELECT image_id, obj_id, COUNT(*) AS n_vox, COUNT(DISTINCT y * 16777216 + x) AS n_pix, COUNT(DISTINCT chan) AS n_chan FROM lb GROUP BY 1, 2)
 SELECT image_id, x, y, chan, obj_id FROM lb JOIN sz USING (image_id, obj_id) WHERE n_pix >= 2 AND n_chan >= 3 AND n_vox >= 6 AND n_chan <= 7""")
 def det4_cube(spark, sf):
     """Limits on positions, channels and voxels of whole objects."""
-    return detect.keep_objects(_cube_objects(spark, sf, TOUCHING, 1, 1), 2, 3, max_chan=7)
+    return detect.keep_objects(_cube_objects(spark, sf, 1, 1), 2, 3, max_chan=7)
 
 
-@op("det4_sizes", _cube_sql(APART, 3, 7) + """ SELECT image_id, obj_id, COUNT(*) AS n_vox, COUNT(DISTINCT y * 16777216 + x) AS n_pix, COUNT(DISTINCT chan) AS n_chan FROM lb GROUP BY 1, 2""")
+@op("det4_sizes", _cube_sql(BRIGHT, 3, 7, True) + """ SELECT image_id, obj_id, COUNT(*) AS n_vox, COUNT(DISTINCT y * 16777216 + x) AS n_pix, COUNT(DISTINCT chan) AS n_chan FROM lb GROUP BY 1, 2""")
 def det4_sizes(spark, sf):
-    return detect.object_sizes(_cube_objects(spark, sf, APART, 3, 7)).select("image_id", "obj_id", "n_vox", "n_pix", "n_chan")
+    return detect.object_sizes(_cube_objects(spark, sf, 3, 7, True)).select("image_id", "obj_id", "n_vox", "n_pix", "n_chan")
 
 
 def _object_pixels(spark, sf):
