@@ -147,11 +147,11 @@ _G12 = ("g1.g_re * g2.g_re + g1.g_im * g2.g_im", "g1.g_im * g2.g_re - g1.g_re *
 
 
 @op("jn3_parallel", f"""WITH g AS (SELECT ant, MAX(g_re) AS g_re, MAX(g_im) AS g_im FROM v_cal GROUP BY ant),
- j AS (SELECT v.*, {_G12[0]} AS gr, {_G12[1]} AS gi FROM v_cell v JOIN g g1 ON g1.ant = v.ant1 JOIN g g2 ON g2.ant = v.ant2 WHERE pol <> 'XY')
+ j AS (SELECT v.*, {_G12[0]} AS gr, {_G12[1]} AS gi FROM v_cell v JOIN g g1 ON g1.ant = v.ant1 JOIN g g2 ON g2.ant = v.ant2)
 SELECT scan, ant1, ant2, beam, pol, chan, {rs('(re * gr + im * gi) / (gr * gr + gi * gi)', 're')}, {rs('(im * gr - re * gi) / (gr * gr + gi * gi)', 'im')} FROM j""")
 def jn3_parallel(spark, sf):
     g = view(spark, sf, "v_cal").groupBy("ant").agg(F.max("g_re").alias("g_re"), F.max("g_im").alias("g_im"))
-    v = calibrate.join_solutions(view(spark, sf, "v_cell").where("pol <> 'XY'"), g, [])
+    v = calibrate.join_solutions(view(spark, sf, "v_cell"), g, [])
     v = v.where("g_re_1 IS NOT NULL AND g_re_2 IS NOT NULL")
     out = calibrate.apply_parallel(v, Cx.of("g_re_1", "g_im_1"), Cx.of("g_re_2", "g_im_2"))
     return out.select("scan", "ant1", "ant2", "beam", "pol", "chan", r6("re").alias("re"), r6("im").alias("im"))
@@ -385,7 +385,7 @@ _FLAG_DECAY = f"""WITH @grid, ga AS (SELECT *, SQRT(re * re + im * im) AS amp FR
  c AS (SELECT ga.*, ga.flag OR COALESCE(amp < m - 3.0 * s OR amp > m + 3.0 * s, FALSE) AS nf FROM ga LEFT JOIN st USING (scan, ant1, ant2, beam, pol)),
  b AS (SELECT scan, ant1, ant2, beam, pol, chan // 6 AS block, AVG(CASE WHEN NOT nf THEN re END) AS re, AVG(CASE WHEN NOT nf THEN im END) AS im FROM c GROUP BY 1, 2, 3, 4, 5, 6),
  gn AS (SELECT ant, MAX(g_re) AS g_re, MAX(g_im) AS g_im FROM v_cal GROUP BY ant),
- j AS (SELECT b.*, {_G12[0]} AS gr, {_G12[1]} AS gi FROM b JOIN gn g1 ON g1.ant = b.ant1 JOIN gn g2 ON g2.ant = b.ant2 WHERE b.re IS NOT NULL AND b.pol <> 'XY')
+ j AS (SELECT b.*, {_G12[0]} AS gr, {_G12[1]} AS gi FROM b JOIN gn g1 ON g1.ant = b.ant1 JOIN gn g2 ON g2.ant = b.ant2 WHERE b.re IS NOT NULL)
 SELECT ant1, ant2, beam, block, {rs('AVG((re * gr + im * gi) / (gr * gr + gi * gi))', 're')}, {rs('AVG((im * gr - re * gi) / (gr * gr + gi * gi))', 'im')}, COUNT(*) AS n
 FROM j GROUP BY 1, 2, 3, 4"""
 
@@ -395,7 +395,7 @@ def flagship(spark, sf):
     """Which channels survive robust clipping, and the averaged, calibrated spectrum per baseline and beam."""
     s = spectra(spark, sf).where("ant1 <> ant2")
     s = average.average_channels(flag.clip_auto(s, 3.0), 6)
-    e = average.explode_spectra(s, ["ant1", "ant2", "beam", "pol"]).where("NOT flag AND pol <> 'XY'")
+    e = average.explode_spectra(s, ["ant1", "ant2", "beam", "pol"]).where("NOT flag")
     g = view(spark, sf, "v_cal").groupBy("ant").agg(F.max("g_re").alias("g_re"), F.max("g_im").alias("g_im"))
     v = calibrate.join_solutions(e, g, []).where("g_re_1 IS NOT NULL AND g_re_2 IS NOT NULL")
     v = calibrate.apply_parallel(v, Cx.of("g_re_1", "g_im_1"), Cx.of("g_re_2", "g_im_2"))

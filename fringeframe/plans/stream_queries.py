@@ -194,13 +194,13 @@ def str9_stream(spark, sf):
 
 
 @op("jn4", f"""WITH g AS (SELECT ant, MAX(g_re) AS g_re, MAX(g_im) AS g_im FROM v_cal GROUP BY ant),
- j AS (SELECT v.*, {_G12[0]} AS gr, {_G12[1]} AS gi FROM v_vis v JOIN g g1 ON g1.ant = v.ant1 JOIN g g2 ON g2.ant = v.ant2 WHERE pol <> 'XY')
+ j AS (SELECT v.*, {_G12[0]} AS gr, {_G12[1]} AS gi FROM v_vis v JOIN g g1 ON g1.ant = v.ant1 JOIN g g2 ON g2.ant = v.ant2)
 SELECT cycle, ant1, ant2, {rs('SUM((re * gr + im * gi) / (gr * gr + gi * gi))', 're', 4)}, {rs('SUM((im * gr - re * gi) / (gr * gr + gi * gi))', 'im', 4)} FROM j GROUP BY 1, 2, 3""")
 def jn4(spark, sf):
     """Gains, a static table, applied to the visibility stream."""
     g = view(spark, sf, "v_cal").groupBy("ant").agg(F.max("g_re").alias("g_re"), F.max("g_im").alias("g_im"))
     side = lambda n: g.select(F.col("ant").alias(f"ant{n}"), F.col("g_re").alias(f"g_re_{n}"), F.col("g_im").alias(f"g_im_{n}"))
-    v = vis_stream(spark, sf).where("pol <> 'XY'")
+    v = vis_stream(spark, sf)
     v = joins.lookup_join(joins.lookup_join(v, side(1), ["ant1"]), side(2), ["ant2"])
     g1, g2 = Cx.of("g_re_1", "g_im_1"), Cx.of("g_re_2", "g_im_2")
     out = calibrate.apply_hands(v, (g1, g1), (g2, g2))
