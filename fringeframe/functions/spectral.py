@@ -97,12 +97,26 @@ def circular_atan(sin_term: Column, cos_term: Column) -> Column:
     return F.pmod(F.atan2(clean(sin_term), clean(cos_term)), F.lit(2 * math.pi))
 
 
+def normal_tail(z: Column) -> Column:
+    """Probability that a standard normal value is above z >= 0: a power series up to 2, a continued fraction beyond."""
+    density = F.exp(-0.5 * z * z) / math.sqrt(2.0 * math.pi)
+    # z + z^3/3 + z^5/(3 5) + ...; each term is the one before times z^2 / (2 i + 1)
+    start = F.struct(z.alias("term"), z.alias("total"))
+    grown = lambda acc, i: F.struct((acc["term"] * z * z / (2.0 * i + 1.0)).alias("term"), (acc["total"] + acc["term"] * z * z / (2.0 * i + 1.0)).alias("total"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(40)), start, grown, lambda acc: acc["total"])
+    # z + 1/(z + 2/(z + 3/...)), from the inside
+    below = F.aggregate(F.sequence(F.lit(120), F.lit(1), F.lit(-1)), F.lit(0.0), lambda acc, k: k / (z + acc))
+    return F.when(z < 2.0, 0.5 - density * series).otherwise(density / (z + below))
+
+
 def normal_z_value(p: Column) -> Column:
-    """z with upper tail probability p: rational start (Abramowitz & Stegun 26.2.23) and Newton steps on a series tail."""
+    """z with upper tail probability p: rational start (Abramowitz & Stegun 26.2.23) and Newton steps on the tail; null outside (0, 1)."""
     q = F.least(p, 1.0 - p)
     t = F.sqrt(-2.0 * F.ln(q))
     z = t - (2.515517 + t * (0.802853 + t * 0.010328)) / (1.0 + t * (1.432788 + t * (0.189269 + t * 0.001308)))
-    return F.when(p > 0.5, -z).otherwise(z)
+    step = lambda z, _: F.greatest(F.lit(0.0), z + (normal_tail(z) - q) * math.sqrt(2.0 * math.pi) * F.exp(0.5 * z * z))
+    z = F.aggregate(F.sequence(F.lit(1), F.lit(4)), F.greatest(F.lit(0.0), z), step)
+    return F.when((p > 0) & (p < 1), F.when(p > 0.5, -z).otherwise(z))
 
 
 def ellipse_limits(major: Column, minor: Column, pa: Column) -> tuple[Column, Column]:

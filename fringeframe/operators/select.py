@@ -155,6 +155,15 @@ def frequencies(df: DataFrame, low: float, high: float, f0: float, df_chan: floa
     return out.withColumn("first_chan", F.lit(first).cast("long"))
 
 
+#: Speed of light in km/s.
+C_KM_S = 299_792.458
+
+
+def velocities(df: DataFrame, low: float, high: float, rest: float, f0: float, df_chan: float) -> DataFrame:
+    """Keep the channels whose radio velocity c (1 - f / rest), in km/s, lies in [low, high]; frequencies as in :func:`frequencies`."""
+    return frequencies(df, rest * (1.0 - high / C_KM_S), rest * (1.0 - low / C_KM_S), f0, df_chan)
+
+
 def polarisations(pols: Iterable[str]) -> Column:
     return F.col("pol").isin(list(pols))
 

@@ -86,6 +86,15 @@ def flt11_freq(spark, sf):
                     "flag", r6("re").alias("re"))
 
 
+@op("flt11_velocity", """WITH @grid SELECT scan, ant1, ant2, beam, pol, chan, flag, ROUND(re, 6) + CAST(0.0 AS DOUBLE) AS re
+FROM v_grid WHERE 299792.458 * (1 - (1400.0 + chan * 0.5) / 1420.405752) BETWEEN -500.0 AND 1200.0""")
+def flt11_velocity(spark, sf):
+    """Channels by radio velocity about the neutral hydrogen line."""
+    d = select.velocities(spectra(spark, sf), -500.0, 1200.0, 1420.405752, 1400.0, 0.5)
+    e = average.explode_spectra(d, ["scan", "ant1", "ant2", "beam", "pol", "first_chan"])
+    return e.select("scan", "ant1", "ant2", "beam", "pol", (F.col("chan") + F.col("first_chan")).alias("chan"), "flag", r6("re").alias("re"))
+
+
 _row_filter("flt11_pol", lambda: select.polarisations(["XX", "YY"]), "pol IN ('XX', 'YY')")
 
 

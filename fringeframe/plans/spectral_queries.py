@@ -564,6 +564,19 @@ _scalar("sc12", lambda: {
     "dx": spectral.ellipse_limits(F.lit(5.0), F.lit(2.0), F.radians("ra_deg"))[0], "dy": spectral.ellipse_limits(F.lit(5.0), F.lit(2.0), F.radians("ra_deg"))[1]}, {
     "angle": "CASE WHEN ATAN2(SIN(RADIANS(ra_deg)), COS(RADIANS(ra_deg))) < -1e-10 THEN ATAN2(SIN(RADIANS(ra_deg)), COS(RADIANS(ra_deg))) + 2 * PI() ELSE ATAN2(SIN(RADIANS(ra_deg)), COS(RADIANS(ra_deg))) END",
     "dx": "SQRT(POWER(5 * COS(RADIANS(ra_deg)), 2) + POWER(2 * SIN(RADIANS(ra_deg)), 2))", "dy": "SQRT(POWER(5 * SIN(RADIANS(ra_deg)), 2) + POWER(2 * COS(RADIANS(ra_deg)), 2))"})
+_TAIL = "(0.5 - EXP(-0.5 * {z} * {z}) / SQRT(2 * PI()) * list_reduce(list_transform(RANGE(0, 60), LAMBDA i: POWER({z}, 2 * i + 1) / list_reduce(list_transform(RANGE(0, i + 1), LAMBDA j: CAST(2 * j + 1 AS DOUBLE)), LAMBDA a, b: a * b)), LAMBDA a, b: a + b))"
+
+
+@op("sc12_z", f"""WITH RECURSIVE p AS (SELECT comp_id, (comp_id * 37 % 997 + 1) / 999.0 AS p FROM v_comp),
+ b AS (SELECT comp_id, p, LEAST(p, 1 - p) AS q, CAST(0 AS DOUBLE) AS lo, CAST(4 AS DOUBLE) AS hi, 0 AS k FROM p
+  UNION ALL SELECT comp_id, p, q, CASE WHEN t > q THEN (lo + hi) / 2 ELSE lo END, CASE WHEN t > q THEN hi ELSE (lo + hi) / 2 END, k + 1
+  FROM (SELECT *, {_TAIL.format(z='((lo + hi) / 2)')} AS t FROM b WHERE k < 40))
+SELECT comp_id, ROUND(CASE WHEN p > 0.5 THEN -lo ELSE lo END + 3.1e-9, 6) + CAST(0.0 AS DOUBLE) AS z FROM b WHERE k = 40""")
+def sc12_z(spark, sf):
+    """z-values of tail probabilities; the SQL halves the interval instead."""
+    return view(spark, sf, "v_comp").select("comp_id", r6(spectral.normal_z_value((F.col("comp_id") * 37 % 997 + 1) / 999.0)).alias("z"))
+
+
 _H, _DEC = "RADIANS(ra_deg - 180.0)", "RADIANS(dec_deg)"
 
 

@@ -323,6 +323,21 @@ def test_object_limits(spark):
     assert kept(min_pix=1, min_chan=1, min_vox=7) == [2, 3] and kept(min_pix=1, min_chan=1, max_pix=2, max_vox=8) == [1]
 
 
+def test_z_values(spark):
+    """Against the standard library, to the far tails; nothing outside (0, 1)."""
+    ps = [1e-300, 1e-20, 1e-7, 0.001, 0.02275, 0.1, 0.4999, 0.5, 0.7, 0.999999, 1.0 - 1e-12]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in ps], "p double").select(spectral.normal_z_value(F.col("p"))).collect()]
+    for p, z in zip(ps, got):
+        assert z == pytest.approx(-statistics.NormalDist().inv_cdf(p), abs=1e-9, rel=1e-9)
+    assert [r[0] for r in spark.createDataFrame([(0.0,), (1.0,), (-1.0,), (None,)], "p double").select(spectral.normal_z_value(F.col("p"))).collect()] == [None] * 4
+
+
+def test_velocity_selector(spark):
+    d = select.velocities(spec(spark, range(54)), -500.0, 1200.0, 1420.405752, 1400.0, 0.5).first()
+    want = [i for i in range(54) if -500.0 <= 299792.458 * (1 - (1400.0 + i * 0.5) / 1420.405752) <= 1200.0]
+    assert d["re"] == [float(i) for i in want] and d["first_chan"] == want[0]
+
+
 # ---------------------------------------------------------------- scan inventory
 
 @pytest.mark.parametrize("chunk", [1, 7, 1000])
