@@ -3,9 +3,9 @@
 The flaggers take the elements at positions n/4, n/2 and 3n/4 (0-based, no
 interpolation) of the sorted amplitudes, so ``percentile`` does not fit.  For
 arrays the spectrum is sorted in place.  For groups that may hold any share of
-the table no group is ever sorted in one task: values are counted, a coarse
-histogram finds the bin with the wanted rank, a fine histogram narrows it and
-only that sliver is ordered.
+the table no group is ever sorted and no value is shuffled: a value has an
+image, a 64-bit integer that sorts alike, and four histograms of 16 bits each
+narrow the wanted ranks down to one value, whatever the range is.
 """
 
 from __future__ import annotations
@@ -20,13 +20,11 @@ from ..session import cut_lineage
 IQR_TO_SIGMA = 1.34896  # fixed value: interquartile range of a unit normal
 MADFM_TO_SIGMA = 0.6744888  # fixed value: MADFM of a unit normal
 
-_COARSE_PER_OCTAVE = 8
-_EXPONENT_OFFSET = 9000  # keeps coarse bins of positive doubles positive
-_FINE_PER_COARSE = 4096
 _INF = float("inf")
-_INFINITE_BIN = 1_000_000  # beyond the bin of any finite value
-#: Values that are ordered in one window; a fine bin with more is cut again, between its ends.
-_ORDERED = 65_536
+_LARGEST = 1.7976931348623157e308  # fixed value: largest finite double
+_MANTISSA = 1 << 52  # fixed value: steps of a double between two powers of two
+#: Bits of the image that one histogram resolves; four of them give the value.
+_DIGIT = 16
 
 
 # ---------------------------------------------------------------- arrays
@@ -57,89 +55,70 @@ def array_mean_std(arr: Column) -> tuple[Column, Column]:
 
 # ---------------------------------------------------------------- groups
 
-def _coarse(v: Column) -> Column:
-    e = F.floor(F.log2(F.abs(v)) * _COARSE_PER_OCTAVE) + _EXPONENT_OFFSET
-    return F.when(v == 0, F.lit(0)).when(F.abs(v) == _INF, F.signum(v) * _INFINITE_BIN).otherwise(F.signum(v) * e).cast("int")
+def with_image(df: DataFrame, value: str, name: str = "__i") -> DataFrame:
+    """Add the 64-bit image of a double that is neither null nor NaN: a long that sorts as the values do, 0 for zero.
 
-
-def _fine(v: Column) -> Column:
-    x = F.log2(F.abs(v)) * _COARSE_PER_OCTAVE
-    return F.when((v == 0) | (F.abs(v) == _INF), F.lit(0)).otherwise(
-        F.signum(v) * F.floor((x - F.floor(x)) * _FINE_PER_COARSE)
-    ).cast("int")
+    The exponent is guessed by a logarithm and mended by exact divisions by powers of
+    two, so that exponent and mantissa are the double's own; all of it stays in generated code.
+    """
+    m = F.abs(F.col(value))
+    d = df.withColumn("__e", F.coalesce(F.least(F.greatest(F.floor(F.log2(F.least(m, F.lit(_LARGEST)))), F.lit(-1022)), F.lit(1023)), F.lit(-1022)))
+    d = d.withColumn("__x", m * F.pow(F.lit(2.0), -F.col("__e").cast("double")))  # powers of two are exact
+    up, down = F.col("__x") >= 2, (F.col("__x") < 1) & (F.col("__e") > -1022)
+    e = F.col("__e") + F.when(up, 1).when(down, -1).otherwise(0)
+    x = F.when(up, F.col("__x") / 2).when(down, F.col("__x") * 2).otherwise(F.col("__x"))
+    bits = F.when(m == _INF, F.lit(2047 * _MANTISSA)).otherwise((e + 1022) * F.lit(_MANTISSA) + F.when(m < _INF, x * F.lit(float(_MANTISSA))).cast("long"))
+    return d.withColumn(name, F.when(F.col(value) < 0, -bits).otherwise(bits)).drop("__e", "__x")
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """(keys, __v, __n): the group's values with their multiplicity, NaN and null dropped."""
+    """(keys, __v, __n): values and how often each counts, NaN and null dropped. Equal values may be in several rows."""
     v = F.col(value).cast("double")
     return (
-        df.select(*keys, (v + F.lit(0.0)).alias("__v"))
+        df.select(*keys, (v + F.lit(0.0)).alias("__v"), F.lit(1).cast("long").alias("__n"))
         .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-        .groupBy(*keys, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-
-
-def _narrow(hist: DataFrame, part: list[str], order: str) -> DataFrame:
-    """Keep the histogram row that holds rank ``__rank`` and make the rank relative to it."""
-    w = Window.partitionBy(*part).orderBy(order)
-    return (
-        hist.withColumn("__cum", F.sum("__m").over(w))
-        .where((F.col("__cum") - F.col("__m") <= F.col("__rank")) & (F.col("__rank") < F.col("__cum")))
-        .withColumn("__rank", F.col("__rank") - (F.col("__cum") - F.col("__m")))
-        .drop("__m", "__cum")
     )
 
 
-def _thin_out(values: DataFrame, part: list[str]) -> DataFrame:
-    """Cut the range of each sliver into equal bins and keep that with the rank, until no sliver has many values."""
-    while True:
-        values = cut_lineage(values)
-        ends = values.groupBy(*part).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.count(F.lit(1)).alias("__k"))
-        if ends.where(F.col("__k") > _ORDERED).isEmpty():
-            return values
-        # in halves, as the difference of two large values may overflow
-        at = (F.col("__v") / 2 - F.col("__lo") / 2) / (F.col("__hi") / 2 - F.col("__lo") / 2)
-        binned = values.join(ends, part).withColumn("__b", F.when(F.col("__k") > _ORDERED, F.floor(at * _FINE_PER_COARSE)).otherwise(0).cast("int"))
-        hist = binned.groupBy(*part, "n", "__rank", "__b").agg(F.sum("__m").alias("__m"))
-        kept = _narrow(hist, part, "__b")
-        values = binned.select(*part, "__v", "__m", "__b").join(kept, [*part, "__b"]).select(*part, "n", "__rank", "__v", "__m")
-
-
 def select_ranks(
     counts: DataFrame, keys: Sequence[str], ranks: Mapping[str, Callable[[Column], Column]]
 ) -> DataFrame:
-    """Exact values at given ranks of each group.
+    """Exact values at given ranks of each group, all ranks in one call.
 
     ``counts`` comes from :func:`value_counts`; ``ranks`` maps an output name to
     a function of the group size giving a 0-based rank.  Returns one row per
-    group: keys, ``n`` and one column per rank.  Every window below runs over
-    histogram bins (at most ~17k coarse, 4096 fine) or over at most 65,536 values
-    of a sliver, never over a group.  Infinite values have bins of their own.
+    group: keys, ``n`` and one column per rank.
+
+    The values are written once with their images. Each of four passes counts the next
+    16 bits of the images whose higher bits are those of a wanted rank, so what is
+    shuffled are counts summed in the tasks, and a window runs over at most 65,536 of them.
     """
     keys = list(keys)
     if not keys:
         return select_ranks(counts.withColumn("__all", F.lit(0)), ["__all"], ranks).drop("__all")
-    # the counts are read three times; writing them once keeps plans short and the scan single
-    counts = cut_lineage(counts)
-    c = counts.withColumn("__b1", _coarse(F.col("__v"))).withColumn("__b2", _fine(F.col("__v")))
-    h1 = c.groupBy(*keys, "__b1").agg(F.sum("__n").alias("__m"))
-    totals = h1.groupBy(*keys).agg(F.sum("__m").alias("n"))
-    wanted = totals.select(
-        *keys,
-        "n",
-        F.explode(
-            F.array(*[F.struct(F.lit(name).alias("name"), F.floor(fn(F.col("n"))).cast("long").alias("rank"))
-                      for name, fn in ranks.items()])
-        ).alias("w"),
-    ).select(*keys, "n", F.col("w.name").alias("__name"), F.col("w.rank").alias("__rank"))
-    part = keys + ["__name"]
-    s1 = _narrow(h1.join(wanted, keys), part, "__b1")
-    h2 = c.join(s1, keys + ["__b1"]).groupBy(*part, "n", "__rank", "__b1", "__b2").agg(F.sum("__n").alias("__m"))
-    s2 = _narrow(h2, part, "__b2")
-    h3 = c.join(s2, keys + ["__b1", "__b2"]).withColumnRenamed("__n", "__m").select(*part, "n", "__rank", "__v", "__m")
-    s3 = _narrow(_thin_out(h3, part), part, "__v")
-    return s3.groupBy(*keys).agg(
+    data = cut_lineage(with_image(counts, "__v"))
+    part = [*keys, "__p"]
+    run = Window.partitionBy(*part)
+    wanted = None
+    for shift in range(64 - _DIGIT, -1, -_DIGIT):
+        if wanted is None:
+            here = data.withColumn("__p", F.lit(0).cast("long"))
+        else:
+            here = data.withColumn("__p", F.shiftright("__i", shift + _DIGIT)).join(wanted.select(*part), part, "left_semi")
+        value = [] if shift else [F.max("__v").alias("__v")]
+        hist = here.groupBy(*part, F.shiftright("__i", shift).alias("__d")).agg(F.sum("__n").alias("__m"), *value)
+        hist = hist.withColumn("__cum", F.sum("__m").over(run.orderBy("__d")))
+        if wanted is None:
+            each = F.array(*[F.struct(F.lit(name).alias("__name"), F.floor(fn(F.col("n"))).cast("long").alias("__rank")) for name, fn in ranks.items()])
+            found = hist.withColumn("n", F.sum("__m").over(run)).withColumn("__w", F.explode(each)).select("*", "__w.*")
+        else:
+            found = hist.join(wanted, part)
+        before = F.col("__cum") - F.col("__m")
+        found = found.where((before <= F.col("__rank")) & (F.col("__rank") < F.col("__cum")))
+        found = found.select(*keys, "n", "__name", (F.col("__rank") - before).alias("__rank"), F.col("__d").alias("__p"), *([] if shift else ["__v"]))
+        # a written table has a known size, so the next pass sends it to the tasks if it is small
+        wanted = cut_lineage(found) if shift else found
+    return wanted.groupBy(*keys).agg(
         F.max("n").alias("n"),
         *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in ranks],
     )
@@ -162,34 +141,36 @@ def grouped_median(counts: DataFrame, keys: Sequence[str], name: str = "median")
     return r.select(*keys, "n", ((F.col("lo") + F.col("hi")) / 2).alias(name))
 
 
-def grouped_madfm(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Per group: ``n``, ``median``, ``madfm`` and ``sigma`` = madfm / 0.6744888."""
+def grouped_madfm(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[str, float] | None = None) -> DataFrame:
+    """Per group: ``n``, ``median``, ``madfm`` and ``sigma`` = madfm / 0.6744888, and quantiles found along with the median."""
     keys = list(keys)
     if not keys:
-        return grouped_madfm(df.withColumn("__all", F.lit(0)), ["__all"], value).drop("__all")
+        return grouped_madfm(df.withColumn("__all", F.lit(0)), ["__all"], value, qs).drop("__all")
     counts = cut_lineage(value_counts(df, keys, value))
-    med = cut_lineage(grouped_median(counts, keys))
-    dev = (
-        counts.join(med.select(*keys, "median"), keys)
-        .select(*keys, F.abs(F.col("__v") - F.col("median")).alias("__v"), "__n")
-        .groupBy(*keys, "__v").agg(F.sum("__n").alias("__n"))
-    )
-    mad = grouped_median(dev, keys, "madfm").drop("n")
+    ranks, cols = _quantile_ranks(qs or {})
+    r = select_ranks(counts, keys, {**MIDDLE, **ranks})
+    med = cut_lineage(r.select(*keys, "n", ((F.col("lo") + F.col("hi")) / 2).alias("median"), *cols))
+    dev = counts.join(med.select(*keys, "median"), keys).select(*keys, F.abs(F.col("__v") - F.col("median")).alias("__v"), "__n")
+    # an infinite value less an infinite median is no number
+    mad = grouped_median(dev.where(~F.isnan("__v")), keys, "madfm").drop("n")
     return med.join(mad, keys).withColumn("sigma", F.col("madfm") / F.lit(MADFM_TO_SIGMA))
 
 
-def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[str, float]) -> DataFrame:
-    """Per group quantiles with linear interpolation between neighbours."""
-    keys = list(keys)
+def _quantile_ranks(qs: Mapping[str, float]) -> tuple[dict[str, Callable[[Column], Column]], list[Column]]:
+    """Ranks about each quantile, and the columns that interpolate between them."""
     ranks: dict[str, Callable[[Column], Column]] = {}
+    cols = []
     for name, q in qs.items():
         ranks[f"__lo_{name}"] = lambda n, q=q: F.floor((n - 1) * F.lit(q))
         ranks[f"__hi_{name}"] = lambda n, q=q: F.ceil((n - 1) * F.lit(q))
-    r = select_ranks(value_counts(df, keys, value), keys, ranks)
-    out = []
-    for name, q in qs.items():
         pos = (F.col("n") - 1) * F.lit(q)
-        frac = pos - F.floor(pos)
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        out.append((lo + (hi - lo) * frac).alias(name))
-    return r.select(*keys, "n", *out)
+        cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+    return ranks, cols
+
+
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[str, float]) -> DataFrame:
+    """Per group quantiles with linear interpolation between neighbours."""
+    keys = list(keys)
+    ranks, cols = _quantile_ranks(qs)
+    return select_ranks(value_counts(df, keys, value), keys, ranks).select(*keys, "n", *cols)

@@ -35,9 +35,8 @@ def cube_stats(cube: DataFrame, keys: Sequence[str], value: str = "value") -> Da
     basic = cube.groupBy(*keys).agg(
         F.sqrt(F.avg(F.col(value) * F.col(value))).alias("rms"), F.stddev_pop(value).alias("std"), F.avg(value).alias("mean"),
         F.min(value).alias("minval"), F.max(value).alias("maxval"))
-    onepc = grouped_quantiles(cube, keys, value, {"onepc": 0.01}).drop("n")
-    robust = grouped_madfm(cube, keys, value).select(*keys, "median", "madfm")
-    return basic.join(onepc, keys).join(robust, keys)
+    robust = grouped_madfm(cube, keys, value, {"onepc": 0.01}).select(*keys, "onepc", "median", "madfm")
+    return basic.join(robust, keys)
 
 
 def good_cells(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

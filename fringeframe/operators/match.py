@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.order import _coarse, _fine, grouped_median, value_counts
+from ..functions.order import grouped_median, value_counts, with_image
 from ..functions.prefix import running_total, scan_sum
 from ..session import cut_lineage
 
@@ -43,8 +43,8 @@ def ordinal_at_position(pts: DataFrame) -> DataFrame:
     block = F.floor(F.col("id") / F.lit(4096))
     d = pts.withColumn("__blk", block)
     g = d.groupBy("x", "y", "flux", "__blk").agg(F.count(F.lit(1)).alias("__n"))
-    g = g.withColumn("__o", F.struct("flux", "__blk"))
-    g = scan_sum(g, ["x", "y"], "__o", F.struct(_coarse(F.col("flux")), _fine(F.col("flux"))), "__n", "__cum")
+    g = with_image(g.withColumn("__o", F.struct("flux", "__blk")), "flux")
+    g = scan_sum(g, ["x", "y"], "__o", F.shiftright("__i", 37), "__n", "__cum")  # 32,768 bins between two powers of two
     g = g.select("x", "y", "flux", "__blk", (F.col("__cum") - F.col("__n")).alias("__before"))
     inside = Window.partitionBy("x", "y", "flux", "__blk").orderBy("id")
     d = d.withColumn("__k", F.row_number().over(inside)).join(g, ["x", "y", "flux", "__blk"])

@@ -655,10 +655,7 @@ def test_trim_triangles(spark):
     assert {r["i"] for r in match.trim_triangles(d).collect()} == want and want
 
 
-def test_ranks_of_infinite_and_crowded_values(spark, monkeypatch):
-    from fringeframe.functions import order
-
-    monkeypatch.setattr(order, "_ORDERED", 50)
+def test_ranks_of_infinite_and_crowded_values(spark):
     rng = random.Random(2)
     values = [1000.0 + rng.random() * 1e-3 for _ in range(900)] + [float("inf")] * 3 + [float("-inf")] * 2
     d = spark.createDataFrame([("a", v) for v in values] + [("b", float("inf"))], "k string, v double")
@@ -667,6 +664,39 @@ def test_ranks_of_infinite_and_crowded_values(spark, monkeypatch):
     assert got["a"]["median"] == s[len(s) // 2] and got["a"]["n"] == len(s) and got["b"]["median"] == float("inf")
 
 
+def test_images_are_the_bits_of_doubles(spark):
+    rng = np.random.default_rng(3)
+    some = np.concatenate([rng.integers(0, 2047 << 52, 5000, dtype=np.int64).view(np.float64), 2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1022, 1024), 0),
+                           [0.0, np.inf, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308]])
+    d = spark.createDataFrame([(float(s * v),) for v in some for s in (1, -1)], "v double")
+    bad = [(r["v"], r["__i"]) for r in order.with_image(d, "v").collect()
+           if r["__i"] != int(np.float64(abs(r["v"])).view(np.int64)) * (-1 if r["v"] < 0 else 1)]
+    assert not bad
+
+
+@pytest.mark.parametrize("values", [
+    [1e9 + i * 2.0 ** -23 for i in range(3001)],  # neighbouring doubles
+    [5e-324 * i for i in range(-50, 52)],  # below the normal range
+    [-1.0] * 400 + [float("inf")] * 401, [0.0, -0.0, 0.0], [-3.5]])
+def test_ranks_in_narrow_and_extreme_ranges(spark, values):
+    d = spark.createDataFrame([(0, v) for v in values] + [(1, float("nan")), (1, None), (2, 1.0)], "k long, v double")
+    got = {r["k"]: r for r in order.select_ranks(order.value_counts(d, ["k"], "v"), ["k"], {**order.QUARTILES, **order.MIDDLE}).collect()}
+    s, n = sorted(values), len(values)
+    assert [got[0][c] for c in ("q1", "q2", "q3", "lo", "hi")] == [s[n // 4], s[n // 2], s[3 * n // 4], s[(n - 1) // 2], s[n // 2]]
+    assert got[0]["n"] == n and got[2]["lo"] == 1.0 and 1 not in got
+
+
+def test_ranks_shuffle_counts_only(spark):
+    """Values meet in one plan a pass, after counting in the tasks; nothing is ordered but histograms."""
+    d = spark.range(200_000).select((F.col("id") % 2).alias("k"), F.sin("id").alias("v"))
+    r = order.grouped_madfm(d, ["k"], "v", {"p": 0.01, "q": 0.99})
+    v = np.sin(np.arange(200_000))
+    for row in r.collect():
+        w = v[row["k"]::2]
+        assert row["median"] == pytest.approx(np.median(w), abs=1e-12) and row["madfm"] == pytest.approx(np.median(np.abs(w - np.median(w))), abs=1e-12)
+        assert [row["p"], row["q"]] == pytest.approx(list(np.percentile(w, [1, 99])), abs=1e-12)
+
+
 def test_running_total_over_ranges(spark):
     from fringeframe.functions.prefix import running_total
 
