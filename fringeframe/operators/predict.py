@@ -6,13 +6,19 @@ from collections.abc import Sequence
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..session import cut_lineage
 from .joins import lookup_join
 
 C_M_S = 299792458.0  # fixed value: speed of light
 PACK = 4096  # components packed in one array
+ROWS = 16_384  # rows of a field that meet its components in one bucket, about
+_PRODUCT = 1 << 20  # phases of one matrix product, about
 
 
 def pack_components(comps: DataFrame, field: str, size: int = PACK) -> DataFrame:
@@ -30,21 +36,67 @@ def pack_components(comps: DataFrame, field: str, size: int = PACK) -> DataFrame
             .agg(F.collect_list(item).alias("comps")))
 
 
+def _model(place: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Sum of amp exp(i place . (l, m, n - 1)) over the components of a block (l, m, n - 1, amp), for each row of ``place``."""
+    out = np.empty(len(place), complex)
+    step = max(1, _PRODUCT // block.shape[1])
+    for lo in range(0, len(place), step):
+        phase = place[lo : lo + step] @ block[:3]
+        out.real[lo : lo + step], out.imag[lo : lo + step] = np.cos(phase) @ block[3], np.sin(phase) @ block[3]
+    return out
+
+
 def predict(rows: DataFrame, packed: DataFrame, row_keys: Sequence[str], field: str, freq: str) -> DataFrame:
     """Model ``model_re``/``model_im`` per row: flux exp(2 pi i freq (lu + mv + (n-1)w) / c) / n over the field's components.
 
-    Rows are spread by key once, so the sum over exploded components is local and
-    runs in generated code; rows of fields without components get zero.
+    The rows of a field are dealt over as many buckets as its count asks for, by a hash of ``row_keys``, and move
+    once; the field's packed blocks are sent to each of them. In a bucket the rows, about ``ROWS``, come first and
+    are held; each block that follows is one matrix product. Rows of a field without components, or of none, get zero.
     """
-    spark = rows.sparkSession
-    spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *row_keys)
-    j = spread.join(packed.select(field, "comps"), field, "left").select(*rows.columns, F.explode_outer("comps").alias("__s"))
-    turn = (F.col("__s.l") * F.col("u") + F.col("__s.m") * F.col("v") + F.col("__s.n1") * F.col("w")) * F.col(freq)
-    j = j.withColumn("__ph", (2 * math.pi / C_M_S) * turn).withColumn("__amp", F.col("__s.amp")).drop("__s")
-    rest = [c for c in rows.columns if c not in row_keys]
-    return j.groupBy(*row_keys).agg(
-        *[F.first(c).alias(c) for c in rest], F.coalesce(F.sum(F.col("__amp") * F.cos("__ph")), F.lit(0.0)).alias("model_re"),
-        F.coalesce(F.sum(F.col("__amp") * F.sin("__ph")), F.lit(0.0)).alias("model_im")).select(*rows.columns, "model_re", "model_im")
+    rows = cut_lineage(rows)  # counted, then dealt
+    names, schema = rows.columns, StructType([*rows.schema.fields, StructField("model_re", DoubleType()), StructField("model_im", DoubleType())])
+    per = rows.groupBy(F.col(field).alias("__f")).agg(F.ceil(F.count(F.lit(1)) / ROWS).alias("__n"))
+    per = cut_lineage(per)
+    bucket = lambda n: F.when(n > 1, F.pmod(F.xxhash64(*row_keys), n)).otherwise(F.lit(0))
+    row = F.struct(*[F.col(c) for c in names])
+    place = F.array(*[F.coalesce(F.col(c) * F.col(freq) * (2 * math.pi / C_M_S), F.lit(float("nan"))).cast("double") for c in "uvw"])
+    data = rows.join(per, F.col(field).eqNullSafe(F.col("__f"))).select("__f", bucket(F.col("__n")).cast("long").alias("__s"), row.alias("__row"), place.alias("__at"))
+    none = lambda name: F.lit(None).cast(data.schema[name].dataType).alias(name)
+    model = packed.select(F.col(field).alias("__f"), "comps").join(per, "__f").select(
+        "__f", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias("__s"), none("__row"), none("__at"), "comps")
+    wide = data.withColumn("comps", F.lit(None).cast(packed.schema["comps"].dataType)).unionByName(model)
+    wide = wide.withColumn("__k", F.col("comps").isNotNull()).select("__f", "__s", "__k", "__row", "__at", "comps")
+
+    def finish(held):
+        for batch, at, sums in held:
+            cols = [*pa.RecordBatch.from_struct_array(batch).columns, pa.array(sums.real), pa.array(sums.imag)]
+            yield pa.RecordBatch.from_arrays(cols, [*names, "model_re", "model_im"])
+
+    def multiply(batches):
+        now, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code = [batch.column(0).dictionary_encode("encode").indices.to_numpy(zero_copy_only=False), *(batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))]
+            new = np.any([c[1:] != c[:-1] for c in code], axis=0)
+            edges = [0, *(np.flatnonzero(new) + 1), batch.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                key = (batch.column(0)[lo].as_py(), code[1][lo])
+                if key != now:
+                    yield from finish(held)
+                    now, held = key, []
+                if not code[2][lo]:
+                    at = batch.column(4).slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
+                    held.append((batch.column(3).slice(lo, hi - lo), at, np.zeros(hi - lo, complex)))
+                    continue
+                for i in range(lo, hi):
+                    c = batch.column(5).slice(i, 1).flatten()
+                    block = np.stack([c.field(f).to_numpy(zero_copy_only=False).astype(float) for f in ("l", "m", "n1", "amp")])
+                    for _, at, sums in held:
+                        sums += _model(at, block)
+        yield from finish(held)
+
+    return wide.repartition("__f", "__s").sortWithinPartitions("__f", "__s", "__k").mapInArrow(multiply, schema)
 
 
 def subtract_model(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,20 +55,50 @@ def phases(re: Column, im: Column) -> Column:
     return F.zip_with(re, im, lambda a, b: F.atan2(b, a))
 
 
+#: Complex numbers that one matrix product holds, about.
+_PRODUCT = 1 << 21
+
+
+def _lag_sums(v: np.ndarray) -> np.ndarray:
+    """Sums over channels i of v[row, i] exp(-2 pi i k / n), with lag k = 0 in the middle of each row.
+
+    Channels i = b j1 + j2 and lags k = k1 + a k2 for n = a b: a product over j1, a turn
+    by j2 k1 / n and a product over j2, so a spectrum costs n (a + b) and not n * n.
+    """
+    n = v.shape[1]
+    a = next(d for d in range(math.isqrt(n), 0, -1) if n % d == 0)
+    b = n // a
+    turn = lambda x, y, m: np.exp(-1j * TURN / m * (np.outer(x, y) % m))
+    first = np.einsum("kj,rjl->rkl", turn(np.arange(a), np.arange(a), a), v.reshape(-1, a, b), optimize=True) if a > 1 else v.reshape(-1, 1, b)
+    first = first * turn(np.arange(a), np.arange(b), n)
+    out = np.empty((len(v), b, a), complex)
+    step = max(1, _PRODUCT // b)  # a prime n has b = n: its matrix is made in slices of lags
+    for lo in range(0, b, step):
+        out[:, lo : lo + step] = (first @ turn(np.arange(b), np.arange(lo, min(lo + step, b)), b)).transpose(0, 2, 1)
+    return np.roll(out.reshape(len(v), n), n // 2, axis=1)
+
+
 def delay_fft(df: DataFrame, keys: Sequence[str], resolution: float) -> DataFrame:
-    """Delay of the largest lag of each spectrum's Fourier transform.  The transform is numpy's, batched by Arrow."""
+    """Delay of the largest lag of each spectrum's Fourier transform; of equal lags the first counts.
+
+    The spectra of one length in an Arrow batch are transformed together by matrix products.
+    Spectra of at most one channel have delay 0, a null spectrum has a null delay.
+    """
 
-    @F.pandas_udf("double")
-    def lag(re: pd.Series, im: pd.Series) -> pd.Series:
-        out = np.zeros(len(re))
-        for i, (a, b) in enumerate(zip(re, im)):
-            v = np.asarray(a) + 1j * np.asarray(b)
-            n = len(v)
-            k = int(np.argmax(np.abs(np.fft.fftshift(np.fft.fft(v)))))
-            out[i] = (k - n // 2) / (n * resolution) if n > 1 else 0.0
-        return pd.Series(out)
+    @F.arrow_udf("double")
+    def lag(re: pa.Array, im: pa.Array) -> pa.Array:
+        n = re.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        a, b = (x.flatten().to_numpy(zero_copy_only=False).astype(float) for x in (re, im))
+        start, out = np.cumsum(n) - n, np.zeros(len(n))
+        for width in np.unique(n[n > 1]):
+            rows = np.flatnonzero(n == width)
+            for part in np.array_split(rows, -(-len(rows) * int(width) // _PRODUCT)):
+                at = start[part][:, None] + np.arange(width)
+                out[part] = (np.argmax(np.abs(_lag_sums(a[at] + 1j * b[at])), axis=1) - width // 2) / (width * resolution)
+        return pa.array(out, mask=re.is_null().to_numpy(zero_copy_only=False))
 
-    return df.select(*keys, lag("re", "im").alias("delay"))
+    both = F.col("re").isNotNull() & F.col("im").isNotNull()
+    return df.select(*keys, lag(F.when(both, F.col("re")), F.when(both, F.col("im"))).alias("delay"))
 
 
 def monitor_average(df: DataFrame, keys: Sequence[str], resolution: float, first: int | None = None, last: int | None = None) -> DataFrame:
@@ -117,34 +147,49 @@ def rm_synthesis(df: DataFrame, keys: Sequence[str], lsq: Sequence[float], n_phi
 
     ``q``, ``u`` (fractional) and ``noise`` are arrays over channel; ``i_flux`` maps
     the reference frequency to Stokes I.  With ``rmsf`` the response on the doubled
-    grid instead.  Sources are spread once; the sums over channels and the list of
-    grid points are then local to the source's partition.
+    grid instead.  An Arrow batch of weighted spectra is multiplied by one matrix of
+    (channel, grid point) turns about the mean of ``lsq``; a source's own reference is a turn of its
+    result, so nothing is shuffled and no row is repeated.  A source without weight has
+    null values, one without ``q`` or ``u`` a null function.
     """
     lam = F.array(*[F.lit(float(x)) for x in lsq])
     total = lambda arr, f: F.aggregate(arr, F.lit(0.0), lambda a, s: a + f(s))
     n = 2 * n_phi if rmsf else n_phi
-    start = -n * d_phi / 2.0
+    phi = -n * d_phi / 2.0 + d_phi * np.arange(n)
+    squares = np.asarray(lsq, float)
+    middle, channels = float(squares.mean()), len(squares)
 
     def reference(s):
         k = F.try_divide(F.lit(1.0), total(s, lambda c: c["w"]))
         return F.struct(s.alias("s"), k.alias("k"), (k * total(s, lambda c: c["w"] * c["l"])).alias("l0"))
 
+    @F.arrow_udf("array<struct<phi:double,re:double,im:double>>")
+    def transform(re: pa.Array, im: pa.Array, l0: pa.Array, scale: pa.Array) -> pa.Array:
+        width = re.value_lengths()
+        if any(w != channels for w in width.unique().to_pylist() if w is not None):
+            raise ValueError(f"a spectrum does not have {channels} channels")
+        l0, scale = (x.to_numpy(zero_copy_only=False).astype(float) for x in (l0, scale))
+        here = np.flatnonzero(re.is_valid().to_numpy(zero_copy_only=False))
+        a, b = (x.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, channels) for x in (re, im))
+        out = np.empty((len(here), n), complex)
+        step = max(1, _PRODUCT // channels)
+        for lo in range(0, n, step):
+            out[:, lo : lo + step] = (a + 1j * b) @ np.exp(-2j * np.outer(squares - middle, phi[lo : lo + step]))
+        out *= np.exp(2j * np.outer(l0[here] - middle, phi)) * scale[here][:, None]
+        none = np.isnan(l0[here] + scale[here]).repeat(n)
+        point = pa.StructArray.from_arrays([pa.array(np.tile(phi, len(here))), pa.array(out.real.ravel(), mask=none), pa.array(out.imag.ravel(), mask=none)], ["phi", "re", "im"])
+        size = np.zeros(len(re) + 1, np.int32)
+        size[here + 1] = n
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(size), pa.int32(), mask=np.append(re.is_null().to_numpy(zero_copy_only=False), False)), point)
+
     weights = F.zip_with(faraday_weights(F.col("q"), F.col("u"), F.col("noise"), weighting), lam, lambda s, x: s.withField("l", x))
     noise = total(F.col("noise"), lambda x: x) / F.size("noise") / F.sqrt(F.size("noise").cast("double"))
-    d = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-    d = d.select(*keys, noise.alias("fdf_noise"), let(weights, reference).alias("b"))
+    d = df.select(*keys, noise.alias("fdf_noise"), let(weights, reference).alias("b"))
     scale = F.col("b.k") if (rmsf or i_flux is None) else F.col("b.k") * i_flux(299792458.0 / F.sqrt("b.l0"))
-    d = d.select(*keys, "fdf_noise", F.col("b.l0").alias("lsq0"), scale.alias("__k"), F.explode("b.s").alias("s"))
-    d = d.select(*keys, "fdf_noise", "lsq0", "__k", "s.q", "s.u", "s.w", (-2.0 * (F.col("s.l") - F.col("lsq0"))).alias("__l"))
-    d = d.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    d = d.withColumn("__c", F.col("w") * F.cos((start + F.col("j") * d_phi) * F.col("__l"))).withColumn(
-        "__s", F.col("w") * F.sin((start + F.col("j") * d_phi) * F.col("__l")))
-    re = F.col("__c") if rmsf else F.col("q") * F.col("__c") - F.col("u") * F.col("__s")
-    im = F.col("__s") if rmsf else F.col("q") * F.col("__s") + F.col("u") * F.col("__c")
-    g = d.groupBy(*keys, "lsq0", "fdf_noise", "__k", "j").agg(F.sum(re).alias("re"), F.sum(im).alias("im"))
-    point = F.struct("j", (start + F.col("j") * d_phi).alias("phi"), (F.col("__k") * F.col("re")).alias("re"), (F.col("__k") * F.col("im")).alias("im"))
-    fdf = F.transform(F.array_sort(F.collect_list(point)), lambda p: F.struct(p["phi"].alias("phi"), p["re"].alias("re"), p["im"].alias("im")))
-    return g.groupBy(*keys, "lsq0", "fdf_noise").agg(fdf.alias("fdf"))
+    part = lambda f: F.transform("b.s", f)
+    re, im = (part(lambda s: s["w"]), part(lambda s: F.lit(0.0))) if rmsf else (part(lambda s: s["w"] * s["q"]), part(lambda s: s["w"] * s["u"]))
+    d = d.select(*keys, F.col("b.l0").alias("lsq0"), "fdf_noise", re.alias("__re"), im.alias("__im"), scale.cast("double").alias("__k"))
+    return d.select(*keys, "lsq0", "fdf_noise", transform("__re", "__im", "lsq0", "__k").alias("fdf"))
 
 
 def rmsf_width(rmsf: DataFrame, keys: Sequence[str]) -> DataFrame:

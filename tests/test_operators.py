@@ -578,6 +578,34 @@ def test_predict_blocks_agree(spark):
     assert all(a[k] == pytest.approx(b[k]) for k in a)
 
 
+def test_predict_against_plain_sum(spark, monkeypatch):
+    """Several buckets a field, a field of one row, of no components, and null fields."""
+    monkeypatch.setattr(predict, "ROWS", 7)
+    rng = random.Random(5)
+    comps = [(i, i % 2, rng.uniform(-.05, .05), rng.uniform(-.05, .05), rng.random()) for i in range(30)] + [(99, None, .01, .01, 5.0)]
+    rows = [(i, rng.choice([0, 0, 0, 1, 4, None]), rng.uniform(-90, 90), rng.uniform(-90, 90), rng.uniform(-9, 9), 9e8, [i]) for i in range(120)]
+    c = spark.createDataFrame(comps, "comp_id long, field long, l double, m double, flux double")
+    d = spark.createDataFrame(rows, "row long, field long, u double, v double, w double, freq double, tag array<int>")
+    got = predict.predict(d, predict.pack_components(c, "field", size=4), ["row"], "field", "freq")
+    assert got.columns == [*d.columns, "model_re", "model_im"]
+    seen = {r["row"]: r for r in got.collect()}
+    assert len(seen) == got.count() == len(rows)
+    for i, f, u, v, w, freq, tag in rows:
+        want = 0
+        for _, cf, l, m, flux in comps:
+            if f is not None and cf == f:
+                n = math.sqrt(1 - l * l - m * m)
+                want += flux / n * np.exp(2j * math.pi * freq * (l * u + m * v + (n - 1) * w) / predict.C_M_S)
+        assert seen[i]["model_re"] + 1j * seen[i]["model_im"] == pytest.approx(want, abs=1e-9) and seen[i]["tag"] == tag
+
+
+def test_predict_without_rows_or_components(spark):
+    c = spark.createDataFrame([], "comp_id long, field long, l double, m double, flux double")
+    d = spark.createDataFrame([(1, 0, 1.0, 1.0, 1.0, 9e8)], "row long, field long, u double, v double, w double, freq double")
+    assert [tuple(r)[-2:] for r in predict.predict(d, predict.pack_components(c, "field"), ["row"], "field", "freq").collect()] == [(0.0, 0.0)]
+    assert predict.predict(d.limit(0), predict.pack_components(c, "field"), ["row"], "field", "freq").count() == 0
+
+
 def test_gain_text_round_trip(spark, tmp_path):
     d = spark.createDataFrame([(1, 2, 1.5, -0.25, True, 0.0, 0.0, False)], "ant long, beam long, g1_re double, g1_im double, g1_valid boolean, g2_re double, g2_im double, g2_valid boolean")
     caltext.write_lines(caltext.gain_lines(d), str(tmp_path / "g"))
@@ -603,6 +631,45 @@ def test_delay_of_pure_tone(spark):
     assert spectra.monitor_average(d, ["k"], res).first()["delay"] == pytest.approx(tau)
 
 
+def test_lags_of_all_lengths(spark):
+    """Spectra of mixed lengths, prime ones, single channels, empty and null ones in one batch."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for k, n in enumerate([1, 2, 3, 7, 12, 31, 36, 97, 128, 114 * 144, 0, 12, 7]):
+        v = rng.normal(size=n) + 1j * rng.normal(size=n)
+        rows.append((k, v.real.tolist(), v.imag.tolist()))
+    d = spark.createDataFrame([*rows, (99, None, [1.0])], "k long, re array<double>, im array<double>").coalesce(1)
+    got = {r["k"]: r["delay"] for r in spectra.delay_fft(d, ["k"], 1e6).collect()}
+    for k, re, im in rows:
+        n = len(re)
+        lags = [abs(np.dot(np.array(re) + 1j * np.array(im), np.exp(-2j * math.pi * np.arange(n) * (j - n // 2) / n))) for j in range(n)] if n < 200 else \
+            np.abs(np.fft.fftshift(np.fft.fft(np.array(re) + 1j * np.array(im))))
+        assert got[k] == pytest.approx((int(np.argmax(lags)) - n // 2) / (n * 1e6) if n > 1 else 0.0)
+    assert got[99] is None
+
+
+@pytest.mark.parametrize("rmsf", [False, True])
+def test_faraday_sums_and_sources_without_weight(spark, rmsf):
+    rng = np.random.default_rng(6)
+    lsq = [(299792458.0 / (8e8 + 1e7 * i)) ** 2 for i in range(17)]
+    q, u, s = rng.normal(size=17), rng.normal(size=17), rng.uniform(0.1, 1, 17)
+    nan = [float("nan")] * 17
+    d = spark.createDataFrame([(0, q.tolist(), u.tolist(), s.tolist()), (1, nan, nan, [1.0] * 17), (2, None, u.tolist(), s.tolist())],
+                              "k long, q array<double>, u array<double>, noise array<double>")
+    out = spectra.rm_synthesis(d, ["k"], lsq, 9, 5.0, "variance", rmsf=rmsf)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["k"]: r for r in out.collect()}
+    w = 1 / s ** 2
+    l0 = (w * lsq).sum() / w.sum()
+    n = 18 if rmsf else 9
+    for j, p in enumerate(got[0]["fdf"]):
+        phi = -n * 2.5 + 5.0 * j
+        want = (w * (1 if rmsf else q + 1j * u) * np.exp(-2j * phi * (np.array(lsq) - l0))).sum() / w.sum()
+        assert p["phi"] == phi and p["re"] + 1j * p["im"] == pytest.approx(want, abs=1e-9)
+    assert len(got[0]["fdf"]) == n and got[0]["lsq0"] == pytest.approx(l0)
+    assert {p["re"] for p in got[1]["fdf"]} == {None} and got[2]["fdf"] is None
+
+
 @pytest.mark.parametrize("weighting", ["uniform", "variance"])
 def test_faraday_thin_source(spark, weighting):
     lsq = [(299792458.0 / (8e8 + 1e7 * i)) ** 2 for i in range(30)]
