@@ -96,7 +96,11 @@ def select_ranks(
     keys = list(keys)
     if not keys:
         return select_ranks(counts.withColumn("__all", F.lit(0)), ["__all"], ranks).drop("__all")
-    data = cut_lineage(with_image(counts, "__v"))
+    return _ranks(cut_lineage(with_image(counts, "__v")), keys, ranks)
+
+
+def _ranks(data: DataFrame, keys: list[str], ranks: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """The passes of :func:`select_ranks` over a written table of values with their images."""
     part = [*keys, "__p"]
     run = Window.partitionBy(*part)
     wanted = None
@@ -146,9 +150,9 @@ def grouped_madfm(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[st
     keys = list(keys)
     if not keys:
         return grouped_madfm(df.withColumn("__all", F.lit(0)), ["__all"], value, qs).drop("__all")
-    counts = cut_lineage(value_counts(df, keys, value))
+    counts = cut_lineage(with_image(value_counts(df, keys, value), "__v"))
     ranks, cols = _quantile_ranks(qs or {})
-    r = select_ranks(counts, keys, {**MIDDLE, **ranks})
+    r = _ranks(counts, keys, {**MIDDLE, **ranks})
     med = cut_lineage(r.select(*keys, "n", ((F.col("lo") + F.col("hi")) / 2).alias("median"), *cols))
     dev = counts.join(med.select(*keys, "median"), keys).select(*keys, F.abs(F.col("__v") - F.col("median")).alias("__v"), "__n")
     # an infinite value less an infinite median is no number
