@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bind import let
 from ..functions.prefix import running_total
+from ..session import cut_lineage
 from ..functions.order import (MADFM_TO_SIGMA, grouped_madfm, grouped_median, grouped_quantiles, value_counts)
 
 
@@ -204,16 +205,20 @@ def box_sums(pix: DataFrame, keys: Sequence[str], h: int, exprs: dict[str, Colum
 def sliding_stats(pix: DataFrame, keys: Sequence[str], h: int, size: tuple[int, int], robust: bool) -> DataFrame:
     """Box ``middle`` and ``spread``: mean/std or median/MADFM sigma; zero where the box leaves the image.
 
-    Pixels with ``valid`` false do not count.
+    Pixels with ``valid`` false do not count. Mean and std come from sums of the differences from
+    the image's mean, so that a large level of the whole image costs no digits.
     """
     use = F.col("valid") if "valid" in pix.columns else F.lit(True)
     if not robust:
-        v = F.when(use, F.col("value"))
+        finite = F.abs("value") < float("inf")
+        level = pix.where(use & finite).groupBy(*keys).agg(F.avg("value").alias("__level"))
+        pix = pix.join(cut_lineage(level), list(keys), "left").withColumn("__level", F.coalesce("__level", F.lit(0.0)))
+        v = F.when(use, F.col("value") - F.col("__level"))
         d = box_sums(pix, keys, h, {"bn": F.when(use, 1.0).otherwise(0.0), "bs": F.coalesce(v, F.lit(0.0)), "bq": F.coalesce(v * v, F.lit(0.0))})
         mean = F.try_divide("bs", "bn")
         var = F.try_divide(F.col("bq") - F.col("bs") * mean, F.col("bn") - 1)
-        middle, spread = mean, F.sqrt(F.greatest(var, F.lit(0.0)))
-        d = d.withColumn("middle", middle).withColumn("spread", spread).drop("bn", "bs", "bq")
+        middle, spread = F.col("__level") + mean, F.sqrt(F.greatest(var, F.lit(0.0)))
+        d = d.withColumn("middle", middle).withColumn("spread", spread).drop("bn", "bs", "bq", "__level")
     else:
         # lists hold at most one box of pixels
         d = _with_gaps(pix, keys, h)

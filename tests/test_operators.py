@@ -249,6 +249,15 @@ def test_box_with_missing_pixels(spark, robust):
             assert r["middle"] == pytest.approx(statistics.median(box) if robust else statistics.mean(box))
 
 
+def test_box_spread_on_a_high_level(spark):
+    rng = random.Random(12)
+    pix = [(k, x, y, 1e8 * k + rng.random()) for k in (0, 1) for x in range(6) for y in range(6)]
+    d = spark.createDataFrame(pix, "image_id long, x long, y long, value double")
+    for r in image.sliding_stats(d, ["image_id"], 1, (6, 6), False).where("x BETWEEN 1 AND 4 AND y BETWEEN 1 AND 4").collect():
+        box = [v for k, x, y, v in pix if k == r["image_id"] and abs(x - r["x"]) <= 1 and abs(y - r["y"]) <= 1]
+        assert r["spread"] == pytest.approx(statistics.stdev(box), rel=1e-6) and r["middle"] == pytest.approx(statistics.mean(box), rel=1e-12)
+
+
 def test_mosaic_of_one_image_is_the_image(spark):
     d = ramp(spark).withColumn("weight", F.lit(2.0)).withColumn("pb", F.lit(0.8))
     m = image.deweight(image.mosaic(image.weigh(d, "combined", "corrected"), ["x", "y"], 0.1, "combined"))
