@@ -410,19 +410,38 @@ def _pivots(units: DataFrame) -> DataFrame:
     return units.join(most, "gid").where("root != most.root").select(F.col("one").alias("x"), F.col("most.one").alias("y"))
 
 
+#: Rows of one key from which on a join deals them into SALTS tasks; of P rows there are at most P / CROWD such keys.
+CROWD, SALTS = 16_384, 64
+
+
+def _spread_join(rows: DataFrame, *sides: tuple[DataFrame, list[str]]) -> DataFrame:
+    """``rows``, a written table, joined with each (side, keys); rows of a frequent key are dealt into SALTS tasks, its side's rows sent to each."""
+    hot = {}
+    for i, (_, keys) in enumerate(sides):
+        often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD)
+        hot[i] = F.broadcast(cut_lineage(often.select(*keys, F.lit(SALTS).alias(f"salts_{i}"))))
+    deal = F.xxhash64(*rows.columns)
+    for i, (_, keys) in enumerate(sides):
+        rows = rows.join(hot[i], keys, "left").withColumn(f"salt_{i}", F.pmod(deal, F.coalesce(f"salts_{i}", F.lit(1)))).drop(f"salts_{i}")
+    for i, (side, keys) in enumerate(sides):
+        copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(f"salts_{i}", F.lit(1)).cast("long") - 1))
+        rows = rows.join(side.join(hot[i], keys, "left").withColumn(f"salt_{i}", copies).drop(f"salts_{i}"), [*keys, f"salt_{i}"]).drop(f"salt_{i}")
+    return rows
+
+
 def _between(pairs: DataFrame, units: DataFrame) -> DataFrame:
     """Group pairs (a, b) as pairs (a, ra, b, rb) of their units in different components."""
     left = units.select(F.col("gid").alias("a"), F.col("root").alias("ra"))
     right = units.select(F.col("gid").alias("b"), F.col("root").alias("rb"))
-    return pairs.join(left, "a").join(right, "b").where("ra != rb").select("a", "ra", "b", "rb")
+    return _spread_join(pairs, (left, ["a"]), (right, ["b"])).where("ra != rb").select("a", "ra", "b", "rb")
 
 
 def _ends(found: DataFrame, side: DataFrame, left: str, right: str) -> DataFrame:
     """Pairs (a, ra, b, rb) joined with ``side`` (gid, root, ...), whose other columns get the names' endings ``left`` and ``right``."""
     more = [c for c in side.columns if c not in ("gid", "root")]
-    for gid, root, end in (("a", "ra", left), ("b", "rb", right)):
-        found = found.join(side.select(F.col("gid").alias(gid), F.col("root").alias(root), *[F.col(c).alias(f"{c}{end}") for c in more]), [gid, root])
-    return found
+    named = [(side.select(F.col("gid").alias(gid), F.col("root").alias(root), *[F.col(c).alias(f"{c}{end}") for c in more]), [gid, root])
+             for gid, root, end in (("a", "ra", left), ("b", "rb", right))]
+    return _spread_join(found, *named)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -436,10 +455,10 @@ def _representatives(found: DataFrame, units: DataFrame) -> DataFrame:
 
 def _members(found: DataFrame, units: DataFrame, rooted: DataFrame, tied: DataFrame) -> DataFrame:
     """Pairs (x, y) of all members of the units (a, ra, b, rb) that are still in different components of ``tied``, part by part."""
-    now = _rooted(units.select(F.col("root").alias("sid")).distinct(), tied).select(F.col("sid").alias("was"), F.col("root").alias("now"))
-    some = (found.join(now.select(F.col("was").alias("ra"), F.col("now").alias("na")), "ra").join(now.select(F.col("was").alias("rb"), F.col("now").alias("nb")), "rb")
-            .where("na != nb").select("a", "ra", "b", "rb"))
-    some = _ends(some, units.select("gid", "root", "m"), "_x", "_y").where("m_x > 1 OR m_y > 1")  # others are their representatives
+    # a unit's component now is that of its representative, a key of its own
+    now = units.select("gid", "root", "m", F.col("one").alias("node")).join(tied.select("node", F.col("root").alias("now")), "node", "left")
+    now = cut_lineage(now.select("gid", "root", "m", F.coalesce("now", "node").alias("now")))
+    some = _ends(found, now, "_x", "_y").where("now_x != now_y AND (m_x > 1 OR m_y > 1)")  # others are their representatives
     for end in "xy":
         some = some.withColumn(f"part_{end}", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(f"m_{end}") / PART).cast("long") - 1)))
     some = cut_lineage(some.select("a", "ra", "part_x", "b", "rb", "part_y"))
@@ -589,7 +608,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     near = cut_lineage(_ordered(chains(members)))
     tied = components(verified(near, sets, rows, percent, k), "x", "y")
     units = _units(_rooted(members, tied))
-    first = cut_lineage(_ordered(_representatives(_between(pairs, units), units).unionByName(_pivots(units))).join(near, ["x", "y"], "left_anti"))
+    first = cut_lineage(_ordered(_representatives(cut_lineage(_between(pairs, units)), units).unionByName(_pivots(units))).join(near, ["x", "y"], "left_anti"))
     tied = _tie(tied, verified(first, sets, rows, percent, k))
     tried = near.unionByName(first)
     # what is still apart: lists and pairs of groups by representatives, then by all members
@@ -608,8 +627,9 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
             tied = _tie(tied, verified(left, sets, rows, percent, k))
             tried = tried.unionByName(left)
     home = sets.select("sid", "rep").join(tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    home = cut_lineage(home)
     ids = home.groupBy("root").agg(F.min("rep").alias("component_id"))
-    home = home.join(ids, "root").select("sid", "component_id", "root")
+    home = _spread_join(home, (ids, ["root"])).select("sid", "component_id", "root")
     return (signed.select("doc_id", "n", "sid", "th").join(home, "sid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "sid", "root", "th"))
 
