@@ -24,15 +24,22 @@ def _bits(nside: int) -> int:
     return nside.bit_length() - 1
 
 
-def _interleave(x: Column, y: Column) -> Column:
-    """Bits of x at even, of y at odd places: binary digits read in base four."""
-    return F.conv(F.bin(x), 4, 10).cast("long") + F.conv(F.bin(y), 4, 10).cast("long") * 2
+def _interleave(x: Column, y: Column, bits: int) -> Column:
+    """Bits of x at even, of y at odd places."""
+    out = F.lit(0).cast("long")
+    for i in range(bits):
+        one = F.lit(1 << i).cast("long")
+        out = out + F.shiftleft(x.bitwiseAND(one), i) + F.shiftleft(y.bitwiseAND(one), i + 1)
+    return out
 
 
-def _deinterleave(p: Column) -> tuple[Column, Column]:
-    digits = F.conv(p.cast("string"), 10, 4)
-    return (F.conv(F.translate(digits, "0123", "0101"), 2, 10).cast("long"),
-            F.conv(F.translate(digits, "0123", "0011"), 2, 10).cast("long"))
+def _deinterleave(p: Column, bits: int) -> tuple[Column, Column]:
+    """The numbers whose bits are at even and at odd places."""
+    x = y = F.lit(0).cast("long")
+    for i in range(bits):
+        x = x + F.shiftright(p.bitwiseAND(F.lit(1 << 2 * i).cast("long")), i)
+        y = y + F.shiftright(p.bitwiseAND(F.lit(2 << 2 * i).cast("long")), i + 1)
+    return x, y
 
 
 def _mod4(c: Column) -> Column:
@@ -71,7 +78,7 @@ def ang2pix_nest(nside: int, ra: Column, dec: Column) -> Column:
         return F.when(F.abs(s["z"]) <= 2.0 / 3.0, let(belt(s), belt_face)).otherwise(let(cap(s), cap_face))
 
     sky_point = F.struct(F.sin(dec * RAD).alias("z"), (F.pmod(ra, F.lit(360.0)) / 90.0).alias("t"))
-    return let(let(sky_point, place), lambda f: F.shiftleft(f["face"], 2 * k) + _interleave(f["x"], f["y"]))
+    return let(let(sky_point, place), lambda f: F.shiftleft(f["face"], 2 * k) + _interleave(f["x"], f["y"], k))
 
 
 def pix2ang_nest(nside: int, pix: Column) -> Column:
@@ -79,7 +86,7 @@ def pix2ang_nest(nside: int, pix: Column) -> Column:
     k = _bits(nside)
 
     def split(p):
-        x, y = _deinterleave(p.bitwiseAND(F.lit(nside * nside - 1).cast("long")))
+        x, y = _deinterleave(p, k)
         return F.struct(F.shiftright(p, 2 * k).alias("face"), x.alias("x"), y.alias("y"))
 
     def ring(s):
@@ -115,10 +122,15 @@ def max_pixel_radius_deg(nside: int) -> float:
     return math.degrees(math.acos(min(1.0, sa * sb * math.cos(pa) + za * zb)))
 
 
+def _margin_deg(nside: int) -> float:
+    """How far outside an area a pixel's centre may be; a coarse pixel passes if any of its finest pixels does."""
+    return max_pixel_radius_deg(nside) + (max_pixel_radius_deg(NSIDE) if nside < NSIDE else 0.0)
+
+
 def disc_test(nside: int, pix: Column, ra: Column, dec: Column, radius: Column) -> Column:
     """May the pixel overlap the disc?  Never false for one that does."""
     return let(pix2ang_nest(nside, pix), lambda c: separation_deg(c["ra"], c["dec"], ra, dec)
-                <= radius + max_pixel_radius_deg(nside))
+                <= radius + _margin_deg(nside))
 
 
 def polygon_test(nside: int, pix: Column, corners: list[tuple[float, float]]) -> Column:
@@ -126,7 +138,7 @@ def polygon_test(nside: int, pix: Column, corners: list[tuple[float, float]]) ->
     vec = [(math.cos(d * RAD) * math.cos(r * RAD), math.cos(d * RAD) * math.sin(r * RAD), math.sin(d * RAD))
            for r, d in corners]
     mid = [sum(v[i] for v in vec) for i in range(3)]
-    margin = -math.sin(max_pixel_radius_deg(nside) * RAD)
+    margin = -math.sin(_margin_deg(nside) * RAD)
 
     def inside(p):
         ok = F.lit(True)
@@ -162,3 +174,27 @@ def cover(areas: DataFrame, nside: int, test, name: str = "pixel") -> DataFrame:
             break
         out = out.withColumn("__pix", F.explode(F.sequence(pix * 64, pix * 64 + 63))).where(test(step, pix))
     return out.withColumnRenamed("__pix", name)
+
+
+#: Ranges that a search names; closer ones are joined, and the test on the component's own pixel decides.
+RANGES = 64
+
+
+def index_ranges(pixels: list[int], nside: int) -> list[tuple[int, int]]:
+    """Pixels of ``nside`` as at most RANGES ranges (both ends inside) of the index at NSIDE."""
+    width = (NSIDE // nside) ** 2
+    out: list[tuple[int, int]] = []
+    for p in sorted(set(pixels)):
+        if out and p * width == out[-1][1] + 1:
+            out[-1] = out[-1][0], (p + 1) * width - 1
+        else:
+            out.append((p * width, (p + 1) * width - 1))
+    gaps = sorted(range(1, len(out)), key=lambda i: out[i][0] - out[i - 1][1])
+    closed = set(gaps[: max(0, len(out) - RANGES)])
+    merged: list[tuple[int, int]] = []
+    for i, (lo, hi) in enumerate(out):
+        if i in closed:
+            merged[-1] = merged[-1][0], hi
+        else:
+            merged.append((lo, hi))
+    return merged

@@ -23,11 +23,17 @@ def _at(nside: int):
 
 
 def _within(df: DataFrame, test, nside: int) -> DataFrame:
-    """Components whose own pixel passes; whole coarse pixels are skipped first by a semi join."""
+    """Components whose own pixel passes.
+
+    The area's pixels at ``nside``, a few thousand at most by ``search_nside``, become ranges of
+    the index: plain comparisons that a scan of a table sorted by ``healpix_index`` uses to skip row groups.
+    """
     one = df.sparkSession.range(1).select(F.lit(1).alias("__one"))
-    pixels = hp.cover(one, nside, test, "__p").select("__p")
-    near = df.withColumn("__p", _at(nside)).join(pixels, "__p", "left_semi").drop("__p")
-    return near.where(test(hp.NSIDE, F.col("healpix_index")))
+    pixels = [r[0] for r in hp.cover(one, nside, test, "__p").select("__p").collect()]
+    near = F.lit(False)
+    for lo, hi in hp.index_ranges(pixels, nside):
+        near = near | F.col("healpix_index").between(lo, hi)
+    return df.where(near).where(test(hp.NSIDE, F.col("healpix_index")))
 
 
 def cone_search(df: DataFrame, ra: float, dec: float, radius: float, bounds=None, exact: bool = False) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import healpix, sky
@@ -140,7 +142,39 @@ def flt15(spark, sf):
         "freq_mhz": (890.0, 905.0), "flux_peak": (2.0, -1.0), "spectral_index": (-0.6, 0.0), "dec_deg": (-1.0, None)})))
 
 
-@op("flt16")
+_RAD = "0.017453292519943295e0"
+_WOVEN = " + ".join(f"(x // {1 << i}) % 2 * {1 << 2 * i} + (y // {1 << i}) % 2 * {2 << 2 * i}" for i in range(10))
+#: Nested index at nside 1024 and the place on the rings: z and t of the position, the face, x and y in it.
+_PIXELS = f"""s AS (SELECT *, SIN(dec_deg * {_RAD}) AS z, (ra_deg - 360 * FLOOR(ra_deg / 360)) / 90.0 AS t FROM v_comp),
+ e AS (SELECT *, ABS(z) <= 2.0::DOUBLE / 3.0 AS belt, CAST(LEAST(3, FLOOR(t)) AS BIGINT) AS q, SQRT(3.0 * (1.0 - ABS(z))) * 1024 AS w FROM s),
+ d AS (SELECT *, CASE WHEN belt THEN CAST(FLOOR((0.5 + t) * 1024 - z * 768) AS BIGINT) ELSE LEAST(1023, CAST(FLOOR((t - q) * w) AS BIGINT)) END AS p,
+  CASE WHEN belt THEN CAST(FLOOR((0.5 + t) * 1024 + z * 768) AS BIGINT) ELSE LEAST(1023, CAST(FLOOR((1.0 - t + q) * w) AS BIGINT)) END AS m FROM e),
+ f AS (SELECT *, CASE WHEN NOT belt THEN q + CASE WHEN z >= 0 THEN 0 ELSE 8 END WHEN p // 1024 = m // 1024 THEN (p // 1024) % 4 + 4
+   WHEN p < m THEN (p // 1024) % 4 ELSE (m // 1024) % 4 + 8 END AS face,
+  CASE WHEN belt THEN m % 1024 WHEN z >= 0 THEN 1023 - m ELSE p END AS x, CASE WHEN belt THEN 1023 - p % 1024 WHEN z >= 0 THEN 1023 - p ELSE m END AS y FROM d),
+ h AS (SELECT *, face * 1048576 + {_WOVEN} AS healpix_index,
+  (face // 4 + 2) * 1024 - x - y - 1 AS jr FROM f),
+ g AS (SELECT *, CASE WHEN jr < 1024 THEN jr WHEN jr > 3072 THEN 4096 - jr ELSE 1024 END AS nr, CASE WHEN jr < 1024 OR jr > 3072 THEN 0 ELSE jr % 2 END AS odd FROM h),
+ k AS (SELECT *, ((face % 4 * 2 + CASE WHEN face // 4 = 1 THEN 0 ELSE 1 END) * nr + x - y + 1 + odd) // 2 AS j0 FROM g),
+ px AS (SELECT *, (CASE WHEN j0 > 4 * nr THEN j0 - 4 * nr WHEN j0 < 1 THEN j0 + 4 * nr ELSE j0 END - (odd + 1) * 0.5) * 90.0 / nr AS pix_ra,
+  ASIN(CASE WHEN jr < 1024 THEN 1.0 - nr * nr / 3145728.0 WHEN jr > 3072 THEN nr * nr / 3145728.0 - 1.0 ELSE (2048 - jr) * (2.0 / 3072.0) END) / {_RAD} AS pix_dec FROM k)"""
+_RIM = healpix.max_pixel_radius_deg(healpix.NSIDE)
+
+
+def _rect_sql(ra, dec, width, height):
+    """Pixel centres on the inner side of each edge of the rectangle's great circles, or nearer than a pixel's radius."""
+    unit = [(math.cos(math.radians(d)) * math.cos(math.radians(r)), math.cos(math.radians(d)) * math.sin(math.radians(r)), math.sin(math.radians(d)))
+            for r, d in sky.rect_corners(ra, dec, width, height)]
+    mid, sides = [sum(c) for c in zip(*unit)], []
+    for u, v in zip(unit, unit[1:] + unit[:1]):
+        n = np.cross(u, v)
+        n = n / np.linalg.norm(n) * (1 if np.dot(n, mid) >= 0 else -1)
+        a, d = f"pix_ra * {_RAD}", f"pix_dec * {_RAD}"
+        sides.append(f"COS({d}) * COS({a}) * ({n[0]:.17e}) + COS({d}) * SIN({a}) * ({n[1]:.17e}) + SIN({d}) * ({n[2]:.17e}) >= {-math.sin(math.radians(_RIM)):.17e}")
+    return " AND ".join(sides)
+
+
+@op("flt16", f"""WITH {_PIXELS} SELECT {_CR}, healpix_index FROM px WHERE {sep_sql('pix_ra', 'pix_dec', 79.0, -30.0)} <= 20.0 + {_RIM:.17e}""")
 def flt16(spark, sf):
     """Pixel-inclusive cone: complete, with extra rows near the rim (see flt16_exact)."""
     m = skymodel.index_components(view(spark, sf, "v_comp"))
@@ -154,7 +188,7 @@ def flt16_exact(spark, sf):
     return comp(skymodel.cone_search(m, 79.0, -30.0, 20.0, exact=True, bounds={"flux_peak": (1.0, None)}))
 
 
-@op("flt17")
+@op("flt17", f"""WITH {_PIXELS} SELECT {_CR}, healpix_index FROM px WHERE {_rect_sql(355.0, 10.0, 30.0, 20.0)}""")
 def flt17(spark, sf):
     """Pixel-inclusive rectangle (see flt17_exact)."""
     m = skymodel.index_components(view(spark, sf, "v_comp"))
@@ -222,7 +256,7 @@ def flt23_values(spark, sf):
     return view(spark, sf, "v_mon").select(F.col("point").alias("level")).distinct()
 
 
-@op("sc5")
+@op("sc5", f"WITH {_PIXELS} SELECT comp_id, healpix_index FROM px")
 def sc5(spark, sf):
     c = view(spark, sf, "v_comp")
     return c.select("comp_id", healpix.ang2pix_nest(healpix.NSIDE, F.col("ra_deg"), F.col("dec_deg")).alias("healpix_index"))

@@ -157,6 +157,25 @@ def test_cone_is_complete_and_near(spark, ra, dec, radius):
     assert loose.where(sep > radius + 2 * hp.max_pixel_radius_deg(1024)).count() == 0
 
 
+def test_index_ranges():
+    assert hp.index_ranges([3, 4, 9], 512) == [(12, 19), (36, 39)]
+    assert hp.index_ranges([], 8) == []
+    many = hp.index_ranges([*range(0, 400, 2), 700], 8)
+    assert len(many) == hp.RANGES and many[-1] == (700 << 14, (701 << 14) - 1)
+    assert all(any(lo <= p << 14 and ((p + 1) << 14) - 1 <= hi for lo, hi in many) for p in [*range(0, 400, 2), 700])
+
+
+def test_search_reaches_the_scan(spark, tmp_path):
+    rng = random.Random(6)
+    pts = [(rng.uniform(0, 360), math.degrees(math.asin(rng.uniform(-1, 1)))) for _ in range(2000)]
+    d = skymodel.index_components(spark.createDataFrame(pts, "ra_deg double, dec_deg double"))
+    d.sort("healpix_index").write.parquet(str(tmp_path / "sky"))
+    found = skymodel.cone_search(spark.read.parquet(str(tmp_path / "sky")), 70.0, -60.0, 8.0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan and "Join" not in plan
+    assert sorted(found.collect()) == sorted(skymodel.cone_search(d, 70.0, -60.0, 8.0).collect())
+
+
 def test_rect_wraps(spark):
     pts = [(359.5, 0.2), (0.5, -0.2), (3.0, 0.0), (180.0, 0.0)]
     d = skymodel.index_components(spark.createDataFrame(pts, "ra_deg double, dec_deg double"))
