@@ -432,3 +432,13 @@ def test_media(docs, rows, odd, none):
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(p), brute.sha(p), zlib.crc32(p[-16:]))
     assert got[7]["feature"] == got[8]["feature"] and got[7]["media_sha256"] == got[8]["media_sha256"]
     assert tiff.media_report(odd).count() == 6 and tiff.media_report(none).count() == 0
+
+
+def test_spread_join(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CROWD", 3)
+    rows = jaccard.cut_lineage(spark.createDataFrame([(i if i % 3 else 1, i % 7 if i % 2 else 2) for i in range(40)], "a long, b long"))
+    left = spark.createDataFrame([(a, a * 10 + j) for a in range(40) for j in range(a % 3)] + [(99, 0)], "a long, u long")
+    right = spark.createDataFrame([(b, f"r{b}") for b in range(5)], "b long, v string")
+    got = jaccard._spread_join(rows, (left, ["a"]), (right, ["b"])).select("a", "b", "u", "v").collect()
+    assert sorted(got) == sorted(rows.join(left, "a").join(right, "b").select("a", "b", "u", "v").collect()) and len(got) > 40
+    assert not jaccard._spread_join(rows.where("a < 0"), (left, ["a"]), (right, ["b"])).count()
