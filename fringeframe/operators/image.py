@@ -7,6 +7,8 @@ import sys
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -353,6 +355,105 @@ def render_components(comps: DataFrame) -> DataFrame:
     return d.withColumn("value", F.col("flux") / (2 * math.pi * s2) * F.exp(-r2 / (2.0 * s2)))
 
 
+FWHM = 2.0 * math.sqrt(2.0 * math.log(2.0))  # full width at half maximum, in sigmas
+#: Components that one task paints on one tile, about; a tile with more has several tasks.
+PAINTED = 65_536
+
+
+def _line_share(t0, t1, sigma):
+    """Share of a line's Gaussian profile between two distances from its centre; none where they are out of order."""
+    cdf = np.vectorize(lambda t: 0.5 * math.erf(t / sigma / math.sqrt(2.0)), otypes=[float])
+    share = np.zeros(t0.shape)
+    on = t1 > t0
+    if on.any():
+        share[on] = cdf(t1[on]) - cdf(t0[on])
+    return share
+
+
+def _shares(x0, y0, major, minor, pa, xs, ys, steps):
+    """Share of a component's flux in each pixel (rows y, columns x): Simpson's rule over the pixel, along a line if the minor axis vanishes."""
+    ux, uy = -math.sin(pa), math.cos(pa)  # of the major axis, from +y towards -x
+    if major <= 0.0:
+        return ((ys == math.floor(y0 + 0.5))[:, None] & (xs == math.floor(x0 + 0.5))[None, :]).astype(float)
+    if minor < 1e-3:  # fixed value: narrower ones are lines
+        lo, hi = np.full((len(ys), len(xs)), -np.inf), np.full((len(ys), len(xs)), np.inf)
+        for d, u in ((xs[None, :] - x0, ux), (ys[:, None] - y0, uy)):
+            if abs(u) < 1e-12:  # the line runs along this side: all of it or nothing
+                hi = np.where((d >= -0.5) & (d < 0.5), hi, -np.inf)
+            else:
+                ends = (d - 0.5) / u, (d + 0.5) / u
+                lo, hi = np.maximum(lo, np.minimum(*ends)), np.minimum(hi, np.maximum(*ends))
+        return _line_share(lo, hi, major / FWHM)
+    at = np.arange(steps + 1) / steps - 0.5
+    weight = np.where(np.arange(steps + 1) % 2 == 1, 4.0, 2.0)
+    weight[[0, -1]] = 1.0
+    weight /= 3.0 * steps
+    dx = (xs[:, None] + at)[None, None, :, :] - x0
+    out = np.empty((len(ys), len(xs)))
+    for i, y in enumerate(ys):  # a row of pixels at a time bounds the samples held
+        dy = (y + at)[:, None, None] - y0
+        g = np.exp(-0.5 * (((dx[0] * uy - dy * ux) * FWHM / minor) ** 2 + ((dx[0] * ux + dy * uy) * FWHM / major) ** 2))
+        out[i] = np.tensordot(weight, g, 1) @ weight
+    return out * FWHM * FWHM / (2.0 * math.pi * major * minor)
+
+
+def paint_components(comps: DataFrame, shape: tuple[int, int], freqs: Sequence[float], term: int = 0, steps: int = 32, tile: int = 64) -> DataFrame:
+    """Sky components as summed pixels (x, y, chan, value) of an image ``shape`` (width, height) with channels at ``freqs``.
+
+    ``comps``: x0, y0, full widths ``major`` and ``minor`` in pixels (major 0: a point; minor 0: a line), ``pa`` in radians
+    from +y towards -x, ``flux`` at ``freq0`` and the spectral index ``alpha`` (null: constant). ``term`` is the Taylor term
+    0, 1 or 2. A component whose centre is off the image is not painted; nulls in position, flux or widths neither. Shapes are integrated
+    over the pixels at ``steps`` (even) intervals a side. A task paints the components of one tile on one array, so pixels are summed before they move.
+    """
+    if term not in (0, 1, 2) or steps % 2:
+        raise ValueError("term must be 0, 1 or 2 and steps even")
+    width, height = shape
+    alpha = F.coalesce(F.col("alpha").cast("double"), F.lit(0.0))
+    taylor = (F.lit(1.0), alpha, 0.5 * alpha * (alpha - 1.0))[term]
+    d = comps.where((F.col("x0") >= 0) & (F.col("x0") <= width - 1) & (F.col("y0") >= 0) & (F.col("y0") <= height - 1)).select(
+        *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "pa")], F.greatest("major", "minor").cast("double").alias("major"),
+        F.least("major", "minor").cast("double").alias("minor"),
+        F.array(*[F.col("flux") * taylor * F.pow(F.lit(float(f)) / F.col("freq0"), alpha) for f in freqs]).alias("flux")).na.drop()
+    reach = math.sqrt(-2.0 * math.log(sys.float_info.epsilon)) / FWHM
+    d = d.withColumn("h", F.ceil(F.col("major") * reach).cast("int"))
+    for t, c, n in (("tx", "x0", width), ("ty", "y0", height)):
+        mid = F.floor(F.col(c) + 0.5).cast("int")
+        first, last = F.greatest(F.lit(0), mid - F.col("h")), F.least(F.lit(n - 1), mid + F.col("h"))
+        d = d.withColumn(t, F.explode(F.sequence(F.floor(first / tile).cast("int"), F.floor(last / tile).cast("int"))))
+    crowd = d.groupBy("tx", "ty").agg(F.ceil(F.count(F.lit(1)) / PAINTED).alias("n")).where("n > 1")
+    d = d.join(crowd, ["tx", "ty"], "left").withColumn("salt", F.pmod(F.xxhash64("x0", "y0", "flux"), F.coalesce("n", F.lit(1)))).drop("n")
+
+    def paint(batches):
+        now, image, seen = None, None, None
+
+        def told():
+            y, x = np.nonzero(seen)
+            for chan in range(len(freqs)):
+                yield pa.RecordBatch.from_arrays([pa.array(x + now[0] * tile), pa.array(y + now[1] * tile), pa.array(np.full(len(x), chan, np.int32)),
+                                                  pa.array(image[chan, y, x])], ["x", "y", "chan", "value"])
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (r["tx"], r["ty"], r["salt"]) != now:
+                    if now is not None:
+                        yield from told()
+                    now, image, seen = (r["tx"], r["ty"], r["salt"]), np.zeros((len(freqs), tile, tile)), np.zeros((tile, tile), bool)
+                box = []
+                for mid, t, n in ((math.floor(r["x0"] + 0.5), now[0], width), (math.floor(r["y0"] + 0.5), now[1], height)):
+                    box.append(np.arange(max(0, mid - r["h"], t * tile), min(n - 1, mid + r["h"], t * tile + tile - 1) + 1))
+                xs, ys = box
+                at = np.ix_(ys - now[1] * tile, xs - now[0] * tile)
+                share = _shares(r["x0"], r["y0"], r["major"], r["minor"], r["pa"], xs, ys, steps)
+                seen[at] = True
+                for chan, flux in enumerate(r["flux"]):
+                    image[chan][at] += flux * share
+        if now is not None:
+            yield from told()
+
+    painted = d.repartition("tx", "ty", "salt").sortWithinPartitions("tx", "ty", "salt").mapInArrow(paint, "x long, y long, chan int, value double")
+    return sum_images(painted, ["x", "y", "chan"])
+
+
 def sum_images(pix: DataFrame, keys: Sequence[str]) -> DataFrame:
     return pix.groupBy(*keys).agg(F.sum("value").alias("value"))
 

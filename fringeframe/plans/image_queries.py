@@ -242,6 +242,25 @@ def agg37(spark, sf):
     return rounded(image.sum_images(image.render_components(c), ["x", "y"]), ["x", "y"], ["value"], 5)
 
 
+@op("agg37_ellipse", f"""WITH cp AS (SELECT comp_id, ra_deg + 4 AS x0, dec_deg + 94 AS y0, flux_peak AS flux, freq_mhz, spectral_index AS al,
+   (1.5 + (comp_id % 4) * 0.4) / 2.3548200450309493e0 AS sa, (1.0 + (comp_id % 3) * 0.15) / 2.3548200450309493e0 AS sb, RADIANS((comp_id % 18) * 10) AS pa FROM v_comp),
+ r AS (SELECT *, CAST(CEIL(sa * SQRT(-2 * LN(POWER(2.0, -52)))) AS BIGINT) AS h, CAST(FLOOR(x0 + 0.5) AS BIGINT) AS cx, CAST(FLOOR(y0 + 0.5) AS BIGINT) AS cy FROM cp),
+ st AS (SELECT i / 8.0 - 0.5 AS o, CASE WHEN i IN (0, 8) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END / 24.0 AS w FROM RANGE(9) g(i)),
+ px AS (SELECT comp_id, cx + dx AS x, cy + dy AS y, SUM(u.w * v.w * EXP(-0.5 * (POWER(((cx + dx + u.o - x0) * COS(pa) + (cy + dy + v.o - y0) * SIN(pa)) / sb, 2)
+     + POWER(((cy + dy + v.o - y0) * COS(pa) - (cx + dx + u.o - x0) * SIN(pa)) / sa, 2)))) AS share
+   FROM r CROSS JOIN (SELECT UNNEST(RANGE(-12, 13)) AS dx) CROSS JOIN (SELECT UNNEST(RANGE(-12, 13)) AS dy) CROSS JOIN st u CROSS JOIN st v
+   WHERE ABS(dx) <= h AND ABS(dy) <= h AND cx + dx BETWEEN 0 AND 367 AND cy + dy BETWEEN 0 AND 187 GROUP BY 1, 2, 3)
+SELECT x, y, c.chan, {rs('SUM(share * flux * al * POWER(c.mhz / freq_mhz, al) / (2 * PI() * sa * sb))', 'value', 6)} FROM px JOIN cp USING (comp_id)
+CROSS JOIN (VALUES (0, 880.0), (1, 1080.0)) c(chan, mhz) GROUP BY 1, 2, 3""")
+def agg37_ellipse(spark, sf):
+    """First Taylor term of rotated elliptical components, two channels."""
+    k = F.col("comp_id")
+    c = view(spark, sf, "v_comp").select((F.col("ra_deg") + 4).alias("x0"), (F.col("dec_deg") + 94).alias("y0"), F.col("flux_peak").alias("flux"),
+                                         F.col("freq_mhz").alias("freq0"), F.col("spectral_index").alias("alpha"), (1.5 + (k % 4) * 0.4).alias("major"),
+                                         (1.0 + (k % 3) * 0.15).alias("minor"), F.radians((k % 18) * 10).alias("pa"))
+    return rounded(image.paint_components(c, (368, 188), [880.0, 1080.0], term=1, steps=8), ["x", "y", "chan"], ["value"], 6)
+
+
 @op("agg38", """WITH b AS (SELECT 'cube' || (p_partkey % 5) AS name, p_partkey // 5 AS chan, CASE WHEN p_partkey % 5 = 0 OR p_partkey // 5 = 0 THEN p_retailprice / 100.0 END AS bmaj,
    CASE WHEN p_partkey % 5 < 2 THEN p_size / 10.0 END AS bmin, CAST(p_size AS DOUBLE) AS bpa FROM part)
 SELECT name, chan, ROUND(COALESCE(bmaj, MAX(CASE WHEN chan = 0 THEN bmaj END) OVER (PARTITION BY name), 0.0), 6) AS bmaj, ROUND(COALESCE(bmin, 0.0), 6) AS bmin, bpa FROM b""")

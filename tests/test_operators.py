@@ -833,3 +833,30 @@ def test_hands_and_determinant(spark):
         apply([("XX", 1.0, 0.0, 1.0, 1e-3, 1.0, 1.0)])  # 1e-6, by the other hand
     with pytest.raises(Exception, match="unknown product"):
         apply([("I", 1.0, 0.0, 1.0, 1.0, 1.0, 1.0)])
+
+
+def _painted(spark, comps, **more):
+    schema = "x0 double, y0 double, flux double, freq0 double, alpha double, major double, minor double, pa double"
+    return {(r["x"], r["y"], r["chan"]): r["value"] for r in image.paint_components(spark.createDataFrame(comps, schema), (40, 30), [1.0, 2.0], tile=16, **more).collect()}
+
+
+def test_painted_components(spark):
+    whole = _painted(spark, [(15.7, 15.2, 3.0, 1.0, -1.0, 4.0, 2.0, 0.6)])
+    assert sum(v for k, v in whole.items() if k[2] == 0) == pytest.approx(3.0, abs=1e-6)
+    assert sum(v for k, v in whole.items() if k[2] == 1) == pytest.approx(1.5, abs=1e-6)
+    at = {k[:2]: v for k, v in whole.items() if k[2] == 0}
+    assert sum(v * (x - 15.7) * (y - 15.2) for (x, y), v in at.items()) < 0  # the major axis turns from +y towards -x
+    line = _painted(spark, [(15.5, 15.0, 2.0, 1.0, None, 3.0, 0.0, 0.5), (15.0, 15.0, 2.0, 1.0, None, 3.0, 0.0, 0.0)])
+    assert sum(v for k, v in line.items() if k[2] == 0) == pytest.approx(4.0, abs=1e-6)
+    point = _painted(spark, [(3.2, 4.6, 2.0, 1.0, -0.5, 0.0, 0.0, 0.0)], term=2)
+    assert point[3, 5, 0] == pytest.approx(2.0 * 0.5 * -0.5 * -1.5) and len(point) == 2
+    assert not _painted(spark, [(-0.1, 5.0, 2.0, 1.0, None, 3.0, 1.0, 0.0), (5.0, 29.5, 2.0, 1.0, None, 3.0, 1.0, 0.0), (5.0, None, 2.0, 1.0, None, 3.0, 1.0, 0.0)])
+
+
+def test_painted_in_several_tasks(spark, monkeypatch):
+    rng = random.Random(7)
+    comps = [(rng.uniform(0, 39), rng.uniform(0, 29), 1.0, 1.0, -0.7, rng.uniform(1, 4), rng.uniform(0.5, 2), rng.uniform(0, 3)) for _ in range(60)]
+    want = _painted(spark, comps, steps=4)
+    monkeypatch.setattr(image, "PAINTED", 5)
+    got = _painted(spark, comps, steps=4)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
