@@ -263,21 +263,31 @@ def _truth(spark, sf):
     return v.withColumn("re", z.re).withColumn("im", z.im)
 
 
-@op("cal1")
+#: The gains that ``_truth`` puts on the data: antenna 0 has phase zero, so a solve referred to it returns them as they are.
+_GAINS = """WITH u AS (SELECT *, cycle // 8 AS interval FROM v_vis WHERE ant1 <> ant2 AND NOT flag),
+ a AS (SELECT {k}, ant1 AS ant FROM u UNION SELECT {k}, ant2 FROM u)
+SELECT {k}, ant, ROUND(1.0 + 0.05 * ant, 4)::DOUBLE AS g_re, ROUND(0.1 * ant, 4)::DOUBLE AS g_im, TRUE AS converged FROM a"""
+
+
+def _gains(solved, *keys):
+    return solved.select(*keys, "ant", r6("g_re", 4).alias("g_re"), r6("g_im", 4).alias("g_im"), "converged")
+
+
+def _per_interval(v):
+    return calibrate.pre_average(v.withColumn("interval", F.floor(F.col("cycle") / F.lit(8))), ["ant1", "ant2", "interval", "beam"])
+
+
+@op("cal1", _GAINS.format(k="beam, chan"))
 def cal1(spark, sf):
     """Bandpass: one solve per (beam, channel) from pre-averaged sums."""
     sums = calibrate.pre_average(_truth(spark, sf), ["ant1", "ant2", "beam", "chan"])
-    g = calibrate.solve_groups(sums, ["beam", "chan"])
-    return g.select("beam", "chan", "ant", r6("g_re", 4).alias("g_re"), r6("g_im", 4).alias("g_im"))
+    return _gains(calibrate.solve_groups(sums, ["beam", "chan"]), "beam", "chan")
 
 
-@op("cal2")
+@op("cal2", _GAINS.format(k="interval, beam"))
 def cal2(spark, sf):
     """Gains per solution interval of eight cycles and beam."""
-    v = _truth(spark, sf).withColumn("interval", F.floor(F.col("cycle") / F.lit(8)))
-    sums = calibrate.pre_average(v, ["ant1", "ant2", "interval", "beam"])
-    g = calibrate.solve_groups(sums, ["interval", "beam"])
-    return g.select("interval", "beam", "ant", r6("g_re", 4).alias("g_re"), r6("g_im", 4).alias("g_im"))
+    return _gains(calibrate.solve_groups(_per_interval(_truth(spark, sf)), ["interval", "beam"]), "interval", "beam")
 
 
 @op("cal3", f"""WITH r AS (SELECT * FROM v_cal WHERE ant = 2)
