@@ -50,6 +50,8 @@ _NEAR = _P + """, un AS (SELECT * FROM src),
    FROM un s JOIN ref r ON ABS(s.x + 0.0005 - r.x) < 0.0045 AND ABS(s.y - r.y) < 0.0045),
  n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY src_id ORDER BY sep, ref_id) AS k FROM c WHERE sep < 0.0045)"""
 
+_AFTER = _M + _NEAR[len(_P):].replace("SELECT * FROM src)", "SELECT * FROM src WHERE id NOT IN (SELECT src_id FROM pr))")
+
 
 def _nearest(spark, sf):
     s, r = points(spark, sf)
@@ -62,6 +64,14 @@ def jn7(spark, sf):
     return m.select("src_id", "ref_id", r6("sep").alias("sep"))
 
 
+@op("jn7_unmatched", f"WITH {_AFTER} SELECT src_id, ref_id, {rs('sep', 'sep')} FROM n WHERE k = 1")
+def jn7_unmatched(spark, sf):
+    """Only the sources that the first, greedy match left over."""
+    s, r = points(spark, sf)
+    free = s.join(match.greedy_match(s, r, EPS).select(F.col("src_id").alias("id")), "id", "left_anti")
+    return match.nearest_match(free, r, 3 * EPS, -0.0005, 0.0).select("src_id", "ref_id", r6("sep").alias("sep"))
+
+
 @op("jn8", f"""WITH {_P}, pr AS (SELECT s.id AS src_id, s.id % 50 AS ref_id, s.flux AS src_flux, CAST(s.id % 50 AS DOUBLE) / 5.0 AS ref_flux FROM src s),
  k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY ref_id ORDER BY ABS(src_flux - ref_flux), src_id DESC) AS n FROM pr)
 SELECT src_id, ref_id, {rs('src_flux', 'src_flux')} FROM k WHERE n = 1""")
@@ -131,6 +141,12 @@ def jn12(spark, sf):
     return match.vote(_tri(spark, sf))
 
 
+@op("jn12_trimmed")
+def jn12_trimmed(spark, sf):
+    """Votes of the triangles that trimming leaves."""
+    return match.vote(match.trim_triangles(_tri(spark, sf)))
+
+
 @op("jn13", f"WITH {_M} SELECT ref_id AS id, COUNT(*) AS n_src FROM pr GROUP BY 1")
 def jn13(spark, sf):
     s, r = points(spark, sf)
