@@ -152,15 +152,16 @@ def interval_starts(times: DataFrame, time: str, interval: float) -> DataFrame:
     ev = t.select(F.col("t").alias("at"), F.col("t").alias("hit"), F.lit(None).cast("double").alias("src")).unionByName(
         t.select((F.col("t") + width).alias("at"), F.lit(None).cast("double").alias("hit"), F.col("t").alias("src")))
     ev = ev.withColumn("b", F.floor(F.col("at") / width))
-    ahead = Window.partitionBy("b").orderBy("at", F.col("hit").isNull().desc()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    ev = ev.withColumn("nx", F.first("hit", ignorenulls=True).over(ahead))
+    # windows look back in falling time: a frame that grows costs one step a row, one that shrinks the rest of the bin
+    ahead = Window.partitionBy("b").orderBy(F.col("at").desc(), F.col("hit").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ev = ev.withColumn("nx", F.last("hit", ignorenulls=True).over(ahead))
     firsts = ev.groupBy("b").agg(F.min("hit").alias("m"))
     # the next start after a bin: inside a block of bins, else the first of a later block
     firsts = firsts.withColumn("k", F.floor(F.col("b") / 4096))
-    later = Window.partitionBy("k").orderBy("b").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy("k").orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     blocks = firsts.groupBy("k").agg(F.min("m").alias("m"))
-    blocks = blocks.select("k", F.first("m", ignorenulls=True).over(Window.orderBy("k").rowsBetween(1, Window.unboundedFollowing)).alias("far"))
-    firsts = firsts.withColumn("near", F.first("m", ignorenulls=True).over(later)).join(blocks, "k").select("b", F.coalesce("near", "far").alias("after"))
+    blocks = blocks.select("k", F.last("m", ignorenulls=True).over(Window.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, -1)).alias("far"))
+    firsts = firsts.withColumn("near", F.last("m", ignorenulls=True).over(later)).join(blocks, "k").select("b", F.coalesce("near", "far").alias("after"))
     jump = ev.where(F.col("src").isNotNull()).join(firsts, "b").select(F.col("src").alias("t"), F.coalesce("nx", "after").alias("to"))
     jump = cut_lineage(jump.where(F.col("to").isNotNull()))
     seen = cut_lineage(t.agg(F.min("t").alias("t")))

@@ -130,6 +130,16 @@ def test_interval_starts(spark):
     assert got == starts
 
 
+def test_interval_starts_in_crowded_bins(spark, monkeypatch):
+    """A frame that reaches to the end of its bin is read anew for every row, so a bin cost its square."""
+    plans, cut = [], summary.cut_lineage
+    monkeypatch.setattr(summary, "cut_lineage", lambda d: plans.append(d._jdf.queryExecution().toString()) or cut(d))
+    times = [0.0, 0.5, 1.0, 20.0, 20.5, 41.0, 41.0, 130.0, 149.9, 150.0, 90000.0]
+    d = spark.createDataFrame([(t,) for t in times], "t double")
+    assert sorted(r["start"] for r in summary.interval_starts(d, "t", 20.0).collect()) == [0.0, 20.0, 41.0, 130.0, 150.0, 90000.0]
+    assert any("Window" in p for p in plans) and not any("unboundedfollowing" in p.lower() for p in plans)
+
+
 # ---------------------------------------------------------------- sky
 
 def test_healpix_round_trip(spark):
