@@ -6,10 +6,12 @@ position before any spatial join, so a crowd of copies never multiplies.
 
 from __future__ import annotations
 
+import heapq
 import math
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,54 +53,167 @@ def ordinal_at_position(pts: DataFrame) -> DataFrame:
     return d.withColumn("ord", F.col("__before") + F.col("__k")).drop("__blk", "__k", "__before")
 
 
+#: Rows of a tile that one task may hold; a tile with more is left to the rounds on queues.
+TILE_ROWS = 200_000
+#: Width of a tile in search radii.
+TILE_RADII = 32
+
+
+def _match_tile(rows: list[tuple]) -> list[tuple]:
+    """Pairs (px, py, qx, qy, source, reference) of one tile that the sequential rule makes, whatever happens outside.
+
+    Rows are (kind, ax, ay, bx, by, (is NaN, flux, id)): 0 an edge p to q inside, 1 and 2 the lowest key of a neighbour outside of p and of q,
+    3 and 4 the free sources at p and references at q in their order. Sources go in rising order; one that may go to a
+    reference outside, or to one that a lower source may take, waits, and so does whoever wants what it may take.
+    """
+    edges, rival_p, rival_q, src, ref = {}, {}, {}, {}, {}
+    for kind, ax, ay, bx, by, k in rows:
+        if kind == 0:
+            edges.setdefault((ax, ay), []).append((bx, by))
+        elif kind < 3:
+            rival, bound = (rival_p, rival_q)[kind - 1], (k, bx, by)
+            rival[ax, ay] = min(rival.get((ax, ay), bound), bound)
+        else:
+            (src, ref)[kind - 3].setdefault((ax, ay), []).append(k)
+    at_p, at_q = dict.fromkeys(src, 0), dict.fromkeys(ref, 0)
+    heap, held, out = [(src[p][0], *p) for p in edges if p in src], set(), []
+    heapq.heapify(heap)
+    while heap:
+        key = heapq.heappop(heap)
+        p = key[1:]
+        heads = [(ref[q][at_q[q]], *q) for q in edges[p] if q in ref and at_q[q] < len(ref[q])]
+        if not heads:
+            continue
+        best = min(heads)
+        q = best[1:]
+        if q in held or p in rival_p and rival_p[p] < best or q in rival_q and rival_q[q] < key:
+            held.update(h[1:] for h in heads)
+            continue
+        out.append((*p, *q, key[0][2], best[0][2]))
+        at_p[p] += 1
+        at_q[q] += 1
+        if at_p[p] < len(src[p]):
+            heapq.heappush(heap, (src[p][at_p[p]], *p))
+    return out
+
+
+def _tile_round(live: DataFrame, s: DataFrame, r: DataFrame, width: float, shift: tuple[float, float], crowd: DataFrame | None) -> DataFrame:
+    """Matches that tiles of the sky can decide alone (:func:`_match_tile`); of neighbours outside a tile only the heads go there."""
+    tile = lambda c, off: F.floor(F.col(c) / F.lit(width) + F.lit(off))
+    d = live.select("*", tile("px", shift[0]).alias("ptx"), tile("py", shift[1]).alias("pty"), tile("qx", shift[0]).alias("qtx"), tile("qy", shift[1]).alias("qty"))
+    inside = (F.col("ptx") == F.col("qtx")) & (F.col("pty") == F.col("qty"))
+
+    def rows(d, t, kind, a, b, k, ord=None):
+        none = F.lit(None).cast("double")
+        ab = [F.col(c) for c in a] + ([F.col(c) for c in b] if b else [none, none])
+        return d.select(F.col(t[0]).alias("tx"), F.col(t[1]).alias("ty"), F.lit(kind).alias("kind"), *[c.alias(n) for c, n in zip(ab, ("ax", "ay", "bx", "by"))],
+                        (F.col(f"{k}.flux") if k else none).cast("double").alias("flux"), (F.col(f"{k}.id") if k else F.lit(None)).cast("long").alias("id"),
+                        (F.col(ord) if ord else F.lit(0)).cast("long").alias("ord"))
+
+    p, q, pt, qt = ("px", "py"), ("qx", "qy"), ("ptx", "pty"), ("qtx", "qty")
+    own = d.where(inside)
+    sends = [rows(own, pt, 0, p, q, None), rows(d.where(~inside), pt, 1, p, q, "rk"), rows(d.where(~inside), qt, 2, q, p, "sk"),
+             rows(s.join(own.select(*p, *pt, "i").distinct(), [*p]).where(F.col("ord") >= F.col("i")), pt, 3, p, None, "k", "ord"),
+             rows(r.join(own.select(*q, *qt, "j").distinct(), [*q]).where(F.col("ord") >= F.col("j")), qt, 4, q, None, "k", "ord")]
+    sent = reduce(DataFrame.unionByName, sends)
+    if crowd is not None:
+        sent = sent.join(crowd, ["tx", "ty"], "left_anti")
+
+    def run(batches):
+        names, now, held = ["px", "py", "qx", "qy", "src_id", "ref_id"], None, []
+
+        def told():
+            cols = list(zip(*_match_tile(held))) or [[]] * 6
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [pa.float64()] * 4 + [pa.int64()] * 2)], names)
+
+        for batch in batches:
+            for tx, ty, kind, ax, ay, bx, by, flux, i in zip(*(batch.column(n).to_pylist() for n in range(9))):
+                if (tx, ty) != now:
+                    if held:
+                        yield told()
+                    now, held = (tx, ty), []
+                held.append((kind, ax, ay, bx, by, None if flux is None else (flux != flux, 0.0 if flux != flux else flux, i)))
+        if held:
+            yield told()
+
+    dealt = sent.repartition("tx", "ty").sortWithinPartitions("tx", "ty", "kind", "ord")
+    return dealt.mapInArrow(run, "px double, py double, qx double, qy double, src_id long, ref_id long")
+
+
+def _queue_round(live: DataFrame, s: DataFrame, r: DataFrame) -> DataFrame:
+    """A position pair whose heads prefer each other is matched head to head for as long as no other neighbour could come in between."""
+    best_p = live.groupBy("px", "py").agg(F.min(F.struct("rk", "qx", "qy")).alias("b"))
+    best_q = live.groupBy("qx", "qy").agg(F.min(F.struct("sk", "px", "py")).alias("b"))
+    e = live.join(best_p.withColumnRenamed("b", "bp"), ["px", "py"]).join(best_q.withColumnRenamed("b", "bq"), ["qx", "qy"])
+    at_bp = (F.col("bp.qx") == F.col("qx")) & (F.col("bp.qy") == F.col("qy"))
+    at_bq = (F.col("bq.px") == F.col("px")) & (F.col("bq.py") == F.col("py"))
+    # the first rival of each side bounds the run
+    rival_p = e.where(~at_bp).groupBy("px", "py").agg(F.min("rk").alias("rk2"))
+    rival_q = e.where(~at_bq).groupBy("qx", "qy").agg(F.min("sk").alias("sk2"))
+    m = (e.where(at_bp & at_bq).select("px", "py", "qx", "qy", "i", "j")
+         .join(rival_p, ["px", "py"], "left").join(rival_q, ["qx", "qy"], "left"))
+    left = m.join(s, ["px", "py"]).where((F.col("ord") >= F.col("i")) & (F.col("sk2").isNull() | (F.col("k") < F.col("sk2"))))
+    left = left.select("px", "py", "qx", "qy", (F.col("ord") - F.col("i")).alias("n"), F.col("id").alias("src_id"))
+    right = m.join(r, ["qx", "qy"]).where((F.col("ord") >= F.col("j")) & (F.col("rk2").isNull() | (F.col("k") < F.col("rk2"))))
+    right = right.select("px", "py", "qx", "qy", (F.col("ord") - F.col("j")).alias("n"), F.col("id").alias("ref_id"))
+    return left.join(right, ["px", "py", "qx", "qy", "n"]).drop("n")
+
+
 def greedy_match(src: DataFrame, ref: DataFrame, epsilon: float) -> DataFrame:
     """One-to-one pairs: in rising flux each source takes the first free reference, also in rising
     flux, closer than ``epsilon``.  Returns ``src_id, ref_id``.
 
-    Positions act as queues.  In a round, a position pair whose heads prefer each
-    other is matched head to head for as long as no other neighbour could come in
-    between.  The pair with the globally lowest head is always such a pair, so a
-    round without matches means the end; the result equals the sequential one.
+    Positions act as queues.  In a round a tile of the sky is matched by the sequential rule as far as
+    nobody outside can come in between; four places of the tiles take turns, so every position pair lies inside
+    one of them.  Tiles with too many rows for a task are left to rounds that match whole runs of two queues.  Only pairs
+    of positions that still have points on both sides stay.  The pair with the globally lowest head can always be
+    matched, so rounds go on until no pair is left; the result equals the sequential one.
     """
     key = F.struct("flux", "id")
     s = cut_lineage(ordinal_at_position(src).select(F.col("x").alias("px"), F.col("y").alias("py"), "id", key.alias("k"), "ord"))
     r = cut_lineage(ordinal_at_position(ref).select(F.col("x").alias("qx"), F.col("y").alias("qy"), "id", key.alias("k"), "ord"))
-    edges = cut_lineage(position_pairs(src, ref, epsilon).drop("sep"))
-    at_p = s.select("px", "py").distinct().withColumn("next", F.lit(1).cast("long"))
-    at_q = r.select("qx", "qy").distinct().withColumn("next", F.lit(1).cast("long"))
+    live = position_pairs(src, ref, epsilon).drop("sep")
+    at_p = cut_lineage(s.groupBy("px", "py").agg(F.count(F.lit(1)).alias("size")).withColumn("next", F.lit(1).cast("long")))
+    at_q = cut_lineage(r.groupBy("qx", "qy").agg(F.count(F.lit(1)).alias("size")).withColumn("next", F.lit(1).cast("long")))
+    width, shifts, turn, queues = TILE_RADII * float(epsilon), ((0.0, 0.0), (0.5, 0.5), (0.0, 0.5), (0.5, 0.0)), 0, False
     rounds: list[DataFrame] = []
     while True:
-        hp = at_p.join(s.withColumnRenamed("ord", "next"), ["px", "py", "next"]).select("px", "py", F.col("next").alias("i"), F.col("k").alias("sk"))
-        hq = at_q.join(r.withColumnRenamed("ord", "next"), ["qx", "qy", "next"]).select("qx", "qy", F.col("next").alias("j"), F.col("k").alias("rk"))
-        live = cut_lineage(edges.join(hp, ["px", "py"]).join(hq, ["qx", "qy"]))
-        best_p = live.groupBy("px", "py").agg(F.min(F.struct("rk", "qx", "qy")).alias("b"))
-        best_q = live.groupBy("qx", "qy").agg(F.min(F.struct("sk", "px", "py")).alias("b"))
-        e = live.join(best_p.withColumnRenamed("b", "bp"), ["px", "py"]).join(best_q.withColumnRenamed("b", "bq"), ["qx", "qy"])
-        at_bp = (F.col("bp.qx") == F.col("qx")) & (F.col("bp.qy") == F.col("qy"))
-        at_bq = (F.col("bq.px") == F.col("px")) & (F.col("bq.py") == F.col("py"))
-        # the first rival of each side bounds the run
-        rival_p = e.where(~at_bp).groupBy("px", "py").agg(F.min("rk").alias("rk2"))
-        rival_q = e.where(~at_bq).groupBy("qx", "qy").agg(F.min("sk").alias("sk2"))
-        m = (e.where(at_bp & at_bq).select("px", "py", "qx", "qy", "i", "j")
-             .join(rival_p, ["px", "py"], "left").join(rival_q, ["qx", "qy"], "left"))
-        left = m.join(s, ["px", "py"]).where((F.col("ord") >= F.col("i")) & (F.col("sk2").isNull() | (F.col("k") < F.col("sk2"))))
-        left = left.select("px", "py", "qx", "qy", (F.col("ord") - F.col("i")).alias("n"), F.col("id").alias("src_id"))
-        right = m.join(r, ["qx", "qy"]).where((F.col("ord") >= F.col("j")) & (F.col("rk2").isNull() | (F.col("k") < F.col("rk2"))))
-        right = right.select("px", "py", "qx", "qy", (F.col("ord") - F.col("j")).alias("n"), F.col("id").alias("ref_id"))
-        new = cut_lineage(left.join(right, ["px", "py", "qx", "qy", "n"]))
-        if new.isEmpty():
+        hp = at_p.join(s.withColumnRenamed("ord", "next"), ["px", "py", "next"])
+        hp = hp.select("px", "py", F.col("next").alias("i"), F.col("k").alias("sk"), (F.col("size") - F.col("next") + 1).alias("n_p"))
+        hq = at_q.join(r.withColumnRenamed("ord", "next"), ["qx", "qy", "next"])
+        hq = hq.select("qx", "qy", F.col("next").alias("j"), F.col("k").alias("rk"), (F.col("size") - F.col("next") + 1).alias("n_q"))
+        live = cut_lineage(live.select("px", "py", "qx", "qy").join(hp, ["px", "py"]).join(hq, ["qx", "qy"]))
+        if live.isEmpty():
             break
-        rounds.append(new.select("src_id", "ref_id"))
+        if queues:
+            new, queues = _queue_round(live, s, r), False
+        else:
+            shift = shifts[turn % len(shifts)]
+            crowd = _crowded_tiles(live, width, shift)
+            queues = not crowd.isEmpty()
+            new = _tile_round(live, s, r, width, shift, crowd if queues else None)
+            turn += 1
+        new = cut_lineage(new)
+        rounds.append(new.select(F.col("src_id").cast(s.schema["id"].dataType), F.col("ref_id").cast(r.schema["id"].dataType)))
         moved_p = new.groupBy("px", "py").agg(F.count(F.lit(1)).alias("t"))
         moved_q = new.groupBy("qx", "qy").agg(F.count(F.lit(1)).alias("t"))
-        step = F.col("next") + F.coalesce("t", F.lit(0).cast("long"))
-        at_p = cut_lineage(at_p.join(moved_p, ["px", "py"], "left").select("px", "py", step.alias("next")))
-        at_q = cut_lineage(at_q.join(moved_q, ["qx", "qy"], "left").select("qx", "qy", step.alias("next")))
+        step = (F.col("next") + F.coalesce("t", F.lit(0).cast("long"))).alias("next")
+        at_p = cut_lineage(at_p.join(moved_p, ["px", "py"], "left").select("px", "py", "size", step))
+        at_q = cut_lineage(at_q.join(moved_q, ["qx", "qy"], "left").select("qx", "qy", "size", step))
     if not rounds:
         return s.select(F.col("id").alias("src_id"), F.col("id").alias("ref_id")).where(F.lit(False))
     return reduce(DataFrame.unionByName, rounds)
 
 
+def _crowded_tiles(live: DataFrame, width: float, shift: tuple[float, float]) -> DataFrame:
+    """Tiles (tx, ty) whose edges and free points are more than a task should hold."""
+    tile = lambda x, y: [F.floor(F.col(x) / F.lit(width) + F.lit(shift[0])).alias("tx"), F.floor(F.col(y) / F.lit(width) + F.lit(shift[1])).alias("ty")]
+    loads = [live.select(*tile("px", "py"), F.lit(1).cast("long").alias("n")), live.select(*tile("qx", "qy"), F.lit(1).cast("long").alias("n")),
+             live.select("px", "py", "n_p").distinct().select(*tile("px", "py"), F.col("n_p").alias("n")),
+             live.select("qx", "qy", "n_q").distinct().select(*tile("qx", "qy"), F.col("n_q").alias("n"))]
+    return reduce(DataFrame.unionByName, loads).groupBy("tx", "ty").agg(F.sum("n").alias("n")).where(F.col("n") > TILE_ROWS).select("tx", "ty")
+
+
 def nearest_match(src: DataFrame, ref: DataFrame, radius: float, dx: float | Column = 0.0, dy: float | Column = 0.0) -> DataFrame:
     """For each source the nearest reference within ``radius`` after taking off the mean offset.
 

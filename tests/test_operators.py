@@ -239,6 +239,31 @@ def test_greedy_match(spark, seed):
     assert {tuple(r) for r in got.select("src_id", "ref_id").collect()} == _greedy(src, ref, 0.4)
 
 
+@pytest.mark.parametrize("rows, radii", [(40, 4), (10**6, 4)])
+def test_greedy_match_across_tiles(spark, monkeypatch, rows, radii):
+    """Small tiles, and tiles too full for a task, whose queues are matched in runs."""
+    monkeypatch.setattr(match, "TILE_ROWS", rows)
+    monkeypatch.setattr(match, "TILE_RADII", radii)
+    rng = random.Random(radii)
+    cloud = lambda n: [(i, round(rng.uniform(0, 3), 1), round(rng.uniform(0, 3), 1), rng.randrange(20) / 4) for i in range(n)]
+    src, ref = cloud(70) + [(100 + i, 1.0, 1.0, i / 4) for i in range(20)], cloud(70) + [(100 + i, 1.1, 1.0, i / 3) for i in range(20)]
+    schema = "id long, x double, y double, flux double"
+    got = match.greedy_match(spark.createDataFrame(src, schema), spark.createDataFrame(ref, schema), 0.25)
+    assert sorted(tuple(r) for r in got.select("src_id", "ref_id").collect()) == sorted(_greedy(src, ref, 0.25))
+
+
+def test_greedy_match_of_a_chain_in_few_rounds(spark, monkeypatch):
+    """Each source must wait for the one before it; a round for every link made crowded fields slow."""
+    made, cut = [], match.cut_lineage
+    monkeypatch.setattr(match, "cut_lineage", lambda d: made.append(1) or cut(d))
+    schema = "id long, x double, y double, flux double"
+    src = spark.createDataFrame([(i, 0.3 * i, 0.0, 1.0 + i) for i in range(24)], schema)
+    ref = spark.createDataFrame([(i, 0.3 * i + 0.15, 0.0, 1.0 + i) for i in range(24)], schema)
+    got = match.greedy_match(src, ref, 0.2)
+    assert sorted(tuple(r) for r in got.collect()) == [(i, i) for i in range(24)]
+    assert len(made) < 40
+
+
 def test_triangle_scale_invariant(spark):
     pts = [(0, 0.0, 0.0, 3.0), (1, 3.0, 0.0, 2.0), (2, 0.0, 4.0, 1.0)]
     t = match.triangles(spark.createDataFrame(pts, "id long, x double, y double, flux double"), 3, 0.01).first()
