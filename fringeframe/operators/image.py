@@ -357,7 +357,9 @@ def render_components(comps: DataFrame) -> DataFrame:
 
 FWHM = 2.0 * math.sqrt(2.0 * math.log(2.0))  # full width at half maximum, in sigmas
 #: Components that one task paints on one tile, about; a tile with more has several tasks.
-PAINTED = 65_536
+PAINTED = 4_096
+#: Samples of a component that are held at once, about.
+SAMPLES = 1 << 16
 
 
 def _line_share(t0, t1, sigma):
@@ -384,17 +386,29 @@ def _shares(x0, y0, major, minor, pa, xs, ys, steps):
                 ends = (d - 0.5) / u, (d + 0.5) / u
                 lo, hi = np.maximum(lo, np.minimum(*ends)), np.minimum(hi, np.maximum(*ends))
         return _line_share(lo, hi, major / FWHM)
-    at = np.arange(steps + 1) / steps - 0.5
-    weight = np.where(np.arange(steps + 1) % 2 == 1, 4.0, 2.0)
-    weight[[0, -1]] = 1.0
-    weight /= 3.0 * steps
-    dx = (xs[:, None] + at)[None, None, :, :] - x0
+    # nodes on the edge of two pixels are sampled once; a block of pixel rows bounds the samples held
+    weight = np.where(np.arange(steps + 1) % 2 == 1, 4.0, 2.0) / (3.0 * steps)
+    weight[[0, -1]] /= 2.0
+    major, minor = major / FWHM, minor / FWHM
+    dx = xs[0] - 0.5 - x0 + np.arange(len(xs) * steps + 1) / steps
+    dy = ys[0] - 0.5 - y0 + np.arange(len(ys) * steps + 1) / steps
+    scale = math.sqrt(0.5)
+    along_x, across_x, along_y, across_y = dx * (ux * scale / major), dx * (uy * scale / minor), dy * (uy * scale / major), dy * (-ux * scale / minor)
     out = np.empty((len(ys), len(xs)))
-    for i, y in enumerate(ys):  # a row of pixels at a time bounds the samples held
-        dy = (y + at)[:, None, None] - y0
-        g = np.exp(-0.5 * (((dx[0] * uy - dy * ux) * FWHM / minor) ** 2 + ((dx[0] * ux + dy * uy) * FWHM / major) ** 2))
-        out[i] = np.tensordot(weight, g, 1) @ weight
-    return out * FWHM * FWHM / (2.0 * math.pi * major * minor)
+    block = max(1, SAMPLES // (len(dx) * steps))
+    for lo in range(0, len(ys), block):
+        hi = min(len(ys), lo + block)
+        part = slice(lo * steps, hi * steps + 1)
+        g = np.add.outer(across_y[part], across_x)
+        g *= g
+        t = np.add.outer(along_y[part], along_x)
+        t *= t
+        g += t
+        np.negative(g, out=g)
+        np.exp(g, out=g)
+        rows = (g[:, :-1].reshape(-1, steps) @ weight[:-1]).reshape(len(g), len(xs)) + weight[-1] * g[:, steps::steps]
+        out[lo:hi] = np.einsum("isx,s->ix", rows[:-1].reshape(hi - lo, steps, len(xs)), weight[:-1]) + weight[-1] * rows[steps::steps]
+    return out / (2.0 * math.pi * major * minor)
 
 
 def paint_components(comps: DataFrame, shape: tuple[int, int], freqs: Sequence[float], term: int = 0, steps: int = 32, tile: int = 64) -> DataFrame:

@@ -895,3 +895,25 @@ def test_painted_in_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(image, "PAINTED", 5)
     got = _painted(spark, comps, steps=4)
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
+def test_samples_of_a_component_are_taken_once(monkeypatch):
+    """Neighbouring pixels share the samples on their edge, and blocks of pixel rows change nothing."""
+    x0, y0, major, minor, pa, steps = 5.3, 4.8, 3.0, 1.5, 0.6, 8
+    xs, ys = np.arange(0, 12), np.arange(1, 11)
+    at = np.arange(steps + 1) / steps - 0.5
+    w = np.array([1, 4, 2, 4, 2, 4, 2, 4, 1]) / (3.0 * steps)
+    sigma = image.FWHM
+    want = np.zeros((len(ys), len(xs)))
+    for i, y in enumerate(ys):
+        for j, x in enumerate(xs):
+            dx, dy = (x + at - x0)[None, :], (y + at - y0)[:, None]
+            g = np.exp(-0.5 * (((dx * math.cos(pa) + dy * math.sin(pa)) * sigma / minor) ** 2 + ((dy * math.cos(pa) - dx * math.sin(pa)) * sigma / major) ** 2))
+            want[i, j] = w @ g @ w * sigma**2 / (2 * math.pi * major * minor)
+    taken, exp = [], np.exp
+    for held in (1, 1 << 16):
+        monkeypatch.setattr(image, "SAMPLES", held)
+        assert np.allclose(image._shares(x0, y0, major, minor, pa, xs, ys, steps), want, rtol=1e-12, atol=1e-16)
+    monkeypatch.setattr(image.np, "exp", lambda g, **more: taken.append(np.size(g)) or exp(g, **more))
+    image._shares(x0, y0, major, minor, pa, xs, ys, steps)
+    assert sum(taken) == (len(xs) * steps + 1) * (len(ys) * steps + 1)
