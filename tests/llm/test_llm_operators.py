@@ -442,3 +442,21 @@ def test_spread_join(spark, monkeypatch):
     got = jaccard._spread_join(rows, (left, ["a"]), (right, ["b"])).select("a", "b", "u", "v").collect()
     assert sorted(got) == sorted(rows.join(left, "a").join(right, "b").select("a", "b", "u", "v").collect()) and len(got) > 40
     assert not jaccard._spread_join(rows.where("a < 0"), (left, ["a"]), (right, ["b"])).count()
+
+
+def test_chat_examples_carry_their_context(spark, monkeypatch):
+    """The digests come from written examples: with another context they must not come out, and long conversations are read alike."""
+    said = [(c, t, "assistant" if t % 3 == 2 else "user", f"turn {t} <|im_end|>\n" * (1 + t % 4)) for c in (1, 2) for t in range(20)] + [(3, 0, "user", "alone")]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    want = sorted(tuple(r) for r in chat.read_back(chat.format_turns(df)).collect())
+    examples = [r for r in chat.expand(chat.format_turns(df)).collect() if r["loss_begin"] is not None]
+    assert len(examples) == 12 and all(r["begin"] == 0 and r["text"].count(chat.START) == r["seq"] + 1 for r in examples)
+    for written, held in ((1 << 20, 1 << 20), (500, 1 << 20), (0, 60)):
+        monkeypatch.setattr(chat, "WRITTEN", written)
+        monkeypatch.setattr(chat, "HELD", held)
+        assert sorted(tuple(r) for r in chat.chat_report(df).collect()) == want
+    monkeypatch.undo()
+    whole = chat.expand
+    monkeypatch.setattr(chat, "expand", lambda d: whole(d).withColumn("text", F.when(F.col("seq") == 5, F.expr("overlay(text placing 'x' from 20 for 1)")).otherwise(F.col("text"))))
+    with pytest.raises(Exception, match="example"):
+        chat.chat_report(df).collect()
