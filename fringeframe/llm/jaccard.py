@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, fresh, in_steps, mix64, narrow, raw_texts
+from .common import cut_lineage, free_kept, fresh, in_steps, mix64, narrow, raw_texts
 from .components import components
 from .wordhash import hash_words
 
@@ -63,6 +63,7 @@ def shingle_sets(body: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> lis
 
 
 def _sets(batches, column: int, k: int = SHINGLE) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    free_kept()
     for batch in batches:
         body, offsets = raw_texts(batch.column(column))
         for lo, hi in in_steps(np.diff(offsets) + 1):

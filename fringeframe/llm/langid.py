@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import fresh, in_steps, narrow
+from .common import free_kept, fresh, in_steps, narrow
 
 #: Classes of letters: 0 is the gap between words, 1-26 are a-z, the others share the rest.
 CLASSES = 64
@@ -93,6 +93,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", dim: int = DI
     """
 
     def partial(batches):
+        free_kept()
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
@@ -135,6 +136,7 @@ def add_language(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str
     at = docs.columns.index(text)
 
     def label(batches):
+        free_kept()
         for batch in batches:
             lang, score = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
             for lo, hi, texts in _batches(batch.column(at)):

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import in_steps, narrow, shared_path
+from .common import in_steps, keep, narrow, shared_path
 
 END_ID = 2
 BLOCK = 1 << 19
@@ -159,6 +159,7 @@ class Encoder:
 
 @lru_cache(2)
 def _encoder(path: str) -> Encoder:
+    keep(_encoder.cache_clear)  # up to CACHED pieces stay for the next task; tasks of other operators need not hold them
     return Encoder(path)
 
 
@@ -178,7 +179,10 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> tuple[np.ndarray,
     while len(seq) > 1 and made < room:
         key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
         inner = ~last[:-1]
-        keys, n = np.unique(key[inner], return_counts=True)
+        # a pair is never more often than its slot, so only pairs in full slots are sorted and counted
+        spread = _slot(key)
+        full = np.bincount(spread[inner], minlength=1 << 18) >= LEAST_PAIRS
+        keys, n = np.unique(key[inner & full[spread]], return_counts=True)
         often = np.flatnonzero(n >= LEAST_PAIRS)
         often = np.sort(often[np.argsort(-n[often], kind="stable")[: room - made]])
         if not len(often):
@@ -187,7 +191,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> tuple[np.ndarray,
         # looked up by a hash; of pairs that fall in one slot the last is taken, the others wait for a later round
         slot = np.zeros(1 << 18, np.int32)
         slot[_slot(pairs)] = np.arange(len(pairs))
-        at = slot[_slot(key)]
+        at = slot[spread]
         p = np.flatnonzero((pairs[at] == key) & inner)
         # of neighbouring pairs that share a symbol, every other one is replaced
         new_run = np.diff(p, prepend=-2) > 1

@@ -460,3 +460,23 @@ def test_chat_examples_carry_their_context(spark, monkeypatch):
     monkeypatch.setattr(chat, "expand", lambda d: whole(d).withColumn("text", F.when(F.col("seq") == 5, F.expr("overlay(text placing 'x' from 20 for 1)")).otherwise(F.col("text"))))
     with pytest.raises(Exception, match="example"):
         chat.chat_report(df).collect()
+
+
+def test_grammar_sorts_only_pairs_that_can_pay(monkeypatch):
+    """Pairs that are too rare for a rule are left out before the sort; the rules stay the same."""
+    rng = np.random.default_rng(5)
+    ids = np.concatenate([rng.integers(0, 50_000, 20_000), np.tile([7, 8, 9, 10], 200)]).astype(np.uint32)
+    sorted_, unique = [], np.unique
+    monkeypatch.setattr(token_store.np, "unique", lambda x, **more: sorted_.append(len(x)) or unique(x, **more))
+    seq, symbols, rules = token_store.compress(ids, np.array([len(ids)]), 50_257)
+    assert np.array_equal(token_store.expand(seq, rules, 50_257), ids) and len(seq) < len(ids)
+    assert max(sorted_) < 2_000
+
+
+def test_set_tasks_free_the_encoder_of_earlier_jobs():
+    """A worker process that is used again held the pieces of the token store while it compared sets."""
+    encoder = token_store._encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.encode(["some words"])
+    assert token_store._encoder.cache_info().currsize == 1
+    assert list(jaccard._sets([], 0)) == []
+    assert token_store._encoder.cache_info().currsize == 0
