@@ -44,8 +44,8 @@ END_ID = 2
 BLOCK = 1 << 19
 #: A pair must occur this often for a rule to pay, and a round must save this share to go on.
 LEAST_PAIRS, LEAST_GAIN = 12, 0.02
-#: Distinct pieces kept in a worker's cache; a full cache is emptied.
-CACHED = 1_500_000
+#: Distinct pieces kept in a worker's cache, some 200 bytes each; a full cache is emptied.
+CACHED = 800_000
 
 _HEAD = "<4sIQQQQ"
 
@@ -63,6 +63,9 @@ class Ids:
         self.start.append(len(self.flat))
         return len(self.start) - 2
 
+    def get(self, at: int) -> array:
+        return self.flat[self.start[at] : self.start[at + 1]]
+
     def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the lists, joined, and the length of each."""
         start = np.frombuffer(self.start, np.int64)
@@ -85,7 +88,7 @@ class Pieces(dict):
         self.tokenizer, self.lead, self.store = tokenizer, lead, store
 
     def __missing__(self, piece: str) -> int:
-        self[piece] = at = self.store.add(self.tokenizer(self.lead + piece))
+        self[piece] = at = self.store.add(self.tokenizer(self.lead, piece, self))
         return at
 
 
@@ -100,6 +103,7 @@ _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 #: A word and signs behind it, two pre-tokens; and what may be white space or a control string to one library only.
 _WORD = re.compile(r"( ?)([^\W\d_]+)([.,;:!?)]*)")
+_SPACE, _SIGNS = _BYTES[32], ".,;:!?)"
 _RARE = re.compile(r"[\x00-\x08\x0b-\x1f\x7f-\xa0\xad]|<\|")
 
 
@@ -123,8 +127,18 @@ class Encoder:
         self.ids, self.parts = Ids(), {}
         self.first, self.later = Pieces(self._one, "", self.ids), Pieces(self._one, " ", self.ids)
 
-    def _one(self, s: str) -> array:
-        """Ids of a piece: those of its pre-tokens, which are kept as well; a piece with rare characters is encoded whole."""
+    def _word(self, letters: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(letters)]
+
+    def _one(self, lead: str, piece: str, pieces: Pieces) -> list[int] | array:
+        """Ids of a piece: those of its pre-tokens; a word before signs is a piece of its own. A piece with rare characters is encoded whole."""
+        if self.by_piece and piece.isascii():  # the same as below, for most pieces
+            if piece.isalpha():
+                return self._word(_SPACE + piece if lead else piece)
+            word = piece.rstrip(_SIGNS)
+            if word.isalpha():
+                return self.ids.get(pieces[word]) + self._part(piece[len(word):])
+        s = lead + piece
         m = _WORD.fullmatch(s) if self.by_piece else None
         if m is not None and (s.isascii() or m[2].isalpha() and max(s) < "\u0250"):
             pre = (m[1] + m[2], m[3]) if m[3] else (m[1] + m[2],)
@@ -134,14 +148,20 @@ class Encoder:
             pre = _PRE_TOKEN.findall(s)
         else:
             return array("I", self.tokenizer.encode(s, add_special_tokens=False).ids)
-        known, out = self.parts, None
+        out = array("I")
         for p in pre:
-            ids = known.get(p)
-            if ids is None:
-                ids = known[p] = array("I", [t.id for t in self.tokenizer.model.tokenize(p.encode().decode("latin-1").translate(_BYTES))])
-            out = ids if out is None else out + ids
+            out += self._part(p)
         return out
 
+    def _part(self, p: str) -> array:
+        """Ids of a pre-token, which are kept."""
+        ids = self.parts.get(p)
+        if ids is None:
+            if len(self.parts) >= CACHED // 4:
+                self.parts.clear()
+            ids = self.parts[p] = array("I", self._word(p.encode().decode("latin-1").translate(_BYTES)))
+        return ids
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, joined, and how many each has."""
         if len(self.ids.start) > CACHED:
