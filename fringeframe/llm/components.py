@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, drop_table
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -27,7 +27,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     seen = None
     while True:
-        edges = cut_lineage(_star(_star(edges, True), False))
+        before, edges = edges, cut_lineage(_star(_star(edges, True), False))
+        drop_table(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == tuple(now):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

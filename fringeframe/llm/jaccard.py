@@ -32,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, free_kept, fresh, in_steps, mix64, narrow, raw_texts
+from .common import cut_lineage, drop_table, free_kept, fresh, in_steps, mix64, narrow, raw_texts
 from .components import components
 from .wordhash import hash_words
 
 SHINGLE, PERCENT = 4, 85
 #: Order only: a token this often in one task is reported; the most frequent LISTED ones go last.
 LOCAL, FREQUENT, LISTED = 4, 64, 100_000
+#: Tokens that a task counts at once.
+COUNTED = 1 << 22
 #: In lists up to SHORT, all pairs are candidates at once.
 SHORT = 8
 
@@ -91,22 +93,27 @@ def frequent_tokens(rows: DataFrame, k: int = SHINGLE) -> np.ndarray:
     """Tokens to put last, at most LISTED; only the order of tokens depends on them."""
 
     def count(batches):
-        seen: list[np.ndarray] = []
-        held = 0
+        held, n = np.empty(COUNTED, np.uint64), 0
 
-        def told():
-            tokens, n = np.unique(np.concatenate(seen), return_counts=True)
-            often = n >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
+        def told(some):
+            # sorted in place: runs of LOCAL equal tokens are seen without a copy of all
+            some.sort()
+            same = some[LOCAL - 1 :] == some[: len(some) - LOCAL + 1]
+            tokens = np.unique(some[: len(same)][same])
+            n = np.searchsorted(some, tokens, "right") - np.searchsorted(some, tokens, "left")
+            return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], ["token", "n"])
 
         for _, sets in _sets(batches, 1, k):
-            seen += sets
-            held += sum(map(len, sets))
-            if held > 1 << 22:
-                yield told()
-                seen, held = [], 0
-        if seen:
-            yield told()
+            for s in sets:
+                while len(s):
+                    part, s = s[: COUNTED - n], s[COUNTED - n :]
+                    held[n : n + len(part)] = part
+                    n += len(part)
+                    if n == COUNTED:
+                        yield told(held)
+                        n = 0
+        if n:
+            yield told(held[:n])
 
     found = (rows.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
              .orderBy(F.desc("n"), "token").limit(LISTED).select("token").collect())
@@ -305,7 +312,7 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
     buckets = -(-(degree.agg(F.sum(F.col("n") * width + 64)).first()[0] or 1) // BUCKET)
     met = cut_lineage(_towards_hubs(pairs, degree).withColumn("bucket", F.pmod(F.xxhash64("leaf"), F.lit(buckets))))
     ends = met.select("bucket", F.explode(F.array("hub", "leaf")).alias("sid")).distinct().groupBy("sid").agg(F.collect_list("bucket").alias("buckets"))
-    which = cut_lineage(degree.join(ends, "sid").select(F.col("rep").alias("r"), F.col("th").alias("t"), "buckets"))
+    which = named_in = cut_lineage(degree.join(ends, "sid").select(F.col("rep").alias("r"), F.col("th").alias("t"), "buckets"))
     n, named = which.agg(F.count(F.lit(1)), F.sum(F.size("buckets"))).first()
     which = F.broadcast(which) if n <= FETCHED and (named or 0) <= NAMED else which
     texts = rows.withColumn("th", F.xxhash64("text"))
@@ -345,7 +352,10 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in keep], pa.binary()), pa.array([y[i] for i in keep], pa.binary())], ["x", "y"])
 
     judged = wide.repartition("bucket").sortWithinPartitions("bucket", "pair", "a").mapInArrow(compare, "x binary, y binary")
-    return cut_lineage(judged.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    kept = cut_lineage(judged.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    for table in (degree, met, named_in):
+        drop_table(table)
+    return kept
 
 
 def _similar(hubs: list[bytes], leaves: list[bytes], sets: dict[bytes, np.ndarray], percent: int) -> list[int]:
@@ -369,7 +379,10 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int =
 
     First with 16 bits of each hash, which finds no fewer tokens in common, then with the whole hashes.
     """
-    return _compare(_compare(pairs, sets, rows, percent, "<u2", k), sets, rows, percent, "<u8", k)
+    likely = _compare(pairs, sets, rows, percent, "<u2", k)
+    similar = _compare(likely, sets, rows, percent, "<u8", k)
+    drop_table(likely)
+    return similar
 
 
 #: Members of a group that one task chains, and that a pair of groups is expanded to at once.

@@ -6,6 +6,7 @@ import zlib
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from fringeframe.llm import balanced_shards, chat, decontaminate, jaccard, langid, mixing, phrase_dedup, suffix_dedup, tiff, token_store
 from fringeframe.llm.queries import QUERIES
@@ -473,6 +474,39 @@ def test_grammar_sorts_only_pairs_that_can_pay(monkeypatch):
     assert max(sorted_) < 2_000
 
 
+def test_frequent_tokens_are_counted_without_copies_of_all(spark, monkeypatch):
+    from fringeframe.llm import jaccard
+
+    sizes, unique = [], np.unique
+    monkeypatch.setattr(jaccard, "FREQUENT", 5)
+    monkeypatch.setattr(jaccard, "shingle_sets", lambda body, offsets, k: [np.array([7, 9, 100 + i], np.uint64) for i in range(len(offsets) - 1)])
+    monkeypatch.setattr(jaccard.np, "unique", lambda x, **more: sizes.append(len(x)) or unique(x, **more))
+
+    class Rows:  # the task's function, run here
+        def mapInArrow(self, count, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(["a"] * 1000)], ["doc_id", "text"])
+            self.out = pa.Table.from_batches(list(count(iter([batch])))).to_pylist()
+            return spark.createDataFrame([(r["token"], r["n"]) for r in self.out], "token long, n long")
+
+    for counted in (1 << 22, 1000):
+        monkeypatch.setattr(jaccard, "COUNTED", counted)
+        rows = Rows()
+        assert jaccard.frequent_tokens(rows, 4).tolist() == [7, 9]
+        assert {t: sum(r["n"] for r in rows.out if r["token"] == t) for t in (7, 9)} == {7: 1000, 9: 1000}
+    assert max(sizes) < 2001  # before: all 3,000 tokens at once
+
+
+def test_tables_of_a_comparison_go_when_it_is_done(spark):
+    from fringeframe import session
+    from fringeframe.llm import components
+
+    before = len(session._written)
+    links = session.cut_lineage(spark.createDataFrame([(1, 2), (2, 3), (3, 4), (8, 9)], "x long, y long"))
+    found = components.components(links, "x", "y")
+    assert {(r.node, r.root) for r in found.collect()} == {(2, 1), (3, 1), (4, 1), (9, 8)}
+    assert len(session._written) - before == 2 and links.count() == 4  # the links and the last round; before, every round
+
+
 def test_encoder_keeps_a_word_once_and_little_for_each_piece():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = token_store.Encoder(path)
