@@ -41,8 +41,10 @@ SHINGLE, PERCENT = 4, 85
 LOCAL, FREQUENT, LISTED = 4, 64, 100_000
 #: Tokens that a task counts at once.
 COUNTED = 1 << 22
-#: In lists up to SHORT, all pairs are candidates at once.
-SHORT = 8
+#: In lists up to SHORT, all pairs are candidates at once; in lists up to LIST, those of different components later.
+SHORT, LIST = 8, 64
+#: Bytes of text that a task hashes at once: its arrays of 8 bytes a byte stay small.
+HASHED = 1 << 18
 
 
 def shingle_sets(body: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
@@ -68,7 +70,7 @@ def _sets(batches, column: int, k: int = SHINGLE) -> Iterator[tuple[pa.RecordBat
     free_kept()
     for batch in batches:
         body, offsets = raw_texts(batch.column(column))
-        for lo, hi in in_steps(np.diff(offsets) + 1):
+        for lo, hi in in_steps(np.diff(offsets) + 1, HASHED):
             yield batch.slice(lo, hi - lo), shingle_sets(body[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], k)
 
 
@@ -177,8 +179,33 @@ def _may(n1, n2, i, j, percent):
     return (100 * n1 >= percent * n2) & (1 + np.minimum(n1 - i, n2 - j) - 1 >= need)
 
 
+def _least_need(least, n, percent):
+    """The least overlap that a set of size n needs with any not larger one, of size ``least`` or more."""
+    least = np.maximum(least, (percent * n + 99) // 100)
+    return (percent * (least + n) + 99 + percent) // (100 + percent)
+
+
+def _meetable(run, n, pos, percent):
+    """Which rows of lists, in order of size, can be in a pair whose first shared token is the list's.
+
+    The smaller set of such a pair has the token so early that it could have one of its own size as
+    a partner; the larger one, if not as early, has the least of those to pair with.
+    """
+    early = n - pos >= _least_need(n, n, percent)
+    least = np.full(int(run[-1]) + 1 if len(run) else 0, np.iinfo(np.int64).max)
+    at = np.flatnonzero(early)[::-1]
+    least[run[at]] = n[at]  # the last one written is the first of its list
+    least = least[run]
+    late = np.flatnonzero(~early & (least <= n))
+    early[late] = n[late] - pos[late] >= _least_need(least[late], n[late], percent)
+    return early
+
+
 def group_pairs(groups: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a, b) of groups, and the members (token, gid, n, pos) of long lists."""
+    """Candidate pairs (a, b) of groups, and the members (token, gid, n, pos) of long lists.
+
+    Members of a list that no pair with the token as its first shared one can have are left out before.
+    """
     tokens = groups.select(F.posexplode("prefix").alias("pos", "token"), "gid", "n")
     tokens = tokens.select("token", "gid", (F.shiftleft("n", 32) + F.col("pos")).alias("n_pos"))  # two small numbers in one
     listed = tokens.repartition("token").sortWithinPartitions("token", "n_pos", "gid")
@@ -191,13 +218,13 @@ def group_pairs(groups: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
             cols = [np.full(len(cols[2]), c, np.int64) if np.isscalar(c) else c for c in cols]
             held.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), long_list)), *map(pa.array, cols)], names))
 
-        for token, gid, n, pos, run, length in _sorted_lists(batches):
+        for token, gid, n, pos, run, length in _sorted_lists(batches, percent):
             for step in range(1, SHORT):  # neighbours at every distance in short lists, the nearest in long ones
                 if len(token) <= step:
                     break
                 short = length[step:] <= SHORT
                 ok = (run[step:] == run[:-step]) & (short | (step == 1)) & (gid[step:] != gid[:-step])
-                ok &= ~short | _may(n[:-step], n[step:], pos[:-step], pos[step:], percent)
+                ok &= _may(n[:-step], n[step:], pos[:-step], pos[step:], percent)
                 at = np.flatnonzero(ok)
                 a, b = gid[at], gid[at + step]
                 rows(False, np.minimum(a, b), np.maximum(a, b), np.zeros(len(at), np.int64), 0, 0)
@@ -211,14 +238,18 @@ def group_pairs(groups: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
             found.where("long_list").select(F.col("a").alias("token"), "gid", "n", "pos"))
 
 
-def _sorted_lists(batches):
-    """(token, gid, n, pos, run number, run length) of lists of two or more, from a stream sorted by token."""
+def _sorted_lists(batches, percent):
+    """(token, gid, n, pos, run number, run length) of lists of two or more that can meet, from a stream sorted by token and size."""
     rest: list[np.ndarray] = []
 
     def lists(cols):
         cols = [cols[0], cols[1], cols[2] >> 32, cols[2] & 0xFFFFFFFF]
         new = np.concatenate([[True], cols[0][1:] != cols[0][:-1]])
         run = np.cumsum(new) - 1
+        keep = np.bincount(run)[run] > 1
+        cols, run = [c[keep] for c in cols], run[keep]
+        keep = _meetable(run, cols[2], cols[3], percent)
+        cols, run = [c[keep] for c in cols], run[keep]
         length = np.bincount(run)[run]
         keep = length > 1
         return [*(c[keep] for c in cols), run[keep], length[keep]]
@@ -261,17 +292,35 @@ def _short_side(n1, n2, size1, size2, reach1, reach2, common, percent):
     return np.where(first, n1, n2) - (np.where(first, size1, size2) - 1 - common) >= need
 
 
+#: Rows whose values are marked in one table at once.
+MARKED = 64
+
+
+def _in_both(x, nx, y, ny) -> np.ndarray:
+    """For each row, how many of its values of x (nx of the 15-bit numbers) are among those of y, or the other way if that is more."""
+    out, ends_x, ends_y = np.zeros(len(nx), np.int64), np.cumsum(nx), np.cumsum(ny)
+    seen = np.zeros(MARKED << 15, bool)
+    for lo in range(0, len(nx), MARKED):
+        hi = min(lo + MARKED, len(nx))
+        at = [np.repeat(np.arange(hi - lo), n[lo:hi]) for n in (nx, ny)]
+        flat = [(row << 15) + v[ends[lo] - n[lo] : ends[hi - 1]] for row, v, n, ends in zip(at, (x, y), (nx, ny), (ends_x, ends_y))]
+        for (row, own), other in zip(zip(at, flat), flat[::-1]):
+            seen[other] = True
+            out[lo:hi] = np.maximum(out[lo:hi], np.bincount(row[seen[own]], minlength=hi - lo))
+            seen[other] = False
+    return out
+
+
 def close_pairs(pairs: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Group pairs (a, b) whose prefixes leave room for the overlap."""
 
     def judge(batches):
         for batch in batches:
             n1, n2, reach1, reach2 = (batch.column(i).to_numpy() for i in (2, 5, 4, 7))
-            stat = np.zeros((3, batch.num_rows), np.int64)
-            for i, (x, y) in enumerate(zip(batch.column(3), batch.column(6))):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                stat[:, i] = len(x), len(y), max(np.isin(x, y).sum(), np.isin(y, x).sum())
-            keep = _short_side(n1, n2, stat[0], stat[1], reach1, reach2, stat[2], percent)
+            x, y = batch.column(3), batch.column(6)
+            nx, ny = (c.value_lengths().to_numpy().astype(np.int64) for c in (x, y))
+            common = _in_both(x.flatten().to_numpy(), nx, y.flatten().to_numpy(), ny)
+            keep = _short_side(n1, n2, nx, ny, reach1, reach2, common, percent)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep))
 
     side = groups.select("gid", "n", sketch("smallint").alias("s"), reach().alias("r"))
@@ -288,29 +337,66 @@ BUCKET = 1 << 22
 HEAVY = 100_000
 
 
-def _towards_hubs(pairs: DataFrame, degree: DataFrame) -> DataFrame:
-    """Pairs (hub, leaf): the end that is in more pairs first."""
-    heavy = F.broadcast(degree.where(F.col("d") > HEAVY).select("sid", "d"))
-    for c in "xy":
-        pairs = pairs.join(heavy.select(F.col("sid").alias(c), F.col("d").alias(f"d{c}")), c, "left")
-    bound, free = pairs.where("dx IS NOT NULL OR dy IS NOT NULL"), pairs.where("dx IS NULL AND dy IS NULL").select("x", "y")
-    for c in "xy":
-        free = free.join(degree.select(F.col("sid").alias(c), F.col("d").alias(f"d{c}")), c)
+def _towards_hubs(pairs: DataFrame, degree: DataFrame, most: int) -> DataFrame:
+    """Pairs (hub, leaf), the end that is in more pairs first, with the hub's ``place``; no set is in more than ``most`` pairs."""
+    ends = [degree.select(F.col("sid").alias(c), F.col("d").alias(f"d{c}"), F.col("place").alias(f"at{c}")) for c in "xy"]
+    bound, free = None, pairs
+    if most > HEAVY:
+        for c, end in zip("xy", ends):
+            free = free.join(F.broadcast(end.where(F.col(f"d{c}") > HEAVY)), c, "left")
+        bound, free = free.where("dx IS NOT NULL OR dy IS NOT NULL"), free.where("dx IS NULL AND dy IS NULL").select("x", "y")
+    for c, end in zip("xy", ends):
+        free = free.join(end, c)
     first = F.coalesce("dx", F.lit(0)) >= F.coalesce("dy", F.lit(0))
-    return bound.unionByName(free).select(F.when(first, F.col("x")).otherwise(F.col("y")).alias("hub"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("leaf"))
+    both = free if bound is None else bound.unionByName(free)
+    return both.select(*[F.when(first, F.col(u)).otherwise(F.col(v)).alias(w) for u, v, w in (("x", "y", "hub"), ("y", "x", "leaf"), ("atx", "aty", "place"))])
+
 
+def _bits(n: int) -> int:
+    """Bits of each hash that a first comparison of a set of n takes: chance matches are one in 32 to 64 values."""
+    return min(64, n.bit_length() + 5)
 
-def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, kind: str, k: int) -> DataFrame:
-    """Of pairs (x, y) of sids, those whose sets, as hashes of the numpy type ``kind``, are similar enough.
 
-    Pairs are judged in buckets of the leaf, the end that is in fewer pairs. A set travels once to its own
-    bucket and once to each bucket that holds a leaf of it, however many pairs it is in there.
+def _packed(s: np.ndarray) -> bytes:
+    """The first bits of a set's sorted hashes as gaps, most of them in one byte; 255 goes on in the next."""
+    gap = np.diff(s >> np.uint64(64 - _bits(len(s))), prepend=np.uint64(0)).astype(np.int64)
+    out = np.full(len(s) + int((gap // 255).sum()), 255, np.uint8)
+    out[np.cumsum(gap // 255 + 1) - 1] = gap % 255
+    return out.tobytes()
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, int]:
+    """Sorted values and their bits."""
+    gap = np.frombuffer(packed, np.uint8)
+    values = np.cumsum(gap, dtype=np.uint64)[gap != 255]
+    bits = _bits(len(values))
+    return values.astype("<u2" if bits <= 16 else "<u4" if bits <= 32 else "<u8"), bits
+
+
+def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, whole: bool, k: int) -> DataFrame:
+    """Of pairs (x, y) of sids, those whose sets are similar enough, by whole hashes or by the first bits of each.
+
+    Pairs are judged in buckets. A pair goes where the end that is in more pairs, the hub, has its place: the
+    least hash of itself and its partners, the same for most of a cluster; where such a place has too many pairs,
+    its leaves are dealt out. A set travels once to each bucket that holds a pair of it, however many they are.
     """
-    drop, width = np.uint64(64 - 8 * np.dtype(kind).itemsize), np.dtype(kind).itemsize
-    degree = pairs.select(F.col("x").alias("sid")).unionByName(pairs.select(F.col("y").alias("sid"))).groupBy("sid").agg(F.count(F.lit(1)).alias("d"))
-    degree = cut_lineage(degree.join(sets.select("sid", "n", "rep", "th"), "sid"))
-    buckets = -(-(degree.agg(F.sum(F.col("n") * width + 64)).first()[0] or 1) // BUCKET)
-    met = cut_lineage(_towards_hubs(pairs, degree).withColumn("bucket", F.pmod(F.xxhash64("leaf"), F.lit(buckets))))
+    width = 8 if whole else 2
+    size = F.col("n") * width + 64
+    ends = [pairs.select(F.col(u).alias("sid"), F.xxhash64(v).alias("other")) for u, v in ("xy", "yx")]
+    degree = ends[0].unionByName(ends[1]).groupBy("sid").agg(F.count(F.lit(1)).alias("d"), F.min("other").alias("other"))
+    degree = cut_lineage(degree.join(sets.select("sid", "n", "rep", "th"), "sid").withColumn("place", F.least("other", F.xxhash64("sid"))).drop("other"))
+    total, most = degree.agg(F.sum(size), F.max("d")).first()
+    buckets = -(-(total or 1) // BUCKET)
+    towards = _towards_hubs(pairs, degree, most or 0)
+    if buckets > 1:
+        # of S bytes in pairs, there are at most S / BUCKET such places
+        full = degree.groupBy("place").agg(F.ceil(F.sum(F.col("d") * size) / BUCKET).cast("long").alias("salts")).where("salts > 1")
+        towards = towards.join(F.broadcast(full), "place", "left")
+        dealt = F.pmod(F.xxhash64("leaf"), F.coalesce("salts", F.lit(1)))
+        met = towards.select("hub", "leaf", F.pmod(F.xxhash64("place", dealt), F.lit(buckets)).alias("bucket"))
+    else:
+        met = towards.select("hub", "leaf", F.lit(0).cast("long").alias("bucket"))
+    met = cut_lineage(met)
     ends = met.select("bucket", F.explode(F.array("hub", "leaf")).alias("sid")).distinct().groupBy("sid").agg(F.collect_list("bucket").alias("buckets"))
     which = named_in = cut_lineage(degree.join(ends, "sid").select(F.col("rep").alias("r"), F.col("th").alias("t"), "buckets"))
     n, named = which.agg(F.count(F.lit(1)), F.sum(F.size("buckets"))).first()
@@ -319,19 +405,19 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
     texts = texts.join(which, F.col("doc_id").eqNullSafe(F.col("r")) & (F.col("th") == F.col("t"))).select("text", "buckets")
     names = ["bucket", "pair", "a", "b", "tokens"]
 
-    def whole(batches):
+    def fetch(batches):
         for batch, found in _sets(batches, 0, k):
             to = batch.column(1).to_pylist()
             each, bucket = np.repeat(np.arange(len(found)), [len(b) for b in to]), np.array([b for bs in to for b in bs], np.int64)
-            sid, short = [_set_id(s) for s in found], [(s >> drop).astype(kind).tobytes() for s in found]
+            sid, sent = [_set_id(s) for s in found], [s.tobytes() if whole else _packed(s) for s in found]
             for lo in range(0, len(each), 1024):
                 some = each[lo : lo + 1024]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket[lo : lo + 1024]), pa.array(np.zeros(len(some), bool)), pa.array([sid[i] for i in some], pa.binary()),
-                     pa.nulls(len(some), pa.binary()), pa.array([short[i] for i in some], pa.binary())], names)
+                     pa.nulls(len(some), pa.binary()), pa.array([sent[i] for i in some], pa.binary())], names)
 
     schema = "bucket long, pair boolean, a binary, b binary, tokens binary"
-    tokens = texts.mapInArrow(whole, schema)
+    tokens = texts.mapInArrow(fetch, schema)
     wide = tokens.unionByName(met.select("bucket", F.lit(True).alias("pair"), F.col("hub").alias("a"), F.col("leaf").alias("b"), F.lit(None).cast("binary").alias("tokens")))
 
     def compare(batches):
@@ -345,7 +431,8 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
                     now, held = bucket[lo], {}
                 if not pair[lo]:
                     for i in range(lo, hi):
-                        held[a[i].as_py()] = np.frombuffer(batch.column(4)[i].as_py(), kind)
+                        sent = batch.column(4)[i].as_py()
+                        held[a[i].as_py()] = (np.frombuffer(sent, "<u8"), 64) if whole else _unpacked(sent)
                     continue
                 x, y = a.slice(lo, hi - lo).to_pylist(), b.slice(lo, hi - lo).to_pylist()
                 keep = _similar(x, y, held, percent)
@@ -358,29 +445,40 @@ def _compare(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, k
     return kept
 
 
-def _similar(hubs: list[bytes], leaves: list[bytes], sets: dict[bytes, np.ndarray], percent: int) -> list[int]:
-    """Places of the pairs that are similar enough; pairs of one hub follow each other and are counted together."""
+def _similar(hubs: list[bytes], leaves: list[bytes], sets: dict[bytes, tuple[np.ndarray, int]], percent: int) -> list[int]:
+    """Places of the pairs that are similar enough; pairs of one hub follow each other and are counted together, by the bits that both sides have."""
     keep, at = [], 0
     while at < len(hubs):
-        end, hub, size = at, sets[hubs[at]], 0
+        end, (hub, hub_bits), size = at, sets[hubs[at]], 0
         while end < len(hubs) and hubs[end] == hubs[at] and size < 1 << 20:
-            size += len(sets[leaves[end]])
+            size += len(sets[leaves[end]][0])
             end += 1
         some = [sets[y] for y in leaves[at:end]]
-        n = np.array([len(t) for t in some])
-        both = np.add.reduceat(_contains(hub, np.concatenate(some)).astype(np.int64), np.cumsum(n) - n)
+        n, bits = np.array([len(t) for t, _ in some]), np.array([b for _, b in some])
+        both = np.zeros(len(some), np.int64)
+        for b in set(bits.tolist()):
+            of = np.flatnonzero(bits == b)
+            flat, least = np.concatenate([some[i][0] for i in of]), min(b, hub_bits)
+            found = _contains(hub >> (hub_bits - least), flat >> (b - least))
+            both[of] = np.add.reduceat(found.astype(np.int64), np.cumsum(n[of]) - n[of])
         keep += (at + np.flatnonzero(100 * both >= percent * (len(hub) + n - both))).tolist()
         at = end
     return keep
 
 
+#: So few pairs are compared by whole hashes at once.
+FEW = 4096
+
+
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
     """Of candidate pairs (x, y) of sids, those that are similar enough, judged on whole sets.
 
-    First with 16 bits of each hash, which finds no fewer tokens in common, then with the whole hashes.
+    First with a few bits of each hash, which finds no fewer tokens in common, then with the whole hashes.
     """
-    likely = _compare(pairs, sets, rows, percent, "<u2", k)
-    similar = _compare(likely, sets, rows, percent, "<u8", k)
+    if pairs.count() <= FEW:
+        return _compare(pairs, sets, rows, percent, True, k)
+    likely = _compare(pairs, sets, rows, percent, False, k)
+    similar = _compare(likely, sets, rows, percent, True, k)
     drop_table(likely)
     return similar
 
@@ -432,12 +530,16 @@ def _spread_join(rows: DataFrame, *sides: tuple[DataFrame, list[str]]) -> DataFr
     """``rows``, a written table, joined with each (side, keys); rows of a frequent key are dealt into SALTS tasks, its side's rows sent to each."""
     hot = {}
     for i, (_, keys) in enumerate(sides):
-        often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD)
-        hot[i] = F.broadcast(cut_lineage(often.select(*keys, F.lit(SALTS).alias(f"salts_{i}"))))
+        often = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD).select(*keys, F.lit(SALTS).alias(f"salts_{i}")))
+        if not often.isEmpty():
+            hot[i] = F.broadcast(often)
     deal = F.xxhash64(*rows.columns)
-    for i, (_, keys) in enumerate(sides):
-        rows = rows.join(hot[i], keys, "left").withColumn(f"salt_{i}", F.pmod(deal, F.coalesce(f"salts_{i}", F.lit(1)))).drop(f"salts_{i}")
+    for i in hot:
+        rows = rows.join(hot[i], sides[i][1], "left").withColumn(f"salt_{i}", F.pmod(deal, F.coalesce(f"salts_{i}", F.lit(1)))).drop(f"salts_{i}")
     for i, (side, keys) in enumerate(sides):
+        if i not in hot:
+            rows = rows.join(side, keys)
+            continue
         copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(f"salts_{i}", F.lit(1)).cast("long") - 1))
         rows = rows.join(side.join(hot[i], keys, "left").withColumn(f"salt_{i}", copies).drop(f"salts_{i}"), [*keys, f"salt_{i}"]).drop(f"salt_{i}")
     return rows
@@ -586,6 +688,21 @@ def _block_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return rows.join(met, ["token", "cls", "block"]).select("token", "ci", "bi", "cj", "bj", "side", "n", "gid", "root")
 
 
+def _mixed(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lists (token, gid, n, pos, root) of several roots: those of up to LIST members, as a table, and the longer ones."""
+    size = lists.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    size = cut_lineage(size.select("token", "c"))
+    return cut_lineage(lists.join(size.where(F.col("c") <= LIST), "token").drop("c")), lists.join(size.where(F.col("c") > LIST).select("token"), "token")
+
+
+def _list_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of groups that have different roots in a list (token, gid, n, pos, root) and could be similar if they share no token before."""
+    a, b = (lists.select("token", F.col("gid").alias(g), F.col("n").alias(f"n{g}"), (F.col("n") - F.col("pos")).alias(f"left{g}"), F.col("root").alias(f"r{g}")) for g in "ab")
+    need = f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}"
+    return (a.join(b, "token").where("a < b AND ra != rb").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb) AND least(lefta, leftb) >= {need}")
+            .select("a", "b").distinct())
+
+
 def _across(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, ra, b, rb) of units in different components that meet in a list (token, gid, n, root) and can be similar."""
     rows = cut_lineage(_block_pairs(lists, percent))
@@ -610,12 +727,14 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     """doc_id, n_shingles, component_id, sid, root and th of every row; sid names the row's set, null for none, root its component, th is a hash of the text."""
     rows = narrow(docs, id_col, text_col)
     last = rows.sparkSession.sparkContext.broadcast(frequent_tokens(rows, k))  # at most LISTED numbers
-    signed = signatures(rows, last, percent, k)
+    wide = signatures(rows, last, percent, k)
+    groups = cut_lineage(wide.where("gid IS NOT NULL").groupBy("gid", "n").agg(F.first("prefix").alias("prefix"), F.first("plain").alias("plain")))
+    signed = cut_lineage(wide.select("doc_id", "th", "n", "sid", "gid"))
+    drop_table(wide)  # each prefix is kept once, with its group
     sets = cut_lineage(signed.where("n > 0").groupBy("sid").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("m"), F.min("n").alias("n"), F.min("gid").alias("gid"))
         .select("sid", F.col("m.doc_id").alias("rep"), F.col("m.th").alias("th"), "n", "gid"))
     members = sets.where("gid IS NOT NULL").select("sid", "gid", "n")
-    groups = cut_lineage(signed.where("gid IS NOT NULL").groupBy("gid", "n").agg(F.first("prefix").alias("prefix"), F.first("plain").alias("plain")))
     pairs, long_lists = group_pairs(groups, percent)
     pairs = cut_lineage(close_pairs(pairs.unionByName(hub_pairs(long_lists)).distinct(), groups, percent))
     # members of one group are chained first; then one stands for all of a group and component
@@ -628,7 +747,10 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     # what is still apart: lists and pairs of groups by representatives, then by all members
     rooted = cut_lineage(_rooted(members, tied))
     units = _units(rooted)
-    spread = long_lists.select("token", "gid").join(units, "gid").select("token", "gid", "n", "root")
+    few, many = _mixed(cut_lineage(long_lists.select("token", "gid", "pos").join(units, "gid").select("token", "gid", "n", "pos", "root")))
+    more = close_pairs(cut_lineage(_list_pairs(few, percent).join(pairs, ["a", "b"], "left_anti")), groups, percent)
+    pairs = cut_lineage(pairs.unionByName(more))
+    spread = many.select("token", "gid", "n", "root")
     # members of one group have one prefix: they meet in a list of their own
     alike = units.select(F.col("gid").alias("token"), "gid", "n", "root")
     found = _between(pairs, units).unionByName(_across(spread, groups, percent)).unionByName(_across(alike, groups, percent))
@@ -660,13 +782,15 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE) -> DataF
     judged each for itself; of rows that are equal in id and text one stays, the same at every run.
     Rows without words are linked with nothing and all stay as they are.
     """
-    mark, at, text_hash = (fresh(docs, c) for c in ("mark", "at", "text_hash"))
+    mark, number, none = (fresh(docs, c) for c in ("mark", "number", "none"))
     found = join_sets(docs, percent=percent, k=k).where("root IS NOT NULL")
     least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("m"))
-    kept = cut_lineage(least.select(F.col("m.doc_id").alias(at), F.col("m.th").alias(text_hash)).distinct())
+    # plain keys, a null id as a column of its own: one exchange of the texts serves the join and the grouping
+    keys = {number: lambda c: F.coalesce(c.cast("long"), F.lit(0).cast("long")), none: lambda c: c.cast("long").isNull()}
+    kept = cut_lineage(least.select(*[f(F.col("m.doc_id")).alias(c) for c, f in keys.items()], F.col("m.th").alias(mark)).distinct())
     words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    rows = docs.where(words).withColumn(mark, F.xxhash64(F.col("text").cast("string")))
-    some = rows.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(at)) & (F.col(mark) == F.col(text_hash)), "left_semi")
+    rows = docs.where(words).withColumns({**{c: f(F.col("doc_id")) for c, f in keys.items()}, mark: F.xxhash64(F.col("text").cast("string"))})
+    some = rows.join(kept, [number, none, mark], "left_semi")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = some.groupBy("doc_id", mark).agg(F.min_by(whole, F.xxhash64(whole)).alias("row")).select("row.*")
+    one = some.groupBy(number, none, mark, "doc_id").agg(F.min_by(whole, F.xxhash64(whole)).alias("row")).select("row.*")
     return one.select(docs.columns).unionByName(docs.where(~words))

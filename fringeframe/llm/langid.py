@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -81,9 +82,9 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _batches(texts: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
-    rows = [t or "" for t in texts.to_pylist()]
-    for lo, hi in in_steps(np.array([len(t) + 3 for t in rows], np.int64), 1 << 19):
-        yield lo, hi, rows[lo:hi]
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+    for lo, hi in in_steps(sizes.astype(np.int64) + 3, 1 << 19):  # only these become Python strings at once
+        yield lo, hi, [t or "" for t in texts.slice(lo, hi - lo).to_pylist()]
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", dim: int = DIM, seed: int = SEED) -> tuple[list[str], np.ndarray]:

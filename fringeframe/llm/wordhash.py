@@ -24,7 +24,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 ... base**(n - 1) modulo 2**64; kept, and made longer when a longer text comes."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(1 << 21, 1 << (n - 1).bit_length())
+        size = max(1 << 18, 1 << (n - 1).bit_length())
         seq = np.full(size, base, np.uint64)
         seq[0] = 1
         have = _powers[base] = np.multiply.accumulate(seq)

@@ -527,3 +527,84 @@ def test_set_tasks_free_the_encoder_of_earlier_jobs():
     assert token_store._encoder.cache_info().currsize == 1
     assert list(jaccard._sets([], 0)) == []
     assert token_store._encoder.cache_info().currsize == 0
+
+
+def test_set_sketches_take_a_byte_a_word():
+    """A first comparison sent 2 bytes of each hash; gaps of the first bits take one, and count no fewer common words."""
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 6, 300, 5000, 100_000):
+        s = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        sent = jaccard._packed(s)
+        values, bits = jaccard._unpacked(sent)
+        assert np.array_equal(values.astype(np.uint64), s >> np.uint64(64 - bits)) and len(sent) <= 1.05 * n + 1
+    base = np.unique(rng.integers(0, 1 << 64, 1030, np.uint64))
+    sets = {b"%d" % cut: base[cut : len(base) - cut] for cut in (0, 10, 40, 75, 76, 120, 300)}
+    first, whole = {u: jaccard._unpacked(jaccard._packed(s)) for u, s in sets.items()}, {u: (s, 64) for u, s in sets.items()}
+    hubs, leaves = [u for u in sets for _ in sets], list(sets) * len(sets)
+    likely, similar = (set(jaccard._similar(hubs, leaves, held, 85)) for held in (first, whole))
+    want = {i for i, (u, v) in enumerate(zip(hubs, leaves)) if 100 * min(len(sets[u]), len(sets[v])) >= 85 * max(len(sets[u]), len(sets[v]))}
+    assert similar == want and likely >= similar and len(likely) < len(hubs)
+
+
+def test_lists_keep_all_that_can_meet():
+    """Rows that no pair with the list's token as its first shared one can have go; every such pair stays."""
+    rng = np.random.default_rng(6)
+    left = 0
+    for percent in (80, 85):
+        for _ in range(100):
+            m = int(rng.integers(2, 40))
+            _, run = np.unique(rng.integers(0, 4, m), return_inverse=True)
+            n = rng.integers(5, 80, m)
+            pos = (rng.random(m) * n * (100 - percent) / 100).astype(np.int64)
+            order = np.lexsort((pos, n, run))
+            run, n, pos = run[order], n[order], pos[order]
+            keep = jaccard._meetable(run, n, pos, percent)
+            left += int((~keep).sum())
+            for i in range(m):
+                for j in range(i + 1, m):
+                    assert run[i] != run[j] or not jaccard._may(n[i], n[j], pos[i], pos[j], percent) or keep[i] and keep[j]
+    assert left > 200
+
+
+def test_prefix_counts_of_many_rows():
+    rng = np.random.default_rng(8)
+    nx, ny = rng.integers(1, 60, 300), rng.integers(1, 60, 300)
+    x, y = (rng.integers(0, 120, n.sum()).astype(np.int16) for n in (nx, ny))
+    rows = zip(np.split(x, np.cumsum(nx)[:-1]), np.split(y, np.cumsum(ny)[:-1]))
+    assert jaccard._in_both(x, nx, y, ny).tolist() == [max(np.isin(a, b).sum(), np.isin(b, a).sum()) for a, b in rows]
+
+
+def test_jaccard_places_and_lists(spark, monkeypatch):
+    """Crowded places, heavy hubs, short and long lists of several components give the same components."""
+    r = random.Random(12)
+    base = [prose(80, r) for _ in range(3)]
+    data = [(i, near(base[i % 3], r.randint(0, 12), r), None, None, 0) for i in range(120)] + [(200 + i, prose(30, r), None, None, 0) for i in range(10)]
+    want = brute.components([(d[0], d[1]) for d in data])
+    for few, listed, bucket, heavy in ((4096, 64, 1 << 22, 100_000), (0, 4, 4000, 6)):
+        for name, value in (("FEW", few), ("LIST", listed), ("BUCKET", bucket), ("HEAVY", heavy), ("SHORT", 3)):
+            monkeypatch.setattr(jaccard, name, value)
+        got = by_id(jaccard.component_report(spark.createDataFrame(data, SCHEMA).repartition(3)))
+        assert {d: (v["n_shingles"], v["component_id"]) for d, v in got.items()} == want
+
+
+def test_kept_rows_are_exchanged_once(spark):
+    """The texts went through two exchanges, one for the join with the kept ids and one for the grouping."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(1, "a b c d e f g", None, None, 0), (1, "a b c d e f g", None, None, 0), (None, "x y", None, None, 0), (3, " ", None, None, 0)], SCHEMA)
+        kept = jaccard.keep_one(df, 80, 5)
+        plan = kept._jdf.queryExecution().sparkPlan().toString()
+        full = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and full.count("Exchange hashpartitioning") == 2, full  # the texts and the ids to keep
+        assert sorted(((x["doc_id"] or -1), x["text"]) for x in kept.collect()) == [(-1, "x y"), (1, "a b c d e f g"), (3, " ")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_set_tasks_hash_little_text_at_once(monkeypatch):
+    """Arrays of 8 bytes a byte of text: before, for 1 MB at once, and tables of powers for 2 MB."""
+    seen, hashed = [], jaccard.hash_words
+    monkeypatch.setattr(jaccard, "hash_words", lambda body, *more, **named: seen.append(len(body)) or hashed(body, *more, **named))
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two three four five six " * 40] * 1500)], ["text"])
+    assert sum(len(found) for _, found in jaccard._sets([batch], 0)) == 1500
+    assert max(seen) <= 1 << 18 and sum(seen) == 1500 * 28 * 40
